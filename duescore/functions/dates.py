@@ -13,12 +13,12 @@ from .text import ColumnOrName, _c
 
 def parse_date(c: ColumnOrName, fmt: str = "yyyy-MM-dd") -> Column:
     """Text to date with a pattern; bad dates (31 February, empty) are null."""
-    return F.try_to_date(_c(c), F.lit(fmt))
+    return F.try_to_date(_c(c), fmt)
 
 
 def parse_day_prefix(c: ColumnOrName, fmt: str = "yyyy-M-d") -> Column:
     """Date from the first 10 characters of an ISO timestamp text (X1 + X12)."""
-    return F.try_to_date(F.substring(_c(c), 1, 10), F.lit(fmt))
+    return F.try_to_date(F.substring(_c(c), 1, 10), fmt)
 
 
 def format_date(c: ColumnOrName, fmt: str = "dd/MM/yyyy") -> Column:

@@ -54,13 +54,13 @@ def parse_signed_decimal(c: ColumnOrName, strict_sign: bool = False) -> Column:
         body = F.get(F.split(c, r"\+"), F.lit(1))
     else:
         body = F.regexp_replace(F.trim(c), r"^\+", "")
-    return F.try_cast(F.regexp_replace(body, ",", "."), "double")
+    return F.regexp_replace(body, ",", ".").try_cast("double")
 
 
 def coerce_numeric(c: ColumnOrName) -> Column:
     """Text to double, first comma read as the decimal point; bad text is null."""
     c = _c(c).cast("string")
-    return F.try_cast(F.regexp_replace(c, r"^([^,]*),", "$1."), "double")
+    return F.regexp_replace(c, r"^([^,]*),", "$1.").try_cast("double")
 
 
 def yes_no_flag(c: ColumnOrName, yes: str = "S", no: str = "N") -> Column:
@@ -82,4 +82,4 @@ def concat_key(*cols: ColumnOrName, sep: str = ":") -> Column:
 def bool_to_int(c: ColumnOrName) -> Column:
     """Boolean, or the texts ``true``/``false``, to 1/0."""
     c = _c(c)
-    return F.try_cast(c.cast("string"), "boolean").cast("int")
+    return c.cast("string").try_cast("boolean").cast("int")

@@ -25,7 +25,7 @@ def clean_card_file(raw: DataFrame) -> DataFrame:
     """Open items, cleaned names (F1, F2) and typed values."""
     df = open_items(raw).withColumnsRenamed(CARD_FILE_RENAMES)
     return df.withColumns({
-        "DIAS_ATRASO": F.try_cast(F.col("DIAS_ATRASO"), "int"),
+        "DIAS_ATRASO": F.col("DIAS_ATRASO").try_cast("int"),
         "DATA_DIVIDA": parse_day_prefix("DATA_DIVIDA"),
         "DATA_ULTIMA_FATURA": parse_day_prefix("DATA_ULTIMA_FATURA"),
         "VALOR_ULTIMA_FATURA": coerce_numeric("VALOR_ULTIMA_FATURA"),

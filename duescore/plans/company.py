@@ -19,7 +19,7 @@ def clean_company_file(parsed: DataFrame, file_name: str, strict_sign: bool = Fa
     """Detail records with typed amounts, counts, clean document and contract."""
     df = strip_control_records(parsed)
     typed = {f: parse_signed_decimal(f, strict_sign) for f in COMPANY_AMOUNT_FIELDS}
-    typed.update({f: F.try_cast(F.col(f), "int") for f in COMPANY_INT_FIELDS})
+    typed.update({f: F.col(f).try_cast("int") for f in COMPANY_INT_FIELDS})
     typed["Numero_Documento"] = clean_document("Numero_Documento")
     typed["Contrato_Altair"] = F.substring(F.col("Contrato_Altair"), 15, 12)
     typed["Nome_Arquivo"] = F.lit(file_name)

@@ -69,3 +69,373 @@ def q_count_asof_simulation(spark, sf_dir):
     """Simulations per person up to the file date, 0 when none (JN8, F5, F6, A1, X17)."""
     return count_asof(_card_persons(spark, sf_dir), tb.simulation(spark, sf_dir), "personID", "_id", "QTD_SIMU",
                       tb.CREDITOR, "createdAt", tb.FILE_DAY)
+
+
+# Section 2.1 - sources, snapshot choice, provenance ---------------------------
+
+from .functions import dates as fd  # noqa: E402
+from .functions import text as fx  # noqa: E402
+from .sources import files as sfiles  # noqa: E402
+from .sources import sinks as ssinks  # noqa: E402
+from .sources import snapshots as ssnap  # noqa: E402
+from .spec import COMPANY_FILE_FIELDS  # noqa: E402
+from .testbed_sql import amount as _amt_sql  # noqa: E402
+from .testbed_sql import doc as _doc_sql  # noqa: E402
+
+_STAMP = r"_(\d{8})\.csv$"
+
+
+@register("latest_snapshot", f"""
+WITH e AS (SELECT event_id, user_id, event_type, 'Base_' || strftime(ts, '%Y%m%d') || '.csv' AS file_name
+           FROM events)
+SELECT * FROM e
+WHERE CAST(regexp_extract(file_name, '{_STAMP}', 1) AS BIGINT) =
+      (SELECT max(CAST(regexp_extract(file_name, '{_STAMP}', 1) AS BIGINT)) FROM e WHERE contains(file_name, 'Base_'))""")
+def q_latest_snapshot(spark, sf_dir):
+    """Rows of the newest daily file, chosen by the stamp in the name."""
+    e = tb.table(spark, sf_dir, "events").select(
+        "event_id", "user_id", "event_type",
+        F.concat(F.lit("Base_"), F.date_format("ts", "yyyyMMdd"), F.lit(".csv")).alias("file_name"))
+    return sfiles.latest_snapshot(e, "file_name", _STAMP, "Base_")
+
+
+@register("file_date", r"""
+SELECT DISTINCT file_name,
+       CAST(CAST(try_strptime(regexp_extract(file_name, '_(\d{8})\d{4}\.csv$', 1), '%Y%m%d') AS DATE) AS VARCHAR) AS file_date
+FROM (SELECT 'integracao_' || strftime(ts, '%Y%m%d%H%M') || '.csv' AS file_name FROM events)""")
+def q_file_date(spark, sf_dir):
+    """File date from the stamp in its name, without the HHMM digits."""
+    e = tb.table(spark, sf_dir, "events").select(
+        F.concat(F.lit("integracao_"), F.date_format("ts", "yyyyMMddHHmm"), F.lit(".csv")).alias("file_name"))
+    return e.distinct().select("file_name", sfiles.file_date("file_name", r"_(\d{8})\d{4}\.csv$", "yyyyMMdd")
+                               .alias("file_date"))
+
+
+_SUPPLIER_FIELDS = ("s_suppkey", "s_name", "s_nationkey", "s_acctbal")
+
+
+@register("scan_delimited", """
+SELECT CAST(s_suppkey AS VARCHAR) AS s_suppkey, s_name, CAST(s_nationkey AS VARCHAR) AS s_nationkey,
+       CAST(CAST(s_acctbal AS DECIMAL(15,2)) AS VARCHAR) AS s_acctbal
+FROM supplier""")
+def q_scan_delimited(spark, sf_dir):
+    """Comma-separated text read with named columns, every column as string (S3)."""
+    s = tb.table(spark, sf_dir, "supplier")
+    lines = s.select(F.concat_ws(",", "s_suppkey", "s_name", "s_nationkey",
+                                 F.col("s_acctbal").cast("decimal(15,2)").cast("string")).alias("value"))
+    return sfiles.parse_lines(lines, _SUPPLIER_FIELDS, sep=",")
+
+
+def _company_lines_sql() -> str:
+    d = _doc_sql("o.o_custkey")
+    return f"""
+SELECT '1' AS Tipo_Registro,
+       CASE WHEN c.c_mktsegment IN ('BUILDING', 'MACHINERY') THEN 'J' ELSE 'F' END AS Tipo_Pessoa,
+       substring({d}, 1, 3) || '.' || substring({d}, 4, 3) || '.' || substring({d}, 7, 3) || '-' || substring({d}, 10, 2)
+           AS Numero_Documento,
+       'ALT' || {d} || lpad(CAST(o.o_orderkey AS VARCHAR), 12, '0') AS Contrato_Altair,
+       '+' || {_amt_sql('o.o_totalprice')} AS Saldo_Devedor_Contrato,
+       (CASE WHEN c.c_acctbal < 0 THEN '-' ELSE '+' END) || {_amt_sql('abs(c.c_acctbal)')} AS Taxa_Padrao,
+       CAST(NULL AS VARCHAR) AS Cep3
+FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
+WHERE o.o_orderpriority = '{tb.CREDITOR}' AND o.o_orderstatus <> 'F'"""
+
+
+_S4_COLS = ("Tipo_Registro", "Tipo_Pessoa", "Numero_Documento", "Contrato_Altair", "Saldo_Devedor_Contrato",
+            "Taxa_Padrao", "Cep3")
+
+
+@register("scan_fixed_schema", f"""
+{_company_lines_sql()}
+UNION ALL SELECT '0', ' {tb.FILE_DAY} ', NULL, NULL, NULL, NULL, NULL
+UNION ALL SELECT '9', 'TRAILER', NULL, NULL, NULL, NULL, NULL""")
+def q_scan_fixed_schema(spark, sf_dir):
+    """Headerless ';' lines parsed with the fixed field list, control records included."""
+    parsed = sfiles.parse_lines(tb.company_lines(spark, sf_dir), COMPANY_FILE_FIELDS, sep=";")
+    return parsed.select(*_S4_COLS)
+
+
+@register("strip_control_records", f"""
+SELECT Tipo_Pessoa, Numero_Documento, Contrato_Altair, '{tb.FILE_DAY}' AS Data_Arquivo
+FROM ({_company_lines_sql()}) WHERE Tipo_Pessoa = 'J'""")
+def q_strip_control_records(spark, sf_dir):
+    """Detail records of type J with the file date from the trimmed header record."""
+    parsed = sfiles.parse_lines(tb.company_lines(spark, sf_dir), COMPANY_FILE_FIELDS, sep=";")
+    return sfiles.strip_control_records(parsed).select("Tipo_Pessoa", "Numero_Documento", "Contrato_Altair",
+                                                       "Data_Arquivo")
+
+
+@register("snapshot_slice", f"""
+SELECT event_id, user_id, event_type, CAST(CAST(ts AS DATE) AS VARCHAR) AS snapshot_date
+FROM events WHERE CAST(ts AS DATE) = DATE '{tb.FILE_DAY}'""")
+def q_snapshot_slice(spark, sf_dir):
+    """One dated snapshot."""
+    e = tb.table(spark, sf_dir, "events").select("event_id", "user_id", "event_type",
+                                                 F.to_date("ts").alias("snapshot_date"))
+    return ssnap.snapshot_slice(e, tb.FILE_DAY)
+
+
+@register("scan_pruned", """
+SELECT event_id, user_id, event_type FROM events WHERE event_type <> 'error'""")
+def q_scan_pruned(spark, sf_dir):
+    """Three columns and a filter pushed into the Parquet scan."""
+    return ssnap.scan_pruned(tb.table(spark, sf_dir, "events"), ["event_id", "user_id", "event_type"],
+                             F.col("event_type") != "error")
+
+
+@register("semi_join_lookup", with_roles("card_file") + f"""
+SELECT 'id' || CAST(c_custkey AS VARCHAR) AS _id, {_doc_sql('c_custkey')} AS document
+FROM customer WHERE {_doc_sql('c_custkey')} IN (SELECT CPF FROM card_file)""")
+def q_semi_join_lookup(spark, sf_dir):
+    """Persons of the file's documents from the nested store, one semi join."""
+    from .operators.nested import semi_join_lookup
+    found = semi_join_lookup(tb.persons(spark, sf_dir), tb.card_file(spark, sf_dir), "document", "CPF")
+    return found.select("_id", "document")
+
+
+@register("json_scan", """
+SELECT event_id, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events""")
+def q_json_scan(spark, sf_dir):
+    """JSON text parsed with a declared schema."""
+    e = sfiles.parse_json_column(tb.table(spark, sf_dir, "events"), "props", "k INT")
+    return e.select("event_id", F.col("json.k").alias("k"))
+
+
+@register("provenance", with_roles("card_file") + f"""
+SELECT CPF, CONTA, '{tb.CARD_FILE_NAME}' AS Nome_Arquivo, '{tb.FILE_DAY}' AS Data_Arquivo,
+       '{tb.CARD.provider}' AS Provider, '{tb.AS_OF}' AS CreatedAt
+FROM card_file""")
+def q_provenance(spark, sf_dir):
+    """Constant provenance columns on every row."""
+    import datetime as dt
+    rows = tb.card_file(spark, sf_dir).select("CPF", "CONTA")
+    return ssinks.provenance(rows, Nome_Arquivo=tb.CARD_FILE_NAME, Data_Arquivo=dt.date.fromisoformat(tb.FILE_DAY),
+                             Provider=tb.CARD.provider, CreatedAt=dt.date.fromisoformat(tb.AS_OF))
+
+
+# Section 2.2 - projections and filters ----------------------------------------
+
+from .operators import enrich as en  # noqa: E402
+from .plans import card as pcard  # noqa: E402
+
+
+@register("open_items", with_roles("card_file") + """
+SELECT CPF, CONTA FROM card_file WHERE DATA_PAGAMENTO IS NULL""")
+def q_open_items(spark, sf_dir):
+    """Rows without a payment date; payment columns dropped (F1)."""
+    return pcard.open_items(tb.card_file(spark, sf_dir)).select("CPF", "CONTA")
+
+
+@register("rename_columns", with_roles("card_file") + """
+SELECT CPF, CONTA, NOME_CLIENTE, DIAS_ATRASO_TXT AS DIAS_ATRASO, DATA_DIVIDA_TXT AS DATA_DIVIDA,
+       DATA_ULTIMA_FATURA_TXT AS DATA_ULTIMA_FATURA, VALOR_ULTIMA_FATURA_TXT AS VALOR_ULTIMA_FATURA
+FROM card_file WHERE DATA_PAGAMENTO IS NULL""")
+def q_rename_columns(spark, sf_dir):
+    """File header names to clean names in one call (F2)."""
+    from .spec import CARD_FILE_RENAMES
+    df = pcard.open_items(tb.card_file(spark, sf_dir)).withColumnsRenamed(CARD_FILE_RENAMES)
+    return df.select("CPF", "CONTA", "NOME_CLIENTE", "DIAS_ATRASO", "DATA_DIVIDA", "DATA_ULTIMA_FATURA",
+                     "VALOR_ULTIMA_FATURA")
+
+
+@register("struct_fields", with_roles("authentication") + """
+SELECT document, contact, contract, creditor FROM authentication""")
+def q_struct_fields(spark, sf_dir):
+    """Leaves of a struct column as columns."""
+    a = tb.authentication(spark, sf_dir)
+    return a.select("tokenData.document", "tokenData.contact", "tokenData.contract", "tokenData.creditor")
+
+
+@register("filter_creditor", with_roles("debts") + f"""
+SELECT _id, contract FROM debts WHERE creditor = '{tb.CREDITOR}'""")
+def q_filter_creditor(spark, sf_dir):
+    """Debts of one creditor."""
+    return en.filter_equals(tb.debts(spark, sf_dir), "creditor", tb.CREDITOR).select("_id", "contract")
+
+
+@register("asof_cutoff", with_roles("simulation") + f"""
+SELECT personID, creditor FROM simulation WHERE createdAt <= DATE '{tb.FILE_DAY}'""")
+def q_asof_cutoff(spark, sf_dir):
+    """Events up to midnight of the file date."""
+    return en.asof_cutoff(tb.simulation(spark, sf_dir), "createdAt", tb.FILE_DAY).select("personID", "creditor")
+
+
+@register("since_date", with_roles("deals") + """
+SELECT dealID, CAST(createdAt AS VARCHAR) AS createdAt FROM deals WHERE createdAt >= DATE '2020-01-01'""")
+def q_since_date(spark, sf_dir):
+    """Deals from a lower-bound date on."""
+    return en.since_date(tb.deals(spark, sf_dir), "createdAt", "2020-01-01").select("dealID", "createdAt")
+
+
+@register("exclude_status", with_roles("deals") + """
+SELECT dealID, status FROM deals WHERE status <> 'error'""")
+def q_exclude_status(spark, sf_dir):
+    """Status exclusion, null status dropped too (F8, Q6)."""
+    return en.filter_not_equals(tb.deals(spark, sf_dir), "status", "error").select("dealID", "status")
+
+
+@register("contains_filter", """
+SELECT event_id, props FROM events WHERE NOT contains(props, '5') AND NOT contains(props, '9')""")
+def q_contains_filter(spark, sf_dir):
+    """Rows whose text holds none of the given substrings."""
+    e = tb.table(spark, sf_dir, "events").select("event_id", "props")
+    return e.filter(~F.col("props").contains("5") & ~F.col("props").contains("9"))
+
+
+@register("like_flags", with_roles("campaigns") + f"""
+SELECT document, interactionDate, type, campaign_name,
+       NOT (campaign_name LIKE '%{tb.CAMPAIGN_MARKER}%') AS activated
+FROM campaigns""")
+def q_like_flags(spark, sf_dir):
+    """LIKE and NOT LIKE on the campaign name."""
+    c = tb.campaigns(spark, sf_dir)
+    marked = F.concat_ws(";", F.col("campaign_name")).like(f"%{tb.CAMPAIGN_MARKER}%")
+    return c.select("document", "interactionDate", "type", "campaign_name", (~marked).alias("activated"))
+
+
+# Section 2.7 - scalar functions ------------------------------------------------
+
+@register("substring_fields", """
+SELECT c_custkey, substring(c_name, 10, 9) AS c_code, substring(c_name, 1, 8) AS c_prefix FROM customer""")
+def q_substring_fields(spark, sf_dir):
+    """1-based substrings."""
+    c = tb.table(spark, sf_dir, "customer")
+    return c.select("c_custkey", fx.slice_text("c_name", 10, 9).alias("c_code"),
+                    fx.slice_text("c_name", 1, 8).alias("c_prefix"))
+
+
+@register("pad_document", """
+SELECT c_custkey, lpad(CAST(c_custkey AS VARCHAR), 11, '0') AS doc11,
+       lpad(CAST(c_custkey AS VARCHAR), 14, '0') AS doc14,
+       lpad(CAST(c_custkey * 1000000 AS VARCHAR), 8, '0') AS doc8_cut,
+       length(CAST(c_custkey * 1000000 AS VARCHAR)) <= 8 AS fits8
+FROM customer""")
+def q_pad_document(spark, sf_dir):
+    """Zero padding to a width, longer input cut, with the length check."""
+    c = tb.table(spark, sf_dir, "customer")
+    big = F.col("c_custkey") * 1000000
+    return c.select("c_custkey", fx.pad_document("c_custkey", 11).alias("doc11"),
+                    fx.pad_document("c_custkey", 14).alias("doc14"), fx.pad_document(big, 8).alias("doc8_cut"),
+                    fx.document_fits(big, 8).alias("fits8"))
+
+
+@register("concat_key", f"""
+SELECT o_orderkey, {_doc_sql('o_custkey')} || ':' || lpad(CAST(o_orderkey AS VARCHAR), 12, '0') AS chave FROM orders""")
+def q_concat_key(spark, sf_dir):
+    """Composite text key document:contract."""
+    o = tb.table(spark, sf_dir, "orders")
+    return o.select("o_orderkey", fx.concat_key(F.lpad(F.col("o_custkey").cast("string"), 11, "0"),
+                                                F.lpad(F.col("o_orderkey").cast("string"), 12, "0")).alias("chave"))
+
+
+_RAW_AMOUNT_SQL = f"""CASE WHEN l_linenumber = 1 THEN {_amt_sql('l_extendedprice')}
+            WHEN l_linenumber = 2 THEN '-' || {_amt_sql('l_extendedprice')}
+            ELSE '+' || {_amt_sql('l_extendedprice')} END"""
+
+
+@register("parse_signed_decimal", f"""
+SELECT l_orderkey, l_linenumber, raw,
+       TRY_CAST(replace(regexp_replace(trim(raw), '^\\+', ''), ',', '.') AS DOUBLE) AS amount,
+       TRY_CAST(replace(split_part(raw, '+', 2), ',', '.') AS DOUBLE) AS amount_strict
+FROM (SELECT l_orderkey, l_linenumber, {_RAW_AMOUNT_SQL} AS raw FROM lineitem)""")
+def q_parse_signed_decimal(spark, sf_dir):
+    """Signed decimal-comma amounts to double; strict mode needs a '+' (X6, X8, X9, Q22)."""
+    li = tb.table(spark, sf_dir, "lineitem")
+    a = F.replace(F.col("l_extendedprice").cast("decimal(15,2)").cast("string"), F.lit("."), F.lit(","))
+    raw = F.when(F.col("l_linenumber") == 1, a).when(F.col("l_linenumber") == 2, F.concat(F.lit("-"), a)) \
+        .otherwise(F.concat(F.lit("+"), a))
+    r = li.select("l_orderkey", "l_linenumber", raw.alias("raw"))
+    return r.select("*", fx.parse_signed_decimal("raw").alias("amount"),
+                    fx.parse_signed_decimal("raw", strict_sign=True).alias("amount_strict"))
+
+
+@register("clean_document", f"""
+SELECT c_custkey, formatted, regexp_replace(formatted, '[.,\\-/]', '', 'g') AS document
+FROM (SELECT c_custkey,
+             substring(d, 1, 2) || '.' || substring(d, 3, 3) || '.' || substring(d, 6, 3) || '/' ||
+             substring(d, 9, 4) || '-' || substring(d, 13, 2) AS formatted
+      FROM (SELECT c_custkey, lpad(CAST(c_custkey AS VARCHAR), 14, '0') AS d FROM customer))""")
+def q_clean_document(spark, sf_dir):
+    """Formatted company document to digits."""
+    c = tb.table(spark, sf_dir, "customer")
+    d = F.lpad(F.col("c_custkey").cast("string"), 14, "0")
+    f = F.concat(F.substring(d, 1, 2), F.lit("."), F.substring(d, 3, 3), F.lit("."), F.substring(d, 6, 3),
+                 F.lit("/"), F.substring(d, 9, 4), F.lit("-"), F.substring(d, 13, 2))
+    r = c.select("c_custkey", f.alias("formatted"))
+    return r.select("*", fx.clean_document("formatted").alias("document"))
+
+
+@register("coerce_numeric", """
+SELECT p_partkey, TRY_CAST(regexp_replace(CAST(p_size AS VARCHAR) || ',5,0', '^([^,]*),', '\\1.') AS DOUBLE) AS a,
+       TRY_CAST(regexp_replace(CAST(p_size AS VARCHAR) || ',25', '^([^,]*),', '\\1.') AS DOUBLE) AS b,
+       TRY_CAST(regexp_replace(p_type, '^([^,]*),', '\\1.') AS DOUBLE) AS c
+FROM part""")
+def q_coerce_numeric(spark, sf_dir):
+    """Text to number, first comma as the point, bad text null."""
+    p = tb.table(spark, sf_dir, "part")
+    s = F.col("p_size").cast("string")
+    return p.select("p_partkey", fx.coerce_numeric(F.concat(s, F.lit(",5,0"))).alias("a"),
+                    fx.coerce_numeric(F.concat(s, F.lit(",25"))).alias("b"), fx.coerce_numeric("p_type").alias("c"))
+
+
+@register("yes_no_flag", """
+SELECT c_custkey, CASE WHEN c_acctbal > 5000 THEN TRUE WHEN c_acctbal < 0 THEN FALSE END AS correntista
+FROM customer""")
+def q_yes_no_flag(spark, sf_dir):
+    """S/N text to boolean; other text null (X11)."""
+    c = tb.table(spark, sf_dir, "customer")
+    t = F.when(F.col("c_acctbal") > 5000, "S").when(F.col("c_acctbal") < 0, "N").otherwise("X")
+    return c.select("c_custkey", fx.yes_no_flag(t).alias("correntista"))
+
+
+@register("parse_dates", """
+SELECT o_orderkey,
+       CAST(CAST(try_strptime(strftime(d, '%Y%m%d'), '%Y%m%d') AS DATE) AS VARCHAR) AS d_compact,
+       CAST(CAST(try_strptime(strftime(d, '%d/%m/%Y'), '%d/%m/%Y') AS DATE) AS VARCHAR) AS d_br,
+       CAST(CAST(try_strptime(strftime(d, '%Y-%-m-%-d'), '%Y-%-m-%-d') AS DATE) AS VARCHAR) AS d_short,
+       CAST(CAST(try_strptime(strftime(d, '%Y-%m-%d') || 'T12:00:00', '%Y-%m-%d') AS DATE) AS VARCHAR) AS d_iso_cut,
+       CAST(CAST(try_strptime(strftime(d, '%Y') || '-02-31', '%Y-%m-%d') AS DATE) AS VARCHAR) AS d_bad
+FROM (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS d FROM orders)""")
+def q_parse_dates(spark, sf_dir):
+    """Text to date in the four patterns; 31 February is null."""
+    o = tb.table(spark, sf_dir, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("d"))
+    return o.select(
+        "o_orderkey",
+        fd.parse_date(F.date_format("d", "yyyyMMdd"), "yyyyMMdd").alias("d_compact"),
+        fd.parse_date(F.date_format("d", "dd/MM/yyyy"), "dd/MM/yyyy").alias("d_br"),
+        fd.parse_date(F.date_format("d", "yyyy-M-d"), "yyyy-M-d").alias("d_short"),
+        fd.parse_day_prefix(F.concat(F.date_format("d", "yyyy-MM-dd"), F.lit("T12:00:00"))).alias("d_iso_cut"),
+        fd.parse_date(F.concat(F.date_format("d", "yyyy"), F.lit("-02-31")), "yyyy-MM-dd").alias("d_bad"),
+    )
+
+
+@register("format_dates", """
+SELECT o_orderkey, strftime(CAST(o_orderdate AS DATE), '%d/%m/%Y') AS d_br FROM orders""")
+def q_format_dates(spark, sf_dir):
+    """Date to dd/MM/yyyy text."""
+    o = tb.table(spark, sf_dir, "orders")
+    return o.select("o_orderkey", fd.format_date(F.to_date("o_orderdate"), "dd/MM/yyyy").alias("d_br"))
+
+
+@register("date_parts", f"""
+SELECT o_orderkey, CAST(year(d) AS INTEGER) AS ano_d, CAST(month(d) AS INTEGER) AS mes_d,
+       CAST(day(d) AS INTEGER) AS dia_d, date_diff('day', d, DATE '{tb.AS_OF}') / 365.25 AS delta_d
+FROM (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS d FROM orders)""")
+def q_date_parts(spark, sf_dir):
+    """Year, month, day and elapsed years of a date, in one projection."""
+    from .operators.features import date_features
+    o = tb.table(spark, sf_dir, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("d"))
+    return date_features(o, ["d"], tb.AS_OF).drop("d")
+
+
+@register("age_years", with_roles("order_tags", "person_debts") + f"""
+SELECT DISTINCT _id,
+       CAST(floor((epoch_ms(TIMESTAMP '{tb.AS_OF} 00:00:00')
+                   - epoch_ms(COALESCE(birthDate, TIMESTAMP '{tb.AS_OF} 00:00:00'))) / 31540000000) AS BIGINT)
+           AS faixa_etaria
+FROM person_debts""")
+def q_age_years(spark, sf_dir):
+    """Age in whole 31,540,000,000 ms years; no birth date gives 0."""
+    p = tb.persons(spark, sf_dir)
+    return p.select("_id", fd.age_years(F.to_timestamp(F.lit(tb.AS_OF)), F.col("info.birthDate"))
+                    .alias("faixa_etaria"))

@@ -22,7 +22,7 @@ def string_schema(fields: Sequence[str]) -> T.StructType:
 def stamp_of(name: Column | str, stamp_regex: str) -> Column:
     """The numeric stamp captured by group 1 of ``stamp_regex``; null when absent."""
     n = F.col(name) if isinstance(name, str) else name
-    return F.try_cast(F.nullif(F.regexp_extract(n, stamp_regex, 1), F.lit("")), "bigint")
+    return F.nullif(F.regexp_extract(n, stamp_regex, 1), F.lit("")).try_cast("bigint")
 
 
 def latest_snapshot(df: DataFrame, name: str, stamp_regex: str, pattern: str | None = None) -> DataFrame:
@@ -40,7 +40,7 @@ def latest_snapshot(df: DataFrame, name: str, stamp_regex: str, pattern: str | N
 def file_date(name: Column | str, regex: str, fmt: str) -> Column:
     """Date carried in a file name, group 1 of ``regex`` parsed with ``fmt``."""
     n = F.col(name) if isinstance(name, str) else name
-    return F.try_to_date(F.regexp_extract(n, regex, 1), F.lit(fmt))
+    return F.try_to_date(F.regexp_extract(n, regex, 1), fmt)
 
 
 def with_file_name(df: DataFrame, name: str = "file_name") -> DataFrame:
@@ -92,7 +92,7 @@ def strip_control_records(df: DataFrame, type_column: str = "Tipo_Registro", per
     """
     rtype = F.trim(F.col(type_column))
     header_date = df.filter(rtype == F.lit(header_type)) \
-        .select(F.max(F.try_to_date(F.trim(F.col(person_column)), F.lit(date_format)))).scalar()
+        .select(F.max(F.try_to_date(F.trim(F.col(person_column)), date_format))).scalar()
     detail = df.filter(rtype.isNotNull() & ~rtype.isin(header_type, trailer_type)
                        & (F.col(person_column) == F.lit(person_type)))
     return detail.drop(type_column).withColumn(date_name, header_date)
