@@ -393,7 +393,7 @@ SELECT o_orderkey,
        CAST(CAST(try_strptime(strftime(d, '%Y%m%d'), '%Y%m%d') AS DATE) AS VARCHAR) AS d_compact,
        CAST(CAST(try_strptime(strftime(d, '%d/%m/%Y'), '%d/%m/%Y') AS DATE) AS VARCHAR) AS d_br,
        CAST(CAST(try_strptime(strftime(d, '%Y-%-m-%-d'), '%Y-%-m-%-d') AS DATE) AS VARCHAR) AS d_short,
-       CAST(CAST(try_strptime(strftime(d, '%Y-%m-%d') || 'T12:00:00', '%Y-%m-%d') AS DATE) AS VARCHAR) AS d_iso_cut,
+       CAST(CAST(try_strptime(substring(strftime(d, '%Y-%m-%d') || 'T12:00:00', 1, 10), '%Y-%-m-%-d') AS DATE) AS VARCHAR) AS d_iso_cut,
        CAST(CAST(try_strptime(strftime(d, '%Y') || '-02-31', '%Y-%m-%d') AS DATE) AS VARCHAR) AS d_bad
 FROM (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS d FROM orders)""")
 def q_parse_dates(spark, sf_dir):
