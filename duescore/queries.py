@@ -439,3 +439,549 @@ def q_age_years(spark, sf_dir):
     p = tb.persons(spark, sf_dir)
     return p.select("_id", fd.age_years(F.to_timestamp(F.lit(tb.AS_OF)), F.col("info.birthDate"))
                     .alias("faixa_etaria"))
+
+
+# Section 2.3 - joins -------------------------------------------------------------
+
+from .operators import contact as ct  # noqa: E402
+from .operators import nested as ns  # noqa: E402
+from .operators import outcomes as oc  # noqa: E402
+from .plans.base import debt_base, email_flags, phone_flags  # noqa: E402
+from .spec import (CONTACT_TAGS, DEBT_TAGS, FIRST_TOUCH, RANK_VALUES)  # noqa: E402
+
+C = tb.CREDITOR
+_P = ("p", _CARD_PERSONS_SQL)
+_OPEN_FILE = ("f", "SELECT * FROM card_file WHERE DATA_PAGAMENTO IS NULL")
+_DEAL_ROWS = ("dr", f"""SELECT document AS CPF, createdAt AS DT_ACORDO, dealID, status, TRUE AS VARIAVEL_RESPOSTA_ACORDO
+    FROM deals WHERE creditor = '{C}' AND status <> 'error' AND createdAt >= DATE '2020-01-01'""")
+_INST_ROWS = ("ir", f"""SELECT substring(COALESCE(paidAt, dueAt), 1, 10) AS DT_PAGAMENTO, dealID, QTD_PARCELAS,
+           paidAt IS NOT NULL AS has_paid_date
+    FROM installments WHERE substring(COALESCE(paidAt, dueAt), 1, 10) >= '2020-01-01' AND creditor = '{C}'""")
+
+
+def _open_file(spark, sf_dir):
+    return pcard.open_items(tb.card_file(spark, sf_dir))
+
+
+def _deal_rows(spark, sf_dir):
+    return oc.deal_rows(tb.deals(spark, sf_dir), C, "2020-01-01")
+
+
+def _inst_rows(spark, sf_dir):
+    return oc.installment_rows(tb.installments(spark, sf_dir), C, "2020-01-01")
+
+
+@register("inner_join_key", with_roles("info", "debts") + f"""
+SELECT i._id, i.document, d.contract FROM info i JOIN debts d ON i._id = d._id
+WHERE i.documentType = 'cpf' AND d.creditor = '{C}'""")
+def q_inner_join_key(spark, sf_dir):
+    """Profile x the creditor's debts on the person id (JN1)."""
+    i = en.filter_equals(tb.info(spark, sf_dir), "documentType", "cpf").select("_id", "document")
+    d = en.filter_equals(tb.debts(spark, sf_dir), "creditor", C).select("_id", "contract")
+    return en.inner_join_key(i, d, "_id")
+
+
+@register("left_join_two_keys", with_roles("card_file", "debts", extra=[_OPEN_FILE]) + f"""
+SELECT f.CPF, f.CONTA, CAST(d.INICIO_DIVIDA AS VARCHAR) AS INICIO_DIVIDA, d.originalAmount
+FROM f LEFT JOIN (SELECT * FROM debts WHERE creditor = '{C}') d ON f.CONTA = d.contract AND f.CPF = d.document""")
+def q_left_join_two_keys(spark, sf_dir):
+    """File rows left-joined on (contract, document) with differently named keys (JN2)."""
+    d = en.filter_equals(tb.debts(spark, sf_dir), "creditor", C).select("document", "contract", "INICIO_DIVIDA",
+                                                                        "originalAmount")
+    out = en.left_join_keys(_open_file(spark, sf_dir).select("CPF", "CONTA"), d, ["CONTA", "CPF"],
+                            ["contract", "document"])
+    return out
+
+
+@register("left_join_renamed_key", with_roles("card_file", "interactions", extra=[_OPEN_FILE]) + """
+SELECT f.CPF, f.CONTA, n.n FROM f
+LEFT JOIN (SELECT document, count(*) AS n FROM interactions GROUP BY document) n ON f.CPF = n.document""")
+def q_left_join_renamed_key(spark, sf_dir):
+    """Left join on a key named differently on each side, right key dropped (JN3)."""
+    n = en.count_per_key(tb.interactions(spark, sf_dir), "document", "document", "n")
+    return en.left_join_keys(_open_file(spark, sf_dir).select("CPF", "CONTA"), n, ["CPF"], ["document"])
+
+
+@register("exists_other_creditor", with_roles("debts", extra=[_P]) + f"""
+SELECT p._id, p.CPF, EXISTS (SELECT 1 FROM debts d WHERE d._id = p._id AND d.creditor <> '{C}') AS Divida_Outro_Credor
+FROM p""")
+def q_exists_other_creditor(spark, sf_dir):
+    """Flag: the person owes another creditor (JN4, W3)."""
+    others = en.filter_not_equals(tb.debts(spark, sf_dir), "creditor", C)
+    return en.exists_flag(_card_persons(spark, sf_dir), others, ["_id"], ["_id"], "Divida_Outro_Credor")
+
+
+@register("debts_not_in_file", with_roles("card_file", "debts", extra=[_OPEN_FILE]) + f"""
+SELECT d._id, d.contract FROM debts d
+WHERE d.creditor = '{C}' AND NOT EXISTS (SELECT 1 FROM f WHERE f.CPF = d.document AND f.CONTA = d.contract)""")
+def q_debts_not_in_file(spark, sf_dir):
+    """The creditor's debts absent from the file, as an anti join (JN5)."""
+    d = en.filter_equals(tb.debts(spark, sf_dir), "creditor", C)
+    out = en.anti_join(d, _open_file(spark, sf_dir), ["document", "contract"], ["CPF", "CONTA"])
+    return out.select("_id", "contract")
+
+
+@register("exists_same_creditor", with_roles("card_file", "debts", extra=[_OPEN_FILE, _P, (
+    "r", "SELECT f.CPF, f.CONTA, p._id FROM f JOIN p ON f.CPF = p.CPF")]) + f"""
+SELECT r.CPF, r.CONTA, EXISTS (
+    SELECT 1 FROM debts d WHERE d.creditor = '{C}' AND d._id = r._id
+    AND NOT EXISTS (SELECT 1 FROM r r2 WHERE r2._id = d._id AND r2.CONTA = d.contract)) AS Divida_Mesmo_Credor
+FROM r""")
+def q_exists_same_creditor(spark, sf_dir):
+    """Flag: the person has another debt at the creditor that is not in the file (JN6)."""
+    rows = _open_file(spark, sf_dir).select("CPF", "CONTA").join(_card_persons(spark, sf_dir), "CPF")
+    own = en.filter_equals(tb.debts(spark, sf_dir), "creditor", C)
+    out = en.exists_same_creditor(rows, own, "Divida_Mesmo_Credor", person="_id", row_contract="CONTA")
+    return out.select("CPF", "CONTA", "Divida_Mesmo_Credor")
+
+
+@register("earliest_debt", with_roles("debts") + """
+SELECT d._id, d.creditor, d.contract, CAST(d.INICIO_DIVIDA AS VARCHAR) AS INICIO_DIVIDA FROM debts d
+JOIN (SELECT _id, creditor, min(INICIO_DIVIDA) AS m FROM debts GROUP BY _id, creditor) g
+  ON d._id = g._id AND d.creditor = g.creditor AND d.INICIO_DIVIDA = g.m""")
+def q_earliest_debt(spark, sf_dir):
+    """Earliest debt per (person, creditor), ties kept (JN7, A2)."""
+    d = tb.debts(spark, sf_dir).select("_id", "creditor", "contract", "INICIO_DIVIDA")
+    return en.earliest_per_group(d, ["_id", "creditor"], "INICIO_DIVIDA")
+
+
+@register("count_asof_auth", with_roles("debts", "authentication", extra=[_P]) + f"""
+SELECT p._id, p.CPF, COALESCE(a.n, 0) AS QTD_AUTH
+FROM p LEFT JOIN (
+    SELECT document, count(*) AS n FROM authentication
+    WHERE creditor = '{C}' AND createdAt <= DATE '{tb.FILE_DAY}' GROUP BY document) a ON p.CPF = a.document""")
+def q_count_asof_auth(spark, sf_dir):
+    """Authentications per document up to the file date, 0 when none (JN8, F4)."""
+    auth = tb.authentication(spark, sf_dir).select("tokenData.document", "tokenData.creditor", "createdAt")
+    return en.count_asof(_card_persons(spark, sf_dir), auth, "document", "CPF", "QTD_AUTH", C, "createdAt",
+                         tb.FILE_DAY)
+
+
+@register("deal_outcome", with_roles("debts", "deals", extra=[_P, _DEAL_ROWS]) + """
+SELECT p.CPF, CAST(dr.DT_ACORDO AS VARCHAR) AS DT_ACORDO, dr.dealID, dr.status,
+       COALESCE(dr.VARIAVEL_RESPOSTA_ACORDO, FALSE) AS VARIAVEL_RESPOSTA_ACORDO
+FROM p LEFT JOIN dr ON p.CPF = dr.CPF""")
+def q_deal_outcome(spark, sf_dir):
+    """1:N left join of the creditor's deals (JN9, F7, F8, X21)."""
+    return oc.deal_outcome(_card_persons(spark, sf_dir).select("CPF"), _deal_rows(spark, sf_dir))
+
+
+@register("payment_outcome", with_roles("deals", "installments", extra=[_DEAL_ROWS, _INST_ROWS]) + """
+SELECT dr.CPF, dr.dealID, ir.DT_PAGAMENTO, COALESCE(ir.QTD_PARCELAS, 0) AS QTD_PARCELAS,
+       ir.DT_PAGAMENTO IS NOT NULL AS PAGTO, COALESCE(ir.has_paid_date, FALSE) AS has_payment
+FROM dr LEFT JOIN ir ON dr.dealID = ir.dealID""")
+def q_payment_outcome(spark, sf_dir):
+    """1:N left join of installments by deal; paid date else due date (JN10, X20, Q7)."""
+    out = oc.payment_outcome(_deal_rows(spark, sf_dir).select("CPF", "dealID"), _inst_rows(spark, sf_dir))
+    return out.select("CPF", "dealID", "DT_PAGAMENTO", "QTD_PARCELAS", "PAGTO", "has_payment")
+
+
+@register("inner_join_deals", with_roles("deals", "installments", extra=[_DEAL_ROWS, _INST_ROWS]) + """
+SELECT dr.dealID, dr.CPF, ir.DT_PAGAMENTO, ir.QTD_PARCELAS FROM dr JOIN ir ON dr.dealID = ir.dealID""")
+def q_inner_join_deals(spark, sf_dir):
+    """Inner join of deals to payments on the deal id (JN13)."""
+    out = oc.inner_join_deals(_deal_rows(spark, sf_dir), _inst_rows(spark, sf_dir))
+    return out.select("dealID", "CPF", "DT_PAGAMENTO", "QTD_PARCELAS")
+
+
+# Section 2.8 - arrays and nested ---------------------------------------------------
+
+def _flag_sql(slot: str, tag: str, none_tag: str = "sem_tags") -> str:
+    if tag == none_tag:
+        return f"list_contains({slot}, '{tag}') IS NULL"
+    return f"COALESCE(list_contains({slot}, '{tag}'), FALSE)"
+
+
+def phone_flags_sql(col: str = "tag_telefone", slots: int = 10) -> list[str]:
+    return [f'{_flag_sql(f"{col}[{i + 1}]", t)} AS "Telefone{i + 1}_{t}"' for i in range(slots) for t in CONTACT_TAGS]
+
+
+def email_flags_sql(col: str = "tag_email", slots: int = 3) -> list[str]:
+    out = []
+    for i in range(slots):
+        out += [f'{_flag_sql(f"{col}[{i + 1}]", t)} AS "Email{i + 1}_{t}"' for t in CONTACT_TAGS]
+        out.append(f'domain[{i + 1}] AS "Email{i + 1}_dominio"')
+    return out
+
+
+def state_slots_sql(slots: int = 3) -> list[str]:
+    return [f"upper(NULLIF(state[{i + 1}], '{tb.STATE_PLACEHOLDER}')) AS UF{i + 1}" for i in range(slots)]
+
+
+def debt_flags_sql(col: str = "tag_divida") -> list[str]:
+    return [f'{_flag_sql(col, t)} AS "SkipDivida_{t}"' for t in DEBT_TAGS]
+
+
+@register("phone_tag_flags", with_roles("info") + f"""
+SELECT _id, {", ".join(phone_flags_sql())} FROM info""")
+def q_phone_tag_flags(spark, sf_dir):
+    """10 phone slots x 6 tags in one projection."""
+    return phone_flags(tb.info(spark, sf_dir), tb.CARD)
+
+
+@register("email_tag_flags", with_roles("info") + f"""
+SELECT _id, {", ".join(email_flags_sql())} FROM info""")
+def q_email_tag_flags(spark, sf_dir):
+    """3 e-mail slots x 6 tags plus each slot's domain."""
+    return email_flags(tb.info(spark, sf_dir), tb.CARD)
+
+
+@register("state_slots", with_roles("info") + f"""
+SELECT _id, {", ".join(state_slots_sql())} FROM info""")
+def q_state_slots(spark, sf_dir):
+    """Three state slots, placeholder to null, upper case."""
+    from .functions.arrays import state_slots
+    return tb.info(spark, sf_dir).select("_id", *state_slots("state", 3, tb.STATE_PLACEHOLDER))
+
+
+@register("debt_rank_flags", with_roles("debts") + f"""
+SELECT _id, contract, {", ".join(debt_flags_sql())} FROM debts""")
+def q_debt_rank_flags(spark, sf_dir):
+    """Rank flags a..e plus none, from the debt tag array."""
+    from .functions.arrays import tag_flags
+    d = tb.debts(spark, sf_dir)
+    return d.select("_id", "contract", *tag_flags("tag_divida", DEBT_TAGS, "SkipDivida_"))
+
+
+_CRED_DEBTS = ("nd", f"SELECT * FROM person_debts WHERE creditor = '{C}'")
+_PEOPLE = ("pp", "SELECT DISTINCT _id, document FROM person_debts")
+
+
+@register("filter_nested", with_roles("person_debts", extra=[_PEOPLE, _CRED_DEBTS]) + """
+SELECT pp._id, CAST(count(nd.contract) AS INTEGER) AS n_debts
+FROM pp LEFT JOIN nd ON pp._id = nd._id GROUP BY pp._id""")
+def q_filter_nested(spark, sf_dir):
+    """Keep one creditor's debts inside the nested array."""
+    p = tb.persons(spark, sf_dir)
+    return p.select("_id", F.size(ns.filter_nested(F.col("debts"), C)).alias("n_debts"))
+
+
+def _exploded(spark, sf_dir):
+    proj = ns.person_projection(tb.persons(spark, sf_dir), C, tb.AS_OF)
+    return ns.explode_debts(proj, ("contract", "createdAt", "tags"))
+
+
+@register("explode_debts", with_roles("person_debts", extra=[_PEOPLE, _CRED_DEBTS]) + """
+SELECT pp.document, nd.contract, CAST(nd.createdAt AS VARCHAR) AS createdAt
+FROM pp LEFT JOIN nd ON pp._id = nd._id""")
+def q_explode_debts(spark, sf_dir):
+    """One row per nested debt, persons without debts kept."""
+    return _exploded(spark, sf_dir).drop("tags")
+
+
+_RANK_SQL = "CASE " + " ".join(f"WHEN list_contains(nd.tags, '{r}') THEN '{r}'" for r in RANK_VALUES[:-1]) + \
+    f" ELSE '{RANK_VALUES[-1]}' END"
+
+
+@register("single_rank", with_roles("person_debts", extra=[_PEOPLE, _CRED_DEBTS]) + f"""
+SELECT pp.document, nd.contract, {_RANK_SQL} AS rank
+FROM pp LEFT JOIN nd ON pp._id = nd._id""")
+def q_single_rank(spark, sf_dir):
+    """One rank per debt, smallest listed rank, else sem_skip."""
+    from .functions.arrays import single_rank
+    e = _exploded(spark, sf_dir)
+    return e.select("document", "contract", single_rank("tags", RANK_VALUES[:-1], RANK_VALUES[-1]).alias("rank"))
+
+
+@register("one_hot_fixed", with_roles("person_debts", extra=[_PEOPLE, _CRED_DEBTS]) + f"""
+SELECT document, contract, {", ".join(f"rank = '{r}' AS \"{r}\"" for r in RANK_VALUES)}
+FROM (SELECT pp.document, nd.contract, {_RANK_SQL} AS rank FROM pp LEFT JOIN nd ON pp._id = nd._id)""")
+def q_one_hot_fixed(spark, sf_dir):
+    """One boolean column per listed rank."""
+    return ns.rank_columns(_exploded(spark, sf_dir), "tags", RANK_VALUES).drop("createdAt")
+
+
+@register("zip_explode", """
+SELECT 'id' || CAST(o.o_custkey AS VARCHAR) AS _id, CAST(o.o_orderkey AS VARCHAR) AS dealID,
+       o.o_orderpriority AS creditor, CAST(l.l_partkey AS VARCHAR) AS contract
+FROM orders o JOIN lineitem l ON o.o_orderkey = l.l_orderkey""")
+def q_zip_explode(spark, sf_dir):
+    """Parallel arrays zipped and exploded, then an inner array exploded."""
+    li = tb.table(spark, sf_dir, "lineitem")
+    parts = li.groupBy("l_orderkey").agg(F.collect_list(F.col("l_partkey").cast("string")).alias("debts"))
+    o = tb.table(spark, sf_dir, "orders").join(parts, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    per = o.groupBy("o_custkey").agg(F.array_sort(F.collect_list(F.struct(
+        F.col("o_orderkey").cast("string").alias("dealID"), F.col("o_orderpriority").alias("creditor"),
+        "debts"))).alias("d"))
+    nested = per.select(F.concat(F.lit("id"), F.col("o_custkey").cast("string")).alias("_id"),
+                        F.col("d.dealID").alias("dealID"), F.col("d.creditor").alias("creditor"),
+                        F.col("d.debts").alias("debts"))
+    return ns.zip_explode(nested, ["_id"], ["dealID", "creditor", "debts"], "debts", "contract")
+
+
+@register("merge_composite_key", with_roles("company_fields", "person_debts", extra=[_CRED_DEBTS]) + f"""
+SELECT '{tb.COMPANY_CREDITOR_ID}' AS ID_Credor, cf.document AS ID_DEVEDOR, cf.Contrato_Altair,
+       '{tb.AS_OF}' AS data_referencia, CAST(CAST(nd.createdAt AS DATE) AS VARCHAR) AS DATA_ENTRADA_DIVIDA,
+       CASE cf.Indicador_Correntista_TXT WHEN 'S' THEN TRUE WHEN 'N' THEN FALSE END AS Indicador_Correntista,
+       cf.Cep1, cf.Cep2, cf.Cep3, cf.Forma_Pgto_Padrao, cf.Taxa_Padrao, cf.Desconto_Padrao,
+       cf.Qtde_Min_Parcelas, cf.Qtde_Max_Parcelas, cf.Qtde_Parcelas_Padrao, cf.Valor_Min_Parcela,
+       cf.Codigo_Politica, cf.Saldo_Devedor_Contrato, cf.Dias_Atraso, cf.Descricao_Produto,
+       {", ".join(f"CASE WHEN nd.document IS NULL THEN NULL ELSE ({_RANK_SQL}) = '{r}' END AS \"{r}\"" for r in RANK_VALUES)}
+FROM company_fields cf LEFT JOIN nd ON cf.document = nd.document AND cf.Contrato_Altair = nd.contract
+WHERE cf.Tipo_Pessoa = 'J'""")
+def q_merge_composite_key(spark, sf_dir):
+    """Company file rows merged with their nested debts on (document, contract) (JN12, J1 stage)."""
+    from .plans.company import company_base_rows
+    parsed = sfiles.parse_lines(tb.company_lines(spark, sf_dir), COMPANY_FILE_FIELDS, sep=";")
+    return company_base_rows(parsed, tb.persons(spark, sf_dir), tb.COMPANY, tb.COMPANY_FILE_NAME,
+                             tb.COMPANY_CREDITOR_ID, tb.AS_OF)
+
+
+# Section 2.4 / 2.5 - aggregations, first and latest ----------------------------------
+
+_DAYS_SQL = ("days", """SELECT document, CAST(try_strptime(substring(sentAt, 1, 10), '%Y-%-m-%-d') AS DATE) AS DT_INTERACAO,
+           type FROM interactions WHERE status <> 'not_received'""")
+_DC_SQL = ("dc", """SELECT document, DT_INTERACAO,
+           CAST(sum(CASE WHEN type = 'email' THEN 1 END) AS BIGINT) AS email,
+           CAST(sum(CASE WHEN type = 'sms' THEN 1 END) AS BIGINT) AS sms
+    FROM days GROUP BY document, DT_INTERACAO""")
+_LD_SQL = ("ld", """SELECT CPF, DT_ACORDO, dealID, status FROM (
+        SELECT *, row_number() OVER (PARTITION BY CPF ORDER BY DT_ACORDO DESC NULLS LAST, dealID DESC) AS rn FROM dr)
+    WHERE rn = 1""")
+_LAB_SQL = ("lab", """SELECT dc.document, dc.DT_INTERACAO, COALESCE(dc.email, 0) AS email, COALESCE(dc.sms, 0) AS sms,
+           CASE WHEN dc.DT_INTERACAO <= ld.DT_ACORDO
+                  OR (dc.DT_INTERACAO > ld.DT_ACORDO AND ld.status IN ('expired', 'broken'))
+                  OR ld.DT_ACORDO IS NULL THEN 'ATIVADO' ELSE 'NAO_ATIVADO' END AS ATIVACAO
+    FROM dc LEFT JOIN ld ON dc.document = ld.CPF""")
+_PIVOT_ACT_SQL = ("act", """SELECT document,
+           CAST(COALESCE(sum(CASE WHEN ATIVACAO = 'ATIVADO' THEN email END), 0) AS BIGINT) AS ACION_EMAIL_QTD_ATIVADO,
+           CAST(COALESCE(sum(CASE WHEN ATIVACAO = 'ATIVADO' THEN sms END), 0) AS BIGINT) AS ACION_SMS_QTD_ATIVADO,
+           CAST(COALESCE(sum(CASE WHEN ATIVACAO = 'NAO_ATIVADO' THEN email END), 0) AS BIGINT) AS ACION_EMAIL_QTD_NAO_ATIVADO,
+           CAST(COALESCE(sum(CASE WHEN ATIVACAO = 'NAO_ATIVADO' THEN sms END), 0) AS BIGINT) AS ACION_SMS_QTD_NAO_ATIVADO
+    FROM lab GROUP BY document""")
+_CONTACT_CTES = [_DEAL_ROWS, _DAYS_SQL, _DC_SQL, _LD_SQL, _LAB_SQL]
+
+
+def _days(spark, sf_dir):
+    return ct.interaction_days_raw(tb.interactions(spark, sf_dir))
+
+
+def _labelled(spark, sf_dir):
+    dc = ct.pivot_channel_day(_days(spark, sf_dir), ["email", "sms"])
+    return ct.activation_label(dc, _deal_rows(spark, sf_dir), ["email", "sms"])
+
+
+@register("pivot_channel_day", with_roles("interactions", extra=[_DAYS_SQL, _DC_SQL]) + """
+SELECT document, CAST(DT_INTERACAO AS VARCHAR) AS DT_INTERACAO, email, sms FROM dc""")
+def q_pivot_channel_day(spark, sf_dir):
+    """Interactions per person and day, one column per channel."""
+    return ct.pivot_channel_day(_days(spark, sf_dir), ["email", "sms"])
+
+
+@register("activation_label", with_roles("interactions", "deals", extra=_CONTACT_CTES) + """
+SELECT document, CAST(DT_INTERACAO AS VARCHAR) AS DT_INTERACAO, email, sms, ATIVACAO FROM lab""")
+def q_activation_label(spark, sf_dir):
+    """Interaction day labelled by the person's latest deal (A7, JN11, W2, F11, F12)."""
+    return _labelled(spark, sf_dir)
+
+
+@register("pivot_activation", with_roles("interactions", "deals", extra=_CONTACT_CTES + [_PIVOT_ACT_SQL]) + """
+SELECT * FROM act""")
+def q_pivot_activation(spark, sf_dir):
+    """Per person: e-mail and sms sums by activation label, null as 0."""
+    return ct.pivot_activation(_labelled(spark, sf_dir), tb.CARD.channels)
+
+
+@register("first_touch", with_roles("interactions", extra=[_DAYS_SQL]) + """
+SELECT document, CAST(min(DT_INTERACAO) AS VARCHAR) AS PRIMEIRO_ACIONAMENTO FROM days GROUP BY document""")
+def q_first_touch(spark, sf_dir):
+    """First contact date per person."""
+    return ct.first_touch(_days(spark, sf_dir), "DT_INTERACAO", FIRST_TOUCH)
+
+
+_CHANNEL_SQL = ", ".join(
+    f"count_if(NOT (campaign_name LIKE '%{tb.CAMPAIGN_MARKER}%') AND type = '{v}') AS ACION_{t}_QTD_ATIVADO, "
+    f"count_if((campaign_name LIKE '%{tb.CAMPAIGN_MARKER}%') AND type = '{v}') AS ACION_{t}_QTD_NAO_ATIVADO"
+    for v, t in tb.COMPANY.channels)
+
+
+@register("channel_counts", with_roles("campaigns") + f"""
+SELECT document, {_CHANNEL_SQL} FROM campaigns GROUP BY document""")
+def q_channel_counts(spark, sf_dir):
+    """Conditional counts per person: 3 channels x activated or not, one pass."""
+    return ct.channel_counts(tb.campaigns(spark, sf_dir), tb.COMPANY.channels, tb.CAMPAIGN_MARKER)
+
+
+@register("distinct_rows", with_roles("debts") + f"""
+SELECT DISTINCT _id, creditor, {", ".join(debt_flags_sql())} FROM debts""")
+def q_distinct_rows(spark, sf_dir):
+    """Distinct rows."""
+    from .functions.arrays import tag_flags
+    d = tb.debts(spark, sf_dir).select("_id", "creditor", *tag_flags("tag_divida", DEBT_TAGS, "SkipDivida_"))
+    return en.distinct_rows(d)
+
+
+@register("dedupe_by_key", with_roles("debts") + f"""
+SELECT _id, creditor, contract FROM (
+    SELECT *, row_number() OVER (PARTITION BY _id ORDER BY INICIO_DIVIDA ASC NULLS FIRST, contract ASC) AS rn
+    FROM debts WHERE creditor <> '{C}') WHERE rn = 1""")
+def q_dedupe_by_key(spark, sf_dir):
+    """One other-creditor debt per person, the earliest, by a total order."""
+    d = en.filter_not_equals(tb.debts(spark, sf_dir), "creditor", C)
+    return en.first_per_key(d, ["_id"], [F.col("INICIO_DIVIDA"), F.col("contract")], ["creditor", "contract"])
+
+
+@register("row_count", with_roles("card_file") + """
+SELECT count(*) AS n_rows FROM card_file WHERE DATA_PAGAMENTO IS NULL""")
+def q_row_count(spark, sf_dir):
+    """Row count as a one-row result (A10)."""
+    return en.row_count(_open_file(spark, sf_dir))
+
+
+# Section 2.9 / 2.10 - features and scoring -----------------------------------------
+
+from .operators import features as fe  # noqa: E402
+from .operators import score as sc  # noqa: E402
+from .spec import CARD_BAND_EDGES, COMPANY_BAND_EDGES  # noqa: E402
+
+
+def _band_sql(p: str, edges) -> str:
+    return "CASE WHEN " + p + " IS NULL THEN NULL " + " ".join(
+        f"WHEN {p} <= {float(e)!r} THEN {i}" for i, e in enumerate(edges)) + f" ELSE {len(edges)} END"
+
+
+_PRE_SQL = ("pre", f"""SELECT {_doc_sql('o_custkey')} AS Chave,
+           1.0 / (1.0 + exp(-(o_totalprice / 100000.0 - 2.0))) AS P_1
+    FROM orders""")
+_PRE_GH_SQL = ("pre_gh", f"SELECT Chave, P_1, {_band_sql('P_1', CARD_BAND_EDGES)} AS GH FROM pre")
+
+
+def _pre(spark, sf_dir):
+    o = tb.table(spark, sf_dir, "orders")
+    p = F.lit(1.0) / (F.lit(1.0) + F.exp(-(F.col("o_totalprice") / F.lit(100000.0) - F.lit(2.0))))
+    return sc.with_band(o.select(F.lpad(F.col("o_custkey").cast("string"), 11, "0").alias("Chave"), p.alias("P_1")),
+                        CARD_BAND_EDGES)
+
+
+@register("score_rollup", with_roles(extra=[_PRE_SQL, _PRE_GH_SQL]) + f"""
+SELECT lpad(Chave, 11, '0') AS Document, max(GH) AS Score, round(max(P_1), 9) AS ScoreValue,
+       round(avg(P_1), 9) AS ScoreAvg, '{tb.CARD.provider}' AS Provider, '{tb.FILE_DAY}' AS Date,
+       '{tb.AS_OF}' AS CreatedAt
+FROM pre_gh GROUP BY lpad(Chave, 11, '0')""")
+def q_score_rollup(spark, sf_dir):
+    """One published row per person: max band, max and mean probability, provenance (A3, M4, Q1)."""
+    r = sc.score_rollup(_pre(spark, sf_dir), 11, tb.CARD.provider, tb.FILE_DAY, tb.AS_OF)
+    return r.withColumns({"ScoreValue": F.round("ScoreValue", 9), "ScoreAvg": F.round("ScoreAvg", 9)})
+
+
+@register("sorted_output", with_roles(extra=[_PRE_SQL, _PRE_GH_SQL]) + """
+SELECT lpad(Chave, 11, '0') AS Document, max(GH) AS Score FROM pre_gh GROUP BY 1 ORDER BY Score DESC, Document""")
+def q_sorted_output(spark, sf_dir):
+    """Final output sorted on two keys, descending then ascending (O1); sorting only at the end."""
+    r = _pre(spark, sf_dir).groupBy(F.lpad("Chave", 11, "0").alias("Document")).agg(F.max("GH").alias("Score"))
+    return r.orderBy(F.col("Score").desc(), F.col("Document").asc())
+
+
+@register("band_histogram", with_roles(extra=[_PRE_SQL, _PRE_GH_SQL]) + """
+SELECT GH, count(*) AS n FROM pre_gh GROUP BY GH""")
+def q_band_histogram(spark, sf_dir):
+    """Rows per band."""
+    return sc.band_histogram(_pre(spark, sf_dir))
+
+
+@register("score_bands_6", f"""
+SELECT o_orderkey, {_band_sql('o_totalprice / 600000.0', CARD_BAND_EDGES)} AS GH FROM orders""")
+def q_score_bands_6(spark, sf_dir):
+    """Probability to band 0..5 with the card edges (M3, Q30)."""
+    o = tb.table(spark, sf_dir, "orders")
+    return o.select("o_orderkey", sc.score_band(F.col("o_totalprice") / F.lit(600000.0), CARD_BAND_EDGES).alias("GH"))
+
+
+@register("score_bands_9", f"""
+SELECT o_orderkey, {_band_sql('o_totalprice / 4000000.0', COMPANY_BAND_EDGES)} AS GH FROM orders""")
+def q_score_bands_9(spark, sf_dir):
+    """Probability to band 0..8 with the company edges (M3, Q30)."""
+    o = tb.table(spark, sf_dir, "orders")
+    return o.select("o_orderkey", sc.score_band(F.col("o_totalprice") / F.lit(4000000.0), COMPANY_BAND_EDGES)
+                    .alias("GH"))
+
+
+_SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
+
+
+@register("one_hot_values", f"""
+SELECT c_custkey, {", ".join(f"CAST(COALESCE(seg = '{v}', FALSE) AS INTEGER) AS seg_{v}" for v in _SEGMENTS if v != "HOUSEHOLD")}
+FROM (SELECT c_custkey, NULLIF(c_mktsegment, 'HOUSEHOLD') AS seg FROM customer)""")
+def q_one_hot_values(spark, sf_dir):
+    """``<column>_<value>`` 0/1 columns from a value list; null is all 0."""
+    c = tb.table(spark, sf_dir, "customer").select("c_custkey", F.nullif("c_mktsegment", F.lit("HOUSEHOLD")).alias("seg"))
+    return c.select("c_custkey", *fe.one_hot_values("seg", [v for v in _SEGMENTS if v != "HOUSEHOLD"]))
+
+
+_PRIOS = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
+
+
+@register("one_hot_drop_first", f"""
+SELECT o_orderkey, {", ".join(f'CAST(COALESCE(o_orderpriority = {v!r}, FALSE) AS INTEGER) AS "o_orderpriority_{v}"' for v in _PRIOS[1:])}
+FROM orders""")
+def q_one_hot_drop_first(spark, sf_dir):
+    """One-hot without the first level."""
+    o = tb.table(spark, sf_dir, "orders")
+    return o.select("o_orderkey", *fe.one_hot_drop_first("o_orderpriority", _PRIOS))
+
+
+_FV_GROUPS = fe.FeatureGroups(numeric=("price_txt", "c_acctbal"), categorical=("c_mktsegment",), dates=("d",),
+                              binary_prefixes=("is_",), one_hot_prefixes=("Email",))
+_FV_NAMES = ("price_txt", "c_acctbal", "c_mktsegment_BUILDING", "c_mktsegment_HOUSEHOLD", "ano_d", "mes_d", "dia_d",
+             "delta_d", "is_open", "Email1_dominio_building.com", "not_in_data")
+_FV_COEF = {"price_txt": 0.000004, "c_acctbal": -0.0001, "c_mktsegment_BUILDING": 0.3,
+            "c_mktsegment_HOUSEHOLD": -0.2, "ano_d": 0.01, "mes_d": -0.02, "dia_d": 0.005, "delta_d": -0.05,
+            "is_open": 0.4, "Email1_dominio_building.com": 0.1, "not_in_data": 1.0}
+
+
+def _fv_frame(spark, sf_dir):
+    o = tb.table(spark, sf_dir, "orders")
+    c = tb.table(spark, sf_dir, "customer")
+    j = o.join(c, F.col("o_custkey") == F.col("c_custkey"))
+    return j.select(
+        "o_orderkey",
+        F.replace(F.col("o_totalprice").cast("decimal(15,2)").cast("string"), F.lit("."), F.lit(",")).alias("price_txt"),
+        "c_acctbal", "c_mktsegment", F.to_date("o_orderdate").alias("d"),
+        (F.col("o_orderstatus") == "O").alias("is_open"),
+        F.concat(F.lower("c_mktsegment"), F.lit(".com")).alias("Email1_dominio"))
+
+
+_FV_SQL = ("fv", f"""SELECT DISTINCT CAST(o.o_orderkey AS VARCHAR) AS o_orderkey,
+           TRY_CAST(CAST(CAST(o.o_totalprice AS DECIMAL(15,2)) AS VARCHAR) AS DOUBLE) AS price_txt,
+           c.c_acctbal AS c_acctbal,
+           CAST(c.c_mktsegment = 'BUILDING' AS DOUBLE) AS c_mktsegment_BUILDING,
+           CAST(c.c_mktsegment = 'HOUSEHOLD' AS DOUBLE) AS c_mktsegment_HOUSEHOLD,
+           CAST(year(o.o_orderdate) AS DOUBLE) AS ano_d, CAST(month(o.o_orderdate) AS DOUBLE) AS mes_d,
+           CAST(day(o.o_orderdate) AS DOUBLE) AS dia_d,
+           date_diff('day', CAST(o.o_orderdate AS DATE), DATE '{tb.AS_OF}') / 365.25 AS delta_d,
+           CAST(o.o_orderstatus = 'O' AS DOUBLE) AS is_open,
+           CAST(lower(c.c_mktsegment) || '.com' = 'building.com' AS DOUBLE) AS "Email1_dominio_building.com",
+           CAST(NULL AS DOUBLE) AS not_in_data
+    FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey""")
+
+
+@register("feature_vector", with_roles(extra=[_FV_SQL]) + "SELECT * FROM fv")
+def q_feature_vector(spark, sf_dir):
+    """Model features in the model's order: numeric, one-hot, date parts, flags, absent as null."""
+    return fe.feature_vector(_fv_frame(spark, sf_dir), "o_orderkey", _FV_NAMES, _FV_GROUPS, tb.AS_OF)
+
+
+_LINEAR_SQL = " + ".join(f'{float(w)!r} * COALESCE("{n}", 0.0)' for n, w in _FV_COEF.items())
+
+
+@register("score_linear", with_roles(extra=[_FV_SQL]) + f"""
+SELECT o_orderkey AS Chave, round(1.0 / (1.0 + exp(-(-1.0 + {_LINEAR_SQL}))), 9) AS P_1 FROM fv""")
+def q_score_linear(spark, sf_dir):
+    """Probability from a published coefficient list (M2)."""
+    feats = fe.feature_vector(_fv_frame(spark, sf_dir), "o_orderkey", _FV_NAMES, _FV_GROUPS, tb.AS_OF)
+    s = sc.score_linear(feats, "o_orderkey", _FV_COEF, -1.0)
+    return s.withColumn("P_1", F.round("P_1", 9))
+
+
+@register("score_gbt")
+def q_score_gbt(spark, sf_dir):
+    """Boosted-tree probability for every document, model trained on the labelled ones (M1, rows-only)."""
+    docs = tb.table(spark, sf_dir, "documents")
+    langs = ("en", "fr", "de", "es")
+    feats = docs.select("doc_id", F.col("n_chars").cast("double").alias("n_chars"),
+                        *[(F.col("lang") == v).cast("double").alias(f"lang_{v}") for v in langs],
+                        F.length("text").cast("double").alias("text_len"))
+    names = ["n_chars", *[f"lang_{v}" for v in langs], "text_len"]
+    labels = tb.table(spark, sf_dir, "labels").select("doc_id", F.col("quality").cast("double").alias("label"))
+    model = sc.fit_gbt(feats.join(labels, "doc_id"), names, "label", max_iter=10, max_depth=3)
+    return sc.score_model(model, feats, "doc_id").withColumn("Chave", F.col("Chave").cast("string"))
