@@ -985,3 +985,44 @@ def q_score_gbt(spark, sf_dir):
     labels = tb.table(spark, sf_dir, "labels").select("doc_id", F.col("quality").cast("double").alias("label"))
     model = sc.fit_gbt(feats.join(labels, "doc_id"), names, "label", max_iter=10, max_depth=3)
     return sc.score_model(model, feats, "doc_id").withColumn("Chave", F.col("Chave").cast("string"))
+
+
+# Section 2.11 - composite pipelines ----------------------------------------------
+
+from . import composite_sql as csql  # noqa: E402
+from .plans.card import build_card_base  # noqa: E402
+from .plans.company import build_company_base  # noqa: E402
+from .plans.publish import propensity_scores  # noqa: E402
+from .spec import CARD_CATEGORICAL, CARD_DATES, CARD_NUMERIC  # noqa: E402
+
+CARD_GROUPS = fe.FeatureGroups(numeric=CARD_NUMERIC, categorical=CARD_CATEGORICAL, dates=CARD_DATES)
+
+
+def card_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return build_card_base(tb.card_file(spark, sf_dir), tb.card_sources(spark, sf_dir), tb.CARD, tb.FILE_DAY)
+
+
+def company_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parsed = sfiles.parse_lines(tb.company_lines(spark, sf_dir), COMPANY_FILE_FIELDS, sep=";")
+    return build_company_base(parsed, tb.company_sources(spark, sf_dir), tb.COMPANY, tb.COMPANY_FILE_NAME,
+                              tb.COMPANY_CREDITOR_ID, tb.FILE_DAY, tb.AS_OF)
+
+
+@register("feature_base_card", csql.feature_base_card_sql())
+def q_feature_base_card(spark, sf_dir):
+    """Card feature base: file x profile x debts x activity x outcomes x contacts."""
+    return card_base(spark, sf_dir)
+
+
+@register("feature_base_company", csql.feature_base_company_sql())
+def q_feature_base_company(spark, sf_dir):
+    """Company feature base: parsed bank file x nested debts x profile x activity x campaigns."""
+    return company_base(spark, sf_dir)
+
+
+@register("propensity_scores", csql.propensity_scores_sql())
+def q_propensity_scores(spark, sf_dir):
+    """Published scores: base -> features -> probability -> band -> one row per person (C3, flagship)."""
+    out = propensity_scores(card_base(spark, sf_dir), tb.CARD, CARD_GROUPS, tb.CARD_COEFFICIENTS, tb.CARD_INTERCEPT,
+                            tb.AS_OF, tb.FILE_DAY, tb.AS_OF)
+    return out.withColumns({"ScoreValue": F.round("ScoreValue", 9), "ScoreAvg": F.round("ScoreAvg", 9)})

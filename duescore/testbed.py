@@ -262,3 +262,31 @@ def company_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     trailer = ";".join(["9", "TRAILER"] + [""] * (n - 2))
     control = spark.createDataFrame([(header,), (trailer,)], "value string")
     return control.unionByName(details)
+
+
+def card_sources(spark: SparkSession, sf_dir: str):
+    from .plans.base import Sources
+    return Sources(info=info(spark, sf_dir), debts=debts(spark, sf_dir), simulation=simulation(spark, sf_dir),
+                   authentication=authentication(spark, sf_dir), deals=deals(spark, sf_dir),
+                   installments=installments(spark, sf_dir), interactions=interactions(spark, sf_dir))
+
+
+def company_sources(spark: SparkSession, sf_dir: str):
+    from .plans.base import Sources
+    return Sources(info=info(spark, sf_dir), debts=debts(spark, sf_dir), simulation=simulation(spark, sf_dir),
+                   authentication=authentication(spark, sf_dir), campaigns=campaigns(spark, sf_dir),
+                   persons=persons(spark, sf_dir))
+
+
+# A published coefficient list for the card model (our own), so that scoring
+# has an exact oracle.  Names follow the feature-base columns.
+CARD_COEFFICIENTS = {
+    "DIAS_ATRASO": -0.0004, "VALOR_ULTIMA_FATURA": 0.000002, "QTD_AUTH": 0.3, "QTD_SIMU": 0.2,
+    "ACION_EMAIL_QTD_ATIVADO": 0.05, "ACION_SMS_QTD_ATIVADO": 0.04, "ACION_EMAIL_QTD_NAO_ATIVADO": -0.03,
+    "ACION_SMS_QTD_NAO_ATIVADO": -0.02, "UF1_NATION_0": 0.1, "UF2_NATION_6": -0.1, "ano_DATA_DIVIDA": 0.02,
+    "mes_DATA_DIVIDA": 0.01, "delta_DATA_DIVIDA": -0.1, "delta_PRIMEIRO_ACIONAMENTO": -0.5,
+    "Telefone1_skip:hot": 0.5, "Telefone1_sem_tags": -0.4, "Telefone2_skip:alto": 0.2, "SkipDivida_rank:a": 0.3,
+    "SkipDivida_sem_tags": -0.2, "Divida_Outro_Credor": -0.3, "Divida_Mesmo_Credor": 0.1,
+    "Email1_skip:medio": 0.1, "Email1_dominio_household.com.br": 0.2, "feature_not_in_base": 0.7,
+}
+CARD_INTERCEPT = -1.5
