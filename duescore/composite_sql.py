@@ -53,7 +53,7 @@ def enrichment_ctes(doc_type: str, file_cte: str, doc: str, contract: str) -> li
                  f"FROM inf JOIN own ON inf._id = own._id"),
         ("arq0", f"SELECT DISTINCT ff.*, base.* EXCLUDE (document, contract) FROM {file_cte} ff "
                  f"LEFT JOIN base ON ff.{contract} = base.contract AND ff.{doc} = base.document"),
-        ("oth", f"SELECT DISTINCT _id FROM dearly WHERE creditor <> '{C}'"),
+        ("oth", f"SELECT DISTINCT _id FROM debts WHERE creditor <> '{C}' AND INICIO_DIVIDA IS NOT NULL"),
         ("pres", f"SELECT DISTINCT _id, {contract} AS c FROM arq0"),
         ("miss", "SELECT DISTINCT o._id FROM own o WHERE NOT EXISTS "
                  "(SELECT 1 FROM pres WHERE pres._id = o._id AND pres.c = o.contract)"),
@@ -79,7 +79,7 @@ CARD_FILE_CTE = ("cf", r"""SELECT CPF, CONTA, NOME_CLIENTE, TRY_CAST(DIAS_ATRASO
 def card_base_ctes() -> list[tuple[str, str]]:
     from .queries import _DAYS_SQL, _DC_SQL, _DEAL_ROWS, _INST_ROWS, _LAB_SQL, _LD_SQL, _PIVOT_ACT_SQL
     return [CARD_FILE_CTE, *enrichment_ctes("cpf", "cf", "CPF", "CONTA"), _DEAL_ROWS, _INST_ROWS,
-            ("perdeal", """SELECT dealID, max(DT_PAGAMENTO) AS DT_PAGAMENTO, max(QTD_PARCELAS) AS QTD_PARCELAS,
+            ("perdeal", """SELECT dealID, max(CAST(try_strptime(DT_PAGAMENTO, '%Y-%m-%d') AS DATE)) AS DT_PAGAMENTO, max(QTD_PARCELAS) AS QTD_PARCELAS,
                    bool_or(has_paid_date) AS has_payment FROM ir GROUP BY dealID"""),
             ("outc", """SELECT dr.CPF, max(dr.DT_ACORDO) AS DT_ACORDO, max(pd.DT_PAGAMENTO) AS DT_PAGAMENTO,
                    max(pd.QTD_PARCELAS) AS QTD_PARCELAS, bool_or(pd.DT_PAGAMENTO IS NOT NULL) AS PAGTO,
@@ -96,7 +96,7 @@ def card_base_ctes() -> list[tuple[str, str]]:
 
 
 CARD_ROLES = ("card_file", "info", "debts", "simulation", "authentication", "deals", "installments", "interactions")
-CARD_DATE_COLS = ("DATA_DIVIDA", "DATA_ULTIMA_FATURA", "INICIO_DIVIDA", "DT_ACORDO", "PRIMEIRO_ACIONAMENTO")
+CARD_DATE_COLS = ("DATA_DIVIDA", "DATA_ULTIMA_FATURA", "INICIO_DIVIDA", "DT_ACORDO", "DT_PAGAMENTO", "PRIMEIRO_ACIONAMENTO")
 
 
 def feature_base_card_sql() -> str:
@@ -118,7 +118,7 @@ def company_base_ctes() -> list[tuple[str, str]]:
     FROM company_fields cf LEFT JOIN nd ON cf.document = nd.document AND cf.Contrato_Altair = nd.contract
     WHERE cf.Tipo_Pessoa = 'J'""")
     return [_CRED_DEBTS, rows, *enrichment_ctes("cnpj", "crow", "ID_DEVEDOR", "Contrato_Altair"),
-            ("cft", "SELECT document, CAST(try_strptime(min(interactionDate), '%Y-%m-%d') AS DATE) AS PRIMEIRO_ACIONAMENTO "
+            ("cft", "SELECT document, min(CAST(try_strptime(interactionDate, '%Y-%m-%d') AS DATE)) AS PRIMEIRO_ACIONAMENTO "
                     "FROM campaigns GROUP BY document"),
             ("ccnt", f"SELECT document, {_CHANNEL_SQL} FROM campaigns GROUP BY document"),
             ("kbase", """SELECT a.* EXCLUDE (_id), cft.PRIMEIRO_ACIONAMENTO, ccnt.* EXCLUDE (document)

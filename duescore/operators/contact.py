@@ -41,16 +41,16 @@ def latest_deal(deals: DataFrame, document: str = "CPF") -> DataFrame:
                          [DEAL_DATE, "dealID", "status"], latest=True)
 
 
-def activation_label(day_counts: DataFrame, deals: DataFrame, channels: Sequence[str],
+def activation_label(day_counts: DataFrame, latest: DataFrame, channels: Sequence[str],
                      reopening_status: Sequence[str] = ("expired", "broken"),
                      day: str = "DT_INTERACAO", deal_document: str = "CPF") -> DataFrame:
-    """Label each interaction day (A7, JN11, F11, F12).
+    """Label each interaction day by the person's latest deal (A7, JN11, F11, F12).
 
-    ATIVADO when the day is on or before the person's latest deal, after it
-    with that deal expired or broken, or when there is no deal; otherwise
-    NAO_ATIVADO.  Missing channel counts become 0.
+    ``latest`` holds one row per person (``latest_deal``).  ATIVACAO when the
+    day is on or before that deal, after it with the deal expired or broken, or
+    when there is no deal; otherwise NAO_ATIVADO.  Missing channel counts are 0.
     """
-    last = latest_deal(deals, deal_document).withColumnRenamed(deal_document, "__doc")
+    last = latest.select(F.col(deal_document).alias("__doc"), DEAL_DATE, "status")
     j = day_counts.join(last, day_counts["document"] == last["__doc"], "left").drop("__doc")
     d, a = F.col(day), F.col(DEAL_DATE)
     cond = (d <= a) | ((d > a) & F.col("status").isin(list(reopening_status))) | a.isNull()

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from ..functions.arrays import slot_tag_flags, slot_values, state_slots, tag_flag, tag_flags
 from ..operators.enrich import (count_asof, earliest_per_group, exists_flag, exists_same_creditor,
-                                filter_equals, filter_not_equals, inner_join_key, left_join_keys)
+                                filter_equals, inner_join_key, left_join_keys)
 from ..spec import (AUTH_COUNT, DEBT_FLAG_PREFIX, DOMAIN_SUFFIX, EMAIL_PREFIX, OTHER_CREDITOR_FLAG,
                     PHONE_PREFIX, SAME_CREDITOR_FLAG, SIMULATION_COUNT, STATE_PREFIX, PortfolioSpec)
 
@@ -78,19 +78,39 @@ def debt_base(debts: DataFrame, spec: PortfolioSpec) -> DataFrame:
     return earliest_per_group(flagged.distinct(), ["_id", "creditor"], "INICIO_DIVIDA")
 
 
+def creditor_debts(debts: DataFrame, spec: PortfolioSpec) -> DataFrame:
+    """The creditor's debts: flags, distinct, earliest per (person, creditor) with ties (N4, A8, JN7).
+
+    The creditor filter is applied before the distinct and the group minimum
+    (the creditor is a grouping key, so the result is the same as filtering
+    afterwards), so only the creditor's share of the debt snapshot is shuffled.
+    """
+    return debt_base(filter_equals(debts, "creditor", spec.creditor), spec)
+
+
+def other_creditor_persons(debts: DataFrame, spec: PortfolioSpec) -> DataFrame:
+    """Persons with a debt at another creditor (JN4, W3).
+
+    Only existence is used; a group keeps an earliest row exactly when it has a
+    dated debt, so a narrow scan of (person, creditor, date) is enough.
+    """
+    return debts.filter((F.col("creditor") != F.lit(spec.creditor)) & F.col("INICIO_DIVIDA").isNotNull()) \
+        .select("_id")
+
+
 def enrich_base(rows: DataFrame, src: Sources, spec: PortfolioSpec, file_day: str) -> DataFrame:
     """Portfolio rows + profile + debt flags + other-debt flags + activity counts."""
     doc, contract = spec.file_document, spec.file_contract
     info = profile_flags(filter_equals(src.info, "documentType", spec.document_type), spec)
-    debts = debt_base(src.debts, spec)
-    own = filter_equals(debts, "creditor", spec.creditor)
+    own = creditor_debts(src.debts, spec)
     base = inner_join_key(info, own.drop("document"), "_id")
     arq = left_join_keys(rows, base, [contract, doc], ["contract", "document"]).drop("creditor")
     # Enriching joins below add one value per key, so one distinct here equals
     # the distinct of the finished rows (the grain stays person x contract, Q3).
     arq = arq.distinct()
-    others = filter_not_equals(debts, "creditor", spec.creditor)
-    arq = exists_flag(arq, others, ["_id"], ["_id"], OTHER_CREDITOR_FLAG)
+    # Joins keyed by the person id, then joins keyed by the document: Spark
+    # keeps the left side's hash partitioning between joins on the same key.
+    arq = exists_flag(arq, other_creditor_persons(src.debts, spec), ["_id"], ["_id"], OTHER_CREDITOR_FLAG)
     arq = exists_same_creditor(arq, own, SAME_CREDITOR_FLAG, person="_id", row_contract=contract)
     arq = count_asof(arq, src.simulation.select("personID", "creditor", "createdAt"), "personID", "_id",
                      SIMULATION_COUNT, spec.creditor, "createdAt", file_day, spec.inclusive_day)

@@ -9,7 +9,7 @@ from ..functions.dates import parse_day_prefix
 from ..functions.text import coerce_numeric
 from ..operators.contact import (activation_label, first_touch, interaction_days_raw, pivot_activation,
                                  pivot_channel_day)
-from ..operators.outcomes import deal_rows, installment_rows, outcome_per_person
+from ..operators.outcomes import deal_rows, deal_summary, installment_rows, latest_from_summary, outcome_columns
 from ..spec import (CARD_FILE_RENAMES, CARD_PAYMENT_COLUMNS, DEAL_FLAG, FIRST_TOUCH, INSTALLMENT_COUNT,
                     PAYMENT_FLAG, PortfolioSpec)
 from .base import Sources, enrich_base
@@ -32,11 +32,11 @@ def clean_card_file(raw: DataFrame) -> DataFrame:
     })
 
 
-def contact_features(interactions: DataFrame, deals: DataFrame, spec: PortfolioSpec) -> tuple[DataFrame, DataFrame]:
+def contact_features(interactions: DataFrame, latest: DataFrame, spec: PortfolioSpec) -> tuple[DataFrame, DataFrame]:
     """First contact and activation counts per document."""
     channels = [c for c, _ in spec.channels]
     days = interaction_days_raw(interactions, spec.excluded_interaction_status)
-    labelled = activation_label(pivot_channel_day(days, channels), deals, channels, spec.reopening_status)
+    labelled = activation_label(pivot_channel_day(days, channels), latest, channels, spec.reopening_status)
     first = first_touch(labelled, "DT_INTERACAO", FIRST_TOUCH)
     acts = pivot_activation(labelled, spec.channels, fill_zero=True)
     return first, acts
@@ -50,15 +50,15 @@ def build_card_base(raw_file: DataFrame, src: Sources, spec: PortfolioSpec, file
 
     deals = deal_rows(src.deals, spec.creditor, spec.outcome_since, spec.excluded_deal_status, doc)
     inst = installment_rows(src.installments, spec.creditor, spec.outcome_since)
-    outcome = outcome_per_person(deals, inst, doc)
-    arq = arq.join(outcome, on=doc, how="left").withColumns({
+    summary = deal_summary(deals, inst, doc)
+    arq = arq.join(outcome_columns(summary, doc), on=doc, how="left").withColumns({
         DEAL_FLAG: F.coalesce(F.col(DEAL_FLAG), F.lit(False)),
         PAYMENT_FLAG: F.coalesce(F.col(PAYMENT_FLAG), F.lit(False)),
         "has_payment": F.coalesce(F.col("has_payment"), F.lit(False)),
         INSTALLMENT_COUNT: F.coalesce(F.col(INSTALLMENT_COUNT), F.lit(0)),
     })
 
-    first, acts = contact_features(src.interactions, deals, spec)
+    first, acts = contact_features(src.interactions, latest_from_summary(summary, doc), spec)
     arq = arq.join(first.withColumnRenamed("document", doc), on=doc, how="left")
     arq = arq.join(acts.withColumnRenamed("document", doc), on=doc, how="left")
     if spec.fill_zero:

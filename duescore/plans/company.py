@@ -67,8 +67,8 @@ def build_company_base(parsed: DataFrame, src: Sources, spec: PortfolioSpec, fil
     rows = company_base_rows(parsed, src.persons, spec, file_name, creditor_id, as_of, strict_sign)
     arq = enrich_base(rows, src, spec, file_day)
     camp = src.campaigns
-    first = first_date_per_key(camp.select("document", "interactionDate"), "document", "interactionDate",
-                               FIRST_TOUCH).withColumn(FIRST_TOUCH, parse_date(FIRST_TOUCH, "yyyy-MM-dd"))
+    days = camp.select("document", parse_date("interactionDate", "yyyy-MM-dd").alias("interactionDate"))
+    first = first_date_per_key(days, "document", "interactionDate", FIRST_TOUCH)
     counts = channel_counts(camp, spec.channels, spec.campaign_marker)
     arq = arq.join(first.withColumnRenamed("document", doc), on=doc, how="left")
     arq = arq.join(counts.withColumnRenamed("document", doc), on=doc, how="left")

@@ -758,7 +758,7 @@ def _days(spark, sf_dir):
 
 def _labelled(spark, sf_dir):
     dc = ct.pivot_channel_day(_days(spark, sf_dir), ["email", "sms"])
-    return ct.activation_label(dc, _deal_rows(spark, sf_dir), ["email", "sms"])
+    return ct.activation_label(dc, ct.latest_deal(_deal_rows(spark, sf_dir)), ["email", "sms"])
 
 
 @register("pivot_channel_day", with_roles("interactions", extra=[_DAYS_SQL, _DC_SQL]) + """
