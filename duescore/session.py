@@ -25,17 +25,30 @@ DEFAULT_CONF = {
     "spark.sql.files.maxPartitionBytes": "128m",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.parquet.filterPushdown": "true",
+    # Feature rows are wide (over 100 columns); keep them in whole-stage codegen
+    # (Spark still falls back per method when generated code grows too large).
+    "spark.sql.codegen.maxFields": "2000",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
 
+# Only for a single-machine session (tests, bench): tiny shuffles would otherwise
+# be coalesced into one task.  On a cluster partitions are large and the
+# cluster's advisory size governs coalescing.
+LOCAL_CONF = {
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
+}
+
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app_name: str = "duescore") -> SparkSession:
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for k, v in DEFAULT_CONF.items():
+    conf = dict(DEFAULT_CONF)
+    if master and master.startswith("local"):
+        conf.update(LOCAL_CONF)
+    for k, v in conf.items():
         builder = builder.config(k, v)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
