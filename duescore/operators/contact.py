@@ -1,7 +1,8 @@
 """Contact activity: interaction days, activation labels, channel counts.
 
 Pivots always get their value list, so column names never depend on the data
-(Q11) and Spark does not run an extra job to discover the values.
+(Q11) and no job runs to discover the values; they are written as conditional
+aggregates, one aggregation each.
 """
 
 from __future__ import annotations
@@ -26,9 +27,14 @@ def interaction_days_raw(interactions: DataFrame, excluded_status: str = "not_re
 
 
 def pivot_channel_day(days: DataFrame, channels: Sequence[str], day: str = "DT_INTERACAO") -> DataFrame:
-    """Interactions per (document, day), one column per channel; null when none (A5)."""
-    return days.withColumn("__one", F.lit(1)).groupBy("document", day) \
-        .pivot("type", list(channels)).agg(F.sum("__one"))
+    """Interactions per (document, day), one column per channel; null when none (A5).
+
+    A pivot with a known value list written as conditional sums: the same
+    columns as ``pivot(type, values).sum``, but one aggregation and one
+    shuffle (Spark's pivot aggregates by (keys, type) first, then pivots).
+    """
+    return days.groupBy("document", day).agg(
+        *[F.sum(F.when(F.col("type") == F.lit(v), F.lit(1))).alias(v) for v in channels])
 
 
 def latest_deal(deals: DataFrame, document: str = "CPF") -> DataFrame:
@@ -60,17 +66,18 @@ def activation_label(day_counts: DataFrame, latest: DataFrame, channels: Sequenc
 
 
 def pivot_activation(labelled: DataFrame, channels: Sequence[tuple[str, str]], fill_zero: bool = True) -> DataFrame:
-    """Per person: channel sums by activation label, ``ACION_{CH}_QTD_{LABEL}``."""
-    aggs = [F.sum(src).alias(tgt) for src, tgt in channels]
-    p = labelled.groupBy("document").pivot("ATIVACAO", [ACTIVATED, NOT_ACTIVATED]).agg(*aggs)
-    cols = [F.col("document")]
+    """Per person: channel sums by activation label, ``ACION_{CH}_QTD_{LABEL}``.
+
+    The two-measure pivot over the labels, as conditional sums in one aggregation.
+    """
+    aggs = []
     for label in (ACTIVATED, NOT_ACTIVATED):
-        for _, tgt in channels:
-            c = F.col(f"`{label}_{tgt}`")
+        for src, tgt in channels:
+            c = F.sum(F.when(F.col("ATIVACAO") == F.lit(label), F.col(src)))
             if fill_zero:
                 c = F.coalesce(c, F.lit(0).cast("bigint"))
-            cols.append(c.alias(f"ACION_{tgt}_QTD_{label}"))
-    return p.select(*cols)
+            aggs.append(c.alias(f"ACION_{tgt}_QTD_{label}"))
+    return labelled.groupBy("document").agg(*aggs)
 
 
 def channel_counts(campaigns: DataFrame, channels: Sequence[tuple[str, str]], marker: str,

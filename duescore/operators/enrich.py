@@ -4,9 +4,12 @@ Grain rule: every helper that enriches ``left`` keeps its row count, because
 the right side is first reduced to one row per join key (``distinct`` or
 ``groupBy``).  Both reductions are hash aggregates with a map-side partial
 step, so a hot key (one person with a third of all events) is collapsed before
-the shuffle, and the join that follows has a unique right side; AQE's skew
-join can split a hot key on the left.  Nothing here is broadcast by hint: AQE
-broadcasts a side only after measuring it below the configured threshold.
+the shuffle, and the join that follows has a unique right side.  A single join
+directly over two shuffles lets AQE split a hot key on the left; where the
+right side is itself an aggregate (no plain shuffle to split),
+``skew_split_left_join`` routes the hot keys through a bounded broadcast.
+Nothing else is broadcast by hint: AQE broadcasts a side only after measuring
+it below the configured threshold.
 """
 
 from __future__ import annotations
@@ -177,3 +180,40 @@ def first_date_per_key(df: DataFrame, key: str, date_column: str, name: str) ->
 def row_count(df: DataFrame, name: str = "n_rows") -> DataFrame:
     """Row count as a one-row DataFrame (A10), without a driver action."""
     return df.agg(F.count(F.lit(1)).alias(name))
+
+
+def hot_keys(counts: DataFrame, keys: Sequence[str], count_column: str, min_rows: int, top_k: int) -> DataFrame:
+    """Keys holding at least ``min_rows`` rows, at most ``top_k`` of them (largest first).
+
+    The ``limit`` is the size bound that makes the result safe to broadcast;
+    keys beyond it simply take the shuffle route, so no row is dropped.
+    """
+    return counts.filter(F.col(count_column) >= F.lit(min_rows)) \
+        .orderBy(F.col(count_column).desc()).limit(top_k).select(*keys)
+
+
+def skew_split_left_join(left: DataFrame, facts: DataFrame, left_keys: Sequence[str], fact_keys: Sequence[str],
+                         hot: DataFrame) -> DataFrame:
+    """Left join to a table with one row per key, splitting hot keys off (null-safe key equality).
+
+    ``hot`` (a ``hot_keys`` result, bounded by its ``limit``) and the facts of
+    those keys (one row per key, so bounded the same way) are broadcast: the
+    rows of a key holding a third of the data are joined where they lie, with
+    no shuffle.  All other rows take an ordinary shuffle join, where no key is
+    hot any more.  The result equals ``left.join(facts, keys, "left")``.
+    """
+    def cond(a: DataFrame, b: DataFrame, ak, bk):
+        c = None
+        for x, y in zip(ak, bk, strict=True):
+            t = a[x].eqNullSafe(b[y])
+            c = t if c is None else c & t
+        return c
+
+    hk = F.broadcast(hot.select(*[F.col(k).alias(f"__h{i}") for i, k in enumerate(fact_keys)]))
+    hk_names = [f"__h{i}" for i in range(len(fact_keys))]
+    hot_left = left.join(hk, cond(left, hk, left_keys, hk_names), "left_semi")
+    cold_left = left.join(hk, cond(left, hk, left_keys, hk_names), "left_anti")
+    hot_facts = F.broadcast(facts.join(hk, cond(facts, hk, fact_keys, hk_names), "left_semi"))
+    hot_part = hot_left.join(hot_facts, cond(hot_left, hot_facts, left_keys, fact_keys), "left")
+    cold_part = cold_left.join(facts, cond(cold_left, facts, left_keys, fact_keys), "left")
+    return hot_part.unionByName(cold_part).drop(*fact_keys)

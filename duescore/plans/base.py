@@ -1,32 +1,36 @@
-"""Shared part of both feature bases: profile, debts, flags, activity counts.
+"""Shared part of both feature bases: profile, debts, person facts.
 
 The whole base is one lazy plan.  Its shuffles, for a portfolio of F rows,
 profiles P, debts D and events E:
 
-* debts: one partial-aggregated ``distinct`` and one ``min`` per (person,
-  creditor) joined back by ``left_semi`` (D rows, skew-split by AQE);
+* the creditor's debts only: flags, ``distinct``, ``min`` per (person,
+  creditor) joined back by ``left_semi`` (the creditor filter reaches the scan);
 * profile x creditor debts: inner join on the person id;
-* file x base: left join on (contract, document) - no hot key by construction;
-* one ``distinct`` of the enriched rows, then flags and counts joined on the
-  person id and on the document; every right side is one row per key, built
-  by aggregates that combine map-side, so a person with a third of all events
-  is one row before the shuffle.
-
-Joins on the same key follow each other, so Spark keeps the left side's hash
-partitioning between them instead of re-shuffling it.
+* file x base: left join on (contract, document); the ``distinct`` that
+  follows reuses that join's partitioning;
+* facts keyed by the person id (simulations, other creditors, missing
+  contracts) are ONE aggregation over a union of tagged rows; facts keyed by
+  the document are built the same way by each variant;
+* both fact tables are attached to the narrow (person id, document) pairs of
+  the file, and the wide rows join that pair table ONCE; pairs holding a large
+  share of the rows are split off and joined by broadcast (bounded top-k).
+
+So the wide portfolio rows are shuffled once after the file x base join, and
+a key holding a third of the rows never lands in one task.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.arrays import slot_tag_flags, slot_values, state_slots, tag_flag, tag_flags
-from ..operators.enrich import (count_asof, earliest_per_group, exists_flag, exists_same_creditor,
-                                filter_equals, inner_join_key, left_join_keys)
-from ..spec import (AUTH_COUNT, DEBT_FLAG_PREFIX, DOMAIN_SUFFIX, EMAIL_PREFIX, OTHER_CREDITOR_FLAG,
+from ..operators.enrich import (asof_cutoff, earliest_per_group, filter_equals, hot_keys, inner_join_key,
+                                left_join_keys, skew_split_left_join)
+from ..spec import (DEBT_FLAG_PREFIX, DOMAIN_SUFFIX, EMAIL_PREFIX, OTHER_CREDITOR_FLAG,
                     PHONE_PREFIX, SAME_CREDITOR_FLAG, SIMULATION_COUNT, STATE_PREFIX, PortfolioSpec)
 
 
@@ -98,23 +102,82 @@ def other_creditor_persons(debts: DataFrame, spec: PortfolioSpec) -> DataFrame:
         .select("_id")
 
 
-def enrich_base(rows: DataFrame, src: Sources, spec: PortfolioSpec, file_day: str) -> DataFrame:
-    """Portfolio rows + profile + debt flags + other-debt flags + activity counts."""
+def combine_facts(parts: list[DataFrame], aggs: list[Column]) -> DataFrame:
+    """Facts from several sources, one row per key, in ONE aggregation.
+
+    Each part carries ``__key``, a ``__kind`` tag and its own columns; the
+    union is reduced by a single partial-aggregated ``groupBy`` (a key holding
+    a third of all events is collapsed map-side), and the result joins the
+    portfolio once.  A single join directly over two shuffles is what AQE's
+    skew-join split can handle; a chain of joins on one key is not.
+    """
+    u = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    return u.groupBy("__key").agg(*aggs)
+
+
+def tagged(df: DataFrame, key: str, kind: str, *cols: Column | str) -> DataFrame:
+    return df.select(F.col(key).alias("__key"), F.lit(kind).alias("__kind"), *cols)
+
+
+def is_kind(kind: str) -> Column:
+    return F.col("__kind") == F.lit(kind)
+
+
+def attach_facts(arq: DataFrame, facts: DataFrame, key: str, defaults: dict) -> DataFrame:
+    """Left join of one fact table on ``key``; ``defaults`` fill persons without facts."""
+    out = arq.join(facts, arq[key] == facts["__key"], "left").drop("__key")
+    return out.withColumns({c: F.coalesce(F.col(c), F.lit(v)) for c, v in defaults.items()})
+
+
+def auth_rows(src: Sources, spec: PortfolioSpec, file_day: str) -> DataFrame:
+    """Authentications of the creditor up to the file date, tagged by document."""
+    auth = src.authentication.select("tokenData.document", "tokenData.creditor", "createdAt")
+    auth = asof_cutoff(filter_equals(auth, "creditor", spec.creditor), "createdAt", file_day, spec.inclusive_day)
+    return tagged(auth, "document", "auth")
+
+
+def person_facts(joined: DataFrame, own: DataFrame, src: Sources, spec: PortfolioSpec, file_day: str) -> DataFrame:
+    """Facts keyed by the person id: simulations up to the file date, debts at other creditors,
+    creditor debts missing from the file (JN4-JN6, JN8), as one aggregation."""
+    contract = spec.file_contract
+    present = joined.select(F.col("_id").alias("__p"), F.col(contract).alias("__c")).filter(F.col("__p").isNotNull())
+    missing = own.select("_id", "contract").join(
+        present, (F.col("_id") == F.col("__p")) & (F.col("contract") == F.col("__c")), "left_anti")
+    sims = asof_cutoff(filter_equals(src.simulation, "creditor", spec.creditor), "createdAt", file_day,
+                       spec.inclusive_day)
+    return combine_facts(
+        [tagged(sims, "personID", "sim"),
+         tagged(other_creditor_persons(src.debts, spec), "_id", "other"),
+         tagged(missing, "_id", "missing")],
+        [F.count_if(is_kind("sim")).alias(SIMULATION_COUNT),
+         F.bool_or(is_kind("other")).alias(OTHER_CREDITOR_FLAG),
+         F.bool_or(is_kind("missing")).alias(SAME_CREDITOR_FLAG)])
+
+
+def build_base(rows: DataFrame, src: Sources, spec: PortfolioSpec, file_day: str, document_facts: DataFrame,
+               defaults: dict) -> DataFrame:
+    """Portfolio rows + profile + debt flags + all facts, with ONE join of the wide rows.
+
+    Facts keyed by the person id and facts keyed by the document are first
+    attached to the narrow table of (person id, document) pairs of the file
+    (one row per pair, with its row count); the wide rows then join that table
+    once, on both keys.  Pairs holding at least ``spec.hot_rows`` rows (at most
+    ``spec.hot_top_k`` of them) are joined by broadcast where they lie.
+    """
     doc, contract = spec.file_document, spec.file_contract
     info = profile_flags(filter_equals(src.info, "documentType", spec.document_type), spec)
     own = creditor_debts(src.debts, spec)
     base = inner_join_key(info, own.drop("document"), "_id")
-    arq = left_join_keys(rows, base, [contract, doc], ["contract", "document"]).drop("creditor")
-    # Enriching joins below add one value per key, so one distinct here equals
+    joined = left_join_keys(rows, base, [contract, doc], ["contract", "document"]).drop("creditor")
+    # Facts are one value per (person, document), so one distinct here equals
     # the distinct of the finished rows (the grain stays person x contract, Q3).
-    arq = arq.distinct()
-    # Joins keyed by the person id, then joins keyed by the document: Spark
-    # keeps the left side's hash partitioning between joins on the same key.
-    arq = exists_flag(arq, other_creditor_persons(src.debts, spec), ["_id"], ["_id"], OTHER_CREDITOR_FLAG)
-    arq = exists_same_creditor(arq, own, SAME_CREDITOR_FLAG, person="_id", row_contract=contract)
-    arq = count_asof(arq, src.simulation.select("personID", "creditor", "createdAt"), "personID", "_id",
-                     SIMULATION_COUNT, spec.creditor, "createdAt", file_day, spec.inclusive_day)
-    auth = src.authentication.select("tokenData.document", "tokenData.creditor", "createdAt")
-    arq = count_asof(arq, auth, "document", doc, AUTH_COUNT, spec.creditor, "createdAt", file_day,
-                     spec.inclusive_day)
-    return arq
+    arq = joined.distinct()
+
+    idf = person_facts(joined, own, src, spec, file_day)
+    pairs = joined.groupBy(F.col("_id").alias("__id"), F.col(doc).alias("__doc")).agg(F.count(F.lit(1)).alias("__n"))
+    pair_facts = pairs.join(idf, F.col("__id") == idf["__key"], "left").drop("__key") \
+        .join(document_facts, F.col("__doc") == document_facts["__key"], "left").drop("__key")
+    hot = hot_keys(pairs, ["__id", "__doc"], "__n", spec.hot_rows, spec.hot_top_k)
+    out = skew_split_left_join(arq, pair_facts.drop("__n"), ["_id", doc], ["__id", "__doc"], hot)
+    defaults = {SIMULATION_COUNT: 0, OTHER_CREDITOR_FLAG: False, SAME_CREDITOR_FLAG: False, **defaults}
+    return out.withColumns({c: F.coalesce(F.col(c), F.lit(v)) for c, v in defaults.items()}).drop("_id")

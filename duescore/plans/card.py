@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import parse_day_prefix
@@ -10,9 +10,9 @@ from ..functions.text import coerce_numeric
 from ..operators.contact import (activation_label, first_touch, interaction_days_raw, pivot_activation,
                                  pivot_channel_day)
 from ..operators.outcomes import deal_rows, deal_summary, installment_rows, latest_from_summary, outcome_columns
-from ..spec import (CARD_FILE_RENAMES, CARD_PAYMENT_COLUMNS, DEAL_FLAG, FIRST_TOUCH, INSTALLMENT_COUNT,
-                    PAYMENT_FLAG, PortfolioSpec)
-from .base import Sources, enrich_base
+from ..spec import (ACTIVATED, AUTH_COUNT, CARD_FILE_RENAMES, CARD_PAYMENT_COLUMNS, DEAL_DATE, DEAL_FLAG, FIRST_TOUCH,
+                    INSTALLMENT_COUNT, NOT_ACTIVATED, PAYMENT_DATE, PAYMENT_FLAG, PortfolioSpec)
+from .base import Sources, auth_rows, build_base, combine_facts, is_kind, tagged
 
 
 def open_items(raw: DataFrame, paid_column: str = "DATA PAGAMENTO",
@@ -33,7 +33,7 @@ def clean_card_file(raw: DataFrame) -> DataFrame:
 
 
 def contact_features(interactions: DataFrame, latest: DataFrame, spec: PortfolioSpec) -> tuple[DataFrame, DataFrame]:
-    """First contact and activation counts per document."""
+    """First contact and activation counts per document, as separate tables."""
     channels = [c for c, _ in spec.channels]
     days = interaction_days_raw(interactions, spec.excluded_interaction_status)
     labelled = activation_label(pivot_channel_day(days, channels), latest, channels, spec.reopening_status)
@@ -42,25 +42,39 @@ def contact_features(interactions: DataFrame, latest: DataFrame, spec: Portfolio
     return first, acts
 
 
+def activation_aggs(spec: PortfolioSpec, kind: str = "day") -> list[Column]:
+    """Per person: first contact and channel sums by label; null for persons without contacts (Q12)."""
+    any_day = F.count_if(is_kind(kind)) > 0
+    aggs = [F.min("DT_INTERACAO").alias(FIRST_TOUCH)]
+    for label in (ACTIVATED, NOT_ACTIVATED):
+        for src, tgt in spec.channels:
+            total = F.coalesce(F.sum(F.when(F.col("ATIVACAO") == F.lit(label), F.col(src))), F.lit(0).cast("bigint"))
+            aggs.append(F.when(any_day, total).alias(f"ACION_{tgt}_QTD_{label}"))
+    return aggs
+
+
 def build_card_base(raw_file: DataFrame, src: Sources, spec: PortfolioSpec, file_day: str) -> DataFrame:
     """The card feature base."""
     doc = spec.file_document
-    rows = clean_card_file(raw_file)
-    arq = enrich_base(rows, src, spec, file_day)
-
+    channels = [c for c, _ in spec.channels]
     deals = deal_rows(src.deals, spec.creditor, spec.outcome_since, spec.excluded_deal_status, doc)
     inst = installment_rows(src.installments, spec.creditor, spec.outcome_since)
     summary = deal_summary(deals, inst, doc)
-    arq = arq.join(outcome_columns(summary, doc), on=doc, how="left").withColumns({
-        DEAL_FLAG: F.coalesce(F.col(DEAL_FLAG), F.lit(False)),
-        PAYMENT_FLAG: F.coalesce(F.col(PAYMENT_FLAG), F.lit(False)),
-        "has_payment": F.coalesce(F.col("has_payment"), F.lit(False)),
-        INSTALLMENT_COUNT: F.coalesce(F.col(INSTALLMENT_COUNT), F.lit(0)),
-    })
-
-    first, acts = contact_features(src.interactions, latest_from_summary(summary, doc), spec)
-    arq = arq.join(first.withColumnRenamed("document", doc), on=doc, how="left")
-    arq = arq.join(acts.withColumnRenamed("document", doc), on=doc, how="left")
+    days = interaction_days_raw(src.interactions, spec.excluded_interaction_status)
+    labelled = activation_label(pivot_channel_day(days, channels), latest_from_summary(summary, doc), channels,
+                                spec.reopening_status)
+    outcome = outcome_columns(summary, doc)
+    facts = combine_facts(
+        [auth_rows(src, spec, file_day),
+         tagged(outcome, doc, "deal", DEAL_DATE, PAYMENT_DATE, INSTALLMENT_COUNT, PAYMENT_FLAG, "has_payment"),
+         tagged(labelled, "document", "day", "DT_INTERACAO", "ATIVACAO", *channels)],
+        [F.count_if(is_kind("auth")).alias(AUTH_COUNT),
+         F.max(DEAL_DATE).alias(DEAL_DATE), F.bool_or(is_kind("deal")).alias(DEAL_FLAG),
+         F.max(PAYMENT_DATE).alias(PAYMENT_DATE), F.max(INSTALLMENT_COUNT).alias(INSTALLMENT_COUNT),
+         F.bool_or(PAYMENT_FLAG).alias(PAYMENT_FLAG), F.bool_or("has_payment").alias("has_payment"),
+         *activation_aggs(spec)])
+    arq = build_base(clean_card_file(raw_file), src, spec, file_day, facts,
+                     {AUTH_COUNT: 0, DEAL_FLAG: False, PAYMENT_FLAG: False, "has_payment": False, INSTALLMENT_COUNT: 0})
     if spec.fill_zero:
-        arq = arq.fillna(0, subset=[c for c in acts.columns if c != "document"])
-    return arq.drop("_id")
+        arq = arq.fillna(0, subset=[f"ACION_{t}_QTD_{lb}" for lb in (ACTIVATED, NOT_ACTIVATED) for _, t in spec.channels])
+    return arq

@@ -7,12 +7,11 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import parse_date
 from ..functions.text import clean_document, parse_signed_decimal, yes_no_flag
-from ..operators.contact import channel_counts
-from ..operators.enrich import first_date_per_key
 from ..operators.nested import explode_debts, merge_composite_key, person_projection, rank_columns, semi_join_lookup
 from ..sources.files import strip_control_records
-from ..spec import COMPANY_AMOUNT_FIELDS, COMPANY_BASE_COLUMNS, COMPANY_INT_FIELDS, FIRST_TOUCH, PortfolioSpec
-from .base import Sources, enrich_base
+from ..spec import (ACTIVATED, AUTH_COUNT, COMPANY_AMOUNT_FIELDS, COMPANY_BASE_COLUMNS, COMPANY_INT_FIELDS,
+                    FIRST_TOUCH, NOT_ACTIVATED, PortfolioSpec)
+from .base import Sources, auth_rows, build_base, combine_facts, is_kind, tagged
 
 
 def clean_company_file(parsed: DataFrame, file_name: str, strict_sign: bool = False) -> DataFrame:
@@ -63,15 +62,20 @@ def company_base_rows(parsed: DataFrame, persons: DataFrame, spec: PortfolioSpec
 def build_company_base(parsed: DataFrame, src: Sources, spec: PortfolioSpec, file_name: str,
                        creditor_id: str, file_day: str, as_of: str, strict_sign: bool = False) -> DataFrame:
     """The company feature base."""
-    doc = spec.file_document
     rows = company_base_rows(parsed, src.persons, spec, file_name, creditor_id, as_of, strict_sign)
-    arq = enrich_base(rows, src, spec, file_day)
-    camp = src.campaigns
-    days = camp.select("document", parse_date("interactionDate", "yyyy-MM-dd").alias("interactionDate"))
-    first = first_date_per_key(days, "document", "interactionDate", FIRST_TOUCH)
-    counts = channel_counts(camp, spec.channels, spec.campaign_marker)
-    arq = arq.join(first.withColumnRenamed("document", doc), on=doc, how="left")
-    arq = arq.join(counts.withColumnRenamed("document", doc), on=doc, how="left")
+    camp = src.campaigns.select(
+        "document", parse_date("interactionDate", "yyyy-MM-dd").alias("DT_CAMPANHA"), "type",
+        F.concat_ws(";", F.col("campaign_name")).like(f"%{spec.campaign_marker}%").alias("marked"))
+    any_camp = F.count_if(is_kind("camp")) > 0
+    counts = []
+    for value, tgt in spec.channels:
+        is_type = is_kind("camp") & (F.col("type") == F.lit(value))
+        counts.append(F.when(any_camp, F.count_if(is_type & ~F.col("marked"))).alias(f"ACION_{tgt}_QTD_{ACTIVATED}"))
+        counts.append(F.when(any_camp, F.count_if(is_type & F.col("marked"))).alias(f"ACION_{tgt}_QTD_{NOT_ACTIVATED}"))
+    facts = combine_facts(
+        [auth_rows(src, spec, file_day), tagged(camp, "document", "camp", "DT_CAMPANHA", "type", "marked")],
+        [F.count_if(is_kind("auth")).alias(AUTH_COUNT), F.min("DT_CAMPANHA").alias(FIRST_TOUCH), *counts])
+    arq = build_base(rows, src, spec, file_day, facts, {AUTH_COUNT: 0})
     if spec.fill_zero:
-        arq = arq.fillna(0, subset=[c for c in counts.columns if c != "document"])
-    return arq.drop("_id")
+        arq = arq.fillna(0, subset=[f"ACION_{t}_QTD_{lb}" for lb in (ACTIVATED, NOT_ACTIVATED) for _, t in spec.channels])
+    return arq
