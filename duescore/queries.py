@@ -238,6 +238,48 @@ def q_rename_columns(spark, sf_dir):
                      "VALOR_ULTIMA_FATURA")
 
 
+def _company_raw_sql() -> str:
+    """Every text field of the company detail records, as the file holds them."""
+    d = _doc_sql("o.o_custkey")
+    amt = _amt_sql
+    vals = {
+        "Tipo_Pessoa": "CASE WHEN c.c_mktsegment IN ('BUILDING', 'MACHINERY') THEN 'J' ELSE 'F' END",
+        "Numero_Documento": (f"substring({d}, 1, 3) || '.' || substring({d}, 4, 3) || '.' || substring({d}, 7, 3)"
+                             f" || '-' || substring({d}, 10, 2)"),
+        "Nome": "c.c_name",
+        "Cep1": "lpad(CAST(c.c_nationkey AS VARCHAR), 8, '0')",
+        "Cep2": "'01000000'",
+        "Indicador_Correntista": "CASE WHEN c.c_acctbal > 5000 THEN 'S' ELSE 'N' END",
+        "Contrato_Altair": f"'ALT' || {d} || lpad(CAST(o.o_orderkey AS VARCHAR), 12, '0')",
+        "Numero_Operacao_LY": "CAST(o.o_orderkey AS VARCHAR)",
+        "Descricao_Produto": "lower(c.c_mktsegment)",
+        "Saldo_Devedor_Contrato": f"'+' || {amt('o.o_totalprice')}",
+        "Dias_Atraso": f"CAST(date_diff('day', CAST(o.o_orderdate AS DATE), DATE '{tb.ARREARS_BASE}') AS VARCHAR)",
+        "Codigo_Politica": "o.o_orderstatus",
+        "Taxa_Padrao": f"(CASE WHEN c.c_acctbal < 0 THEN '-' ELSE '+' END) || {amt('abs(c.c_acctbal)')}",
+        "Desconto_Padrao": "'+10,00'", "Percentual_Min_Entrada": "'+5,00'", "Valor_Min_Parcela": "'+150,00'",
+        "Qtde_Min_Parcelas": "'1'", "Qtde_Max_Parcelas": "'24'",
+        "Qtde_Parcelas_Padrao": "CAST(c.c_nationkey AS VARCHAR)", "Forma_Pgto_Padrao": "c.c_mktsegment",
+        "Total": "'1'",
+    }
+    cols = [f"'{tb.FILE_DAY}' AS Data_Arquivo", f"'{tb.COMPANY_FILE_NAME}' AS Nome_Arquivo"]
+    cols += [f"{vals.get(f, 'CAST(NULL AS VARCHAR)')} AS {f}" for f in COMPANY_FILE_FIELDS[1:]]
+    return f"""SELECT {", ".join(cols)}
+FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
+WHERE o.o_orderpriority = '{tb.CREDITOR}' AND o.o_orderstatus <> 'F'"""
+
+
+COMPANY_PROJECTION = ("Data_Arquivo", "Nome_Arquivo", *COMPANY_FILE_FIELDS[1:])
+
+
+@register("project_columns", f"SELECT * FROM ({_company_raw_sql()}) WHERE Tipo_Pessoa = 'J'")
+def q_project_columns(spark, sf_dir):
+    """The fixed, ordered column list of the bank file's detail records."""
+    parsed = sfiles.parse_lines(tb.company_lines(spark, sf_dir), COMPANY_FILE_FIELDS, sep=";")
+    rows = sfiles.strip_control_records(parsed).withColumn("Nome_Arquivo", F.lit(tb.COMPANY_FILE_NAME))
+    return rows.select(*COMPANY_PROJECTION)
+
+
 @register("struct_fields", with_roles("authentication") + """
 SELECT document, contact, contract, creditor FROM authentication""")
 def q_struct_fields(spark, sf_dir):
@@ -790,8 +832,10 @@ def q_first_touch(spark, sf_dir):
 
 
 _CHANNEL_SQL = ", ".join(
-    f"count_if(NOT (campaign_name LIKE '%{tb.CAMPAIGN_MARKER}%') AND type = '{v}') AS ACION_{t}_QTD_ATIVADO, "
-    f"count_if((campaign_name LIKE '%{tb.CAMPAIGN_MARKER}%') AND type = '{v}') AS ACION_{t}_QTD_NAO_ATIVADO"
+    f"CAST(count_if(NOT (campaign_name LIKE '%{tb.CAMPAIGN_MARKER}%') AND type = '{v}') AS BIGINT) "
+    f"AS ACION_{t}_QTD_ATIVADO, "
+    f"CAST(count_if((campaign_name LIKE '%{tb.CAMPAIGN_MARKER}%') AND type = '{v}') AS BIGINT) "
+    f"AS ACION_{t}_QTD_NAO_ATIVADO"
     for v, t in tb.COMPANY.channels)
 
 
