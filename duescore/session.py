@@ -25,6 +25,10 @@ DEFAULT_CONF = {
     "spark.sql.files.maxPartitionBytes": "128m",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.parquet.filterPushdown": "true",
+    # The creditor's persons are a selective side: let Spark build a runtime
+    # bloom filter from them (bounded by maxNumBits) to prune the profile, debt
+    # and event scans before their shuffles.
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "256m",
     # Feature rows are wide (over 100 columns); keep them in whole-stage codegen
     # (Spark still falls back per method when generated code grows too large).
     "spark.sql.codegen.maxFields": "2000",

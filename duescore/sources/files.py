@@ -37,6 +37,26 @@ def latest_snapshot(df: DataFrame, name: str, stamp_regex: str, pattern: str | N
     return rows.filter(stamp_of(name, stamp_regex) == newest)
 
 
+def newest_file(spark: SparkSession, folder: str, pattern: str, stamp_regex: str) -> str | None:
+    """Path of the newest file in ``folder`` by the stamp in its name (S1), from the listing only.
+
+    Reads file names through the Hadoop file system of the session (no data is
+    read); names without ``pattern`` or without a stamp never win (Q25).
+    """
+    import re
+
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    best, best_stamp = None, None
+    for st in fs.listStatus(path):
+        name = st.getPath().getName()
+        m = re.search(stamp_regex, name)
+        if pattern in name and m and (best_stamp is None or int(m.group(1)) > best_stamp):
+            best, best_stamp = st.getPath().toString(), int(m.group(1))
+    return best
+
+
 def file_date(name: Column | str, regex: str, fmt: str) -> Column:
     """Date carried in a file name, group 1 of ``regex`` parsed with ``fmt``."""
     n = F.col(name) if isinstance(name, str) else name

@@ -70,3 +70,12 @@ def test_publish_writes_both_destinations(spark, tmp_dir):
     # rerun overwrites instead of appending (Q26)
     sk.publish(prov, spark, primary, secondary)
     assert spark.read.parquet(primary).count() == 1
+
+
+def test_newest_file_from_listing(spark, tmp_dir):
+    for n in ["integracao_x_202401150300.csv", "integracao_x_202401170300.csv", "integracao_x_202401160300.csv",
+              "other_202501010000.csv", "full_temp"]:
+        p = os.path.join(tmp_dir, n)
+        os.makedirs(p) if n == "full_temp" else open(p, "w").write("CPF\n1\n")
+    got = sf.newest_file(spark, tmp_dir, "integracao", r"_(\d{12})\.csv$")
+    assert got.endswith("integracao_x_202401170300.csv")
