@@ -49,8 +49,11 @@ class Sources:
     persons: DataFrame | None = None
 
 
+PROFILE_ARRAYS = ("tag_telefone", "tag_email", "domain", "state")
+
+
 def profile_flags(info: DataFrame, spec: PortfolioSpec) -> DataFrame:
-    """Contact profile to flags in one projection."""
+    """Contact profile arrays to flags in one projection (N1, N2, N3); other columns are kept."""
     email_cols = []
     for i in range(spec.email_slots):
         slot = F.get(F.col("tag_email"), F.lit(i))
@@ -58,7 +61,7 @@ def profile_flags(info: DataFrame, spec: PortfolioSpec) -> DataFrame:
                        for t in spec.contact_tags]
         email_cols.append(F.get(F.col("domain"), F.lit(i)).alias(f"{EMAIL_PREFIX}{i + 1}_{DOMAIN_SUFFIX}"))
     return info.select(
-        "_id", "document", "documentType",
+        *[c for c in info.columns if c not in PROFILE_ARRAYS],
         *slot_tag_flags("tag_telefone", spec.phone_slots, spec.contact_tags, PHONE_PREFIX, spec.none_tag),
         *email_cols,
         *state_slots("state", spec.state_slots, spec.state_placeholder, STATE_PREFIX),
@@ -165,9 +168,13 @@ def build_base(rows: DataFrame, src: Sources, spec: PortfolioSpec, file_day: str
     ``spec.hot_top_k`` of them) are joined by broadcast where they lie.
     """
     doc, contract = spec.file_document, spec.file_contract
-    info = profile_flags(filter_equals(src.info, "documentType", spec.document_type), spec)
+    info = filter_equals(src.info, "documentType", spec.document_type) \
+        .select("_id", "document", "documentType", *PROFILE_ARRAYS)
     own = creditor_debts(src.debts, spec)
-    base = inner_join_key(info, own.drop("document"), "_id")
+    # Join the raw profile arrays to the creditor's persons first, then derive
+    # the flags: only matched persons are flagged, and the shuffled profile rows
+    # carry compact arrays instead of 84 fixed-width flag slots.
+    base = profile_flags(inner_join_key(info, own.drop("document"), "_id"), spec)
     joined = left_join_keys(rows, base, [contract, doc], ["contract", "document"]).drop("creditor")
     # Facts are one value per (person, document), so one distinct here equals
     # the distinct of the finished rows (the grain stays person x contract, Q3).
