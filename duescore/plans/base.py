@@ -21,6 +21,7 @@ a key holding a third of the rows never lands in one task.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
@@ -139,11 +140,13 @@ def auth_rows(src: Sources, spec: PortfolioSpec, file_day: str) -> DataFrame:
     return tagged(auth, "document", "auth")
 
 
-def person_facts(joined: DataFrame, own: DataFrame, src: Sources, spec: PortfolioSpec, file_day: str) -> DataFrame:
+def person_facts(keys: DataFrame, own: DataFrame, src: Sources, spec: PortfolioSpec, file_day: str) -> DataFrame:
     """Facts keyed by the person id: simulations up to the file date, debts at other creditors,
-    creditor debts missing from the file (JN4-JN6, JN8), as one aggregation."""
+    creditor debts missing from the file (JN4-JN6, JN8), as one aggregation.
+
+    ``keys`` holds (person id, document, contract) of every file row."""
     contract = spec.file_contract
-    present = joined.select(F.col("_id").alias("__p"), F.col(contract).alias("__c")).filter(F.col("__p").isNotNull())
+    present = keys.select(F.col("_id").alias("__p"), F.col(contract).alias("__c")).filter(F.col("__p").isNotNull())
     missing = own.select("_id", "contract").join(
         present, (F.col("_id") == F.col("__p")) & (F.col("contract") == F.col("__c")), "left_anti")
     sims = asof_cutoff(filter_equals(src.simulation, "creditor", spec.creditor), "createdAt", file_day,
@@ -158,7 +161,7 @@ def person_facts(joined: DataFrame, own: DataFrame, src: Sources, spec: Portfoli
 
 
 def build_base(rows: DataFrame, src: Sources, spec: PortfolioSpec, file_day: str, document_facts: DataFrame,
-               defaults: dict) -> DataFrame:
+               defaults: dict, materialize: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Portfolio rows + profile + debt flags + all facts, with ONE join of the wide rows.
 
     Facts keyed by the person id and facts keyed by the document are first
@@ -166,6 +169,12 @@ def build_base(rows: DataFrame, src: Sources, spec: PortfolioSpec, file_day: str
     (one row per pair, with its row count); the wide rows then join that table
     once, on both keys.  Pairs holding at least ``spec.hot_rows`` rows (at most
     ``spec.hot_top_k`` of them) are joined by broadcast where they lie.
+
+    The file x profile join feeds the wide rows and the narrow key table.
+    Lazily (registered queries), the key table is its own narrow join, whose
+    consumers share exchanges.  A batch run passes ``materialize`` (for example
+    ``DataFrame.checkpoint`` into the shared checkpoint folder) so the join is
+    computed once and both read it.
     """
     doc, contract = spec.file_document, spec.file_contract
     info = filter_equals(src.info, "documentType", spec.document_type) \
@@ -176,12 +185,18 @@ def build_base(rows: DataFrame, src: Sources, spec: PortfolioSpec, file_day: str
     # carry compact arrays instead of 84 fixed-width flag slots.
     base = profile_flags(inner_join_key(info, own.drop("document"), "_id"), spec)
     joined = left_join_keys(rows, base, [contract, doc], ["contract", "document"]).drop("creditor")
+    if materialize is not None:
+        joined = materialize(joined)
+        keys = joined.select("_id", doc, contract)
+    else:
+        person_keys = inner_join_key(info.select("_id", "document"), own.select("_id", "contract"), "_id")
+        keys = left_join_keys(rows.select(doc, contract), person_keys, [contract, doc], ["contract", "document"])
     # Facts are one value per (person, document), so one distinct here equals
     # the distinct of the finished rows (the grain stays person x contract, Q3).
     arq = joined.distinct()
 
-    idf = person_facts(joined, own, src, spec, file_day)
-    pairs = joined.groupBy(F.col("_id").alias("__id"), F.col(doc).alias("__doc")).agg(F.count(F.lit(1)).alias("__n"))
+    idf = person_facts(keys, own, src, spec, file_day)
+    pairs = keys.groupBy(F.col("_id").alias("__id"), F.col(doc).alias("__doc")).agg(F.count(F.lit(1)).alias("__n"))
     pair_facts = pairs.join(idf, F.col("__id") == idf["__key"], "left").drop("__key") \
         .join(document_facts, F.col("__doc") == document_facts["__key"], "left").drop("__key")
     hot = hot_keys(pairs, ["__id", "__doc"], "__n", spec.hot_rows, spec.hot_top_k)

@@ -53,7 +53,8 @@ def activation_aggs(spec: PortfolioSpec, kind: str = "day") -> list[Column]:
     return aggs
 
 
-def build_card_base(raw_file: DataFrame, src: Sources, spec: PortfolioSpec, file_day: str) -> DataFrame:
+def build_card_base(raw_file: DataFrame, src: Sources, spec: PortfolioSpec, file_day: str,
+                    materialize=None) -> DataFrame:
     """The card feature base."""
     doc = spec.file_document
     channels = [c for c, _ in spec.channels]
@@ -74,7 +75,8 @@ def build_card_base(raw_file: DataFrame, src: Sources, spec: PortfolioSpec, file
          F.bool_or(PAYMENT_FLAG).alias(PAYMENT_FLAG), F.bool_or("has_payment").alias("has_payment"),
          *activation_aggs(spec)])
     arq = build_base(clean_card_file(raw_file), src, spec, file_day, facts,
-                     {AUTH_COUNT: 0, DEAL_FLAG: False, PAYMENT_FLAG: False, "has_payment": False, INSTALLMENT_COUNT: 0})
+                     {AUTH_COUNT: 0, DEAL_FLAG: False, PAYMENT_FLAG: False, "has_payment": False, INSTALLMENT_COUNT: 0},
+                     materialize)
     if spec.fill_zero:
         arq = arq.fillna(0, subset=[f"ACION_{t}_QTD_{lb}" for lb in (ACTIVATED, NOT_ACTIVATED) for _, t in spec.channels])
     return arq

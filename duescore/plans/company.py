@@ -60,7 +60,8 @@ def company_base_rows(parsed: DataFrame, persons: DataFrame, spec: PortfolioSpec
 
 
 def build_company_base(parsed: DataFrame, src: Sources, spec: PortfolioSpec, file_name: str,
-                       creditor_id: str, file_day: str, as_of: str, strict_sign: bool = False) -> DataFrame:
+                       creditor_id: str, file_day: str, as_of: str, strict_sign: bool = False,
+                       materialize=None) -> DataFrame:
     """The company feature base."""
     rows = company_base_rows(parsed, src.persons, spec, file_name, creditor_id, as_of, strict_sign)
     camp = src.campaigns.select(
@@ -75,7 +76,7 @@ def build_company_base(parsed: DataFrame, src: Sources, spec: PortfolioSpec, fil
     facts = combine_facts(
         [auth_rows(src, spec, file_day), tagged(camp, "document", "camp", "DT_CAMPANHA", "type", "marked")],
         [F.count_if(is_kind("auth")).alias(AUTH_COUNT), F.min("DT_CAMPANHA").alias(FIRST_TOUCH), *counts])
-    arq = build_base(rows, src, spec, file_day, facts, {AUTH_COUNT: 0})
+    arq = build_base(rows, src, spec, file_day, facts, {AUTH_COUNT: 0}, materialize)
     if spec.fill_zero:
         arq = arq.fillna(0, subset=[f"ACION_{t}_QTD_{lb}" for lb in (ACTIVATED, NOT_ACTIVATED) for _, t in spec.channels])
     return arq

@@ -54,7 +54,10 @@ def run_card_day(spark: SparkSession, portfolio: DataFrame, layout: Layout, spec
     """Build, stage, score and publish one card portfolio file; returns the written scores."""
     out_root = out_root or stage_path(spark, "card", spec.provider)
     base_root = os.path.join(out_root, "feature_base")
-    base = build_card_base(portfolio, load_sources(spark, layout, snapshot_day), spec, file_day)
+    # The file x profile join has several consumers: checkpoint it once into the
+    # shared folder named by spark.checkpoint.dir (reliable, lineage cut).
+    base = build_card_base(portfolio, load_sources(spark, layout, snapshot_day), spec, file_day,
+                           materialize=lambda df: df.checkpoint(eager=True))
     write_table(base.withColumn("file_date", F.to_date(F.lit(file_day))), base_root, partition_by=["file_date"])
     staged = spark.read.parquet(base_root).filter(F.col("file_date") == F.to_date(F.lit(file_day))).drop("file_date")
     scores = propensity_scores(staged, spec, groups, coefficients, intercept, as_of, file_day, created_at)
