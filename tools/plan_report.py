@@ -63,18 +63,22 @@ def main():
         roles[r] = spark.read.parquet(path)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    # Static planning, so that exchange reuse is visible as ReusedExchange (AQE
+    # applies the same reuse at run time, when it creates stages).
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
     out = ["# Physical plans of the composite pipelines", "",
            "Generated by `tools/plan_report.py`: the input roles of `testbed.py` are first written as plain",
            f"Parquet tables (from `{sf}`), as production inputs are, and the plans are built over those scans",
            "with `autoBroadcastJoinThreshold=-1`, so no side is broadcast by size, as on a large cluster. The",
-           "only broadcasts left are the bounded hot-pair tables (top-k). This is AQE's initial plan; at run time",
-           "AQE may still coalesce partitions, split skewed ones and switch measured-small sides to broadcast.",
+           "only broadcasts left are the bounded hot-pair tables (top-k). Planned with AQE off so that shared",
+           "subplans show as `ReusedExchange` (AQE reuses the same exchanges at run time, and may also coalesce",
+           "partitions, split skewed ones and switch measured-small sides to broadcast).",
            ""]
     for name, df in composites(spark, roles).items():
         plan = df._jdf.queryExecution().executedPlan().toString()
         c = Counter()
         for line in plan.splitlines():
-            s = line.strip().lstrip(":-+ ")
+            s = re.sub(r"^\*\(\d+\) ", "", line.strip().lstrip(":-+ "))
             for k in KINDS:
                 if s.startswith(k):
                     c[k] += 1
