@@ -7,7 +7,7 @@ step, so a hot key (one person with a third of all events) is collapsed before
 the shuffle, and the join that follows has a unique right side.  A single join
 directly over two shuffles lets AQE split a hot key on the left; where the
 right side is itself an aggregate (no plain shuffle to split),
-``skew_split_left_join`` routes the hot keys through a bounded broadcast.
+``salted_left_join`` spreads hot keys with salts chosen from a bounded broadcast.
 Nothing else is broadcast by hint: AQE broadcasts a side only after measuring
 it below the configured threshold.
 """
@@ -182,38 +182,47 @@ def row_count(df: DataFrame, name: str = "n_rows") -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias(name))
 
 
-def hot_keys(counts: DataFrame, keys: Sequence[str], count_column: str, min_rows: int, top_k: int) -> DataFrame:
-    """Keys holding at least ``min_rows`` rows, at most ``top_k`` of them (largest first).
+def hot_keys(counts: DataFrame, keys: Sequence[str], count_column: str, min_rows: int, top_k: int,
+             max_salts: int = 1024) -> DataFrame:
+    """Keys holding at least ``min_rows`` rows, at most ``top_k`` of them (largest first),
+    with the number of salts that spreads each over tasks of about ``min_rows`` rows.
 
     The ``limit`` is the size bound that makes the result safe to broadcast;
-    keys beyond it simply take the shuffle route, so no row is dropped.
+    keys beyond it simply keep one salt, so no row is ever dropped.
     """
+    salts = F.least(F.ceil(F.col(count_column) / F.lit(min_rows)), F.lit(max_salts)).cast("int")
     return counts.filter(F.col(count_column) >= F.lit(min_rows)) \
-        .orderBy(F.col(count_column).desc()).limit(top_k).select(*keys)
+        .orderBy(F.col(count_column).desc()).limit(top_k).select(*keys, salts.alias("__salts"))
 
 
-def skew_split_left_join(left: DataFrame, facts: DataFrame, left_keys: Sequence[str], fact_keys: Sequence[str],
-                         hot: DataFrame) -> DataFrame:
-    """Left join to a table with one row per key, splitting hot keys off (null-safe key equality).
+def _null_safe(a: DataFrame, b: DataFrame, ak: Sequence[str], bk: Sequence[str]) -> Column:
+    c = None
+    for x, y in zip(ak, bk, strict=True):
+        t = a[x].eqNullSafe(b[y])
+        c = t if c is None else c & t
+    return c
 
-    ``hot`` (a ``hot_keys`` result, bounded by its ``limit``) and the facts of
-    those keys (one row per key, so bounded the same way) are broadcast: the
-    rows of a key holding a third of the data are joined where they lie, with
-    no shuffle.  All other rows take an ordinary shuffle join, where no key is
-    hot any more.  The result equals ``left.join(facts, keys, "left")``.
+
+def salted_left_join(left: DataFrame, facts: DataFrame, left_keys: Sequence[str], fact_keys: Sequence[str],
+                     hot: DataFrame) -> DataFrame:
+    """Left join to a table with one row per key, with hot keys salted (null-safe key equality).
+
+    ``hot`` (a ``hot_keys`` result: keys plus ``__salts``, bounded by its
+    ``limit``) is broadcast.  A row of a hot key gets salt
+    ``xxhash64(row) mod __salts`` (deterministic, so a recomputed partition
+    gets the same salts), other rows salt 0; the fact row of a hot key is
+    repeated once per salt.  The join on (keys, salt) then spreads a key holding
+    a third of the rows over ``__salts`` tasks, reads ``left`` once, and equals
+    ``left.join(facts, keys, "left")``.
     """
-    def cond(a: DataFrame, b: DataFrame, ak, bk):
-        c = None
-        for x, y in zip(ak, bk, strict=True):
-            t = a[x].eqNullSafe(b[y])
-            c = t if c is None else c & t
-        return c
-
-    hk = F.broadcast(hot.select(*[F.col(k).alias(f"__h{i}") for i, k in enumerate(fact_keys)]))
-    hk_names = [f"__h{i}" for i in range(len(fact_keys))]
-    hot_left = left.join(hk, cond(left, hk, left_keys, hk_names), "left_semi")
-    cold_left = left.join(hk, cond(left, hk, left_keys, hk_names), "left_anti")
-    hot_facts = F.broadcast(facts.join(hk, cond(facts, hk, fact_keys, hk_names), "left_semi"))
-    hot_part = hot_left.join(hot_facts, cond(hot_left, hot_facts, left_keys, fact_keys), "left")
-    cold_part = cold_left.join(facts, cond(cold_left, facts, left_keys, fact_keys), "left")
-    return hot_part.unionByName(cold_part).drop(*fact_keys)
+    names = [f"__h{i}" for i in range(len(fact_keys))]
+    hb = F.broadcast(hot.select(*[F.col(k).alias(n) for k, n in zip(fact_keys, names)], "__salts"))
+    row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in left.columns])
+    marked = left.join(hb, _null_safe(left, hb, left_keys, names), "left")
+    marked = marked.withColumn("__salt", F.when(F.col("__salts").isNull(), F.lit(0))
+                               .otherwise(F.pmod(row_hash, F.col("__salts")).cast("int"))).drop(*names, "__salts")
+    spread = facts.join(hb, _null_safe(facts, hb, fact_keys, names), "left")
+    spread = spread.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("__salts"), F.lit(1)) - 1))) \
+        .drop(*names, "__salts").withColumnRenamed("__salt", "__fsalt")
+    cond = _null_safe(marked, spread, left_keys, fact_keys) & (marked["__salt"] == spread["__fsalt"])
+    return marked.join(spread, cond, "left").drop("__salt", "__fsalt", *fact_keys)

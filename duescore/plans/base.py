@@ -13,7 +13,7 @@ profiles P, debts D and events E:
   the document are built the same way by each variant;
 * both fact tables are attached to the narrow (person id, document) pairs of
   the file, and the wide rows join that pair table ONCE; pairs holding a large
-  share of the rows are split off and joined by broadcast (bounded top-k).
+  share of the rows are salted (salt counts from a bounded top-k broadcast).
 
 So the wide portfolio rows are shuffled once after the file x base join, and
 a key holding a third of the rows never lands in one task.
@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from ..functions.arrays import slot_tag_flags, slot_values, state_slots, tag_flag, tag_flags
 from ..operators.enrich import (asof_cutoff, earliest_per_group, filter_equals, hot_keys, inner_join_key,
-                                left_join_keys, skew_split_left_join)
+                                left_join_keys, salted_left_join)
 from ..spec import (DEBT_FLAG_PREFIX, DOMAIN_SUFFIX, EMAIL_PREFIX, OTHER_CREDITOR_FLAG,
                     PHONE_PREFIX, SAME_CREDITOR_FLAG, SIMULATION_COUNT, STATE_PREFIX, PortfolioSpec)
 
@@ -168,13 +168,12 @@ def build_base(rows: DataFrame, src: Sources, spec: PortfolioSpec, file_day: str
     attached to the narrow table of (person id, document) pairs of the file
     (one row per pair, with its row count); the wide rows then join that table
     once, on both keys.  Pairs holding at least ``spec.hot_rows`` rows (at most
-    ``spec.hot_top_k`` of them) are joined by broadcast where they lie.
+    ``spec.hot_top_k`` of them) are salted over ``ceil(rows / hot_rows)`` tasks.
 
-    The file x profile join feeds the wide rows and the narrow key table.
-    Lazily (registered queries), the key table is its own narrow join, whose
-    consumers share exchanges.  A batch run passes ``materialize`` (for example
-    ``DataFrame.checkpoint`` into the shared checkpoint folder) so the join is
-    computed once and both read it.
+    The file x profile join feeds the wide rows and the narrow key table;
+    lazily (registered queries) its input exchanges are shared by both.  A batch
+    run passes ``materialize`` (for example ``DataFrame.checkpoint`` into the
+    shared checkpoint folder) so the join itself is computed once.
     """
     doc, contract = spec.file_document, spec.file_contract
     info = filter_equals(src.info, "documentType", spec.document_type) \
@@ -187,19 +186,19 @@ def build_base(rows: DataFrame, src: Sources, spec: PortfolioSpec, file_day: str
     joined = left_join_keys(rows, base, [contract, doc], ["contract", "document"]).drop("creditor")
     if materialize is not None:
         joined = materialize(joined)
-        keys = joined.select("_id", doc, contract)
-    else:
-        person_keys = inner_join_key(info.select("_id", "document"), own.select("_id", "contract"), "_id")
-        keys = left_join_keys(rows.select(doc, contract), person_keys, [contract, doc], ["contract", "document"])
     # Facts are one value per (person, document), so one distinct here equals
     # the distinct of the finished rows (the grain stays person x contract, Q3).
     arq = joined.distinct()
+    # The narrow keys come from the same rows: every consumer reads the same
+    # file and profile exchanges (reused), so the profile is scanned once.
+    # Their pair counts count distinct rows; they only route hot pairs.
+    keys = arq.select("_id", doc, contract)
 
     idf = person_facts(keys, own, src, spec, file_day)
     pairs = keys.groupBy(F.col("_id").alias("__id"), F.col(doc).alias("__doc")).agg(F.count(F.lit(1)).alias("__n"))
     pair_facts = pairs.join(idf, F.col("__id") == idf["__key"], "left").drop("__key") \
         .join(document_facts, F.col("__doc") == document_facts["__key"], "left").drop("__key")
     hot = hot_keys(pairs, ["__id", "__doc"], "__n", spec.hot_rows, spec.hot_top_k)
-    out = skew_split_left_join(arq, pair_facts.drop("__n"), ["_id", doc], ["__id", "__doc"], hot)
+    out = salted_left_join(arq, pair_facts.drop("__n"), ["_id", doc], ["__id", "__doc"], hot)
     defaults = {SIMULATION_COUNT: 0, OTHER_CREDITOR_FLAG: False, SAME_CREDITOR_FLAG: False, **defaults}
     return out.withColumns({c: F.coalesce(F.col(c), F.lit(v)) for c, v in defaults.items()}).drop("_id")

@@ -1,5 +1,5 @@
-"""A person holding a third of the portfolio rows: the hot pair is split off and
-joined by broadcast, with the same result as the plain shuffle join."""
+"""A person holding a third of the portfolio rows: the hot pair is salted over
+several tasks, with the same result as the plain shuffle join."""
 
 from pyspark.sql import functions as F
 
@@ -32,7 +32,7 @@ def test_hot_person_split_gives_same_rows(spark):
     assert _rows(split) == _rows(plain)
     assert split.count() == n + n // 2
     plan = split._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan and "TakeOrderedAndProject" in plan
+    assert "TakeOrderedAndProject" in plan and "__salt" in plan
 
 
 def test_hot_split_company(spark):
@@ -42,3 +42,24 @@ def test_hot_split_company(spark):
     a = build_company_base(parsed, src, tb.COMPANY.with_(hot_rows=10 ** 12), *args)
     b = build_company_base(parsed, src, tb.COMPANY.with_(hot_rows=1), *args)   # every pair hot
     assert _rows(a) == _rows(b)
+
+
+def test_salted_join_spreads_a_hot_key(spark):
+    from duescore.operators.enrich import hot_keys, salted_left_join
+
+    left = spark.range(3000).select(
+        F.when(F.col("id") < 1000, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("k"),
+        F.col("id").alias("v"))
+    facts = left.select("k").distinct().withColumn("f", F.length("k"))
+    counts = left.groupBy("k").count()
+    hot = hot_keys(counts.withColumnRenamed("k", "fk"), ["fk"], "count", 100, 10)   # named like the fact keys
+    out = salted_left_join(left, facts.withColumnRenamed("k", "fk"), ["k"], ["fk"], hot)
+    plain = left.join(facts, "k", "left")
+    assert sorted(map(tuple, out.select("k", "v", "f").collect())) == sorted(map(tuple, plain.select("k", "v", "f").collect()))
+    prev = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        parts = out.filter("k = 'hot'").select(F.spark_partition_id().alias("p")).distinct().count()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", prev)
+    assert parts > 1                          # the hot key's 1000 rows are not in one task
