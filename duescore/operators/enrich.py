@@ -136,20 +136,6 @@ def count_asof(left: DataFrame, events: DataFrame, event_key: str, left_key: str
     return out.withColumn(name, F.coalesce(F.col(name), F.lit(0).cast("bigint")))
 
 
-def flag_left_join(left: DataFrame, right: DataFrame, on: str | Sequence[str], flag: str,
-                   zero_fill: Sequence[str] = ()) -> DataFrame:
-    """1:N left join; ``flag`` false and counts 0 where nothing matched (JN9, JN10).
-
-    Rows fan out on purpose (Q31); callers that need one row per left row
-    aggregate the right side first.
-    """
-    out = left.join(right, on=on, how="left")
-    out = out.withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
-    for c in zero_fill:
-        out = out.withColumn(c, F.coalesce(F.col(c), F.lit(0)))
-    return out
-
-
 # -- first, latest, distinct (A8, A9, W1, W2) ----------------------------------
 
 def distinct_rows(df: DataFrame) -> DataFrame:
@@ -172,11 +158,6 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], c
     return df.groupBy(*keys).agg(agg.alias("__row")).select(*keys, *[F.col(f"__row.{c}").alias(c) for c in columns])
 
 
-def first_date_per_key(df: DataFrame, key: str, date_column: str, name: str) -> DataFrame:
-    """Earliest date per key; null dates are ignored."""
-    return df.groupBy(key).agg(F.min(date_column).alias(name))
-
-
 def row_count(df: DataFrame, name: str = "n_rows") -> DataFrame:
     """Row count as a one-row DataFrame (A10), without a driver action."""
     return df.agg(F.count(F.lit(1)).alias(name))

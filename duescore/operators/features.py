@@ -39,11 +39,6 @@ def date_features(df: DataFrame, columns: Sequence[str], as_of: str) -> DataFram
     return df.select(*df.columns, *[v.alias(k) for k, v in parts.items()])
 
 
-def columns_with_prefix(columns: Sequence[str], prefixes: Sequence[str]) -> list[str]:
-    """Columns whose name starts with one of the prefixes, in table order (E5)."""
-    return [c for c in columns if any(c.startswith(p) for p in prefixes)]
-
-
 @dataclass(frozen=True)
 class FeatureGroups:
     """How base columns become model inputs."""

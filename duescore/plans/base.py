@@ -127,12 +127,6 @@ def is_kind(kind: str) -> Column:
     return F.col("__kind") == F.lit(kind)
 
 
-def attach_facts(arq: DataFrame, facts: DataFrame, key: str, defaults: dict) -> DataFrame:
-    """Left join of one fact table on ``key``; ``defaults`` fill persons without facts."""
-    out = arq.join(facts, arq[key] == facts["__key"], "left").drop("__key")
-    return out.withColumns({c: F.coalesce(F.col(c), F.lit(v)) for c, v in defaults.items()})
-
-
 def auth_rows(src: Sources, spec: PortfolioSpec, file_day: str) -> DataFrame:
     """Authentications of the creditor up to the file date, tagged by document."""
     auth = src.authentication.select("tokenData.document", "tokenData.creditor", "createdAt")

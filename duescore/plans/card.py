@@ -7,8 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import parse_day_prefix
 from ..functions.text import coerce_numeric
-from ..operators.contact import (activation_label, first_touch, interaction_days_raw, pivot_activation,
-                                 pivot_channel_day)
+from ..operators.contact import activation_label, interaction_days_raw, pivot_channel_day
 from ..operators.outcomes import deal_rows, deal_summary, installment_rows, latest_from_summary, outcome_columns
 from ..spec import (ACTIVATED, AUTH_COUNT, CARD_FILE_RENAMES, CARD_PAYMENT_COLUMNS, DEAL_DATE, DEAL_FLAG, FIRST_TOUCH,
                     INSTALLMENT_COUNT, NOT_ACTIVATED, PAYMENT_DATE, PAYMENT_FLAG, PortfolioSpec)
@@ -32,16 +31,6 @@ def clean_card_file(raw: DataFrame) -> DataFrame:
     })
 
 
-def contact_features(interactions: DataFrame, latest: DataFrame, spec: PortfolioSpec) -> tuple[DataFrame, DataFrame]:
-    """First contact and activation counts per document, as separate tables."""
-    channels = [c for c, _ in spec.channels]
-    days = interaction_days_raw(interactions, spec.excluded_interaction_status)
-    labelled = activation_label(pivot_channel_day(days, channels), latest, channels, spec.reopening_status)
-    first = first_touch(labelled, "DT_INTERACAO", FIRST_TOUCH)
-    acts = pivot_activation(labelled, spec.channels, fill_zero=True)
-    return first, acts
-
-
 def activation_aggs(spec: PortfolioSpec, kind: str = "day") -> list[Column]:
     """Per person: first contact and channel sums by label; null for persons without contacts (Q12)."""
     any_day = F.count_if(is_kind(kind)) > 0

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame
 
 from ..operators.features import FeatureGroups, feature_vector
@@ -26,6 +24,3 @@ def propensity_scores(base: DataFrame, spec: PortfolioSpec, groups: FeatureGroup
     return score_rollup(pre, spec.document_width, spec.provider, file_day, created_at)
 
 
-def model_features(groups: FeatureGroups, slots: Sequence[str]) -> list[str]:
-    """Convenience: the feature names a model trained on these groups would list."""
-    return [*groups.numeric, *slots]

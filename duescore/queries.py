@@ -488,7 +488,7 @@ def q_age_years(spark, sf_dir):
 from .operators import contact as ct  # noqa: E402
 from .operators import nested as ns  # noqa: E402
 from .operators import outcomes as oc  # noqa: E402
-from .plans.base import debt_base, email_flags, phone_flags  # noqa: E402
+from .plans.base import email_flags, phone_flags  # noqa: E402
 from .spec import (CONTACT_TAGS, DEBT_TAGS, FIRST_TOUCH, RANK_VALUES)  # noqa: E402
 
 C = tb.CREDITOR

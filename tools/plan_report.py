@@ -11,7 +11,6 @@ from collections import Counter
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import __spark_entry__ as entry  # noqa: E402
 from duescore.session import get_session  # noqa: E402
 
 ROLES = ["info", "debts", "simulation", "authentication", "deals", "installments", "interactions", "campaigns",
