@@ -134,12 +134,12 @@ def feature_base_company_sql() -> str:
     return with_roles(*COMPANY_ROLES, extra=company_base_ctes()) + f"SELECT * REPLACE ({casts}) FROM kbase"
 
 
-def _feature_sql(name: str, base_cols: set[str], bool_cols: set[str], string_cols: set[str]) -> str:
+def _feature_sql(name: str, numeric, dates, categorical, bool_cols: set[str], string_cols: set[str]) -> str:
     import re
-    if name in base_cols and name in CARD_NUMERIC:
+    if name in numeric:
         return f'CAST("{name}" AS DOUBLE)'
     m = re.fullmatch(r"(ano|mes|dia|delta)_(.+)", name)
-    if m and m.group(2) in CARD_DATES:
+    if m and m.group(2) in dates:
         d = m.group(2)
         if m.group(1) == "delta":
             return f"date_diff('day', {d}, DATE '{tb.AS_OF}') / 365.25"
@@ -147,31 +147,50 @@ def _feature_sql(name: str, base_cols: set[str], bool_cols: set[str], string_col
         return f"CAST({fn}({d}) AS DOUBLE)"
     if name in bool_cols:
         return f'CAST(CAST("{name}" AS INTEGER) AS DOUBLE)'
-    for c in (*CARD_CATEGORICAL, *sorted(x for x in string_cols if x.startswith("Email"))):
+    for c in (*categorical, *sorted(x for x in string_cols if x.startswith("Email"))):
         if name.startswith(c + "_"):
             v = name[len(c) + 1:]
             return f"COALESCE(CAST(\"{c}\" = '{v}' AS DOUBLE), 0.0)"
     return "CAST(NULL AS DOUBLE)"
 
 
-def propensity_scores_sql() -> str:
+def _profile_bools() -> set[str]:
+    from .spec import CONTACT_TAGS
+    cols = {f"Telefone{i + 1}_{t}" for i in range(10) for t in CONTACT_TAGS}
+    cols |= {f"Email{i + 1}_{t}" for i in range(3) for t in CONTACT_TAGS}
+    return cols | {f"SkipDivida_{t}" for t in DEBT_TAGS} | {"Divida_Outro_Credor", "Divida_Mesmo_Credor"}
+
+
+def scores_sql(roles, ctes, base_cte: str, id_col: str, coefficients: dict, intercept: float, edges, width: int,
+               provider: str, numeric, dates, categorical, bool_cols: set[str]) -> str:
+    """Oracle of ``propensity_scores`` over a feature-base CTE."""
     from .queries import _band_sql
-    from .spec import CARD_BAND_EDGES, CONTACT_TAGS
-    bool_cols = {f"Telefone{i + 1}_{t}" for i in range(10) for t in CONTACT_TAGS}
-    bool_cols |= {f"Email{i + 1}_{t}" for i in range(3) for t in CONTACT_TAGS}
-    bool_cols |= {f"SkipDivida_{t}" for t in DEBT_TAGS} | {"Divida_Outro_Credor", "Divida_Mesmo_Credor"}
     string_cols = {f"Email{i + 1}_dominio" for i in range(3)}
-    base_cols = set(CARD_NUMERIC) | bool_cols | string_cols
-    feats = ", ".join(f'{_feature_sql(n, base_cols, bool_cols, string_cols)} AS "{n}"'
-                      for n in tb.CARD_COEFFICIENTS)
-    z = " + ".join(f'{float(w)!r} * COALESCE("{n}", 0.0)' for n, w in tb.CARD_COEFFICIENTS.items())
-    ctes = card_base_ctes() + [
-        ("fv", f"SELECT DISTINCT CPF, {feats} FROM cbase"),
-        ("pre", f"SELECT CPF AS Chave, 1.0 / (1.0 + exp(-({float(tb.CARD_INTERCEPT)!r} + {z}))) AS P_1 FROM fv"),
-        ("pre_gh", f"SELECT Chave, P_1, {_band_sql('P_1', CARD_BAND_EDGES)} AS GH FROM pre"),
+    feats = ", ".join(f'{_feature_sql(n, numeric, dates, categorical, bool_cols, string_cols)} AS "{n}"'
+                      for n in coefficients)
+    z = " + ".join(f'{float(w)!r} * COALESCE("{n}", 0.0)' for n, w in coefficients.items())
+    ctes = ctes + [
+        ("fv", f"SELECT DISTINCT {id_col}, {feats} FROM {base_cte}"),
+        ("pre", f"SELECT {id_col} AS Chave, 1.0 / (1.0 + exp(-({float(intercept)!r} + {z}))) AS P_1 FROM fv"),
+        ("pre_gh", f"SELECT Chave, P_1, {_band_sql('P_1', edges)} AS GH FROM pre"),
     ]
-    return with_roles(*CARD_ROLES, extra=ctes) + f"""
-SELECT lpad(Chave, 11, '0') AS Document, max(GH) AS Score, round(max(P_1), 9) AS ScoreValue,
-       round(avg(P_1), 9) AS ScoreAvg, '{tb.CARD.provider}' AS Provider, '{tb.FILE_DAY}' AS Date,
+    return with_roles(*roles, extra=ctes) + f"""
+SELECT lpad(Chave, {width}, '0') AS Document, max(GH) AS Score, round(max(P_1), 9) AS ScoreValue,
+       round(avg(P_1), 9) AS ScoreAvg, '{provider}' AS Provider, '{tb.FILE_DAY}' AS Date,
        '{tb.AS_OF}' AS CreatedAt
-FROM pre_gh GROUP BY lpad(Chave, 11, '0')"""
+FROM pre_gh GROUP BY lpad(Chave, {width}, '0')"""
+
+
+def propensity_scores_sql() -> str:
+    from .spec import CARD_BAND_EDGES
+    return scores_sql(CARD_ROLES, card_base_ctes(), "cbase", "CPF", tb.CARD_COEFFICIENTS, tb.CARD_INTERCEPT,
+                      CARD_BAND_EDGES, 11, tb.CARD.provider, CARD_NUMERIC, CARD_DATES, CARD_CATEGORICAL,
+                      _profile_bools())
+
+
+def propensity_scores_company_sql() -> str:
+    from .spec import COMPANY_BAND_EDGES, COMPANY_CATEGORICAL, COMPANY_DATES, COMPANY_NUMERIC
+    bools = _profile_bools() | set(RANK_VALUES) | {"Indicador_Correntista"}
+    return scores_sql(COMPANY_ROLES, company_base_ctes(), "kbase", "ID_DEVEDOR", tb.COMPANY_COEFFICIENTS,
+                      tb.COMPANY_INTERCEPT, COMPANY_BAND_EDGES, 14, tb.COMPANY.provider, COMPANY_NUMERIC,
+                      COMPANY_DATES, COMPANY_CATEGORICAL, bools)

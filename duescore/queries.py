@@ -1037,9 +1037,11 @@ from . import composite_sql as csql  # noqa: E402
 from .plans.card import build_card_base  # noqa: E402
 from .plans.company import build_company_base  # noqa: E402
 from .plans.publish import propensity_scores  # noqa: E402
-from .spec import CARD_CATEGORICAL, CARD_DATES, CARD_NUMERIC  # noqa: E402
+from .spec import (CARD_CATEGORICAL, CARD_DATES, CARD_NUMERIC, COMPANY_CATEGORICAL, COMPANY_DATES,  # noqa: E402
+                   COMPANY_NUMERIC)
 
 CARD_GROUPS = fe.FeatureGroups(numeric=CARD_NUMERIC, categorical=CARD_CATEGORICAL, dates=CARD_DATES)
+COMPANY_GROUPS = fe.FeatureGroups(numeric=COMPANY_NUMERIC, categorical=COMPANY_CATEGORICAL, dates=COMPANY_DATES)
 
 
 def card_base(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -1070,3 +1072,11 @@ def q_propensity_scores(spark, sf_dir):
     out = propensity_scores(card_base(spark, sf_dir), tb.CARD, CARD_GROUPS, tb.CARD_COEFFICIENTS, tb.CARD_INTERCEPT,
                             tb.AS_OF, tb.FILE_DAY, tb.AS_OF)
     return out.withColumns({"ScoreValue": F.round("ScoreValue", 9), "ScoreAvg": F.round("ScoreAvg", 9)})
+
+
+@register("propensity_scores_company", csql.propensity_scores_company_sql())
+def q_propensity_scores_company(spark, sf_dir):
+    """Published company scores: 9 bands, 14-digit documents, company provider (C3 on C2)."""
+    out = propensity_scores(company_base(spark, sf_dir), tb.COMPANY, COMPANY_GROUPS, tb.COMPANY_COEFFICIENTS,
+                            tb.COMPANY_INTERCEPT, tb.AS_OF, tb.FILE_DAY, tb.AS_OF)
+    return out.withColumns({"ScoreValue": F.round("ScoreValue", 9), "ScoreAvg": F.round("ScoreAvg", 9)})

@@ -309,4 +309,16 @@ CARD_COEFFICIENTS = {
     "SkipDivida_sem_tags": -0.2, "Divida_Outro_Credor": -0.3, "Divida_Mesmo_Credor": 0.1,
     "Email1_skip:medio": 0.1, "Email1_dominio_household.com.br": 0.2, "feature_not_in_base": 0.7,
 }
-CARD_INTERCEPT = -1.5
+CARD_INTERCEPT = -39.5   # offsets the year term, so scores spread over all six bands
+
+
+# Our own coefficient list for the company model (9 bands between 0.071 and 0.11).
+COMPANY_COEFFICIENTS = {
+    "Taxa_Padrao": 0.00002, "Saldo_Devedor_Contrato": -0.000001, "Dias_Atraso": 0.0001, "originalAmount": 0.0000005,
+    "QTD_AUTH": 0.05, "QTD_SIMU": 0.04, "ACION_SMS_QTD_ATIVADO": 0.02, "ACION_EMAIL_QTD_NAO_ATIVADO": -0.02,
+    "Forma_Pgto_Padrao_BUILDING": 0.1, "Descricao_Produto_machinery": -0.1, "UF1_NATION_0": 0.05,
+    "ano_DATA_ENTRADA_DIVIDA": 0.001, "delta_PRIMEIRO_ACIONAMENTO": -0.2, "Telefone1_skip:hot": 0.1,
+    "SkipDivida_rank:a": 0.05, "Divida_Outro_Credor": -0.05, "rank:b": 0.08, "sem_skip": -0.03,
+    "feature_not_in_base": 0.5,
+}
+COMPANY_INTERCEPT = -4.5
