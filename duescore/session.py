@@ -41,6 +41,9 @@ DEFAULT_CONF = {
 # cluster's advisory size governs coalescing.
 LOCAL_CONF = {
     "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
+    # In local mode the driver JVM is the whole cluster: size its heap (only
+    # takes effect when this builder starts the JVM).
+    "spark.driver.memory": "8g",
 }
 
 
