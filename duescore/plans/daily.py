@@ -69,3 +69,32 @@ def run_card_day(spark: SparkSession, portfolio: DataFrame, layout: Layout, spec
 def read_card_file(spark: SparkSession, path: str) -> DataFrame:
     """The card portfolio file: ',' separated, header, every column as text (S3)."""
     return scan_delimited(spark, path, CARD_FILE_COLUMNS, sep=",")
+
+
+def run_company_day(spark: SparkSession, file_path: str, layout: Layout, spec: PortfolioSpec, snapshot_day: str,
+                    file_day: str, creditor_id: str, groups: FeatureGroups, coefficients: dict[str, float],
+                    intercept: float, as_of: str, created_at: str, persons_path: str, campaigns_path: str,
+                    out_root: str | None = None, export_root: str | None = None) -> DataFrame:
+    """Parse, stage, score and publish one bank portfolio file; returns the written scores.
+
+    The file is read with its fixed field list (S4); the nested person store
+    and the enriched campaigns are plain tables; snapshots as for the card file.
+    """
+    from ..sources.files import scan_fixed_schema
+    from ..spec import COMPANY_FILE_FIELDS
+    from .company import build_company_base
+
+    out_root = out_root or stage_path(spark, "company", spec.provider)
+    base_root = os.path.join(out_root, "feature_base")
+    src = load_sources(spark, layout, snapshot_day)
+    src.persons = spark.read.parquet(persons_path)
+    src.campaigns = spark.read.parquet(campaigns_path)
+    parsed = scan_fixed_schema(spark, file_path, COMPANY_FILE_FIELDS)
+    base = build_company_base(parsed, src, spec, os.path.basename(file_path), creditor_id, file_day, as_of,
+                              materialize=lambda df: df.checkpoint(eager=True))
+    write_table(base.withColumn("file_date", F.to_date(F.lit(file_day))), base_root, partition_by=["file_date"])
+    staged = spark.read.parquet(base_root).filter(F.col("file_date") == F.to_date(F.lit(file_day))).drop("file_date")
+    scores = propensity_scores(staged, spec, groups, coefficients, intercept, as_of, file_day, created_at)
+    primary = os.path.join(out_root, "scores", f"file_date={file_day}")
+    secondary = os.path.join(export_root or os.path.join(out_root, "export"), f"{spec.provider}_{created_at}")
+    return publish(scores, spark, primary, secondary)

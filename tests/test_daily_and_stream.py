@@ -44,6 +44,34 @@ def test_daily_run_matches_the_registered_query(spark, tmp_dir):
     assert os.path.isdir(os.path.join(tmp_dir, "out", "feature_base", f"file_date={tb.FILE_DAY}"))
 
 
+def test_company_daily_run_matches_the_registered_query(spark, tmp_dir):
+    from duescore.plans.daily import run_company_day
+    from duescore.queries import COMPANY_GROUPS, QUERIES
+
+    root = os.path.join(tmp_dir, "snapshots")
+    layout = Layout(root, undated_tables={})
+    day = F.to_date(F.lit(tb.FILE_DAY))
+    for role, name in layout.snapshot_tables.items():
+        if role in ("deals", "installments"):
+            continue
+        write_table(getattr(tb, role)(spark, SF).withColumn("snapshot_date", day), os.path.join(root, name),
+                    partition_by=["snapshot_date"])
+    layout = Layout(root, snapshot_tables={k: v for k, v in layout.snapshot_tables.items()
+                                           if k not in ("deals", "installments")}, undated_tables={})
+    tb.persons(spark, SF).write.parquet(os.path.join(tmp_dir, "persons"))
+    tb.campaigns(spark, SF).write.parquet(os.path.join(tmp_dir, "campaigns"))
+    path = os.path.join(tmp_dir, tb.COMPANY_FILE_NAME)
+    with open(path, "w") as f:
+        f.write("\n".join(r[0] for r in tb.company_lines(spark, SF).collect()) + "\n")
+    out = run_company_day(spark, path, layout, tb.COMPANY, tb.FILE_DAY, tb.FILE_DAY, tb.COMPANY_CREDITOR_ID,
+                          COMPANY_GROUPS, tb.COMPANY_COEFFICIENTS, tb.COMPANY_INTERCEPT, tb.AS_OF, tb.AS_OF,
+                          os.path.join(tmp_dir, "persons"), os.path.join(tmp_dir, "campaigns"),
+                          out_root=os.path.join(tmp_dir, "out"))
+    got = sorted(tuple(r) for r in out.select("Document", "Score").collect())
+    want = sorted(tuple(r) for r in QUERIES["propensity_scores_company"](spark, SF).select("Document", "Score").collect())
+    assert got == want and len(got) > 0
+
+
 def test_landing_stream_processes_each_file_once(spark, tmp_dir):
     landing = os.path.join(tmp_dir, "landing")
     os.makedirs(landing)
