@@ -169,11 +169,13 @@ def hot_keys(counts: DataFrame, keys: Sequence[str], count_column: str, min_rows
     with the number of salts that spreads each over tasks of about ``min_rows`` rows.
 
     The ``limit`` is the size bound that makes the result safe to broadcast;
-    keys beyond it simply keep one salt, so no row is ever dropped.
+    keys beyond it simply keep one salt, so no row is ever dropped.  The order
+    is total (count, then keys), so a recomputation picks the same keys.
     """
     salts = F.least(F.ceil(F.col(count_column) / F.lit(min_rows)), F.lit(max_salts)).cast("int")
     return counts.filter(F.col(count_column) >= F.lit(min_rows)) \
-        .orderBy(F.col(count_column).desc()).limit(top_k).select(*keys, salts.alias("__salts"))
+        .orderBy(F.col(count_column).desc(), *[F.col(k).asc_nulls_first() for k in keys]).limit(top_k) \
+        .select(*keys, salts.alias("__salts"))
 
 
 def _null_safe(a: DataFrame, b: DataFrame, ak: Sequence[str], bk: Sequence[str]) -> Column:
