@@ -253,3 +253,37 @@ def test_feature_vector(spark):
     assert got["3"]["UF1_SP"] == 0.0 and got["3"]["UF1_RJ"] == 0.0                  # unseen category
     assert all(r["absent"] is None for r in got.values())                          # missing feature (E6)
     assert abs(got["1"]["delta_D"] - 333 / 365.25) < 1e-12
+
+
+def test_composite_key_nulls_never_match(spark):
+    left = spark.createDataFrame([("d1", "k1"), ("d2", None), (None, "k3")], "document string, Contrato_Altair string")
+    right = spark.createDataFrame([("d1", "k1", 1), ("d2", None, 2), (None, "k3", 3)],
+                                  "document string, contract string, v int")
+    out = ns.merge_composite_key(left, right, ["document", "Contrato_Altair"], ["document", "contract"])
+    got = sorted(rows(out, "document", "Contrato_Altair", "v"), key=str)
+    assert got == sorted([("d1", "k1", 1), ("d2", None, None), (None, "k3", None)], key=str)   # Q18
+
+
+def test_zip_explode(spark):
+    df = spark.createDataFrame([("p1", ["a", "b"], ["cr", "other"], [["k1", "k2"], ["k3"]]), ("p2", [], [], [])],
+                               "_id string, dealID array<string>, creditor array<string>, debts array<array<string>>")
+    out = ns.zip_explode(df, ["_id"], ["dealID", "creditor", "debts"], "debts", "contract")
+    assert sorted(rows(out, "_id", "dealID", "creditor", "contract")) == [
+        ("p1", "a", "cr", "k1"), ("p1", "a", "cr", "k2"), ("p1", "b", "other", "k3")]
+
+
+def test_semi_join_lookup_keeps_persons_once(spark):
+    persons = spark.createDataFrame([("p1", "d1"), ("p2", "d2"), ("p3", "d3")], "_id string, document string")
+    wanted = spark.createDataFrame([("d1",), ("d1",), ("d3",), (None,)], "document string")
+    out = ns.semi_join_lookup(persons, wanted)
+    assert sorted(r["_id"] for r in out.collect()) == ["p1", "p3"]
+
+
+def test_first_and_latest_per_key_total_order(spark):
+    d = spark.createDataFrame([("c", dt.date(2024, 1, 1), "2", "x"), ("c", dt.date(2024, 1, 1), "10", "y"),
+                               ("c", None, "9", "z"), ("e", None, "1", "w")],
+                              "k string, d date, id string, s string")
+    last = en.first_per_key(d, ["k"], [F.col("d"), F.col("id")], ["id", "s"], latest=True)
+    assert dict(rows(last, "k", "s")) == {"c": "x", "e": "w"}      # date tie: larger id ("2" > "10" as text)
+    first = en.first_per_key(d, ["k"], [F.col("d"), F.col("id")], ["id", "s"])
+    assert dict(rows(first, "k", "s")) == {"c": "z", "e": "w"}     # ascending puts a null date first
