@@ -10,18 +10,25 @@ from ..spec import DEAL_DATE, DEAL_FLAG, INSTALLMENT_COUNT, PAYMENT_DATE, PAYMEN
 
 
 def deal_rows(deals: DataFrame, creditor: str, since: str, excluded_status: str = "error",
-              document_alias: str = "CPF") -> DataFrame:
-    """The creditor's deals since a date, without the excluded status."""
+              document_alias: str = "CPF", until: str | None = None) -> DataFrame:
+    """The creditor's deals since a date, without the excluded status.
+
+    ``until`` optionally cuts deals after a date too (Q8: the file rule does not).
+    """
     d = deals.filter((F.col("creditor") == F.lit(creditor)) & (F.col("status") != F.lit(excluded_status))
                      & on_or_after("createdAt", since))
+    if until is not None:
+        d = d.filter(F.col("createdAt") <= F.lit(until))
     return d.select(F.col("document").alias(document_alias), F.col("createdAt").alias(DEAL_DATE),
                     "dealID", "status", F.lit(True).alias(DEAL_FLAG))
 
 
-def installment_rows(installments: DataFrame, creditor: str, since: str) -> DataFrame:
-    """Installments by deal with the paid date, else the due date, as day text."""
+def installment_rows(installments: DataFrame, creditor: str, since: str, until: str | None = None) -> DataFrame:
+    """Installments by deal with the paid date, else the due date, as day text (X20, Q8 ``until``)."""
     i = installments.withColumn(PAYMENT_DATE, fallback_day("paidAt", "dueAt"))
     i = i.filter(on_or_after(PAYMENT_DATE, since) & (F.col("creditor") == F.lit(creditor)))
+    if until is not None:
+        i = i.filter(F.col(PAYMENT_DATE) <= F.lit(until))
     return i.select(PAYMENT_DATE, "dealID", INSTALLMENT_COUNT,
                     F.col("paidAt").isNotNull().alias("has_paid_date"))
 

@@ -47,8 +47,9 @@ def build_card_base(raw_file: DataFrame, src: Sources, spec: PortfolioSpec, file
     """The card feature base."""
     doc = spec.file_document
     channels = [c for c, _ in spec.channels]
-    deals = deal_rows(src.deals, spec.creditor, spec.outcome_since, spec.excluded_deal_status, doc)
-    inst = installment_rows(src.installments, spec.creditor, spec.outcome_since)
+    deals = deal_rows(src.deals, spec.creditor, spec.outcome_since, spec.excluded_deal_status, doc,
+                      spec.outcome_until)
+    inst = installment_rows(src.installments, spec.creditor, spec.outcome_since, spec.outcome_until)
     summary = deal_summary(deals, inst, doc)
     days = interaction_days_raw(src.interactions, spec.excluded_interaction_status)
     labelled = activation_label(pivot_channel_day(days, channels), latest_from_summary(summary, doc), channels,

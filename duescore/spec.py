@@ -143,6 +143,7 @@ class PortfolioSpec:
     state_placeholder: str = STATE_PLACEHOLDER
     campaign_marker: str = "NOVO"           # campaign names holding it are not activations
     outcome_since: str = "2020-01-01"       # lower bound for deals and installments
+    outcome_until: str | None = None        # optional upper bound for them (the file rule has none, Q8)
     excluded_deal_status: str = "error"
     reopening_status: tuple[str, ...] = ("expired", "broken")
     excluded_interaction_status: str = "not_received"

@@ -287,3 +287,14 @@ def test_first_and_latest_per_key_total_order(spark):
     assert dict(rows(last, "k", "s")) == {"c": "x", "e": "w"}      # date tie: larger id ("2" > "10" as text)
     first = en.first_per_key(d, ["k"], [F.col("d"), F.col("id")], ["id", "s"])
     assert dict(rows(first, "k", "s")) == {"c": "z", "e": "w"}     # ascending puts a null date first
+
+
+def test_outcome_until(spark):
+    deals = spark.createDataFrame([("d1", "c1", "cr", "open", dt.date(2024, 1, 10)),
+                                   ("d2", "c1", "cr", "open", dt.date(2024, 3, 1))],
+                                  "dealID string, document string, creditor string, status string, createdAt date")
+    assert oc.deal_rows(deals, "cr", "2020-01-01").count() == 2                      # no upper bound (Q8)
+    assert [r["dealID"] for r in oc.deal_rows(deals, "cr", "2020-01-01", until="2024-01-15").collect()] == ["d1"]
+    inst = spark.createDataFrame([("d1", "cr", None, "2024-01-20T00:00:00", 1)],
+                                 "dealID string, creditor string, paidAt string, dueAt string, QTD_PARCELAS int")
+    assert oc.installment_rows(inst, "cr", "2020-01-01", until="2024-01-15").count() == 0
