@@ -42,7 +42,7 @@ CNPJ_SEGMENTS = ("BUILDING", "MACHINERY")
 STATE_PLACEHOLDER = "nation_5"
 CAMPAIGN_MARKER = "5"
 CARD_FILE_NAME = "integracao_card_202401150300.csv"
-COMPANY_FILE_NAME = "OY_FILE_D_20240115.txt"
+COMPANY_FILE_NAME = "bank_portfolio_20240115.txt"
 COMPANY_CREDITOR_ID = "std"
 
 CARD = card_spec(CREDITOR, "card_propensity_v1", state_placeholder=STATE_PLACEHOLDER)
