@@ -6,7 +6,7 @@ import pytest
 import __spark_entry__ as entry
 
 SF = "/root/testdata/sf0.001"
-COMPOSITES = ["feature_base_card", "feature_base_company", "propensity_scores"]
+COMPOSITES = ["feature_base_card", "feature_base_company", "propensity_scores", "propensity_scores_company"]
 
 
 def plan_of(df):
