@@ -68,6 +68,23 @@ TABLE_SCHEMAS = {
 }
 
 
+_VIEWS: dict = {}
+
+
+def _view(fn):
+    """Build a role view once per (session, folder): DataFrames are immutable
+    plans, so this is like registering a temp view; every action still reads
+    the tables."""
+    def wrapped(spark: SparkSession, sf_dir: str) -> DataFrame:
+        key = (id(spark._jsparkSession), os.path.normpath(sf_dir), fn.__name__)
+        if key not in _VIEWS:
+            _VIEWS[key] = fn(spark, sf_dir)
+        return _VIEWS[key]
+    wrapped.__name__ = fn.__name__
+    wrapped.__doc__ = fn.__doc__
+    return wrapped
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     path = os.path.join(sf_dir, f"{name}.parquet")
     schema = TABLE_SCHEMAS.get(name)
@@ -94,6 +111,7 @@ def _amount(c) -> F.Column:
     return F.replace(c.cast("decimal(15,2)").cast("string"), F.lit("."), F.lit(","))
 
 
+@_view
 def order_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem")
     return li.groupBy("l_orderkey").agg(
@@ -102,6 +120,7 @@ def order_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_view
 def info(spark: SparkSession, sf_dir: str) -> DataFrame:
     cust = table(spark, sf_dir, "customer")
     nation = table(spark, sf_dir, "nation")
@@ -128,6 +147,7 @@ def info(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_view
 def debts(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders").join(order_tags(spark, sf_dir),
                                             F.col("o_orderkey") == F.col("l_orderkey"), "left")
@@ -143,12 +163,14 @@ def _event_creditor() -> F.Column:
     return F.when(F.col("value") < 20, F.lit(OTHER_SIM_CREDITOR)).otherwise(F.lit(CREDITOR))
 
 
+@_view
 def simulation(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events").filter(F.col("event_type") == "view")
     return e.select(_pid(F.col("user_id")).alias("personID"), _event_creditor().alias("creditor"),
                     F.col("ts").alias("createdAt"))
 
 
+@_view
 def authentication(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events").filter(F.col("event_type") == "click")
     token = F.struct(_doc(F.col("user_id")).alias("document"), F.col("props").alias("contact"),
@@ -156,6 +178,7 @@ def authentication(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select(token.alias("tokenData"), F.col("ts").alias("createdAt"))
 
 
+@_view
 def deals(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders")
     status = F.when(F.col("o_orderstatus") == "P", "error") \
@@ -166,6 +189,7 @@ def deals(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.date_add(F.to_date("o_orderdate"), SHIFT_DAYS).alias("createdAt"))
 
 
+@_view
 def installments(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem")
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
@@ -186,6 +210,7 @@ def _channel(call_type: str | None) -> F.Column:
     return expr.otherwise(t)
 
 
+@_view
 def interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events")
     return e.select(_doc(F.col("user_id")).alias("document"),
@@ -194,6 +219,7 @@ def interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.when(F.col("event_type") == "error", "not_received").otherwise("received").alias("status"))
 
 
+@_view
 def campaigns(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events")
     return e.select(_doc(F.col("user_id")).alias("document"),
@@ -202,6 +228,7 @@ def campaigns(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("props").alias("campaign_name"))
 
 
+@_view
 def persons(spark: SparkSession, sf_dir: str) -> DataFrame:
     cust = table(spark, sf_dir, "customer")
     o = table(spark, sf_dir, "orders").join(order_tags(spark, sf_dir),
@@ -217,6 +244,7 @@ def persons(spark: SparkSession, sf_dir: str) -> DataFrame:
                     info_struct.alias("info"), "debts")
 
 
+@_view
 def card_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The creditor's orders as the raw card file: header names, all strings."""
     o = table(spark, sf_dir, "orders").filter(F.col("o_orderpriority") == CREDITOR)
@@ -238,6 +266,7 @@ def card_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_view
 def company_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Detail records of the company file as fields (before rendering)."""
     o = table(spark, sf_dir, "orders").filter((F.col("o_orderpriority") == CREDITOR) & (F.col("o_orderstatus") != "F"))
@@ -274,6 +303,7 @@ def company_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     return j.select(*[(values.get(f, F.lit(""))).alias(f) for f in COMPANY_FILE_FIELDS])
 
 
+@_view
 def company_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The company file as text lines: a header record, the details, a trailer record."""
     details = company_fields(spark, sf_dir).select(F.concat_ws(";", *COMPANY_FILE_FIELDS).alias("value"))
