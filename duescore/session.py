@@ -77,12 +77,15 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's checkpoint folder; only when none is set (tests), make one."""
+    """Use the cluster's checkpoint folder; only a single-machine session (tests)
+    without one gets a local folder.  A cluster session must name a shared one."""
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (stage tables and checkpoints go there)")
         configured = tempfile.mkdtemp(prefix="duescore-ckpt-")
     spark.sparkContext.setCheckpointDir(configured)
     return spark.sparkContext.getCheckpointDir() or configured

@@ -79,3 +79,10 @@ def test_newest_file_from_listing(spark, tmp_dir):
         os.makedirs(p) if n == "full_temp" else open(p, "w").write("CPF\n1\n")
     got = sf.newest_file(spark, tmp_dir, "integracao", r"_(\d{12})\.csv$")
     assert got.endswith("integracao_x_202401170300.csv")
+
+
+def test_stage_path_uses_the_session_checkpoint_folder(spark):
+    from duescore.session import checkpoint_root, stage_path
+    root = checkpoint_root(spark)
+    assert root == spark.sparkContext.getCheckpointDir()
+    assert stage_path(spark, "card", "p").startswith(root)
