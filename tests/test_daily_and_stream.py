@@ -90,3 +90,26 @@ def test_landing_stream_processes_each_file_once(spark, tmp_dir):
     q = run_landed_files(portfolio_stream(spark, landing, CARD_FILE_COLUMNS), ckpt, handle)
     q.awaitTermination(120)
     assert [s[0] for s in seen] == ["integracao_card_202401150300.csv", "integracao_card_202401160300.csv"]
+
+
+def test_stream_handler_runs_the_daily_job(spark, tmp_dir):
+    from duescore.plans.daily import CARD_FILE_COLUMNS
+    from duescore.sources.files import file_date
+
+    root = os.path.join(tmp_dir, "snapshots")
+    _write_layout(spark, root)
+    landing = os.path.join(tmp_dir, "landing")
+    os.makedirs(landing)
+    _write_card_file(spark, os.path.join(landing, "integracao_card_202401150300.csv"))
+    out_root = os.path.join(tmp_dir, "out")
+
+    def handle(rows, file_name, batch_id):
+        day = spark.range(1).select(file_date(F.lit(file_name), r"_(\d{8})\d{4}\.csv$", "yyyyMMdd")).first()[0]
+        run_card_day(spark, rows, Layout(root), tb.CARD, tb.FILE_DAY, day.isoformat(), CARD_GROUPS,
+                     tb.CARD_COEFFICIENTS, tb.CARD_INTERCEPT, tb.AS_OF, tb.AS_OF, out_root=out_root)
+
+    q = run_landed_files(portfolio_stream(spark, landing, CARD_FILE_COLUMNS), os.path.join(tmp_dir, "ckpt"), handle)
+    q.awaitTermination(300)
+    scores = spark.read.parquet(os.path.join(out_root, "scores"))
+    got = sorted(tuple(r) for r in scores.select("Document", "Score").collect())
+    assert got == _expected(spark)
