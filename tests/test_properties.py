@@ -97,3 +97,83 @@ def test_predictor_hook_equals_expression_model(spark):
     a = {r["Chave"]: r["P_1"] for r in sc.score_with_predictor(df, "id", ["x", "y"], predict).collect()}
     b = {r["Chave"]: r["P_1"] for r in sc.score_linear(df, "id", coef, 0.1).collect()}
     assert a.keys() == b.keys() and all(abs(a[k] - b[k]) < 1e-12 for k in a)
+
+
+# -- brute-force references of the file rule, on small random fixtures ------------
+
+import datetime as _dt  # noqa: E402
+
+from duescore.operators import contact as _ct  # noqa: E402
+from duescore.functions import text as _fx  # noqa: E402
+
+DAY0 = _dt.date(2024, 1, 1)
+STATUSES = ["open", "expired", "broken", "settled"]
+
+
+def _pairwise_labels(days, deals):
+    """The file rule: every (day, deal) pair of a person, labelled, newest deal kept per (person, day)."""
+    out = {}
+    for p, d in days:
+        mine = [x for x in deals if x[0] == p]
+        if not mine:
+            out[(p, d)] = "ATIVADO"
+            continue
+        _, top_date, _, status = max(mine, key=lambda x: x[1])
+        if d is None:
+            out[(p, d)] = "NAO_ATIVADO"
+        elif d <= top_date or status in ("expired", "broken"):
+            out[(p, d)] = "ATIVADO"
+        else:
+            out[(p, d)] = "NAO_ATIVADO"
+    return out
+
+
+@settings(max_examples=6, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from("abc"), st.one_of(st.none(), st.integers(0, 30))), min_size=1, max_size=15,
+                unique=True),
+       st.lists(st.tuples(st.sampled_from("abcd"), st.integers(0, 30), st.sampled_from(STATUSES)), max_size=10))
+def test_latest_deal_labels_equal_pairwise_rule(spark, day_rows, deal_rows):
+    # one deal date per person per day value, so the file rule's "newest deal" is unambiguous
+    seen, deals = set(), []
+    for i, (p, off, s) in enumerate(deal_rows):
+        if (p, off) not in seen:
+            seen.add((p, off))
+            deals.append((p, DAY0 + _dt.timedelta(days=off), f"d{i:03d}", s))
+    days = [(p, None if off is None else DAY0 + _dt.timedelta(days=off)) for p, off in day_rows]
+    ddf = spark.createDataFrame([(p, d, "email") for p, d in days], "document string, DT_INTERACAO date, type string")
+    deal_df = spark.createDataFrame(deals, "CPF string, DT_ACORDO date, dealID string, status string")
+    lab = _ct.activation_label(_ct.pivot_channel_day(ddf, ["email"]), _ct.latest_deal(deal_df), ["email"])
+    got = {(r["document"], r["DT_INTERACAO"]): r["ATIVACAO"] for r in lab.collect()}
+    assert got == _pairwise_labels(days, deals)
+
+
+@settings(max_examples=6, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from("ab"), st.sampled_from("xy"), st.one_of(st.none(), st.integers(0, 5))),
+                min_size=1, max_size=20))
+def test_earliest_per_group_equals_brute_force(spark, rows):
+    data = [(p, c, f"k{i}", None if o is None else DAY0 + _dt.timedelta(days=o)) for i, (p, c, o) in enumerate(rows)]
+    df = spark.createDataFrame(data, "_id string, creditor string, contract string, d date")
+    got = sorted(r["contract"] for r in en.earliest_per_group(df, ["_id", "creditor"], "d").collect())
+    want = []
+    for p, c, k, d in data:
+        dates = [x[3] for x in data if x[0] == p and x[1] == c and x[3] is not None]
+        if d is not None and dates and d == min(dates):
+            want.append(k)
+    assert got == sorted(want)
+
+
+@settings(max_examples=6, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["+", "-", ""]), st.integers(0, 10 ** 7), st.integers(0, 99)),
+                min_size=1, max_size=20))
+def test_signed_decimal_equals_python_reading(spark, amounts):
+    texts = [f"{s}{i:09d},{c:02d}" for s, i, c in amounts]
+    df = spark.createDataFrame([(t,) for t in texts], "a string")
+    got = [(r[0], r[1]) for r in df.select(_fx.parse_signed_decimal("a"),
+                                           _fx.parse_signed_decimal("a", strict_sign=True)).collect()]
+    want = []
+    for t in texts:
+        body = t.lstrip("+")
+        lenient = float(body.replace(",", "."))
+        strict = float(t.split("+")[1].replace(",", ".")) if "+" in t else None
+        want.append((lenient, strict))
+    assert got == want
