@@ -177,3 +177,34 @@ def test_signed_decimal_equals_python_reading(spark, amounts):
         strict = float(t.split("+")[1].replace(",", ".")) if "+" in t else None
         want.append((lenient, strict))
     assert got == want
+
+
+@settings(max_examples=5, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.sampled_from("abcde")), min_size=1, max_size=60), st.integers(1, 20))
+def test_salted_join_equals_plain_left_join(spark, keys, hot_rows):
+    from duescore.operators.enrich import hot_keys, salted_left_join
+    left = spark.createDataFrame([(k, i) for i, k in enumerate(keys)], "k string, v int")
+    facts = spark.createDataFrame([(k, ord(k)) for k in "abc"] + [(None, -1)], "fk string, f int")
+    counts = left.groupBy(F.col("k").alias("fk")).count()
+    hot = hot_keys(counts, ["fk"], "count", hot_rows, 3)
+    got = sorted(map(tuple, salted_left_join(left, facts, ["k"], ["fk"], hot).select("k", "v", "f").collect()),
+                 key=repr)
+    want = sorted([(k, i, (-1 if k is None else (ord(k) if k in "abc" else None))) for i, k in enumerate(keys)],
+                  key=repr)
+    assert got == want
+
+
+@settings(max_examples=5, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from("ab"), st.sampled_from(["sms", "call", "email", "push"]),
+                          st.one_of(st.none(), st.sampled_from(["NOVO_1", "x", "", "aNOVOb"]))), min_size=1, max_size=25))
+def test_channel_counts_equal_python_reading(spark, rows):
+    df = spark.createDataFrame(rows, "document string, type string, campaign_name string")
+    chans = (("sms", "SMS"), ("call", "VOICE"), ("email", "EMAIL"))
+    got = {r["document"]: r.asDict() for r in _ct.channel_counts(df, chans, "NOVO").collect()}
+    for doc in {r[0] for r in rows}:
+        mine = [r for r in rows if r[0] == doc]
+        for v, t in chans:
+            marked = sum(1 for _, ty, n in mine if ty == v and n is not None and "NOVO" in n)
+            plain = sum(1 for _, ty, n in mine if ty == v and not (n is not None and "NOVO" in n))
+            assert got[doc][f"ACION_{t}_QTD_NAO_ATIVADO"] == marked
+            assert got[doc][f"ACION_{t}_QTD_ATIVADO"] == plain
