@@ -79,6 +79,14 @@ def concat_key(*cols: ColumnOrName, sep: str = ":") -> Column:
     return F.concat_ws(sep, *[_c(c) for c in cols])
 
 
+def has_marker(c: ColumnOrName, marker: str) -> Column:
+    """Text (or the ';'-joined elements of an array of texts) LIKE '%marker%' (F10, X5).
+
+    A missing name joins to the empty text, so it never holds the marker (Q29).
+    """
+    return F.concat_ws(";", _c(c)).like(f"%{marker}%")
+
+
 def bool_to_int(c: ColumnOrName) -> Column:
     """Boolean, or the texts ``true``/``false``, to 1/0."""
     c = _c(c)

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import parse_day_prefix
+from ..functions.text import has_marker
 from ..spec import ACTIVATED, DEAL_DATE, NOT_ACTIVATED
 from .enrich import first_per_key
 
@@ -87,8 +88,7 @@ def channel_counts(campaigns: DataFrame, channels: Sequence[tuple[str, str]], ma
     A name holding the marker is a non-activation; every other name, the empty
     one included, counts as activation (Q29).  One hash aggregate, one pass.
     """
-    text = F.concat_ws(";", F.col(name))
-    marked = text.like(f"%{marker}%")
+    marked = has_marker(name, marker)
     aggs = []
     for value, tgt in channels:
         is_type = F.col(kind) == F.lit(value)

@@ -42,6 +42,19 @@ def filter_not_equals(df: DataFrame, column: str, value) -> DataFrame:
     return df.filter(F.col(column) != F.lit(value))
 
 
+def exclude_containing(df: DataFrame, column: str, values: Sequence[str]) -> DataFrame:
+    """Rows whose text holds none of ``values`` as a substring; null text is dropped.
+
+    The file rule used this to drop control records by type; record types are
+    compared after trimming instead (``strip_control_records``, Q20).
+    """
+    cond = None
+    for v in values:
+        term = ~F.col(column).contains(F.lit(v))
+        cond = term if cond is None else cond & term
+    return df.filter(cond)
+
+
 def asof_cutoff(df: DataFrame, ts_column: str, day: str, inclusive_day: bool = False) -> DataFrame:
     """Keep events up to the file date."""
     return df.filter(at_or_before(ts_column, day, inclusive_day))

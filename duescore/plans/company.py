@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import parse_date
-from ..functions.text import clean_document, parse_signed_decimal, yes_no_flag
+from ..functions.text import clean_document, has_marker, parse_signed_decimal, yes_no_flag
 from ..operators.nested import explode_debts, merge_composite_key, person_projection, rank_columns, semi_join_lookup
 from ..sources.files import strip_control_records
 from ..spec import (ACTIVATED, AUTH_COUNT, COMPANY_AMOUNT_FIELDS, COMPANY_BASE_COLUMNS, COMPANY_INT_FIELDS,
@@ -66,7 +66,7 @@ def build_company_base(parsed: DataFrame, src: Sources, spec: PortfolioSpec, fil
     rows = company_base_rows(parsed, src.persons, spec, file_name, creditor_id, as_of, strict_sign)
     camp = src.campaigns.select(
         "document", parse_date("interactionDate", "yyyy-MM-dd").alias("DT_CAMPANHA"), "type",
-        F.concat_ws(";", F.col("campaign_name")).like(f"%{spec.campaign_marker}%").alias("marked"))
+        has_marker("campaign_name", spec.campaign_marker).alias("marked"))
     any_camp = F.count_if(is_kind("camp")) > 0
     counts = []
     for value, tgt in spec.channels:

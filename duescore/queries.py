@@ -320,8 +320,7 @@ def q_exclude_status(spark, sf_dir):
 SELECT event_id, props FROM events WHERE NOT contains(props, '5') AND NOT contains(props, '9')""")
 def q_contains_filter(spark, sf_dir):
     """Rows whose text holds none of the given substrings."""
-    e = tb.table(spark, sf_dir, "events").select("event_id", "props")
-    return e.filter(~F.col("props").contains("5") & ~F.col("props").contains("9"))
+    return en.exclude_containing(tb.table(spark, sf_dir, "events").select("event_id", "props"), "props", ["5", "9"])
 
 
 @register("like_flags", with_roles("campaigns") + f"""
@@ -331,8 +330,8 @@ FROM campaigns""")
 def q_like_flags(spark, sf_dir):
     """LIKE and NOT LIKE on the campaign name."""
     c = tb.campaigns(spark, sf_dir)
-    marked = F.concat_ws(";", F.col("campaign_name")).like(f"%{tb.CAMPAIGN_MARKER}%")
-    return c.select("document", "interactionDate", "type", "campaign_name", (~marked).alias("activated"))
+    return c.select("document", "interactionDate", "type", "campaign_name",
+                    (~fx.has_marker("campaign_name", tb.CAMPAIGN_MARKER)).alias("activated"))
 
 
 # Section 2.7 - scalar functions ------------------------------------------------
