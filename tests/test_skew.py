@@ -63,3 +63,15 @@ def test_salted_join_spreads_a_hot_key(spark):
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", prev)
     assert parts > 1                          # the hot key's 1000 rows are not in one task
+
+
+def test_fill_zero_switch(spark):
+    src = tb.card_sources(spark, SF)
+    cols = ["ACION_EMAIL_QTD_ATIVADO", "ACION_SMS_QTD_ATIVADO", "ACION_EMAIL_QTD_NAO_ATIVADO",
+            "ACION_SMS_QTD_NAO_ATIVADO"]
+    keep = build_card_base(tb.card_file(spark, SF), src, tb.CARD, tb.FILE_DAY)
+    zero = build_card_base(tb.card_file(spark, SF), src, tb.CARD.with_(fill_zero=True), tb.FILE_DAY)
+    nulls = keep.filter(F.col(cols[0]).isNull()).count()
+    assert nulls > 0                                              # persons without contacts stay null (Q12)
+    assert zero.filter(F.col(cols[0]).isNull()).count() == 0
+    assert zero.filter(F.col(cols[0]) == 0).count() >= nulls
