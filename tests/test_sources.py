@@ -86,3 +86,10 @@ def test_stage_path_uses_the_session_checkpoint_folder(spark):
     root = checkpoint_root(spark)
     assert root == spark.sparkContext.getCheckpointDir()
     assert stage_path(spark, "card", "p").startswith(root)
+
+
+def test_cluster_settings_size_partitions():
+    from duescore.session import cluster_settings
+    c = cluster_settings(5 * (1 << 40))
+    assert c["spark.sql.shuffle.partitions"] == "40960"
+    assert cluster_settings(1)["spark.sql.shuffle.partitions"] == "200"
