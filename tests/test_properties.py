@@ -208,3 +208,22 @@ def test_channel_counts_equal_python_reading(spark, rows):
             plain = sum(1 for _, ty, n in mine if ty == v and not (n is not None and "NOVO" in n))
             assert got[doc][f"ACION_{t}_QTD_NAO_ATIVADO"] == marked
             assert got[doc][f"ACION_{t}_QTD_ATIVADO"] == plain
+
+
+@settings(max_examples=5, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["7", "07", "123", "1234567890123"]),
+                          st.floats(min_value=0.0, max_value=1.0, allow_nan=False)), min_size=1, max_size=30))
+def test_rollup_equals_python_reading(spark, rows):
+    from duescore.spec import CARD_BAND_EDGES
+    data = [(k, p, sum(1 for e in CARD_BAND_EDGES if p > e)) for k, p in rows]
+    pre = spark.createDataFrame(data, "Chave string, P_1 double, GH int")
+    got = {r["Document"]: (r["Score"], r["ScoreValue"], r["ScoreAvg"])
+           for r in sc.score_rollup(pre, 11, "p", "2024-01-15", "2024-01-16").collect()}
+    want = {}
+    for k, p, b in data:
+        want.setdefault(k.rjust(11, "0")[:11], []).append((p, b))
+    assert set(got) == set(want)
+    for d, items in want.items():
+        score, value, avg = got[d]
+        assert score == max(b for _, b in items) and value == max(p for p, _ in items)
+        assert abs(avg - sum(p for p, _ in items) / len(items)) < 1e-12
