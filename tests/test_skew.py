@@ -75,3 +75,14 @@ def test_fill_zero_switch(spark):
     assert nulls > 0                                              # persons without contacts stay null (Q12)
     assert zero.filter(F.col(cols[0]).isNull()).count() == 0
     assert zero.filter(F.col(cols[0]) == 0).count() >= nulls
+
+
+def test_strict_sign_switch_in_company_rows(spark):
+    from duescore.plans.company import company_base_rows
+    parsed = sfiles.parse_lines(tb.company_lines(spark, SF), COMPANY_FILE_FIELDS, sep=";")
+    args = (tb.persons(spark, SF), tb.COMPANY, tb.COMPANY_FILE_NAME, tb.COMPANY_CREDITOR_ID, tb.AS_OF)
+    lenient = company_base_rows(parsed, *args)
+    strict = company_base_rows(parsed, *args, strict_sign=True)
+    assert lenient.filter(F.col("Taxa_Padrao") < 0).count() > 0                 # '-' amounts read (default)
+    assert strict.filter(F.col("Taxa_Padrao") < 0).count() == 0                 # old rule: null (Q22)
+    assert strict.filter(F.col("Taxa_Padrao").isNull()).count() == lenient.filter(F.col("Taxa_Padrao") < 0).count()
