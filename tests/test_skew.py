@@ -86,3 +86,13 @@ def test_strict_sign_switch_in_company_rows(spark):
     assert lenient.filter(F.col("Taxa_Padrao") < 0).count() > 0                 # '-' amounts read (default)
     assert strict.filter(F.col("Taxa_Padrao") < 0).count() == 0                 # old rule: null (Q22)
     assert strict.filter(F.col("Taxa_Padrao").isNull()).count() == lenient.filter(F.col("Taxa_Padrao") < 0).count()
+
+
+def test_inclusive_day_switch(spark):
+    src = tb.card_sources(spark, SF)
+    a = build_card_base(tb.card_file(spark, SF), src, tb.CARD, tb.FILE_DAY)
+    b = build_card_base(tb.card_file(spark, SF), src, tb.CARD.with_(inclusive_day=True), tb.FILE_DAY)
+    sa = a.agg(F.sum("QTD_SIMU"), F.sum("QTD_AUTH")).first()
+    sb = b.agg(F.sum("QTD_SIMU"), F.sum("QTD_AUTH")).first()
+    assert sb[0] >= sa[0] and sb[1] >= sa[1]           # the whole file date counts (Q5)
+    assert a.count() == b.count()
