@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from duescore.llm.common import table
 from duescore.llm.decontaminate import contamination
 from duescore.llm.licenses import license_scan
+from duescore.llm.sharding import document_shards
+from duescore.llm.simhash import simhash_components
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -32,6 +34,18 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan(table(spark, sf_dir, "documents"))
 
 
+@query("op7_sharding")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shards 0 to 23 of all documents along the Hilbert curve of their metadata."""
+    return document_shards(table(spark, sf_dir, "documents"), 24)
+
+
+@query("op8_simhash_near_dedup")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every document (3-word shingles, at most 3 bits)."""
+    return simhash_components(table(spark, sf_dir, "documents"), 3, 3).select("doc_id", "fingerprint", "component_id")
+
+
 LOWER_SQL = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 WORDS_SQL = "regexp_extract_all(" + LOWER_SQL.format("coalesce(text, '')") + r", '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
