@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from duescore.llm.common import table
 from duescore.llm.decontaminate import contamination
 from duescore.llm.licenses import license_scan
+from duescore.llm.packing import packed
 from duescore.llm.sharding import document_shards
 from duescore.llm.simhash import simhash_components
 
@@ -46,6 +47,12 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(table(spark, sf_dir, "documents"), 3, 3).select("doc_id", "fingerprint", "component_id")
 
 
+@query("op9_best_fit_packing")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token pieces of all documents in sequences of at most 2,048 tokens."""
+    return packed(table(spark, sf_dir, "documents"))
+
+
 LOWER_SQL = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 WORDS_SQL = "regexp_extract_all(" + LOWER_SQL.format("coalesce(text, '')") + r", '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
