@@ -8,9 +8,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from duescore.llm.archives import archived
 from duescore.llm.common import table
 from duescore.llm.decontaminate import contamination
 from duescore.llm.licenses import license_scan
+from duescore.llm.neighbours import nearest
 from duescore.llm.packing import packed
 from duescore.llm.sharding import document_shards
 from duescore.llm.simhash import simhash_components
@@ -35,6 +37,28 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan(table(spark, sf_dir, "documents"))
 
 
+@query("op5_nearest_neighbours")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 nearest vectors found for every vector whose id is divisible by 100."""
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0)
+
+
+OP6_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, octet_length(encode(coalesce(html, ''))) AS n FROM pages),
+d AS (SELECT page_id, n, sha1(html) AS digest, max(page_id) OVER (PARTITION BY html) AS last FROM p)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, digest AS payload_digest,
+  CASE WHEN n >= 1000 AND page_id IS DISTINCT FROM last AND last IS NOT NULL THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN n >= 1000 AND page_id IS DISTINCT FROM last THEN last END AS refers_to
+FROM d
+"""
+
+
+@query("op6_arc_to_warc", OP6_SQL)
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages as ARC records, converted to WARC files and read back."""
+    return archived(table(spark, sf_dir, "pages")).drop("record_id")
+
+
 @query("op7_sharding")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shards 0 to 23 of all documents along the Hilbert curve of their metadata."""
