@@ -14,8 +14,10 @@ from duescore.llm.decontaminate import contamination
 from duescore.llm.licenses import license_scan
 from duescore.llm.neighbours import nearest
 from duescore.llm.packing import packed
+from duescore.llm.quality import classified
 from duescore.llm.sharding import document_shards
 from duescore.llm.simhash import simhash_components
+from duescore.llm.token_files import document_token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -37,6 +39,18 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan(table(spark, sf_dir, "documents"))
 
 
+@query("op3_token_counts")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document, counted by a scan of flat token streams."""
+    return document_token_counts(table(spark, sf_dir, "documents"))
+
+
+@query("op4_quality_classifier")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log importance weights of every document and the sample that is kept."""
+    return classified(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query("op5_nearest_neighbours")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 10 nearest vectors found for every vector whose id is divisible by 100."""

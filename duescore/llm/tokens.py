@@ -49,14 +49,16 @@ PUNCTUATION = _marks((0x21, 0x2F), (0x3A, 0x40), (0x5B, 0x60), (0x7B, 0x7E), wit
 class Encoder:
     """Encodes columns of texts; one per Python worker and vocabulary file."""
 
-    _made: dict[str, Encoder] = {}
+    _made: dict[tuple[str, bool], Encoder] = {}
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, added: bool = True):
+        """``added``: the strings of added tokens are those tokens; else ordinary text."""
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.tokenizer.encode_special_tokens = not added
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()] if added else []
         # Bytes of each id: the vocabulary writes a byte as one character.
         vocabulary = self.tokenizer.get_vocab()
         self.width = np.zeros(max(vocabulary.values()) + 1, np.int64)
@@ -66,10 +68,10 @@ class Encoder:
         self._empty()
 
     @classmethod
-    def of(cls, path: str) -> Encoder:
-        if path not in cls._made:
-            cls._made[path] = cls(path)
-        return cls._made[path]
+    def of(cls, path: str, added: bool = True) -> Encoder:
+        if (path, added) not in cls._made:
+            cls._made[path, added] = cls(path, added)
+        return cls._made[path, added]
 
     def _empty(self) -> None:
         self.cache.clear()
