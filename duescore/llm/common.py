@@ -70,8 +70,8 @@ def text_buffer(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets - offsets[0]
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
-    """The batches in runs of rows with about SLICE_BYTES of text, so that the working
+def slices(batches: Iterator[pa.RecordBatch], column: str = "text", most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batches in runs of rows with about ``most`` bytes of text, so that the working
     arrays of a task stay bounded (one text longer than that is a run of its own)."""
     for b in batches:
         if not b.num_rows:
@@ -81,7 +81,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[
         lo = 0
         while lo < b.num_rows:
             base = ends[lo - 1] if lo else 0
-            hi = max(lo + 1, int(np.searchsorted(ends, base + SLICE_BYTES, side="right")))
+            hi = max(lo + 1, int(np.searchsorted(ends, base + most, side="right")))
             yield b.slice(lo, hi - lo)
             lo = hi
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from duescore.llm.archives import archived
 from duescore.llm.common import table
 from duescore.llm.decontaminate import contamination
+from duescore.llm.language_model import scores
 from duescore.llm.licenses import license_scan
 from duescore.llm.neighbours import nearest
 from duescore.llm.packing import packed
@@ -39,6 +40,12 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan(table(spark, sf_dir, "documents"))
 
 
+@query("op2_lm_scoring")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unigram and context-mixing log probabilities of every document."""
+    return scores(table(spark, sf_dir, "documents"))
+
+
 @query("op3_token_counts")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document, counted by a scan of flat token streams."""
