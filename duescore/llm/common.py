@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from duescore.session import ensure_checkpoint_dir
 
 #: Text bytes worked on at a time inside a task (a longer single text is one slice).
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 
 def shared_folder(spark: SparkSession) -> str:

@@ -30,11 +30,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from duescore.llm.common import NON_SPACE, Words, slices, staged, with_uid
+from duescore.llm.common import NON_SPACE, Words, slices, staged
 from duescore.llm.components import connected_components
 
 BLOCKS = 3
 SEED = 42
+#: Text bytes hashed at a time: every shingle is a Python object for a moment.
+SCAN_BYTES = 1 << 20
 #: Runs of at most so many fingerprints are compared by one distance matrix.
 MATRIX = 512
 
@@ -61,7 +63,7 @@ def majority(hashes: np.ndarray, row: np.ndarray) -> np.ndarray:
     if len(some):
         counts = np.empty((len(some), 64), np.int64)
         bounds = row[:-1][some]
-        step = 1 << 20  # hashes unpacked at a time, whole rows only
+        step = 1 << 18  # hashes unpacked at a time, whole rows only
         at = 0
         while at < len(some):
             to = max(at + 1, int(np.searchsorted(bounds, bounds[at] + step)))
@@ -85,7 +87,7 @@ def fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text
     keep = [id_col, *extra]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches, text_col):
+        for b in slices(batches, text_col, SCAN_BYTES):
             fp = majority(*shingle_hashes(Words(b.column(text_col), NON_SPACE), shingle))
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in keep), pa.array(fp.view(np.int64))], names=[*keep, "fp"])
 
@@ -266,9 +268,19 @@ def simhash_components(docs: DataFrame, shingle: int = 3, max_bits: int = 3, id_
 
 def simhash_dedup(docs: DataFrame, shingle: int = 3, max_bits: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one row of each component: the one with the smallest id (nulls
-    last), and of rows that share that id any one.  All columns stay."""
-    rows = staged(with_uid(docs, "__row"), "dedup-rows")
-    member = simhash_components(rows, shingle, max_bits, id_col, text_col, ("__row",))
-    order = F.struct(F.col(id_col).isNull().alias("n"), F.col(id_col).alias("i"), F.col("__row").alias("r"))
-    stay = member.groupBy("root").agg(F.min(order)["r"].alias("__row"))
-    return rows.join(stay.select("__row"), "__row", "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
+    last), and of rows that share id and text any one.  All columns stay.
+
+    A row's key is its id and a hash of its text; the keys that go are joined against
+    ``docs``, so the wide rows are neither copied nor sorted more than once."""
+    key = F.xxhash64(F.col(f"`{text_col}`"))
+    rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"), key.alias("key"))
+    member = staged(simhash_components(rows, shingle, max_bits, "id", "text", ("key",)).select("id", "key", "root"), "dedup-members")
+    order = F.struct(F.col("id").isNull().alias("n"), F.col("id").alias("i"), F.col("key").alias("k"))
+    first = member.groupBy("root").agg(F.min(order).alias("f"))
+    goes = ~(F.col("id").eqNullSafe(F.col("f.i")) & (F.col("key") == F.col("f.k")))
+    gone = member.join(first, "root").where(goes).select("id", "key").distinct()
+    wide = docs.select(F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)]).alias("row"), F.col(f"`{id_col}`").alias("wid"), key.alias("wkey"))
+    kept = wide.join(gone, wide.wid.eqNullSafe(gone.id) & (wide.wkey == gone.key), "left_anti")
+    if not member.groupBy("id", "key").count().where("count > 1").isEmpty():  # repeated rows share their key
+        kept = kept.dropDuplicates(["wid", "wkey"])
+    return kept.select(*[F.col(f"row.c{i}").alias(c) for i, c in enumerate(docs.columns)])
