@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from . import testbed as tb
+from .operators.score import Split, tree_features
 from .spec import CARD_CATEGORICAL, CARD_DATES, CARD_NUMERIC, DEBT_TAGS, RANK_VALUES
 from .testbed_sql import with_roles
 
@@ -81,10 +82,10 @@ def card_base_ctes() -> list[tuple[str, str]]:
     return [CARD_FILE_CTE, *enrichment_ctes("cpf", "cf", "CPF", "CONTA"), _DEAL_ROWS, _INST_ROWS,
             ("perdeal", """SELECT dealID, max(CAST(try_strptime(DT_PAGAMENTO, '%Y-%m-%d') AS DATE)) AS DT_PAGAMENTO, max(QTD_PARCELAS) AS QTD_PARCELAS,
                    bool_or(has_paid_date) AS has_payment FROM ir GROUP BY dealID"""),
-            ("outc", """SELECT dr.CPF, max(dr.DT_ACORDO) AS DT_ACORDO, max(pd.DT_PAGAMENTO) AS DT_PAGAMENTO,
-                   max(pd.QTD_PARCELAS) AS QTD_PARCELAS, bool_or(pd.DT_PAGAMENTO IS NOT NULL) AS PAGTO,
-                   bool_or(COALESCE(pd.has_payment, FALSE)) AS has_payment
-            FROM dr LEFT JOIN perdeal pd ON dr.dealID = pd.dealID GROUP BY dr.CPF"""),
+            ("outc", """SELECT dr.CPF, dr.DT_ACORDO, pd.DT_PAGAMENTO, pd.QTD_PARCELAS, pd.DT_PAGAMENTO IS NOT NULL AS PAGTO,
+                   COALESCE(pd.has_payment, FALSE) AS has_payment
+            FROM dr LEFT JOIN perdeal pd ON dr.dealID = pd.dealID
+            QUALIFY row_number() OVER (PARTITION BY dr.CPF ORDER BY dr.DT_ACORDO DESC, dr.dealID DESC) = 1"""),
             _DAYS_SQL, _DC_SQL, _LD_SQL, _LAB_SQL, _PIVOT_ACT_SQL,
             ("ft", "SELECT document, min(DT_INTERACAO) AS PRIMEIRO_ACIONAMENTO FROM lab GROUP BY document"),
             ("cbase", """SELECT a.* EXCLUDE (_id), outc.DT_ACORDO, outc.CPF IS NOT NULL AS VARIAVEL_RESPOSTA_ACORDO,
@@ -92,7 +93,12 @@ def card_base_ctes() -> list[tuple[str, str]]:
                    COALESCE(outc.PAGTO, FALSE) AS PAGTO, COALESCE(outc.has_payment, FALSE) AS has_payment,
                    ft.PRIMEIRO_ACIONAMENTO, act.* EXCLUDE (document)
             FROM arq1 a LEFT JOIN outc ON a.CPF = outc.CPF LEFT JOIN ft ON a.CPF = ft.document
-            LEFT JOIN act ON a.CPF = act.document""")]
+            LEFT JOIN act ON a.CPF = act.document"""),
+            ("cdeal", """SELECT c.* EXCLUDE (DT_ACORDO, VARIAVEL_RESPOSTA_ACORDO, DT_PAGAMENTO, QTD_PARCELAS, PAGTO, has_payment),
+                   dr.DT_ACORDO, dr.CPF IS NOT NULL AS VARIAVEL_RESPOSTA_ACORDO, ir.DT_PAGAMENTO,
+                   COALESCE(ir.QTD_PARCELAS, 0) AS QTD_PARCELAS, ir.DT_PAGAMENTO IS NOT NULL AS PAGTO,
+                   COALESCE(ir.has_paid_date, FALSE) AS has_payment
+            FROM cbase c LEFT JOIN dr ON c.CPF = dr.CPF LEFT JOIN ir ON dr.dealID = ir.dealID""")]
 
 
 CARD_ROLES = ("card_file", "info", "debts", "simulation", "authentication", "deals", "installments", "interactions")
@@ -105,6 +111,12 @@ def feature_base_card_sql() -> str:
         f"SELECT * REPLACE ({casts}) FROM cbase"
 
 
+def feature_base_card_deals_sql() -> str:
+    casts = ", ".join(f'CAST({c} AS VARCHAR) AS {c}' for c in CARD_DATE_COLS)
+    return with_roles(*CARD_ROLES, extra=card_base_ctes()) + \
+        f"SELECT * REPLACE ({casts}) FROM cdeal"
+
+
 def company_base_ctes() -> list[tuple[str, str]]:
     from .queries import _CHANNEL_SQL, _CRED_DEBTS, _RANK_SQL
     ranks = ", ".join(f"CASE WHEN nd.document IS NULL THEN NULL ELSE ({_RANK_SQL}) = '{r}' END AS \"{r}\""
@@ -161,17 +173,29 @@ def _profile_bools() -> set[str]:
     return cols | {f"SkipDivida_{t}" for t in DEBT_TAGS} | {"Divida_Outro_Credor", "Divida_Mesmo_Credor"}
 
 
-def scores_sql(roles, ctes, base_cte: str, id_col: str, coefficients: dict, intercept: float, edges, width: int,
+def linear_sql(coefficients: dict, intercept: float) -> str:
+    return f"{float(intercept)!r} + " + " + ".join(f'{float(w)!r} * COALESCE("{n}", 0.0)' for n, w in coefficients.items())
+
+
+def tree_sql(node) -> str:
+    """The leaf value of a published tree."""
+    if not isinstance(node, Split):
+        return repr(float(node))
+    left, right = tree_sql(node.left), tree_sql(node.right)
+    return (f'(CASE WHEN "{node.feature}" IS NULL THEN {left if node.missing_left else right} '
+            f'WHEN "{node.feature}" < {float(node.threshold)!r} THEN {left} ELSE {right} END)')
+
+
+def scores_sql(roles, ctes, base_cte: str, id_col: str, names, margin: str, edges, width: int,
                provider: str, numeric, dates, categorical, bool_cols: set[str]) -> str:
-    """Oracle of ``propensity_scores`` over a feature-base CTE."""
+    """Oracle of ``propensity_scores`` over a feature-base CTE: ``margin`` over the features ``names``."""
     from .queries import _band_sql
     string_cols = {f"Email{i + 1}_dominio" for i in range(3)}
     feats = ", ".join(f'{_feature_sql(n, numeric, dates, categorical, bool_cols, string_cols)} AS "{n}"'
-                      for n in coefficients)
-    z = " + ".join(f'{float(w)!r} * COALESCE("{n}", 0.0)' for n, w in coefficients.items())
+                      for n in names)
     ctes = ctes + [
         ("fv", f"SELECT DISTINCT {id_col}, {feats} FROM {base_cte}"),
-        ("pre", f"SELECT {id_col} AS Chave, 1.0 / (1.0 + exp(-({float(intercept)!r} + {z}))) AS P_1 FROM fv"),
+        ("pre", f"SELECT {id_col} AS Chave, 1.0 / (1.0 + exp(-({margin}))) AS P_1 FROM fv"),
         ("pre_gh", f"SELECT Chave, P_1, {_band_sql('P_1', edges)} AS GH FROM pre"),
     ]
     return with_roles(*roles, extra=ctes) + f"""
@@ -183,7 +207,15 @@ FROM pre_gh GROUP BY lpad(Chave, {width}, '0')"""
 
 def propensity_scores_sql() -> str:
     from .spec import CARD_BAND_EDGES
-    return scores_sql(CARD_ROLES, card_base_ctes(), "cbase", "CPF", tb.CARD_COEFFICIENTS, tb.CARD_INTERCEPT,
+    return scores_sql(CARD_ROLES, card_base_ctes(), "cbase", "CPF", tb.CARD_COEFFICIENTS,
+                      linear_sql(tb.CARD_COEFFICIENTS, tb.CARD_INTERCEPT), CARD_BAND_EDGES, 11, tb.CARD.provider, CARD_NUMERIC, CARD_DATES, CARD_CATEGORICAL,
+                      _profile_bools())
+
+
+def propensity_scores_trees_sql() -> str:
+    from .spec import CARD_BAND_EDGES
+    margin = " + ".join([repr(tb.CARD_TREE_BASE), *map(tree_sql, tb.CARD_TREES)])
+    return scores_sql(CARD_ROLES, card_base_ctes(), "cbase", "CPF", tree_features(tb.CARD_TREES), margin,
                       CARD_BAND_EDGES, 11, tb.CARD.provider, CARD_NUMERIC, CARD_DATES, CARD_CATEGORICAL,
                       _profile_bools())
 
@@ -192,5 +224,5 @@ def propensity_scores_company_sql() -> str:
     from .spec import COMPANY_BAND_EDGES, COMPANY_CATEGORICAL, COMPANY_DATES, COMPANY_NUMERIC
     bools = _profile_bools() | set(RANK_VALUES) | {"Indicador_Correntista"}
     return scores_sql(COMPANY_ROLES, company_base_ctes(), "kbase", "ID_DEVEDOR", tb.COMPANY_COEFFICIENTS,
-                      tb.COMPANY_INTERCEPT, COMPANY_BAND_EDGES, 14, tb.COMPANY.provider, COMPANY_NUMERIC,
+                      linear_sql(tb.COMPANY_COEFFICIENTS, tb.COMPANY_INTERCEPT), COMPANY_BAND_EDGES, 14, tb.COMPANY.provider, COMPANY_NUMERIC,
                       COMPANY_DATES, COMPANY_CATEGORICAL, bools)

@@ -69,11 +69,6 @@ def yes_no_flag(c: ColumnOrName, yes: str = "S", no: str = "N") -> Column:
     return F.when(c == yes, F.lit(True)).when(c == no, F.lit(False))
 
 
-def placeholder_to_null(c: ColumnOrName, placeholder: str) -> Column:
-    """The registration placeholder becomes null."""
-    return F.nullif(_c(c), F.lit(placeholder))
-
-
 def concat_key(*cols: ColumnOrName, sep: str = ":") -> Column:
     """Join texts with a separator; null parts are skipped."""
     return F.concat_ws(sep, *[_c(c) for c in cols])

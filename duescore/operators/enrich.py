@@ -176,19 +176,17 @@ def row_count(df: DataFrame, name: str = "n_rows") -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias(name))
 
 
-def hot_keys(counts: DataFrame, keys: Sequence[str], count_column: str, min_rows: int, top_k: int,
-             max_salts: int = 1024) -> DataFrame:
-    """Keys holding at least ``min_rows`` rows, at most ``top_k`` of them (largest first),
-    with the number of salts that spreads each over tasks of about ``min_rows`` rows.
-
-    The ``limit`` is the size bound that makes the result safe to broadcast;
-    keys beyond it simply keep one salt, so no row is ever dropped.  The order
-    is total (count, then keys), so a recomputation picks the same keys.
+def hot_keys(counts: DataFrame, keys: Sequence[str], count_column: str, min_rows: int, top_k: int) -> DataFrame:
+    """Keys holding at least ``max(min_rows, ceil(total / top_k))`` rows, with the number of
+    salts that spreads each over tasks of about that many rows.
+
+    At most ``top_k`` keys can hold a ``top_k``-th of all rows, so the result has a
+    proven size bound and is safe to broadcast without leaving out any larger key.
     """
-    salts = F.least(F.ceil(F.col(count_column) / F.lit(min_rows)), F.lit(max_salts)).cast("int")
-    return counts.filter(F.col(count_column) >= F.lit(min_rows)) \
-        .orderBy(F.col(count_column).desc(), *[F.col(k).asc_nulls_first() for k in keys]).limit(top_k) \
-        .select(*keys, salts.alias("__salts"))
+    total = counts.select(F.coalesce(F.sum(count_column), F.lit(0))).scalar()
+    least = F.greatest(F.lit(min_rows).cast("bigint"), F.ceil(total / F.lit(top_k)).cast("bigint"))
+    return counts.filter(F.col(count_column) >= least) \
+        .select(*keys, F.ceil(F.col(count_column) / least).cast("int").alias("__salts"))
 
 
 def _null_safe(a: DataFrame, b: DataFrame, ak: Sequence[str], bk: Sequence[str]) -> Column:
@@ -203,8 +201,8 @@ def salted_left_join(left: DataFrame, facts: DataFrame, left_keys: Sequence[str]
                      hot: DataFrame) -> DataFrame:
     """Left join to a table with one row per key, with hot keys salted (null-safe key equality).
 
-    ``hot`` (a ``hot_keys`` result: keys plus ``__salts``, bounded by its
-    ``limit``) is broadcast.  A row of a hot key gets salt
+    ``hot`` (a ``hot_keys`` result: keys plus ``__salts``, of bounded size) is
+    broadcast.  A row of a hot key gets salt
     ``xxhash64(row) mod __salts`` (deterministic, so a recomputed partition
     gets the same salts), other rows salt 0; the fact row of a hot key is
     repeated once per salt.  The join on (keys, salt) then spreads a key holding

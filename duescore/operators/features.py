@@ -53,27 +53,35 @@ class FeatureGroups:
 def resolve_feature(name: str, columns: Sequence[str], types: dict[str, str], groups: FeatureGroups,
                     as_of: str) -> Column:
     """The expression for one model feature name (E2-E6, X10, X22); always double."""
+    col, kind = F.col(f"`{name}`"), types.get(name)
     if name in columns and name in groups.numeric:
-        return coerce_numeric(name)
+        return coerce_numeric(col) if kind == "string" else col.cast("double")
     m = re.fullmatch(r"(ano|mes|dia|delta)_(.+)", name)
     if m and m.group(2) in groups.dates and m.group(2) in columns:
-        d = F.col(m.group(2))
+        d = F.col(f"`{m.group(2)}`")
         part = m.group(1)
         if part == "delta":
             return elapsed_years(d, as_of)
         return {"ano": F.year, "mes": F.month, "dia": F.dayofmonth}[part](d).cast("double")
-    if name in columns and types.get(name) == "boolean":
-        return bool_to_int(name).cast("double")
+    if name in columns and kind == "boolean":
+        return col.cast("double")
     if name in columns and any(name.startswith(p) for p in groups.binary_prefixes):
-        return bool_to_int(name).cast("double")
+        return bool_to_int(col).cast("double")
     for c in (*groups.categorical, *[x for x in columns if types.get(x) == "string"
                                      and any(x.startswith(p) for p in groups.one_hot_prefixes)]):
         if c in columns and name.startswith(c + "_"):
-            value = name[len(c) + 1:]
-            return F.coalesce((F.col(c) == F.lit(value)).cast("double"), F.lit(0.0))
+            return F.coalesce((as_category(c, types.get(c)) == F.lit(name[len(c) + 1:])).cast("double"), F.lit(0.0))
     return F.lit(None).cast("double")
 
 
+def as_category(c: str, kind: str | None) -> Column:
+    """A category as the text that feature names carry; a boolean is ``True`` or ``False``."""
+    col = F.col(f"`{c}`")
+    if kind == "boolean":
+        return F.when(col, F.lit("True")).when(~col, F.lit("False"))
+    return col if kind == "string" else col.cast("string")
+
+
 def feature_vector(df: DataFrame, id_column: str, feature_names: Sequence[str], groups: FeatureGroups,
                    as_of: str, distinct: bool = True) -> DataFrame:
     """Id plus the model's features in the model's order."""

@@ -58,13 +58,13 @@ def inner_join_deals(deals: DataFrame, payments: DataFrame) -> DataFrame:
 
 
 def deal_summary(deals: DataFrame, installments: DataFrame, key: str = "CPF") -> DataFrame:
-    """Deals and installments collapsed to one row per person.
+    """Each person's latest deal (date, then largest id) with its own installments.
 
     Installments are reduced per deal, then deals per person, so the join to
     the portfolio never fans out, and a person or deal holding a large share of
-    the rows is reduced map-side before any shuffle.  ``latest`` is the newest
-    deal (date, then largest id) that labels interaction days (W2), so the
-    deals are aggregated once for both uses.
+    the rows is reduced map-side before any shuffle.  ``latest`` is one real
+    deal: its date, id and status (which label interaction days, W2), its last
+    payment date, installment count and flags.
     """
     per_deal = installments.groupBy("dealID").agg(
         F.max(F.try_to_date(F.col(PAYMENT_DATE), "yyyy-MM-dd")).alias(PAYMENT_DATE),
@@ -72,27 +72,23 @@ def deal_summary(deals: DataFrame, installments: DataFrame, key: str = "CPF") ->
         F.max("has_paid_date").alias("has_payment"),
     )
     d = deals.join(per_deal, on="dealID", how="left")
-    return d.groupBy(key).agg(
-        F.max(F.struct(F.col(DEAL_DATE), F.col("dealID"), F.col("status"))).alias("latest"),
-        F.max(PAYMENT_DATE).alias(PAYMENT_DATE),
-        F.max(INSTALLMENT_COUNT).alias(INSTALLMENT_COUNT),
-        F.max(F.col(PAYMENT_DATE).isNotNull()).alias(PAYMENT_FLAG),
-        F.max(F.coalesce(F.col("has_payment"), F.lit(False))).alias("has_payment"),
-    )
+    return d.groupBy(key).agg(F.max(F.struct(
+        F.col(DEAL_DATE), F.col("dealID"), F.col("status"), F.col(PAYMENT_DATE), F.col(INSTALLMENT_COUNT),
+        F.col(PAYMENT_DATE).isNotNull().alias(PAYMENT_FLAG),
+        F.coalesce(F.col("has_payment"), F.lit(False)).alias("has_payment"))).alias("latest"))
 
 
 def outcome_columns(summary: DataFrame, key: str = "CPF") -> DataFrame:
-    """Outcome variables from the per-person summary: deal date and flag, payment date, count, flags."""
-    return summary.select(key, F.col(f"latest.{DEAL_DATE}").alias(DEAL_DATE), F.lit(True).alias(DEAL_FLAG),
-                          PAYMENT_DATE, INSTALLMENT_COUNT, PAYMENT_FLAG, "has_payment")
+    """Outcome variables of the latest deal: deal date and flag, payment date, count, flags."""
+    return summary.select(key, F.lit(True).alias(DEAL_FLAG), *[
+        F.col(f"latest.{c}").alias(c) for c in (DEAL_DATE, PAYMENT_DATE, INSTALLMENT_COUNT, PAYMENT_FLAG, "has_payment")])
 
 
 def latest_from_summary(summary: DataFrame, key: str = "CPF") -> DataFrame:
     """(person, deal date, deal id, status) of the latest deal, from the summary."""
-    return summary.select(key, F.col(f"latest.{DEAL_DATE}").alias(DEAL_DATE), F.col("latest.dealID").alias("dealID"),
-                          F.col("latest.status").alias("status"))
+    return summary.select(key, *[F.col(f"latest.{c}").alias(c) for c in (DEAL_DATE, "dealID", "status")])
 
 
 def outcome_per_person(deals: DataFrame, installments: DataFrame, key: str = "CPF") -> DataFrame:
-    """One row per person with the collapsed outcome variables."""
+    """One row per person with the outcome variables of the latest deal."""
     return outcome_columns(deal_summary(deals, installments, key), key)

@@ -1,19 +1,21 @@
 """Shared part of both feature bases: profile, debts, person facts.
 
-The whole base is one lazy plan.  Its shuffles, for a portfolio of F rows,
-profiles P, debts D and events E:
+The shuffles, for a portfolio of F rows, profiles P, debts D and events E:
 
 * the creditor's debts only: flags, ``distinct``, ``min`` per (person,
   creditor) joined back by ``left_semi`` (the creditor filter reaches the scan);
 * profile x creditor debts: inner join on the person id;
-* file x base: left join on (contract, document); the ``distinct`` that
-  follows reuses that join's partitioning;
+* file x base: the file's rows are made distinct first, then left-joined on
+  (contract, document); the flags are derived after the join;
+* the keys (person, document, contract) that everything else needs come from a
+  narrow branch of the same inputs, or from the staged join (``stage``), where
+  the file and the profile are scanned once;
 * facts keyed by the person id (simulations, other creditors, missing
-  contracts) are ONE aggregation over a union of tagged rows; facts keyed by
-  the document are built the same way by each variant;
+  contracts) are ONE aggregation over a union of tagged rows, kept to the
+  file's persons by a ``left_semi``; facts keyed by the document likewise;
 * both fact tables are attached to the narrow (person id, document) pairs of
   the file, and the wide rows join that pair table ONCE; pairs holding a large
-  share of the rows are salted (salt counts from a bounded top-k broadcast).
+  share of the rows are salted (salt counts from a broadcast of proven size).
 
 So the wide portfolio rows are shuffled once after the file x base join, and
 a key holding a third of the rows never lands in one task.
@@ -106,16 +108,19 @@ def other_creditor_persons(debts: DataFrame, spec: PortfolioSpec) -> DataFrame:
         .select("_id")
 
 
-def combine_facts(parts: list[DataFrame], aggs: list[Column]) -> DataFrame:
+def combine_facts(parts: list[DataFrame], aggs: list[Column], wanted: DataFrame | None = None) -> DataFrame:
     """Facts from several sources, one row per key, in ONE aggregation.
 
     Each part carries ``__key``, a ``__kind`` tag and its own columns; the
-    union is reduced by a single partial-aggregated ``groupBy`` (a key holding
-    a third of all events is collapsed map-side), and the result joins the
-    portfolio once.  A single join directly over two shuffles is what AQE's
-    skew-join split can handle; a chain of joins on one key is not.
+    union is kept to the keys in ``wanted`` (one column) and reduced by a single
+    partial-aggregated ``groupBy``, and the result joins the portfolio once.  A
+    small ``wanted`` is broadcast by AQE, so events of other keys never leave
+    their task; else a hot key of the semi join is what AQE's skew split handles.
     """
     u = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    if wanted is not None:
+        keys = wanted.toDF("__wanted").filter(F.col("__wanted").isNotNull()).distinct()
+        u = u.join(keys, F.col("__key") == F.col("__wanted"), "left_semi")
     return u.groupBy("__key").agg(*aggs)
 
 
@@ -151,47 +156,54 @@ def person_facts(keys: DataFrame, own: DataFrame, src: Sources, spec: PortfolioS
          tagged(missing, "_id", "missing")],
         [F.count_if(is_kind("sim")).alias(SIMULATION_COUNT),
          F.bool_or(is_kind("other")).alias(OTHER_CREDITOR_FLAG),
-         F.bool_or(is_kind("missing")).alias(SAME_CREDITOR_FLAG)])
+         F.bool_or(is_kind("missing")).alias(SAME_CREDITOR_FLAG)],
+        keys.select("_id"))
 
 
-def build_base(rows: DataFrame, src: Sources, spec: PortfolioSpec, file_day: str, document_facts: DataFrame,
-               defaults: dict, materialize: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+def build_base(rows: DataFrame, src: Sources, spec: PortfolioSpec, file_day: str,
+               document_facts: Callable[[DataFrame], DataFrame], defaults: dict,
+               stage: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Portfolio rows + profile + debt flags + all facts, with ONE join of the wide rows.
 
     Facts keyed by the person id and facts keyed by the document are first
     attached to the narrow table of (person id, document) pairs of the file
     (one row per pair, with its row count); the wide rows then join that table
-    once, on both keys.  Pairs holding at least ``spec.hot_rows`` rows (at most
-    ``spec.hot_top_k`` of them) are salted over ``ceil(rows / hot_rows)`` tasks.
-
-    The file x profile join feeds the wide rows and the narrow key table;
-    lazily (registered queries) its input exchanges are shared by both.  A batch
-    run passes ``materialize`` (for example ``DataFrame.checkpoint`` into the
-    shared checkpoint folder) so the join itself is computed once.
+    once, on both keys.  Pairs holding at least ``spec.hot_rows`` rows and a
+    ``spec.hot_top_k``-th of all rows are salted over tasks of that many rows.
+
+    ``document_facts`` gets the file's documents (one column) and returns one row
+    per ``__key``.  The profile holds one row per person, so distinct file rows
+    and distinct debts make the result distinct.  A batch run passes ``stage``,
+    which writes the file x profile join as a Parquet table and reads it back:
+    the join is computed once and its narrow readers read only their columns.
     """
     doc, contract = spec.file_document, spec.file_contract
     info = filter_equals(src.info, "documentType", spec.document_type) \
         .select("_id", "document", "documentType", *PROFILE_ARRAYS)
-    own = creditor_debts(src.debts, spec)
-    # Join the raw profile arrays to the creditor's persons first, then derive
-    # the flags: only matched persons are flagged, and the shuffled profile rows
-    # carry compact arrays instead of 84 fixed-width flag slots.
-    base = profile_flags(inner_join_key(info, own.drop("document"), "_id"), spec)
-    joined = left_join_keys(rows, base, [contract, doc], ["contract", "document"]).drop("creditor")
-    if materialize is not None:
-        joined = materialize(joined)
-    # Facts are one value per (person, document), so one distinct here equals
-    # the distinct of the finished rows (the grain stays person x contract, Q3).
-    arq = joined.distinct()
-    # The narrow keys come from the same rows: every consumer reads the same
-    # file and profile exchanges (reused), so the profile is scanned once.
-    # Their pair counts count distinct rows; they only route hot pairs.
-    keys = arq.select("_id", doc, contract)
+    own = creditor_debts(src.debts.drop("document"), spec)
+    base = inner_join_key(info, own, "_id")
+    # The rows shuffled to the join carry the compact profile arrays; the 84
+    # fixed-width flags are derived from the joined rows.
+    joined = left_join_keys(rows.distinct(), base, [contract, doc], ["contract", "document"]).drop("creditor")
+    if stage is not None:
+        joined = stage(joined)
+        keys = joined.select("_id", doc, contract)
+    else:
+        people = inner_join_key(info.select("_id", "document"), own.select("_id", "contract"), "_id")
+        keys = left_join_keys(rows.select(doc, contract), people, [contract, doc], ["contract", "document"]) \
+            .select("_id", doc, contract)
+    named = [*rows.columns, *[c for c in profile_flags(base, spec).columns
+                              if c not in ("contract", "document", "creditor")]]
+    flags = [c for c in named if c not in joined.columns]
+    known = F.col("_id").isNotNull()     # rows without a person have no flags
+    arq = profile_flags(joined, spec).withColumns({c: F.when(known, F.col(f"`{c}`")) for c in flags}) \
+        .select(*[F.col(f"`{c}`") for c in named])
 
     idf = person_facts(keys, own, src, spec, file_day)
+    facts = document_facts(keys.select(doc))
     pairs = keys.groupBy(F.col("_id").alias("__id"), F.col(doc).alias("__doc")).agg(F.count(F.lit(1)).alias("__n"))
     pair_facts = pairs.join(idf, F.col("__id") == idf["__key"], "left").drop("__key") \
-        .join(document_facts, F.col("__doc") == document_facts["__key"], "left").drop("__key")
+        .join(facts, F.col("__doc") == facts["__key"], "left").drop("__key")
     hot = hot_keys(pairs, ["__id", "__doc"], "__n", spec.hot_rows, spec.hot_top_k)
     out = salted_left_join(arq, pair_facts.drop("__n"), ["_id", doc], ["__id", "__doc"], hot)
     defaults = {SIMULATION_COUNT: 0, OTHER_CREDITOR_FLAG: False, SAME_CREDITOR_FLAG: False, **defaults}

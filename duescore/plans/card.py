@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from ..functions.dates import parse_day_prefix
 from ..functions.text import coerce_numeric
 from ..operators.contact import activation_label, interaction_days_raw, pivot_channel_day
-from ..operators.outcomes import deal_rows, deal_summary, installment_rows, latest_from_summary, outcome_columns
+from ..operators.outcomes import (deal_outcome, deal_rows, deal_summary, installment_rows, latest_from_summary,
+                                  outcome_columns, payment_outcome)
 from ..spec import (ACTIVATED, AUTH_COUNT, CARD_FILE_RENAMES, CARD_PAYMENT_COLUMNS, DEAL_DATE, DEAL_FLAG, FIRST_TOUCH,
                     INSTALLMENT_COUNT, NOT_ACTIVATED, PAYMENT_DATE, PAYMENT_FLAG, PortfolioSpec)
 from .base import Sources, auth_rows, build_base, combine_facts, is_kind, tagged
@@ -42,9 +43,19 @@ def activation_aggs(spec: PortfolioSpec, kind: str = "day") -> list[Column]:
     return aggs
 
 
+OUTCOME_GRAINS = ("person", "deal")
+
+
 def build_card_base(raw_file: DataFrame, src: Sources, spec: PortfolioSpec, file_day: str,
-                    materialize=None) -> DataFrame:
-    """The card feature base."""
+                    stage=None, outcome_grain: str = "person") -> DataFrame:
+    """The card feature base.
+
+    ``outcome_grain`` ``person`` gives one row per file row with the outcome of
+    the person's latest deal; ``deal`` gives one row per file row, deal and
+    installment, as the file rule does (JN9, JN10).
+    """
+    if outcome_grain not in OUTCOME_GRAINS:
+        raise ValueError(f"outcome_grain is one of {OUTCOME_GRAINS}")
     doc = spec.file_document
     channels = [c for c, _ in spec.channels]
     deals = deal_rows(src.deals, spec.creditor, spec.outcome_since, spec.excluded_deal_status, doc,
@@ -54,19 +65,23 @@ def build_card_base(raw_file: DataFrame, src: Sources, spec: PortfolioSpec, file
     days = interaction_days_raw(src.interactions, spec.excluded_interaction_status)
     labelled = activation_label(pivot_channel_day(days, channels), latest_from_summary(summary, doc), channels,
                                 spec.reopening_status)
-    outcome = outcome_columns(summary, doc)
-    facts = combine_facts(
-        [auth_rows(src, spec, file_day),
-         tagged(outcome, doc, "deal", DEAL_DATE, PAYMENT_DATE, INSTALLMENT_COUNT, PAYMENT_FLAG, "has_payment"),
-         tagged(labelled, "document", "day", "DT_INTERACAO", "ATIVACAO", *channels)],
-        [F.count_if(is_kind("auth")).alias(AUTH_COUNT),
-         F.max(DEAL_DATE).alias(DEAL_DATE), F.bool_or(is_kind("deal")).alias(DEAL_FLAG),
-         F.max(PAYMENT_DATE).alias(PAYMENT_DATE), F.max(INSTALLMENT_COUNT).alias(INSTALLMENT_COUNT),
-         F.bool_or(PAYMENT_FLAG).alias(PAYMENT_FLAG), F.bool_or("has_payment").alias("has_payment"),
-         *activation_aggs(spec)])
-    arq = build_base(clean_card_file(raw_file), src, spec, file_day, facts,
-                     {AUTH_COUNT: 0, DEAL_FLAG: False, PAYMENT_FLAG: False, "has_payment": False, INSTALLMENT_COUNT: 0},
-                     materialize)
+    parts = [auth_rows(src, spec, file_day),
+             tagged(labelled, "document", "day", "DT_INTERACAO", "ATIVACAO", *channels)]
+    aggs = [F.count_if(is_kind("auth")).alias(AUTH_COUNT)]
+    defaults = {AUTH_COUNT: 0}
+    if outcome_grain == "person":
+        outcome = outcome_columns(summary, doc)
+        parts.append(tagged(outcome, doc, "deal", DEAL_DATE, PAYMENT_DATE, INSTALLMENT_COUNT, PAYMENT_FLAG, "has_payment"))
+        # One outcome row per person, so each of these is that row's value.
+        aggs += [F.max(DEAL_DATE).alias(DEAL_DATE), F.bool_or(is_kind("deal")).alias(DEAL_FLAG),
+                 F.max(PAYMENT_DATE).alias(PAYMENT_DATE), F.max(INSTALLMENT_COUNT).alias(INSTALLMENT_COUNT),
+                 F.bool_or(PAYMENT_FLAG).alias(PAYMENT_FLAG), F.bool_or("has_payment").alias("has_payment")]
+        defaults |= {DEAL_FLAG: False, PAYMENT_FLAG: False, "has_payment": False, INSTALLMENT_COUNT: 0}
+    aggs += activation_aggs(spec)
+    arq = build_base(clean_card_file(raw_file), src, spec, file_day,
+                     lambda documents: combine_facts(parts, aggs, documents), defaults, stage)
+    if outcome_grain == "deal":
+        arq = payment_outcome(deal_outcome(arq, deals, doc), inst).drop("dealID", "status")
     if spec.fill_zero:
         arq = arq.fillna(0, subset=[f"ACION_{t}_QTD_{lb}" for lb in (ACTIVATED, NOT_ACTIVATED) for _, t in spec.channels])
     return arq

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import parse_date
 from ..functions.text import clean_document, has_marker, parse_signed_decimal, yes_no_flag
-from ..operators.nested import explode_debts, merge_composite_key, person_projection, rank_columns, semi_join_lookup
+from ..operators.nested import explode_debts, merge_composite_key, person_projection, rank_columns
 from ..sources.files import strip_control_records
 from ..spec import (ACTIVATED, AUTH_COUNT, COMPANY_AMOUNT_FIELDS, COMPANY_BASE_COLUMNS, COMPANY_INT_FIELDS,
                     FIRST_TOUCH, NOT_ACTIVATED, PortfolioSpec)
@@ -39,10 +39,13 @@ def company_rows(clean: DataFrame, creditor_id: str, as_of: str) -> DataFrame:
     )
 
 
-def nested_debts(persons: DataFrame, rows: DataFrame, spec: PortfolioSpec, as_of: str) -> DataFrame:
-    """Debts of the file's persons at the creditor, one row per debt, with rank columns."""
-    found = semi_join_lookup(persons, rows.select("document"))
-    proj = person_projection(found, spec.creditor, as_of)
+def nested_debts(persons: DataFrame, spec: PortfolioSpec, as_of: str) -> DataFrame:
+    """The persons' debts at the creditor, one row per debt, with rank columns.
+
+    Other creditors' debts are dropped inside the arrays before anything is
+    shuffled; which persons the file holds is decided by the one join that follows.
+    """
+    proj = person_projection(persons, spec.creditor, as_of).filter(F.size("debts") > 0)
     debts = explode_debts(proj, ("contract", "createdAt", "tags"))
     debts = debts.withColumn("createdAt", F.to_date("createdAt"))
     return rank_columns(debts, "tags", spec.rank_values)
@@ -52,7 +55,7 @@ def company_base_rows(parsed: DataFrame, persons: DataFrame, spec: PortfolioSpec
                       creditor_id: str, as_of: str, strict_sign: bool = False) -> DataFrame:
     """Stage 1 of the company base (J1): file rows merged with their nested debts (JN12)."""
     rows = company_rows(clean_company_file(parsed, file_name, strict_sign), creditor_id, as_of)
-    debts = nested_debts(persons, rows, spec, as_of)
+    debts = nested_debts(persons, spec, as_of)
     merged = merge_composite_key(rows, debts, ["document", "Contrato_Altair"], ["document", "contract"])
     merged = merged.withColumnRenamed("createdAt", "DATA_ENTRADA_DIVIDA")
     cols = [("document" if c == "ID_DEVEDOR" else c) for c in COMPANY_BASE_COLUMNS]
@@ -61,7 +64,7 @@ def company_base_rows(parsed: DataFrame, persons: DataFrame, spec: PortfolioSpec
 
 def build_company_base(parsed: DataFrame, src: Sources, spec: PortfolioSpec, file_name: str,
                        creditor_id: str, file_day: str, as_of: str, strict_sign: bool = False,
-                       materialize=None) -> DataFrame:
+                       stage=None) -> DataFrame:
     """The company feature base."""
     rows = company_base_rows(parsed, src.persons, spec, file_name, creditor_id, as_of, strict_sign)
     camp = src.campaigns.select(
@@ -73,10 +76,10 @@ def build_company_base(parsed: DataFrame, src: Sources, spec: PortfolioSpec, fil
         is_type = is_kind("camp") & (F.col("type") == F.lit(value))
         counts.append(F.when(any_camp, F.count_if(is_type & ~F.col("marked"))).alias(f"ACION_{tgt}_QTD_{ACTIVATED}"))
         counts.append(F.when(any_camp, F.count_if(is_type & F.col("marked"))).alias(f"ACION_{tgt}_QTD_{NOT_ACTIVATED}"))
-    facts = combine_facts(
-        [auth_rows(src, spec, file_day), tagged(camp, "document", "camp", "DT_CAMPANHA", "type", "marked")],
-        [F.count_if(is_kind("auth")).alias(AUTH_COUNT), F.min("DT_CAMPANHA").alias(FIRST_TOUCH), *counts])
-    arq = build_base(rows, src, spec, file_day, facts, {AUTH_COUNT: 0}, materialize)
+    parts = [auth_rows(src, spec, file_day), tagged(camp, "document", "camp", "DT_CAMPANHA", "type", "marked")]
+    aggs = [F.count_if(is_kind("auth")).alias(AUTH_COUNT), F.min("DT_CAMPANHA").alias(FIRST_TOUCH), *counts]
+    arq = build_base(rows, src, spec, file_day, lambda documents: combine_facts(parts, aggs, documents),
+                     {AUTH_COUNT: 0}, stage)
     if spec.fill_zero:
         arq = arq.fillna(0, subset=[f"ACION_{t}_QTD_{lb}" for lb in (ACTIVATED, NOT_ACTIVATED) for _, t in spec.channels])
     return arq

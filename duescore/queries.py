@@ -170,9 +170,8 @@ SELECT event_id, user_id, event_type, CAST(CAST(ts AS DATE) AS VARCHAR) AS snaps
 FROM events WHERE CAST(ts AS DATE) = DATE '{tb.FILE_DAY}'""")
 def q_snapshot_slice(spark, sf_dir):
     """One dated snapshot."""
-    e = tb.table(spark, sf_dir, "events").select("event_id", "user_id", "event_type",
-                                                 F.to_date("ts").alias("snapshot_date"))
-    return ssnap.snapshot_slice(e, tb.FILE_DAY)
+    e = ssnap.day_slice(tb.table(spark, sf_dir, "events"), "ts", tb.FILE_DAY)
+    return e.select("event_id", "user_id", "event_type", F.to_date("ts").alias("snapshot_date"))
 
 
 @register("scan_pruned", """
@@ -1053,12 +1052,24 @@ def company_base(spark: SparkSession, sf_dir: str) -> DataFrame:
                               tb.COMPANY_CREDITOR_ID, tb.FILE_DAY, tb.AS_OF)
 
 
+def _published(base: DataFrame, spec, groups: fe.FeatureGroups, scorer: sc.Scorer) -> DataFrame:
+    out = propensity_scores(base, spec, groups, scorer, tb.AS_OF, tb.FILE_DAY, tb.AS_OF)
+    return out.withColumns({"ScoreValue": F.round("ScoreValue", 9), "ScoreAvg": F.round("ScoreAvg", 9)})
+
+
 @register("feature_base_card", csql.feature_base_card_sql())
 def q_feature_base_card(spark, sf_dir):
     """Card feature base: file x profile x debts x activity x outcomes x contacts."""
     return card_base(spark, sf_dir)
 
 
+@register("feature_base_card_deals", csql.feature_base_card_deals_sql())
+def q_feature_base_card_deals(spark, sf_dir):
+    """Card feature base with one row per file row, deal and installment (C1, JN9, JN10)."""
+    return build_card_base(tb.card_file(spark, sf_dir), tb.card_sources(spark, sf_dir), tb.CARD, tb.FILE_DAY,
+                           outcome_grain="deal")
+
+
 @register("feature_base_company", csql.feature_base_company_sql())
 def q_feature_base_company(spark, sf_dir):
     """Company feature base: parsed bank file x nested debts x profile x activity x campaigns."""
@@ -1068,14 +1079,18 @@ def q_feature_base_company(spark, sf_dir):
 @register("propensity_scores", csql.propensity_scores_sql())
 def q_propensity_scores(spark, sf_dir):
     """Published scores: base -> features -> probability -> band -> one row per person (C3, flagship)."""
-    out = propensity_scores(card_base(spark, sf_dir), tb.CARD, CARD_GROUPS, tb.CARD_COEFFICIENTS, tb.CARD_INTERCEPT,
-                            tb.AS_OF, tb.FILE_DAY, tb.AS_OF)
-    return out.withColumns({"ScoreValue": F.round("ScoreValue", 9), "ScoreAvg": F.round("ScoreAvg", 9)})
+    return _published(card_base(spark, sf_dir), tb.CARD, CARD_GROUPS,
+                      sc.linear_scorer(tb.CARD_COEFFICIENTS, tb.CARD_INTERCEPT))
+
+
+@register("propensity_scores_trees", csql.propensity_scores_trees_sql())
+def q_propensity_scores_trees(spark, sf_dir):
+    """Published scores from a published list of boosted trees."""
+    return _published(card_base(spark, sf_dir), tb.CARD, CARD_GROUPS, sc.tree_scorer(tb.CARD_TREES, tb.CARD_TREE_BASE))
 
 
 @register("propensity_scores_company", csql.propensity_scores_company_sql())
 def q_propensity_scores_company(spark, sf_dir):
     """Published company scores: 9 bands, 14-digit documents, company provider (C3 on C2)."""
-    out = propensity_scores(company_base(spark, sf_dir), tb.COMPANY, COMPANY_GROUPS, tb.COMPANY_COEFFICIENTS,
-                            tb.COMPANY_INTERCEPT, tb.AS_OF, tb.FILE_DAY, tb.AS_OF)
-    return out.withColumns({"ScoreValue": F.round("ScoreValue", 9), "ScoreAvg": F.round("ScoreAvg", 9)})
+    return _published(company_base(spark, sf_dir), tb.COMPANY, COMPANY_GROUPS,
+                      sc.linear_scorer(tb.COMPANY_COEFFICIENTS, tb.COMPANY_INTERCEPT))

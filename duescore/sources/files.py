@@ -63,6 +63,18 @@ def file_date(name: Column | str, regex: str, fmt: str) -> Column:
     return F.try_to_date(F.regexp_extract(n, regex, 1), fmt)
 
 
+def day_of_name(name: str, regex: str, fmt: str) -> str:
+    """The ISO day carried in one file's name, group 1 of ``regex`` parsed with the
+    ``strptime`` format ``fmt`` (S2)."""
+    import datetime
+    import re
+
+    m = re.search(regex, name)
+    if not m:
+        raise ValueError(f"no date in the file name {name}")
+    return datetime.datetime.strptime(m.group(1), fmt).date().isoformat()
+
+
 def with_file_name(df: DataFrame, name: str = "file_name") -> DataFrame:
     """Add the source file name from the hidden ``_metadata`` column of a file scan."""
     return df.select("*", F.col("_metadata.file_name").alias(name))
@@ -70,11 +82,21 @@ def with_file_name(df: DataFrame, name: str = "file_name") -> DataFrame:
 
 # -- S3, S4: scans ------------------------------------------------------------
 
-def scan_delimited(spark: SparkSession, path: str, columns: Sequence[str], sep: str = ",",
-                   header: bool = True) -> DataFrame:
-    """Delimited text with a header, every column as string (S3)."""
-    return spark.read.schema(string_schema(columns)).option("header", header).option("sep", sep) \
+def scan_delimited(spark: SparkSession, path: str, columns: Sequence[str], sep: str = ",") -> DataFrame:
+    """Delimited text with a header, every column as string (S3).
+
+    Columns go by the names in the file's header: ``columns`` must be there, in
+    any order, and come first; further columns are kept after them.  Only the
+    header line is read here.  Spark checks the header of every file under
+    ``path`` against these names, so a file with another order fails loudly.
+    """
+    names = spark.read.option("header", True).option("sep", sep).csv(path).columns
+    missing = [c for c in columns if c not in names]
+    if missing:
+        raise ValueError(f"columns missing in the header of {path}: {missing}")
+    df = spark.read.schema(string_schema(names)).option("header", True).option("sep", sep) \
         .option("enforceSchema", False).csv(path)
+    return df.select(*[F.col(f"`{c}`") for c in (*columns, *[n for n in names if n not in columns])])
 
 
 def scan_fixed_schema(spark: SparkSession, path: str, fields: Sequence[str], sep: str = ";") -> DataFrame:
@@ -101,6 +123,13 @@ def parse_json_column(df: DataFrame, column: str, schema: str, alias: str = "jso
 
 # -- S5: header and trailer records -------------------------------------------
 
+def header_date(df: DataFrame, type_column: str = "Tipo_Registro", date_column: str = "Tipo_Pessoa",
+                header_type: str = "0", date_format: str = "yyyy-MM-dd") -> DataFrame:
+    """The trimmed date field of the header records, as one row."""
+    return df.filter(F.trim(F.col(type_column)) == F.lit(header_type)) \
+        .select(F.max(F.try_to_date(F.trim(F.col(date_column)), date_format)).alias("file_date"))
+
+
 def strip_control_records(df: DataFrame, type_column: str = "Tipo_Registro", person_column: str = "Tipo_Pessoa",
                           person_type: str = "J", header_type: str = "0", trailer_type: str = "9",
                           date_name: str = "Data_Arquivo", date_format: str = "yyyy-MM-dd") -> DataFrame:
@@ -111,8 +140,7 @@ def strip_control_records(df: DataFrame, type_column: str = "Tipo_Registro", per
     and record types are compared after trimming, so type ``10`` is kept.
     """
     rtype = F.trim(F.col(type_column))
-    header_date = df.filter(rtype == F.lit(header_type)) \
-        .select(F.max(F.try_to_date(F.trim(F.col(person_column)), date_format))).scalar()
+    day = header_date(df, type_column, person_column, header_type, date_format).scalar()
     detail = df.filter(rtype.isNotNull() & ~rtype.isin(header_type, trailer_type)
                        & (F.col(person_column) == F.lit(person_type)))
-    return detail.drop(type_column).withColumn(date_name, header_date)
+    return detail.drop(type_column).withColumn(date_name, day)

@@ -42,11 +42,12 @@ def export_delimited(df: DataFrame, path: str, sep: str = ";", single_file: bool
 
 
 def publish(df: DataFrame, spark: SparkSession, primary: str, secondary: str, sep: str = ";",
-            single_file: bool = True) -> DataFrame:
+            single_file: bool = False) -> DataFrame:
     """Write the scores, then copy them to a second destination.
 
     The copy reads the written files back, so the scoring plan runs once and an
     executor lost during the copy re-reads files instead of recomputing scores.
+    The copy is written in parallel; ``single_file`` is for small results only.
     """
     write_table(df, primary)
     written = spark.read.parquet(primary)

@@ -21,6 +21,12 @@ def snapshot_slice(df: DataFrame, day: str, column: str = SNAPSHOT_COLUMN) -> Da
     return df.filter(F.col(column) == F.to_date(F.lit(day)))
 
 
+def day_slice(df: DataFrame, column: str, day: str) -> DataFrame:
+    """One day of a timestamped table as a half-open range, which the scan can push down."""
+    start = F.lit(day).cast(df.schema[column].dataType)
+    return df.filter((F.col(column) >= start) & (F.col(column) < start + F.expr("INTERVAL 1 DAY")))
+
+
 def read_snapshot(spark: SparkSession, root: str, table: str, day: str,
                   columns: Sequence[str] | None = None) -> DataFrame:
     """Scan ``root/table`` pruned to one ``snapshot_date`` partition and to the needed columns."""

@@ -150,8 +150,8 @@ class PortfolioSpec:
     channels: tuple[tuple[str, str], ...] = CARD_CHANNELS
     inclusive_day: bool = False             # False: activity later on the file date is left out
     fill_zero: bool = False                 # True: persons without contacts get 0, not null
-    hot_rows: int = 1_000_000               # a (person, document) with this many file rows is joined by broadcast
-    hot_top_k: int = 10_000                 # at most this many hot pairs (bounds the broadcast)
+    hot_rows: int = 1_000_000               # rows of a (person, document) per task; a larger pair is salted
+    hot_top_k: int = 10_000                 # a salted pair holds at least this share (1/k) of all rows
     extra: dict = field(default_factory=dict)
 
     def with_(self, **kw) -> "PortfolioSpec":

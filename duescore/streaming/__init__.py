@@ -1,3 +1,3 @@
 """Structured Streaming entry point for newly landed portfolio files."""
 
-from .landing import portfolio_stream, run_landed_files  # noqa: F401
+from .landing import landed_files, portfolio_batch, run_landed_files  # noqa: F401

@@ -23,9 +23,10 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .operators.score import Split
 from .spec import COMPANY_FILE_FIELDS, card_spec, company_spec
 
 # Fixed parameters of the test mapping.
@@ -68,23 +69,6 @@ TABLE_SCHEMAS = {
 }
 
 
-_VIEWS: dict = {}
-
-
-def _view(fn):
-    """Build a role view once per (session, folder): DataFrames are immutable
-    plans, so this is like registering a temp view; every action still reads
-    the tables."""
-    def wrapped(spark: SparkSession, sf_dir: str) -> DataFrame:
-        key = (id(spark._jsparkSession), os.path.normpath(sf_dir), fn.__name__)
-        if key not in _VIEWS:
-            _VIEWS[key] = fn(spark, sf_dir)
-        return _VIEWS[key]
-    wrapped.__name__ = fn.__name__
-    wrapped.__doc__ = fn.__doc__
-    return wrapped
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     path = os.path.join(sf_dir, f"{name}.parquet")
     schema = TABLE_SCHEMAS.get(name)
@@ -111,7 +95,6 @@ def _amount(c) -> F.Column:
     return F.replace(c.cast("decimal(15,2)").cast("string"), F.lit("."), F.lit(","))
 
 
-@_view
 def order_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem")
     return li.groupBy("l_orderkey").agg(
@@ -120,7 +103,6 @@ def order_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@_view
 def info(spark: SparkSession, sf_dir: str) -> DataFrame:
     cust = table(spark, sf_dir, "customer")
     nation = table(spark, sf_dir, "nation")
@@ -128,14 +110,22 @@ def info(spark: SparkSession, sf_dir: str) -> DataFrame:
     states = nation.groupBy("n_regionkey").agg(
         F.transform(F.array_sort(F.collect_list(F.struct("n_nationkey", F.lower("n_name").alias("s")))),
                     lambda x: x["s"]).alias("state"))
-    tagged = orders.select("o_orderkey", "o_custkey").join(order_tags(spark, sf_dir),
-                                                           F.col("o_orderkey") == F.col("l_orderkey"), "left")
-    slots = tagged.groupBy("o_custkey").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("o_orderkey", "skip_tags"))),
-                    lambda x: x["skip_tags"]).alias("tag_telefone"),
-        F.transform(F.sort_array(F.collect_list(F.struct("o_orderkey", "skip_tags")), asc=False),
-                    lambda x: x["skip_tags"]).alias("tag_email"),
-    )
+    # Only the slots that are read: the rank filter keeps a few rows of a person in
+    # each task before the shuffle, so the lists below are bounded.
+    def first_orders(order: F.Column, n: int, kind: str) -> DataFrame:
+        nth = F.row_number().over(Window.partitionBy("o_custkey").orderBy(order))
+        return orders.select("o_orderkey", "o_custkey").withColumn("nth", nth).filter(F.col("nth") <= n) \
+            .withColumn("kind", F.lit(kind))
+
+    picked = first_orders(F.col("o_orderkey").asc(), CARD.phone_slots, "phone") \
+        .unionByName(first_orders(F.col("o_orderkey").desc(), CARD.email_slots, "email"))
+    tagged = picked.join(order_tags(spark, sf_dir), F.col("o_orderkey") == F.col("l_orderkey"), "left")
+
+    def slot_list(kind: str) -> F.Column:
+        row = F.when(F.col("kind") == kind, F.struct("nth", "skip_tags"))
+        return F.transform(F.array_sort(F.collect_list(row)), lambda x: x["skip_tags"])
+
+    slots = tagged.groupBy("o_custkey").agg(slot_list("phone").alias("tag_telefone"), slot_list("email").alias("tag_email"))
     c = cust.join(nation, F.col("c_nationkey") == F.col("n_nationkey")).join(states, "n_regionkey") \
         .join(slots, F.col("c_custkey") == F.col("o_custkey"), "left")
     return c.select(
@@ -147,7 +137,6 @@ def info(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@_view
 def debts(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders").join(order_tags(spark, sf_dir),
                                             F.col("o_orderkey") == F.col("l_orderkey"), "left")
@@ -163,14 +152,12 @@ def _event_creditor() -> F.Column:
     return F.when(F.col("value") < 20, F.lit(OTHER_SIM_CREDITOR)).otherwise(F.lit(CREDITOR))
 
 
-@_view
 def simulation(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events").filter(F.col("event_type") == "view")
     return e.select(_pid(F.col("user_id")).alias("personID"), _event_creditor().alias("creditor"),
                     F.col("ts").alias("createdAt"))
 
 
-@_view
 def authentication(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events").filter(F.col("event_type") == "click")
     token = F.struct(_doc(F.col("user_id")).alias("document"), F.col("props").alias("contact"),
@@ -178,7 +165,6 @@ def authentication(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select(token.alias("tokenData"), F.col("ts").alias("createdAt"))
 
 
-@_view
 def deals(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders")
     status = F.when(F.col("o_orderstatus") == "P", "error") \
@@ -189,7 +175,6 @@ def deals(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.date_add(F.to_date("o_orderdate"), SHIFT_DAYS).alias("createdAt"))
 
 
-@_view
 def installments(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem")
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
@@ -210,7 +195,6 @@ def _channel(call_type: str | None) -> F.Column:
     return expr.otherwise(t)
 
 
-@_view
 def interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events")
     return e.select(_doc(F.col("user_id")).alias("document"),
@@ -219,7 +203,6 @@ def interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.when(F.col("event_type") == "error", "not_received").otherwise("received").alias("status"))
 
 
-@_view
 def campaigns(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events")
     return e.select(_doc(F.col("user_id")).alias("document"),
@@ -228,7 +211,6 @@ def campaigns(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("props").alias("campaign_name"))
 
 
-@_view
 def persons(spark: SparkSession, sf_dir: str) -> DataFrame:
     cust = table(spark, sf_dir, "customer")
     o = table(spark, sf_dir, "orders").join(order_tags(spark, sf_dir),
@@ -244,7 +226,6 @@ def persons(spark: SparkSession, sf_dir: str) -> DataFrame:
                     info_struct.alias("info"), "debts")
 
 
-@_view
 def card_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The creditor's orders as the raw card file: header names, all strings."""
     o = table(spark, sf_dir, "orders").filter(F.col("o_orderpriority") == CREDITOR)
@@ -266,7 +247,6 @@ def card_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@_view
 def company_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Detail records of the company file as fields (before rendering)."""
     o = table(spark, sf_dir, "orders").filter((F.col("o_orderpriority") == CREDITOR) & (F.col("o_orderstatus") != "F"))
@@ -303,7 +283,6 @@ def company_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     return j.select(*[(values.get(f, F.lit(""))).alias(f) for f in COMPANY_FILE_FIELDS])
 
 
-@_view
 def company_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The company file as text lines: a header record, the details, a trailer record."""
     details = company_fields(spark, sf_dir).select(F.concat_ws(";", *COMPANY_FILE_FIELDS).alias("value"))
@@ -352,3 +331,14 @@ COMPANY_COEFFICIENTS = {
     "feature_not_in_base": 0.5,
 }
 COMPANY_INTERCEPT = -4.5
+
+# Our own list of boosted trees for the card model, so that tree scoring has an exact oracle.
+CARD_TREES = (
+    Split("DIAS_ATRASO", 8000.0, Split("QTD_AUTH", 1.0, -0.4, 0.3), Split("delta_DATA_DIVIDA", 25.0, 0.2, -0.1)),
+    Split("Telefone1_skip:hot", 0.5, -0.1, 0.5),
+    Split("VALOR_ULTIMA_FATURA", 150000.0, Split("UF1_NATION_0", 0.5, 0.05, -0.2), 0.25, missing_left=False),
+    Split("Email1_dominio_household.com.br", 0.5, 0.0, 0.15),
+    Split("ACION_SMS_QTD_ATIVADO", 2.0, Split("Divida_Outro_Credor", 0.5, 0.2, -0.3), 0.35),
+    Split("feature_not_in_base", 1.0, 0.1, 0.9, missing_left=False),
+)
+CARD_TREE_BASE = -0.8

@@ -6,8 +6,7 @@ roles (and the roles they depend on) over the pre-registered test tables.
 
 from __future__ import annotations
 
-from .spec import COMPANY_FILE_FIELDS
-from .testbed import (ARREARS_BASE, CAMPAIGN_MARKER, CNPJ_SEGMENTS, CREDITOR, OTHER_SIM_CREDITOR, PAID_EARLY_DAYS,
+from .testbed import (ARREARS_BASE, CNPJ_SEGMENTS, CREDITOR, OTHER_SIM_CREDITOR, PAID_EARLY_DAYS,
                       RANK_WORDS, SHIFT_DAYS, SKIP_WORDS)
 
 
@@ -138,8 +137,6 @@ ROLES: dict[str, tuple[tuple[str, ...], str]] = {
         LEFT JOIN order_tags t ON o.o_orderkey = t.l_orderkey"""),
 }
 
-_ = (COMPANY_FILE_FIELDS, CAMPAIGN_MARKER)
-
 
 def with_roles(*names: str, extra: list[tuple[str, str]] | None = None) -> str:
     """A ``WITH`` clause defining ``names`` (dependencies first) plus ``extra`` CTEs."""
