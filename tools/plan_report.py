@@ -28,6 +28,7 @@ SKELETON = re.compile(r"(Exchange \w+\([^)]*\)|SortMergeJoin \[[^\]]*\], \[[^\]]
 def composites(spark, roles):
     """The three composite plans over plain Parquet inputs (as in production)."""
     from duescore import testbed as tb
+    from duescore.operators.score import linear_scorer
     from duescore.plans.base import Sources
     from duescore.plans.card import build_card_base
     from duescore.plans.company import build_company_base
@@ -42,8 +43,8 @@ def composites(spark, roles):
     parsed = sfiles.parse_lines(roles["company_lines"], COMPANY_FILE_FIELDS, sep=";")
     company = build_company_base(parsed, comp_src, tb.COMPANY, tb.COMPANY_FILE_NAME, tb.COMPANY_CREDITOR_ID,
                                  tb.FILE_DAY, tb.AS_OF)
-    scores = propensity_scores(card, tb.CARD, CARD_GROUPS, tb.CARD_COEFFICIENTS, tb.CARD_INTERCEPT, tb.AS_OF,
-                               tb.FILE_DAY, tb.AS_OF)
+    scorer = linear_scorer(tb.CARD_COEFFICIENTS, tb.CARD_INTERCEPT)
+    scores = propensity_scores(card, tb.CARD, CARD_GROUPS, scorer, tb.AS_OF, tb.FILE_DAY, tb.AS_OF)
     return {"feature_base_card": card, "feature_base_company": company, "propensity_scores": scores}
 
 
