@@ -25,13 +25,14 @@ SKELETON = re.compile(r"(Exchange \w+\([^)]*\)|SortMergeJoin \[[^\]]*\], \[[^\]]
                       r"FileScan parquet \[[^\]]{0,60}|ReusedExchange \[[^\]]{0,40})")
 
 
-def composites(spark, roles):
-    """The three composite plans over plain Parquet inputs (as in production)."""
+def composites(spark, roles, scratch):
+    """The composite plans over plain Parquet inputs (as in production)."""
     from duescore import testbed as tb
     from duescore.operators.score import linear_scorer
     from duescore.plans.base import Sources
     from duescore.plans.card import build_card_base
     from duescore.plans.company import build_company_base
+    from duescore.plans.daily import stage_at
     from duescore.plans.publish import propensity_scores
     from duescore.queries import CARD_GROUPS, COMPANY_FILE_FIELDS, sfiles
 
@@ -45,7 +46,10 @@ def composites(spark, roles):
                                  tb.FILE_DAY, tb.AS_OF)
     scorer = linear_scorer(tb.CARD_COEFFICIENTS, tb.CARD_INTERCEPT)
     scores = propensity_scores(card, tb.CARD, CARD_GROUPS, scorer, tb.AS_OF, tb.FILE_DAY, tb.AS_OF)
-    return {"feature_base_card": card, "feature_base_company": company, "propensity_scores": scores}
+    stage = stage_at(spark, os.path.join(scratch, "joined"))
+    staged = build_card_base(roles["card_file"], card_src, tb.CARD, tb.FILE_DAY, stage)
+    return {"feature_base_card": card, "feature_base_card, file x profile join staged (daily job)": staged,
+            "feature_base_company": company, "propensity_scores": scores}
 
 
 def main():
@@ -70,11 +74,11 @@ def main():
            "Generated by `tools/plan_report.py`: the input roles of `testbed.py` are first written as plain",
            f"Parquet tables (from `{sf}`), as production inputs are, and the plans are built over those scans",
            "with `autoBroadcastJoinThreshold=-1`, so no side is broadcast by size, as on a large cluster. The",
-           "only broadcasts left are the bounded hot-pair tables (top-k). Planned with AQE off so that shared",
+           "only broadcasts left are the hot-pair tables of proven size. Planned with AQE off so that shared",
            "subplans show as `ReusedExchange` (AQE reuses the same exchanges at run time, and may also coalesce",
            "partitions, split skewed ones and switch measured-small sides to broadcast).",
            ""]
-    for name, df in composites(spark, roles).items():
+    for name, df in composites(spark, roles, scratch).items():
         plan = df._jdf.queryExecution().executedPlan().toString()
         c = Counter()
         for line in plan.splitlines():
