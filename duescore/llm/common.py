@@ -84,6 +84,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text", most: int =
             hi = max(lo + 1, int(np.searchsorted(ends, base + most, side="right")))
             yield b.slice(lo, hi - lo)
             lo = hi
+    pa.default_memory_pool().release_unused()  # a worker lives on after its task
 
 
 class Words:

@@ -139,7 +139,7 @@ def log_weights(texts: Column, ratios: np.ndarray) -> Column:
 
     @F.arrow_udf("junk double, toxic double")
     def weights(text: pa.Array) -> pa.Array:
-        table = np.zeros((2, (1 << BUCKET_BITS) + 1))
+        table = np.zeros((2, (1 << BUCKET_BITS) + 1), np.float32)
         table[:, used] = values
         sums = []
         for b in slices(iter([pa.RecordBatch.from_arrays([text], names=["text"])])):

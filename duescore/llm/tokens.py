@@ -22,7 +22,7 @@ import pyarrow as pa
 from duescore.llm.common import text_buffer
 
 #: Chunks kept per Python worker (about 150 bytes each) before the cache starts anew.
-CACHE_CHUNKS = 800_000
+CACHE_CHUNKS = 250_000
 
 
 def vocabulary_path(name: str = "byte_bpe_50k.json") -> str:
