@@ -67,7 +67,7 @@ def test_held_out_text_teaches_nothing(spark):
     held = {i for i, _ in rows if zlib.crc32(str(i).encode()) % 10 == 0}
     other = [(i, "something else" if i in held else t) for i, t in rows]
     a, b = ({r.doc_id: (r.base_score, r.score) for r in lm.scores(spark.createDataFrame(x, "doc_id long, text string")).collect()} for x in (rows, other))
-    assert all(np.allclose(a[i], b[i], rtol=1e-9) for i in a if i not in held)
+    assert all(np.allclose(a[i], b[i], rtol=1e-6) for i in a if i not in held)
 
 
 def test_empty(spark):
