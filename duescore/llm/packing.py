@@ -25,6 +25,7 @@ import zlib
 from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -89,47 +90,64 @@ def token_pieces(docs: DataFrame, capacity: int, end_id: int, vocabulary: str, i
 def fillings(room: int, sizes: list[int], counts: Counter, want: int) -> list[tuple[int, Filling]]:
     """Up to ``want`` best (waste, filling) of ``room``, largest members first.
 
-    A filling is left out if another member would still fit (that one dominates it)
-    or if its waste cannot get below the worst of those kept."""
+    Members are taken in runs of equal lengths, and the search keeps its own stack of at
+    most as many runs as different lengths fit.  A filling is left out if another
+    member would still fit (that one dominates it) or if its waste cannot get below the
+    worst of those kept."""
     best: list[tuple[int, Filling]] = []
-    steps = FILL_STEPS
+    fit = sizes[: bisect_right(sizes, room)]
+    below = [0, *accumulate(s * counts[s] for s in fit)]  # what all pieces shorter than each length fill
 
     def worst() -> int:
         return best[-1][0] if len(best) >= want else room + 1
 
-    def grow(left: int, top: int, members: list[int]) -> None:
-        nonlocal steps
-        used = Counter(members)
-        i = bisect_right(sizes, min(left, top)) - 1
-        fits = False
-        while i >= 0 and steps > 0:
-            steps -= 1
-            s = sizes[i]
-            i -= 1
-            if counts[s] <= used[s]:
-                continue
-            fits = True
-            rest = left - s
-            # an exact partner closes the filling at once
-            if rest and rest <= s and counts[rest] > used[rest] + (rest == s):
-                keep(0, [*members, s, rest])
-            elif rest == 0:
-                keep(0, [*members, s])
-            else:
-                grow(rest, s, [*members, s])
-            if worst() == 0:
+    def runs(left: int, top: int) -> Iterator[tuple[int, int]]:
+        """(place in ``fit``, how many) of the next run, below the place ``top``."""
+        for i in range(min(top, bisect_right(fit, left)) - 1, -1, -1):
+            if left - below[i + 1] >= worst():
                 return
-        if not fits and left < worst() and not any(counts[s] > used[s] for s in sizes[bisect_right(sizes, top) : bisect_right(sizes, left)]):
-            keep(left, members)
-
-    def keep(waste: int, members: list[int]) -> None:
-        f = tuple(sorted(Counter(members).items(), reverse=True))
+            s = fit[i]
+            for n in range(min(left // s, counts[s]), 0, -1):
+                # what stays open when all shorter pieces are taken too; one more of this run would fit there
+                if left - n * s - below[i] >= (min(s, worst()) if n < counts[s] else worst()):
+                    break
+                yield i, n
+
+    def keep(waste: int, f: Filling) -> None:
         if all(f != x for _, x in best):
             best.append((waste, f))
             best.sort(key=lambda x: (x[0], sum(n for _, n in x[1])))
             del best[want:]
 
-    grow(room, room, [])
+    members: list[tuple[int, int]] = []
+    open_runs = [(room, runs(room, len(fit)))]
+    steps, fresh = FILL_STEPS, True  # fresh: no run was tried yet on top of the members
+    while open_runs and steps > 0 and worst() > 0:
+        left, more = open_runs[-1]
+        i, n = next(more, (-1, 0))
+        if i < 0:
+            used = dict(members)
+            if fresh and left < worst() and not any(counts[s] > used.get(s, 0) for s in fit[: bisect_right(fit, left)]):
+                keep(left, tuple(members))
+            open_runs.pop()
+            if members:
+                members.pop()
+            fresh = False
+            continue
+        steps -= 1
+        s = fit[i]
+        rest = left - n * s
+        # an exact partner closes the filling at once
+        if not rest:
+            keep(0, (*members, (s, n)))
+        elif rest < s and counts[rest]:
+            keep(0, (*members, (s, n), (rest, 1)))
+        else:
+            members.append((s, n))
+            open_runs.append((rest, runs(rest, i)))
+            fresh = True
+            continue
+        fresh = False
     return best or [(room, ())]
 
 

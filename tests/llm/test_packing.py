@@ -145,3 +145,17 @@ def test_undominated_fillings():
         if room >= 0 and not any(s <= room and counts[s] > n for s, n in ((2, a), (3, b), (5, c))):
             full.add(tuple((s, n) for s, n in ((5, c), (3, b), (2, a)) if n))
     assert got <= full and ((5, 1), (2, 1)) in got and packing.fillings(7, sizes, counts, 1)[0][0] == 0
+
+
+@pytest.mark.parametrize("counts", [{1: 100_000}, {2: 100_000}, {1: 100_000, 1025: 30, 2000: 7}, {1: 30_000, 2: 30_000, 3: 5, 700: 40_000}])
+def test_plan_of_many_short_pieces(counts):
+    plan = packing.plan_packing(counts)
+    used = Counter()
+    for filling, many in plan:
+        assert sum(s * n for s, n in filling) <= 2048
+        for s, n in filling:
+            used[s] += n * many
+    assert used == counts
+    total, big = sum(s * n for s, n in counts.items()), sum(n for s, n in counts.items() if s > 1024)
+    thirds = -(-counts.get(700, 0) // 2)  # two of 700 in a sequence
+    assert sum(n for _, n in plan) == max(-(-total // 2048), big, thirds)
