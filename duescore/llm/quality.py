@@ -10,10 +10,12 @@ An n-gram is a word or a run of punctuation (lower-cased), hashed to a bucket; a
 word that repeats its predecessor is one n-gram of its own.  A bucket enters a ratio
 only if its continuation counts (how many different predecessors it has in each
 model, which copies of one text do not raise) differ by more than chance; in all
-others both models share one estimate and the ratio is zero.
+others both models share one estimate and the ratio is zero.  New predecessors get
+rarer the more text there is, so the side with more documents counts those that a
+draw of as many documents as the other side has would show on average, scaled back.
 
 The models are fitted on a bounded sample of labelled rows, at most ``fit_docs`` of
-each class for each ratio, the same number on both sides; scoring, the number k and
+each class for each ratio, whatever the other side has; scoring, the number k and
 the cut cover all documents.
 
 Defined results: null and empty texts have weight zero; a document with repeated
@@ -89,7 +91,7 @@ def labelled_sample(labels: DataFrame, fit_docs: int, id_col: str) -> DataFrame:
     n = {r.kind: r.n for r in one.groupBy("kind").agg(F.count("*").alias("n")).collect()}
     sides = []
     for side, (bad, name) in enumerate((("junk", "good"), ("junk", "junk"), ("toxic", "good"), ("toxic", "toxic"))):
-        k = min(fit_docs, n.get(bad, 0), n.get("good", 0))
+        k = min(fit_docs, n.get(name, 0)) if n.get(bad) and n.get("good") else 0
         sides.append(one.where(F.col("kind") == name).orderBy(F.xxhash64("id"), "id").limit(k).select("id", F.lit(side).cast("tinyint").alias("side")))
     out = sides[0]
     for s in sides[1:]:
@@ -107,14 +109,20 @@ def fit(docs: DataFrame, labels: DataFrame, fit_docs: int = FIT_DOCS, id_col: st
         for b in slices(batches):
             row, bucket, before = ngrams(b.column("text"))
             side = b.column("side").to_numpy().astype(np.int64)[row]
-            key, n = np.unique((side << BUCKET_BITS + 1 | bucket) << 16 | before, return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(n)], names=["key", "n"])
+            in_row, n = np.unique(((side << BUCKET_BITS + 1 | bucket) << 16 | before) << 24 | row, return_counts=True)
+            key, at, d = np.unique(in_row >> 24, return_index=True, return_counts=True)
+            n = np.add.reduceat(n, at) if len(at) else n
+            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(n), pa.array(d)], names=["key", "n", "d"])
 
-    pairs = rows.mapInArrow(run, "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n"))
+    pairs = rows.mapInArrow(run, "key bigint, n bigint, d bigint").groupBy("key").agg(F.sum("n").alias("n"), F.sum("d").alias("d"))
     side = F.shiftright("key", 17 + BUCKET_BITS)
     bucket = F.shiftright("key", 16).bitwiseAND(F.lit((1 << BUCKET_BITS + 1) - 1))
-    one = pairs.select(side.alias("side"), bucket.alias("bucket"), "n").groupBy("bucket").agg(
-        *[F.sum(F.when(F.col("side") == s, 1).otherwise(0)).alias(f"c{s}") for s in range(4)],
+    size = {r.side: r.n for r in sample.groupBy("side").agg(F.count("*").alias("n")).collect()}
+    drawn = [min(1.0, size.get(s ^ 1, 0) / size[s]) if size.get(s) else 1.0 for s in range(4)]
+    # The chance that a draw of this share of the side's documents shows the predecessor.
+    seen = [(1 - F.pow(F.lit(1 - r), F.col("d"))) / r if r else F.lit(0.0) for r in drawn]
+    one = pairs.select(side.alias("side"), bucket.alias("bucket"), "n", "d").groupBy("bucket").agg(
+        *[F.sum(F.when(F.col("side") == s, seen[s]).otherwise(0.0)).alias(f"c{s}") for s in range(4)],
         *[F.sum(F.when(F.col("side") == s, F.col("n")).otherwise(0)).alias(f"n{s}") for s in range(4)],
     )
     one = staged(one, "ngram-counts")

@@ -96,3 +96,17 @@ def test_kth_largest(spark, values, data):
 def test_gumbel_noise(spark):
     r = spark.range(20_000).select(ql.gumbel_key(F.lit(0.0), F.col("id")).alias("g")).agg(F.avg("g"), F.stddev("g")).first()
     assert abs(r[0] - 0.5772) < 0.05 and abs(r[1] - math.pi / math.sqrt(6)) < 0.05
+
+
+def test_each_side_is_fitted_on_its_own_rows(spark):
+    labels = spark.createDataFrame([(i, int(i >= 10), int(i < 4)) for i in range(60)], "doc_id long, quality int, toxic int")
+    sizes = lambda fit_docs: {r.side: r.n for r in ql.labelled_sample(labels, fit_docs, "doc_id").groupBy("side").agg(F.count("*").alias("n")).collect()}
+    assert sizes(100) == {0: 50, 1: 6, 2: 50, 3: 4} and sizes(5) == {0: 5, 1: 5, 2: 5, 3: 4}
+
+
+def test_few_toxic_labels_find_toxic_documents(spark):
+    folder = "/root/testdata/sf0.1"
+    docs, labels = spark.read.parquet(f"{folder}/documents.parquet"), spark.read.parquet(f"{folder}/labels.parquet")
+    got = ql.classified(docs, labels.where("doc_id % 2 = 1")).join(labels.where("doc_id % 2 = 0"), "doc_id").groupBy("quality", "toxic").agg(F.avg(F.col("keep").cast("int")).alias("kept")).collect()
+    kept = {(r.quality, r.toxic): r.kept for r in got}
+    assert kept[1, 0] >= 0.99 and kept[0, 0] <= 0.02 and kept[1, 1] <= 0.1
