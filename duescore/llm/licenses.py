@@ -10,6 +10,7 @@ the id and the text are not read, so clashing names do no harm.
 from __future__ import annotations
 
 import re
+from collections import deque
 from collections.abc import Iterator
 
 import ahocorasick
@@ -56,21 +57,32 @@ UNKNOWN_PERMISSION = 0.1
 EXCEPTION_BONUS = 0.2
 TAG_WEIGHT, PHRASE_WEIGHT = 0.9, 0.6
 
-TOKEN = re.compile(r"[()]|[^\s()]+")
+#: What stands between a tag and its expression, and the next token on the same line.
+LEAD = re.compile(r"[ \t\"']*[:=][ \t\"']*")
+TOKEN = re.compile(r"[^\S\r\n]*([()]|[^\s()*/\"'<]+)")
 PRECEDENCE = {"or": 1, "and": 2, "with": 3}
 
 
-def parse_expression(text: str) -> list[str] | None:
-    """Reverse Polish form of the longest licence expression at the start of ``text``
+def tokens(text: str, at: int) -> Iterator[str]:
+    """The tokens from ``at`` to the end of the line, each read when it is asked for."""
+    while m := TOKEN.match(text, at):
+        yield m[1]
+        at = m.end()
+
+
+def parse_expression(text: str, at: int = 0) -> list[str] | None:
+    """Reverse Polish form of the longest licence expression at place ``at`` of ``text``
     (shunting yard; with binds tighter than and, and tighter than or), or None."""
     out: list[str] = []
     ops: list[str] = []
-    best: list[str] | None = None
+    depth = 0
+    best: tuple[int, list[str]] | None = None  # how much of ``out``, and the operators to come
     operand_next = True
-    for tok in TOKEN.findall(text):
+    for tok in tokens(text, at):
         if operand_next:
             if tok == "(":
                 ops.append(tok)
+                depth += 1
                 continue
             if tok == ")" or tok in PRECEDENCE or not re.fullmatch(r"[a-z0-9.+:\-]*[a-z0-9+][.,;]?", tok):
                 break
@@ -80,11 +92,12 @@ def parse_expression(text: str) -> list[str] | None:
         else:
             ended = False
             if tok == ")":
-                if "(" not in ops:
+                if not depth:
                     break
                 while ops[-1] != "(":
                     out.append(ops.pop())
                 ops.pop()
+                depth -= 1
             elif tok in PRECEDENCE:
                 while ops and ops[-1] != "(" and PRECEDENCE[ops[-1]] >= PRECEDENCE[tok]:
                     out.append(ops.pop())
@@ -93,11 +106,11 @@ def parse_expression(text: str) -> list[str] | None:
                 continue
             else:
                 break
-        if "(" not in ops:
-            best = out + ops[::-1]
+        if not depth:
+            best = len(out), ops[::-1]
         if ended:
             break
-    return best
+    return out[: best[0]] + best[1] if best else None
 
 
 def family(ident: str) -> str:
@@ -106,23 +119,38 @@ def family(ident: str) -> str:
     return max(known, key=len) if known else ident
 
 
+def joined_parts(a: deque[str], between: str, b: deque[str]) -> deque[str]:
+    """a, between, b in one: the shorter is moved to the longer."""
+    if len(a) >= len(b):
+        a.append(between)
+        a.extend(b)
+        return a
+    b.appendleft(between)
+    b.extendleft(reversed(a))
+    return b
+
+
 def evaluate(rpn: list[str]) -> tuple[float, str, set[str]]:
     """(permission, canonical text, labels): or takes the freer side, and the less
     free one, with adds an exception's freedom."""
-    stack: list[tuple[float, str, set[str]]] = []
+    stack: list[tuple[float, deque[str], set[str]]] = []
     for tok in rpn:
         if tok not in PRECEDENCE:
             f = family(tok)
-            stack.append((PERMISSION.get(f, UNKNOWN_PERMISSION), tok, {f}))
+            stack.append((PERMISSION.get(f, UNKNOWN_PERMISSION), deque([tok]), {f}))
             continue
         b, a = stack.pop(), stack.pop()
-        if tok == "or":
-            stack.append((max(a[0], b[0]), f"({a[1]} or {b[1]})", a[2] | b[2]))
-        elif tok == "and":
-            stack.append((min(a[0], b[0]), f"({a[1]} and {b[1]})", a[2] | b[2]))
-        else:
-            stack.append((min(1.0, a[0] + EXCEPTION_BONUS), f"{a[1]} with {b[1]}", a[2]))
-    return stack[0]
+        text = joined_parts(a[1], f" {tok} ", b[1])
+        if tok == "with":
+            stack.append((min(1.0, a[0] + EXCEPTION_BONUS), text, a[2]))
+            continue
+        text.appendleft("(")
+        text.append(")")
+        few, labels = sorted((a[2], b[2]), key=len)
+        labels |= few
+        stack.append(((max if tok == "or" else min)(a[0], b[0]), text, labels))
+    permission, text, labels = stack[0]
+    return permission, "".join(text), labels
 
 
 def automaton(base: dict[str, str], more: dict[str, str], tags: tuple[str, ...]) -> ahocorasick.Automaton:
@@ -152,6 +180,7 @@ def scan_slice(ids: pa.Array, texts: pa.Array, auto: ahocorasick.Automaton, id_n
     for r in rows:
         lo, hi = w.row[r], w.row[r + 1]
         at = starts[lo]
+        raw: str | None = None  # the whole row, once a tag is found
         text = " " + joined[at : (starts[hi] if hi < len(starts) else len(joined))].decode("latin-1") + " "
         for end, hits in auto.iter(text):
             for kind, label, size, width in hits:
@@ -165,9 +194,9 @@ def scan_slice(ids: pa.Array, texts: pa.Array, auto: ahocorasick.Automaton, id_n
                     found.setdefault(r, []).append((label, PHRASE_WEIGHT, PERMISSION[label]))
                     continue
                 tail_at = int(w.ends[lo + word + size - 1])
-                raw = w.low[tail_at : min(tail_at + 2000, int(w.offsets[r + 1]))].tobytes().decode("latin-1")
-                m = re.match(r"[ \t\"']*[:=][ \t\"']*([^\r\n*/\"'<]+)", raw)
-                rpn = parse_expression(m[1]) if m else None
+                raw = w.low[w.offsets[r] : w.offsets[r + 1]].tobytes().decode("latin-1") if raw is None else raw
+                m = LEAD.match(raw, tail_at - int(w.offsets[r]))
+                rpn = parse_expression(raw, m.end()) if m else None
                 if rpn:
                     permission, canonical, labels = evaluate(rpn)
                     expressions.setdefault(r, []).append(canonical)
@@ -202,8 +231,8 @@ def license_scan(
 ) -> DataFrame:
     """One row per input row: word count, places of base phrases, labels, score,
     canonical expressions after tags and the least permission found.  One narrow
-    pass without a shuffle; an expression is read up to the end of its line, 2,000
-    bytes at most (longer ones are cut at their last complete part)."""
+    pass without a shuffle; an expression is read up to the end of its line, however
+    long, and ends at its last complete part."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         auto = automaton(base, more, tags)

@@ -65,6 +65,21 @@ def test_shunting_yard(text, rpn):
     assert li.parse_expression(text) == rpn
 
 
+def test_long_license_expressions(spark):
+    listed = [f"mit-{i}" for i in range(400)] + ["apache-2.0"]  # over 2,000 bytes
+    and_list = " AND ".join(listed)
+    nested = f"({listed[0]}"
+    for x in listed[1:]:
+        nested = f"{nested} and {x})" if x == listed[1] else f"({nested} and {x})"
+    rows = [(1, f"spdx-license-identifier: {and_list}\ngpl"), (2, f"spdx-license-identifier: ({and_list})"), (3, f"license-expression: {and_list} some words"),
+            (4, f"license-expression: ({and_list}"), (5, f"license-expression: mit or ({and_list})"), (6, "license-expression: " + "bsd and " * 30_000 + "gpl-2.0")]
+    r = {x.doc_id: x for x in li.license_scan(odd_docs(spark, rows)).collect()}
+    for k in (1, 2, 3):
+        assert r[k].labels == "apache,mit" and r[k].expressions == nested
+    assert r[4].expressions == "" and r[5].expressions == f"(mit or {nested})"
+    assert r[6].labels == "bsd,gpl" and r[6].permission == pytest.approx(0.4)
+
+
 def test_empty_tables(spark):
     none = spark.createDataFrame([], "doc_id long, text string")
     items = spark.createDataFrame([], "item_id long, text string")
