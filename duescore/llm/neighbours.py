@@ -5,7 +5,8 @@ and quantised, and a Hilbert curve through the cells gives one ordering of all
 vectors per map.  Each ordering is cut at quantiles of its keys into blocks; a query
 is compared with the vectors of its own block and of the blocks on both sides, the
 best of each window are kept, the windows of all orderings merge, and the merged
-candidates are ranked by their exact distance.
+candidates are ranked by their exact distance.  A cell that holds many vectors is
+whole in one block, and no block is empty, so both sides of a dense cell see it.
 
 A block is a fixed share of the vectors, because the recall of a window on a curve
 follows from the share of the vectors it covers: it behaves alike at every size.  A
@@ -124,6 +125,16 @@ def packed_vectors(nodes: DataFrame, kind: str) -> DataFrame:
     return nodes.select("node", "v", "query").mapInArrow(run, "node bigint, vec binary, query boolean")
 
 
+def block_bounds(cuts: list[int]) -> np.ndarray:
+    """Last keys of all blocks but the last.  A cell that several quantiles fall into
+    is one block's end, and what is left of the share behind it joins the next block,
+    so no block (but the last) is smaller than the share."""
+    bounds, times = np.unique(np.array(cuts, np.int64), return_counts=True)
+    rest = np.zeros(len(bounds), bool)
+    rest[1:] = (times[:-1] > 1) & (times[1:] == 1)
+    return bounds[~rest]
+
+
 def spread_of(vectors: DataFrame, curves: Curves, length: int, kind: str) -> Curves:
     """Mean and spread of all projected vectors, from sums that tasks add up."""
 
@@ -176,7 +187,7 @@ def nearest(rows: DataFrame, queries: Column, k: int = 10, id_col: str = "vec_id
     if at:
         found = vectors.select("vec").mapInArrow(keys, "ordering int, key bigint").groupBy("ordering").agg(F.percentile_approx("key", at, 10_000).alias("cuts"))
         for r in found.collect():  # block bounds: one row per ordering
-            cuts[r.ordering] = np.array(r.cuts, np.int64)
+            cuts[r.ordering] = block_bounds(r.cuts)
     chunks = max(1, -(-total // (blocks * CHUNK_ROWS)))
     query_chunks = max(1, -(-3 * asked_nodes // (blocks * CHUNK_QUERIES)))
 
@@ -193,7 +204,7 @@ def nearest(rows: DataFrame, queries: Column, k: int = 10, id_col: str = "vec_id
                 rows_at = [(every, block, every * 0 + g, node % chunks, False) for g in range(query_chunks)]
                 for side in (-1, 0, 1):
                     near = block[is_query] + side
-                    inside = is_query[(near >= 0) & (near < blocks)]
+                    inside = is_query[(near >= 0) & (near <= len(cuts[o]))]
                     rows_at += [(inside, block[inside] + side, node[inside] % query_chunks, inside * 0 + c, True) for c in range(chunks)]
                 for index, to, group, chunk, query in rows_at:
                     if len(index):

@@ -135,3 +135,25 @@ def test_recall(spark):
 def test_packed_vectors_keep_bits():
     col = pa.array([np.array([0.1, -0.0, 3e38], "<f4").tobytes()], pa.binary())
     assert nb.matrix(col, 3, "<f4").tolist() == [[float(np.float32(0.1)), -0.0, float(np.float32(3e38))]]
+
+
+def test_block_bounds():
+    assert nb.block_bounds([1, 2, 3]).tolist() == [1, 2, 3]
+    assert nb.block_bounds([1, 5, 5, 5, 7, 9]).tolist() == [1, 5, 9]  # 7 ends less than a share
+    assert nb.block_bounds([5, 5, 6, 6, 8]).tolist() == [5, 6]
+
+
+def test_recall_beside_a_dense_cell(spark):
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(9000, 64))
+    x[::3] = rng.normal(size=64) * 0.5 + rng.normal(size=(3000, 64)) * 0.01  # a third in one tight cluster
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    found = {}
+    for r in nb.nearest(df, F.col("id") % 20 == 0).collect():
+        found.setdefault(r.query_id, set()).add(r.vec_id)
+    hit = {True: [], False: []}
+    for q in range(0, 9000, 20):
+        d = ((x - x[q]) ** 2).sum(1)
+        d[q] = np.inf
+        hit[q % 3 == 0].append(len(found.get(q, set()) & set(np.argsort(d)[:10].tolist())) / 10)
+    assert np.mean(hit[True]) >= 0.99 and np.mean(hit[False]) >= 0.9
