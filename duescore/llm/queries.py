@@ -12,6 +12,7 @@ from duescore.llm.archives import archived
 from duescore.llm.common import table
 from duescore.llm.decontaminate import contamination
 from duescore.llm.fill_middle import fill_in_middle, restored
+from duescore.llm.hard_negatives import hard_negatives
 from duescore.llm.language_model import scores
 from duescore.llm.licenses import license_scan
 from duescore.llm.neighbours import nearest
@@ -133,6 +134,35 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+OP11_SQL = """
+WITH r AS (
+  SELECT row_number() OVER () AS uid, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, x -> floor(256 * CAST(x AS DOUBLE))) AS q
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.uid AS anchor_uid, a.vec_id AS anchor_id, r.uid, r.vec_id, r.label = a.label AS same,
+    CAST(list_dot_product(a.q, r.q) AS BIGINT) AS score
+  FROM r AS a JOIN r ON a.uid <> r.uid WHERE a.vec_id % 100 = 0),
+p AS (SELECT * FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_uid ORDER BY score DESC, vec_id, uid) <= 5),
+n AS (
+  SELECT p.anchor_id, p.vec_id AS positive_id, p.score AS positive_score, s.vec_id AS negative_id, s.score AS negative_score,
+    row_number() OVER (PARTITION BY p.anchor_uid, p.uid ORDER BY s.score DESC, s.vec_id, s.uid) AS rank
+  FROM p JOIN s ON p.anchor_uid = s.anchor_uid AND NOT s.same
+    AND 30 * p.score <= 100 * s.score AND 100 * s.score <= 90 * p.score)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 10
+"""
+
+
+@query("op11_hard_negatives", OP11_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every vector whose id is divisible by 100, for its five positives."""
+    rows = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(rows.select("vec_id", "embedding", label.alias("label")), F.col("id") % 100 == 0)
+
+
 OP12_SQL = """
 WITH d AS (
   SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS w,
