@@ -137,10 +137,10 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 OP11_SQL = """
 WITH r AS (
   SELECT row_number() OVER () AS uid, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
-    list_transform(embedding, x -> floor(256 * CAST(x AS DOUBLE))) AS q
+    [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS q
   FROM embeddings
   WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
 s AS (
   SELECT a.uid AS anchor_uid, a.vec_id AS anchor_id, r.uid, r.vec_id, r.label = a.label AS same,
     CAST(list_dot_product(a.q, r.q) AS BIGINT) AS score
