@@ -21,6 +21,7 @@ from duescore.llm.quality import classified
 from duescore.llm.sharding import document_shards
 from duescore.llm.simhash import simhash_components
 from duescore.llm.token_files import document_token_counts
+from duescore.llm.vector_dedup import embedding_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -194,3 +195,28 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("id").alias("doc_id"), "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
         F.sha2(restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"),
     )
+
+
+OP13_SQL = """
+WITH RECURSIVE u AS (
+  SELECT row_number() OVER () AS uid, vec_id, CAST(embedding AS DOUBLE[]) AS e,
+    coalesce(vec_id IS NOT NULL AND len(embedding) > 0 AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+      AND len([x FOR x IN embedding IF x <> 0]) > 0, false) AS usable
+  FROM embeddings),
+v AS (
+  SELECT uid, vec_id, e FROM u
+  WHERE usable AND len(e) = (SELECT len(e) FROM u WHERE usable GROUP BY len(e) ORDER BY count(*) DESC, len(e) LIMIT 1)),
+p AS (SELECT a.uid AS a, b.uid AS b FROM v AS a JOIN v AS b ON a.uid <> b.uid AND list_cosine_similarity(a.e, b.e) >= 0.95),
+reach(uid, seen) AS (SELECT uid, uid FROM v UNION SELECT reach.uid, p.b FROM reach JOIN p ON p.a = reach.seen),
+c AS (SELECT reach.uid, min(v.vec_id) AS component_id FROM reach JOIN v ON v.uid = reach.seen GROUP BY reach.uid),
+n AS (SELECT a AS uid, count(*) AS n_links FROM p GROUP BY a)
+SELECT u.vec_id, CAST(coalesce(n_links, 0) AS BIGINT) AS n_links, coalesce(component_id, u.vec_id) AS component_id,
+  u.vec_id IS NOT DISTINCT FROM coalesce(component_id, u.vec_id) AS kept
+FROM u LEFT JOIN n USING (uid) LEFT JOIN c USING (uid)
+"""
+
+
+@query("op13_embedding_near_dedup", OP13_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and component of every vector at a cosine of 0.95 or more."""
+    return embedding_dedup(table(spark, sf_dir, "embeddings"), 0.95).withColumnRenamed("id", "vec_id")
