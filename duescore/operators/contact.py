@@ -15,7 +15,9 @@ from pyspark.sql import functions as F
 from ..functions.dates import parse_day_prefix
 from ..functions.text import has_marker
 from ..spec import ACTIVATED, DEAL_DATE, NOT_ACTIVATED
-from .enrich import first_per_key
+from .latest import latest_by_number
+
+REOPENING = "reopening"
 
 
 def interaction_days_raw(interactions: DataFrame, excluded_status: str = "not_received",
@@ -38,18 +40,20 @@ def pivot_channel_day(days: DataFrame, channels: Sequence[str], day: str = "DT_I
         *[F.sum(F.when(F.col("type") == F.lit(v), F.lit(1))).alias(v) for v in channels])
 
 
-def latest_deal(deals: DataFrame, document: str = "CPF") -> DataFrame:
-    """The latest deal per person: newest date, then the largest deal id.
+REOPENING_STATUS = ("expired", "broken")
+
+
+def latest_deal(deals: DataFrame, document: str = "CPF", reopening_status: Sequence[str] = REOPENING_STATUS) -> DataFrame:
+    """The latest deal per person: newest date, then the largest deal id (W2), and whether
+    its status lets contacts count as activation again.
 
     The day label only ever looks at this one deal, so interaction days join a
     single row per person instead of every (day, deal) pair.
     """
-    return first_per_key(deals, [document], [F.col(DEAL_DATE), F.col("dealID")],
-                         [DEAL_DATE, "dealID", "status"], latest=True)
+    return latest_by_number(deals, document, DEAL_DATE, "dealID", F.col("status").isin(list(reopening_status)), REOPENING)
 
 
 def activation_label(day_counts: DataFrame, latest: DataFrame, channels: Sequence[str],
-                     reopening_status: Sequence[str] = ("expired", "broken"),
                      day: str = "DT_INTERACAO", deal_document: str = "CPF") -> DataFrame:
     """Label each interaction day by the person's latest deal (A7, JN11, F11, F12).
 
@@ -57,10 +61,10 @@ def activation_label(day_counts: DataFrame, latest: DataFrame, channels: Sequenc
     day is on or before that deal, after it with the deal expired or broken, or
     when there is no deal; otherwise NAO_ATIVADO.  Missing channel counts are 0.
     """
-    last = latest.select(F.col(deal_document).alias("__doc"), DEAL_DATE, "status")
+    last = latest.select(F.col(deal_document).alias("__doc"), DEAL_DATE, REOPENING)
     j = day_counts.join(last, day_counts["document"] == last["__doc"], "left").drop("__doc")
     d, a = F.col(day), F.col(DEAL_DATE)
-    cond = (d <= a) | ((d > a) & F.col("status").isin(list(reopening_status))) | a.isNull()
+    cond = (d <= a) | ((d > a) & F.col(REOPENING)) | a.isNull()
     label = F.when(cond, F.lit(ACTIVATED)).otherwise(F.lit(NOT_ACTIVATED))
     return j.select("document", day, *[F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c) for c in channels],
                     label.alias("ATIVACAO"))

@@ -15,8 +15,9 @@ it below the configured threshold.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.dates import at_or_before, on_or_after
@@ -122,12 +123,13 @@ def exists_same_creditor(rows: DataFrame, creditor_debts: DataFrame, name: str,
 def earliest_per_group(df: DataFrame, keys: Sequence[str], order_column: str) -> DataFrame:
     """Rows holding the group minimum of ``order_column``; ties are all kept (JN7, A2).
 
-    Written as a partial-aggregated ``min`` plus a ``left_semi`` join rather
-    than a window: a window puts a hot group into one task, while AQE can split
-    a hot key of the semi join.  Rows with a null ``order_column`` never match.
+    ``rank() = 1``: Spark keeps only each task's first rows of a group before the
+    shuffle, so the input is read once and a hot group arrives as its ties (which the
+    window spills if they are many).  Rows with a null key or ``order_column`` never match.
     """
-    mins = df.groupBy(*keys).agg(F.min(order_column).alias(order_column))
-    return df.join(mins, on=[*keys, order_column], how="left_semi")
+    known = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in (*keys, order_column)])
+    place = F.rank().over(Window.partitionBy(*keys).orderBy(order_column))
+    return df.filter(known).withColumn("__place", place).filter(F.col("__place") == 1).drop("__place")
 
 
 def count_per_key(events: DataFrame, key: str, out_key: str, name: str) -> DataFrame:
@@ -158,17 +160,15 @@ def distinct_rows(df: DataFrame) -> DataFrame:
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], columns: Sequence[str],
                   latest: bool = False) -> DataFrame:
-    """One row per key, chosen by a total order.
+    """One row per key, chosen by a total order, then by the columns.
 
-    ``min``/``max`` of a struct whose leading fields are the order: an
-    aggregate with a map-side partial step, so a hot key is not gathered into
-    one task as a window partition would be.  Ascending struct order puts null
-    fields first, so ``latest=True`` never prefers a null date.
+    ``row_number() = 1``: each task keeps one row of a key before the shuffle, so a hot
+    key never reaches one task with its rows.  Nulls come first in ascending order,
+    so ``latest=True`` never prefers a null date.
     """
-    packed = F.struct(*[o.alias(f"__o{i}") for i, o in enumerate(order)],
-                      *[F.col(c).alias(c) for c in columns])
-    agg = F.max(packed) if latest else F.min(packed)
-    return df.groupBy(*keys).agg(agg.alias("__row")).select(*keys, *[F.col(f"__row.{c}").alias(c) for c in columns])
+    by = [*order, *[F.col(c) for c in columns]]
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(*[o.desc() if latest else o.asc() for o in by]))
+    return df.withColumn("__place", place).filter(F.col("__place") == 1).select(*keys, *[F.col(c) for c in columns])
 
 
 def row_count(df: DataFrame, name: str = "n_rows") -> DataFrame:

@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import fallback_day, on_or_after
 from ..spec import DEAL_DATE, DEAL_FLAG, INSTALLMENT_COUNT, PAYMENT_DATE, PAYMENT_FLAG
+from .contact import REOPENING_STATUS, latest_deal
+from .enrich import hot_keys
+
+OUTCOMES = "outcomes"
 
 
 def deal_rows(deals: DataFrame, creditor: str, since: str, excluded_status: str = "error",
@@ -57,36 +63,54 @@ def inner_join_deals(deals: DataFrame, payments: DataFrame) -> DataFrame:
     return deals.join(payments, on="dealID", how="inner")
 
 
-def deal_summary(deals: DataFrame, installments: DataFrame, key: str = "CPF") -> DataFrame:
+def deal_summary(deals: DataFrame, installments: DataFrame, key: str = "CPF",
+                 reopening_status: Sequence[str] = REOPENING_STATUS) -> DataFrame:
     """Each person's latest deal (date, then largest id) with its own installments.
 
-    Installments are reduced per deal, then deals per person, so the join to
-    the portfolio never fans out, and a person or deal holding a large share of
-    the rows is reduced map-side before any shuffle.  ``latest`` is one real
-    deal: its date, id and status (which label interaction days, W2), its last
-    payment date, installment count and flags.
+    The latest deal comes from a hash aggregate over the deals alone; installments are
+    reduced per deal and meet one deal per person, so neither a person nor a deal
+    holding a large share of the rows reaches a join with them.  It is one real deal: its
+    date, id and whether it reopens contacts (which labels interaction days, W2), its
+    last payment date, installment count and flags.
     """
     per_deal = installments.groupBy("dealID").agg(
         F.max(F.try_to_date(F.col(PAYMENT_DATE), "yyyy-MM-dd")).alias(PAYMENT_DATE),
         F.max(INSTALLMENT_COUNT).alias(INSTALLMENT_COUNT),
         F.max("has_paid_date").alias("has_payment"),
     )
-    d = deals.join(per_deal, on="dealID", how="left")
-    return d.groupBy(key).agg(F.max(F.struct(
-        F.col(DEAL_DATE), F.col("dealID"), F.col("status"), F.col(PAYMENT_DATE), F.col(INSTALLMENT_COUNT),
-        F.col(PAYMENT_DATE).isNotNull().alias(PAYMENT_FLAG),
-        F.coalesce(F.col("has_payment"), F.lit(False)).alias("has_payment"))).alias("latest"))
+    return latest_deal(deals, key, reopening_status).join(per_deal, on="dealID", how="left")
 
 
 def outcome_columns(summary: DataFrame, key: str = "CPF") -> DataFrame:
     """Outcome variables of the latest deal: deal date and flag, payment date, count, flags."""
-    return summary.select(key, F.lit(True).alias(DEAL_FLAG), *[
-        F.col(f"latest.{c}").alias(c) for c in (DEAL_DATE, PAYMENT_DATE, INSTALLMENT_COUNT, PAYMENT_FLAG, "has_payment")])
+    return summary.select(key, F.lit(True).alias(DEAL_FLAG), DEAL_DATE, PAYMENT_DATE, INSTALLMENT_COUNT,
+                          F.col(PAYMENT_DATE).isNotNull().alias(PAYMENT_FLAG),
+                          F.coalesce(F.col("has_payment"), F.lit(False)).alias("has_payment"))
 
 
-def latest_from_summary(summary: DataFrame, key: str = "CPF") -> DataFrame:
-    """(person, deal date, deal id, status) of the latest deal, from the summary."""
-    return summary.select(key, *[F.col(f"latest.{c}").alias(c) for c in (DEAL_DATE, "dealID", "status")])
+def nested_outcomes(deals: DataFrame, installments: DataFrame, key: str, min_rows: int, top_k: int) -> DataFrame:
+    """(key, outcomes): every deal of a person with its installments, as arrays of rows
+    (JN9, JN10), so that the portfolio is joined once and fans out after that join.
+
+    A person's rows are one array, but where they reach ``max(min_rows, total / top_k)``
+    they are dealt over arrays of about that many rows each: the key then has several
+    rows here, and no array grows with the largest person.
+    """
+    rows = deals.filter(F.col(key).isNotNull()).join(installments, on="dealID", how="left")
+    hot = hot_keys(rows.groupBy(F.col(key).alias("__k")).agg(F.count(F.lit(1)).alias("__n")), ["__k"], "__n", min_rows, top_k)
+    dealt = rows.join(F.broadcast(hot), F.col(key) == F.col("__k"), "left")
+    part = F.coalesce(F.pmod(F.xxhash64("dealID", PAYMENT_DATE, INSTALLMENT_COUNT), F.col("__salts")), F.lit(0))
+    row = F.struct(DEAL_DATE, DEAL_FLAG, PAYMENT_DATE, INSTALLMENT_COUNT, "has_paid_date")
+    return dealt.groupBy(key, part.alias("__part")).agg(F.collect_list(row).alias(OUTCOMES)).drop("__part")
+
+
+def fan_out(rows: DataFrame) -> DataFrame:
+    """One row per deal and installment from ``OUTCOMES``; rows without a deal stay once."""
+    out = rows.select(*[F.col(f"`{c}`") for c in rows.columns if c != OUTCOMES], F.inline_outer(OUTCOMES))
+    return out.withColumns({
+        DEAL_FLAG: F.coalesce(F.col(DEAL_FLAG), F.lit(False)), PAYMENT_FLAG: F.col(PAYMENT_DATE).isNotNull(),
+        "has_payment": F.coalesce(F.col("has_paid_date"), F.lit(False)), INSTALLMENT_COUNT: F.coalesce(F.col(INSTALLMENT_COUNT), F.lit(0)),
+    }).drop("has_paid_date")
 
 
 def outcome_per_person(deals: DataFrame, installments: DataFrame, key: str = "CPF") -> DataFrame:

@@ -2,8 +2,8 @@
 
 The shuffles, for a portfolio of F rows, profiles P, debts D and events E:
 
-* the creditor's debts only: flags, ``distinct``, ``min`` per (person,
-  creditor) joined back by ``left_semi`` (the creditor filter reaches the scan);
+* the creditor's debts only (the filter reaches the scan): flags, ``distinct``, the earliest per
+  person by a window that keeps each task's first rows before the shuffle;
 * profile x creditor debts: inner join on the person id;
 * file x base: the file's rows are made distinct first, then left-joined on
   (contract, document); the flags are derived after the join;
@@ -81,11 +81,13 @@ def email_flags(info: DataFrame, spec: PortfolioSpec) -> DataFrame:
     return info.select("_id", *flags, *slot_values("domain", spec.email_slots, EMAIL_PREFIX, DOMAIN_SUFFIX))
 
 
-def debt_base(debts: DataFrame, spec: PortfolioSpec) -> DataFrame:
-    """Debt flags, distinct rows, earliest debt per (person, creditor) with ties (N4, A8, JN7)."""
+def debt_base(debts: DataFrame, spec: PortfolioSpec, keys: tuple[str, ...] = ("_id", "creditor")) -> DataFrame:
+    """Debt flags, distinct rows, earliest debt per (person, creditor) with ties (N4, A8, JN7).
+
+    Repeated rows collapse map-side before the window meets a group's ties."""
     cols = [c for c in debts.columns if c != "tag_divida"]
     flagged = debts.select(*cols, *tag_flags("tag_divida", spec.debt_tags, DEBT_FLAG_PREFIX, spec.none_tag))
-    return earliest_per_group(flagged.distinct(), ["_id", "creditor"], "INICIO_DIVIDA")
+    return earliest_per_group(flagged.distinct(), keys, "INICIO_DIVIDA")
 
 
 def creditor_debts(debts: DataFrame, spec: PortfolioSpec) -> DataFrame:
@@ -93,9 +95,10 @@ def creditor_debts(debts: DataFrame, spec: PortfolioSpec) -> DataFrame:
 
     The creditor filter is applied before the distinct and the group minimum
     (the creditor is a grouping key, so the result is the same as filtering
-    afterwards), so only the creditor's share of the debt snapshot is shuffled.
+    afterwards), so only the creditor's share of the debt snapshot is shuffled,
+    by the person alone.
     """
-    return debt_base(filter_equals(debts, "creditor", spec.creditor), spec)
+    return debt_base(filter_equals(debts, "creditor", spec.creditor), spec, ("_id",))
 
 
 def other_creditor_persons(debts: DataFrame, spec: PortfolioSpec) -> DataFrame:
@@ -162,7 +165,8 @@ def person_facts(keys: DataFrame, own: DataFrame, src: Sources, spec: PortfolioS
 
 def build_base(rows: DataFrame, src: Sources, spec: PortfolioSpec, file_day: str,
                document_facts: Callable[[DataFrame], DataFrame], defaults: dict,
-               stage: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+               stage: Callable[[DataFrame], DataFrame] | None = None,
+               outcomes: DataFrame | None = None) -> DataFrame:
     """Portfolio rows + profile + debt flags + all facts, with ONE join of the wide rows.
 
     Facts keyed by the person id and facts keyed by the document are first
@@ -176,6 +180,8 @@ def build_base(rows: DataFrame, src: Sources, spec: PortfolioSpec, file_day: str
     and distinct debts make the result distinct.  A batch run passes ``stage``,
     which writes the file x profile join as a Parquet table and reads it back:
     the join is computed once and its narrow readers read only their columns.
+    ``outcomes`` (the document and an array column, possibly several rows per document)
+    comes along with the facts.
     """
     doc, contract = spec.file_document, spec.file_contract
     info = filter_equals(src.info, "documentType", spec.document_type) \
@@ -192,18 +198,18 @@ def build_base(rows: DataFrame, src: Sources, spec: PortfolioSpec, file_day: str
         people = inner_join_key(info.select("_id", "document"), own.select("_id", "contract"), "_id")
         keys = left_join_keys(rows.select(doc, contract), people, [contract, doc], ["contract", "document"]) \
             .select("_id", doc, contract)
-    named = [*rows.columns, *[c for c in profile_flags(base, spec).columns
-                              if c not in ("contract", "document", "creditor")]]
-    flags = [c for c in named if c not in joined.columns]
+    arq = profile_flags(joined, spec)
     known = F.col("_id").isNotNull()     # rows without a person have no flags
-    arq = profile_flags(joined, spec).withColumns({c: F.when(known, F.col(f"`{c}`")) for c in flags}) \
-        .select(*[F.col(f"`{c}`") for c in named])
+    arq = arq.withColumns({c: F.when(known, F.col(f"`{c}`")) for c in arq.columns if c not in joined.columns})
 
     idf = person_facts(keys, own, src, spec, file_day)
     facts = document_facts(keys.select(doc))
     pairs = keys.groupBy(F.col("_id").alias("__id"), F.col(doc).alias("__doc")).agg(F.count(F.lit(1)).alias("__n"))
     pair_facts = pairs.join(idf, F.col("__id") == idf["__key"], "left").drop("__key") \
         .join(facts, F.col("__doc") == facts["__key"], "left").drop("__key")
+    if outcomes is not None:
+        nested = outcomes.withColumnRenamed(doc, "__key")
+        pair_facts = pair_facts.join(nested, F.col("__doc") == nested["__key"], "left").drop("__key")
     hot = hot_keys(pairs, ["__id", "__doc"], "__n", spec.hot_rows, spec.hot_top_k)
     out = salted_left_join(arq, pair_facts.drop("__n"), ["_id", doc], ["__id", "__doc"], hot)
     defaults = {SIMULATION_COUNT: 0, OTHER_CREDITOR_FLAG: False, SAME_CREDITOR_FLAG: False, **defaults}

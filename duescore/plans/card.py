@@ -7,9 +7,8 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import parse_day_prefix
 from ..functions.text import coerce_numeric
-from ..operators.contact import activation_label, interaction_days_raw, pivot_channel_day
-from ..operators.outcomes import (deal_outcome, deal_rows, deal_summary, installment_rows, latest_from_summary,
-                                  outcome_columns, payment_outcome)
+from ..operators.contact import activation_label, interaction_days_raw, latest_deal, pivot_channel_day
+from ..operators.outcomes import deal_rows, deal_summary, fan_out, installment_rows, nested_outcomes, outcome_columns
 from ..spec import (ACTIVATED, AUTH_COUNT, CARD_FILE_RENAMES, CARD_PAYMENT_COLUMNS, DEAL_DATE, DEAL_FLAG, FIRST_TOUCH,
                     INSTALLMENT_COUNT, NOT_ACTIVATED, PAYMENT_DATE, PAYMENT_FLAG, PortfolioSpec)
 from .base import Sources, auth_rows, build_base, combine_facts, is_kind, tagged
@@ -52,7 +51,8 @@ def build_card_base(raw_file: DataFrame, src: Sources, spec: PortfolioSpec, file
 
     ``outcome_grain`` ``person`` gives one row per file row with the outcome of
     the person's latest deal; ``deal`` gives one row per file row, deal and
-    installment, as the file rule does (JN9, JN10).
+    installment, as the file rule does (JN9, JN10); these come nested, with the facts, in
+    the one join of the wide rows.
     """
     if outcome_grain not in OUTCOME_GRAINS:
         raise ValueError(f"outcome_grain is one of {OUTCOME_GRAINS}")
@@ -61,16 +61,15 @@ def build_card_base(raw_file: DataFrame, src: Sources, spec: PortfolioSpec, file
     deals = deal_rows(src.deals, spec.creditor, spec.outcome_since, spec.excluded_deal_status, doc,
                       spec.outcome_until)
     inst = installment_rows(src.installments, spec.creditor, spec.outcome_since, spec.outcome_until)
-    summary = deal_summary(deals, inst, doc)
     days = interaction_days_raw(src.interactions, spec.excluded_interaction_status)
-    labelled = activation_label(pivot_channel_day(days, channels), latest_from_summary(summary, doc), channels,
-                                spec.reopening_status)
+    labelled = activation_label(pivot_channel_day(days, channels), latest_deal(deals, doc, spec.reopening_status), channels,
+                                deal_document=doc)
     parts = [auth_rows(src, spec, file_day),
              tagged(labelled, "document", "day", "DT_INTERACAO", "ATIVACAO", *channels)]
     aggs = [F.count_if(is_kind("auth")).alias(AUTH_COUNT)]
     defaults = {AUTH_COUNT: 0}
     if outcome_grain == "person":
-        outcome = outcome_columns(summary, doc)
+        outcome = outcome_columns(deal_summary(deals, inst, doc, spec.reopening_status), doc)
         parts.append(tagged(outcome, doc, "deal", DEAL_DATE, PAYMENT_DATE, INSTALLMENT_COUNT, PAYMENT_FLAG, "has_payment"))
         # One outcome row per person, so each of these is that row's value.
         aggs += [F.max(DEAL_DATE).alias(DEAL_DATE), F.bool_or(is_kind("deal")).alias(DEAL_FLAG),
@@ -78,10 +77,11 @@ def build_card_base(raw_file: DataFrame, src: Sources, spec: PortfolioSpec, file
                  F.bool_or(PAYMENT_FLAG).alias(PAYMENT_FLAG), F.bool_or("has_payment").alias("has_payment")]
         defaults |= {DEAL_FLAG: False, PAYMENT_FLAG: False, "has_payment": False, INSTALLMENT_COUNT: 0}
     aggs += activation_aggs(spec)
+    outcomes = nested_outcomes(deals, inst, doc, spec.hot_rows, spec.hot_top_k) if outcome_grain == "deal" else None
     arq = build_base(clean_card_file(raw_file), src, spec, file_day,
-                     lambda documents: combine_facts(parts, aggs, documents), defaults, stage)
+                     lambda documents: combine_facts(parts, aggs, documents), defaults, stage, outcomes)
     if outcome_grain == "deal":
-        arq = payment_outcome(deal_outcome(arq, deals, doc), inst).drop("dealID", "status")
+        arq = fan_out(arq)
     if spec.fill_zero:
         arq = arq.fillna(0, subset=[f"ACION_{t}_QTD_{lb}" for lb in (ACTIVATED, NOT_ACTIVATED) for _, t in spec.channels])
     return arq

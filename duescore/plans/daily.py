@@ -19,8 +19,9 @@ from pyspark.sql import functions as F
 from ..operators.features import FeatureGroups
 from ..operators.score import Scorer
 from ..sources.files import day_of_name, header_date, newest_file, scan_delimited, scan_fixed_schema
+from ..sources.commits import Run, read_committed
 from ..sources.sinks import publish, write_table
-from ..sources.snapshots import read_snapshot
+from ..sources.snapshots import read_snapshot, read_table
 from ..spec import CARD_FILE_RENAMES, CARD_PAYMENT_COLUMNS, COMPANY_FILE_FIELDS, PortfolioSpec
 from .base import Sources
 from .card import build_card_base
@@ -40,6 +41,8 @@ class Layout:
         "info": "Info", "debts": "Debts/CPF", "simulation": "Simulation", "authentication": "Authentication",
         "deals": "Deals", "installments": "Installments"})
     undated_tables: dict = field(default_factory=lambda: {"interactions": "interactions"})
+    #: Source format of a role's table where it is not Parquet, e.g. ``{"interactions": "delta"}``.
+    formats: dict = field(default_factory=dict)
 
 
 def company_layout(root: str, persons: str = "persons", campaigns: str = "campaigns") -> Layout:
@@ -50,10 +53,10 @@ def company_layout(root: str, persons: str = "persons", campaigns: str = "campai
 
 def load_sources(spark: SparkSession, layout: Layout, snapshot_day: str) -> Sources:
     """Each snapshot pruned to one ``snapshot_date`` partition (S6); undated tables as they are."""
-    tables = {role: read_snapshot(spark, layout.root, name, snapshot_day).drop("snapshot_date")
+    tables = {role: read_snapshot(spark, layout.root, name, snapshot_day, format=layout.formats.get(role, "parquet")).drop("snapshot_date")
               for role, name in layout.snapshot_tables.items()}
     for role, name in layout.undated_tables.items():
-        tables[role] = spark.read.parquet(os.path.join(layout.root, name))
+        tables[role] = read_table(spark, os.path.join(layout.root, name), layout.formats.get(role, "parquet"))
     return Sources(**tables)
 
 
@@ -66,7 +69,10 @@ def stage_at(spark: SparkSession, path: str) -> Callable[[DataFrame], DataFrame]
 
 
 def _score_and_publish(spark: SparkSession, base: DataFrame, spec: PortfolioSpec, groups: FeatureGroups, scorer: Scorer,
-                       file_day: str, as_of: str, created_at: str, out_root: str, export_root: str | None) -> DataFrame:
+                       file_day: str, as_of: str, created_at: str, out_root: str, export_root: str | None,
+                       run_id: str | None = None) -> DataFrame:
+    if run_id is not None:
+        return score_run(spark, base, spec, groups, scorer, file_day, as_of, created_at, out_root, export_root, run_id)
     base_root = os.path.join(out_root, "feature_base")
     write_table(base.withColumn("file_date", F.to_date(F.lit(file_day))), base_root, partition_by=["file_date"])
     staged = spark.read.parquet(base_root).filter(F.col("file_date") == F.to_date(F.lit(file_day))).drop("file_date")
@@ -76,13 +82,27 @@ def _score_and_publish(spark: SparkSession, base: DataFrame, spec: PortfolioSpec
     return publish(scores, spark, primary, secondary)
 
 
+def score_run(spark: SparkSession, base: DataFrame, spec: PortfolioSpec, groups: FeatureGroups, scorer: Scorer, file_day: str,
+              as_of: str, created_at: str, out_root: str, export_root: str | None, run_id: str) -> DataFrame:
+    """Base, scores and export of one run, made visible together by one commit (S10, S11);
+    readers use ``read_committed(spark, out_root, "file_date=<day>", "scores")``."""
+    run = Run(spark, out_root, f"file_date={file_day}", run_id)
+    written = run.write("feature_base", base)
+    scores = run.write("scores", propensity_scores(written, spec, groups, scorer, as_of, file_day, created_at))
+    run.write("export", scores, root=export_root, format="csv", header=True, sep=";")
+    run.commit()
+    return read_committed(spark, out_root, run.slot, "scores")
+
+
 def run_card_day(spark: SparkSession, portfolio: DataFrame, layout: Layout, spec: PortfolioSpec, snapshot_day: str,
                  file_day: str, groups: FeatureGroups, scorer: Scorer, as_of: str, created_at: str, out_root: str,
-                 export_root: str | None = None, outcome_grain: str = "person") -> DataFrame:
-    """Build, stage, score and publish one card portfolio file; returns the written scores."""
+                 export_root: str | None = None, outcome_grain: str = "person", run_id: str | None = None) -> DataFrame:
+    """Build, stage, score and publish one card portfolio file; returns the written scores.
+
+    With a ``run_id`` the outputs go to folders of the run and become visible by one commit."""
     stage = stage_at(spark, os.path.join(out_root, "joined", f"file_date={file_day}"))
     base = build_card_base(portfolio, load_sources(spark, layout, snapshot_day), spec, file_day, stage, outcome_grain)
-    return _score_and_publish(spark, base, spec, groups, scorer, file_day, as_of, created_at, out_root, export_root)
+    return _score_and_publish(spark, base, spec, groups, scorer, file_day, as_of, created_at, out_root, export_root, run_id)
 
 
 def read_card_file(spark: SparkSession, path: str) -> DataFrame:
@@ -106,7 +126,7 @@ def run_card_landing(spark: SparkSession, landing: str, layout: Layout, spec: Po
 
 def run_company_day(spark: SparkSession, file_path: str, layout: Layout, spec: PortfolioSpec, snapshot_day: str,
                     file_day: str, creditor_id: str, groups: FeatureGroups, scorer: Scorer, as_of: str, created_at: str,
-                    out_root: str, export_root: str | None = None) -> DataFrame:
+                    out_root: str, export_root: str | None = None, run_id: str | None = None) -> DataFrame:
     """Parse, stage, score and publish one bank portfolio file; returns the written scores.
 
     The file is read with its fixed field list (S4), once; the nested person store
@@ -116,7 +136,7 @@ def run_company_day(spark: SparkSession, file_path: str, layout: Layout, spec: P
     parsed = scan_fixed_schema(spark, file_path, COMPANY_FILE_FIELDS)
     base = build_company_base(parsed, load_sources(spark, layout, snapshot_day), spec, os.path.basename(file_path),
                               creditor_id, file_day, as_of, stage=stage)
-    return _score_and_publish(spark, base, spec, groups, scorer, file_day, as_of, created_at, out_root, export_root)
+    return _score_and_publish(spark, base, spec, groups, scorer, file_day, as_of, created_at, out_root, export_root, run_id)
 
 
 def run_company_landing(spark: SparkSession, landing: str, layout: Layout, spec: PortfolioSpec, snapshot_day: str,

@@ -8,6 +8,7 @@ comparison does not depend on how each client library represents dates.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,7 +16,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import testbed as tb
-from .testbed_sql import with_roles
+from .session import ensure_checkpoint_dir, stage_path
+from .testbed_sql import forest_sql, with_roles
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -111,6 +113,19 @@ def q_file_date(spark, sf_dir):
                                .alias("file_date"))
 
 
+def file_folder(spark: SparkSession, name: str) -> str:
+    """A folder of its own for files that a query writes and reads."""
+    ensure_checkpoint_dir(spark)
+    return stage_path(spark, "files", name, uuid.uuid4().hex)
+
+
+def company_file(spark: SparkSession, sf_dir: str) -> str:
+    """The bank's portfolio as text files."""
+    path = file_folder(spark, "company")
+    tb.company_lines(spark, sf_dir).select("value").write.text(path)
+    return path
+
+
 _SUPPLIER_FIELDS = ("s_suppkey", "s_name", "s_nationkey", "s_acctbal")
 
 
@@ -119,11 +134,11 @@ SELECT CAST(s_suppkey AS VARCHAR) AS s_suppkey, s_name, CAST(s_nationkey AS VARC
        CAST(CAST(s_acctbal AS DECIMAL(15,2)) AS VARCHAR) AS s_acctbal
 FROM supplier""")
 def q_scan_delimited(spark, sf_dir):
-    """Comma-separated text read with named columns, every column as string (S3)."""
+    """Comma-separated files with a header in another order, read by its names, every column as string (S3)."""
     s = tb.table(spark, sf_dir, "supplier")
-    lines = s.select(F.concat_ws(",", "s_suppkey", "s_name", "s_nationkey",
-                                 F.col("s_acctbal").cast("decimal(15,2)").cast("string")).alias("value"))
-    return sfiles.parse_lines(lines, _SUPPLIER_FIELDS, sep=",")
+    path = file_folder(spark, "suppliers")
+    s.select("s_nationkey", "s_name", F.col("s_acctbal").cast("decimal(15,2)"), "s_suppkey").write.option("header", True).csv(path)
+    return sfiles.scan_delimited(spark, path, _SUPPLIER_FIELDS, sep=",")
 
 
 def _company_lines_sql() -> str:
@@ -150,9 +165,8 @@ _S4_COLS = ("Tipo_Registro", "Tipo_Pessoa", "Numero_Documento", "Contrato_Altair
 UNION ALL SELECT '0', ' {tb.FILE_DAY} ', NULL, NULL, NULL, NULL, NULL
 UNION ALL SELECT '9', 'TRAILER', NULL, NULL, NULL, NULL, NULL""")
 def q_scan_fixed_schema(spark, sf_dir):
-    """Headerless ';' lines parsed with the fixed field list, control records included."""
-    parsed = sfiles.parse_lines(tb.company_lines(spark, sf_dir), COMPANY_FILE_FIELDS, sep=";")
-    return parsed.select(*_S4_COLS)
+    """Headerless ';' files parsed with the fixed field list, control records included."""
+    return sfiles.scan_fixed_schema(spark, company_file(spark, sf_dir), COMPANY_FILE_FIELDS).select(*_S4_COLS)
 
 
 @register("strip_control_records", f"""
@@ -195,9 +209,11 @@ def q_semi_join_lookup(spark, sf_dir):
 @register("json_scan", """
 SELECT event_id, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events""")
 def q_json_scan(spark, sf_dir):
-    """JSON text parsed with a declared schema."""
-    e = sfiles.parse_json_column(tb.table(spark, sf_dir, "events"), "props", "k INT")
-    return e.select("event_id", F.col("json.k").alias("k"))
+    """JSON files read with a declared schema."""
+    path = file_folder(spark, "events")
+    lines = F.concat(F.lit('{"event_id":'), F.col("event_id"), F.lit(',"props":'), F.coalesce("props", F.lit("null")), F.lit("}"))
+    tb.table(spark, sf_dir, "events").select(lines.alias("value")).write.text(path)
+    return sfiles.json_scan(spark, path, "event_id BIGINT, props STRUCT<k: INT>").select("event_id", F.col("props.k").alias("k"))
 
 
 @register("provenance", with_roles("card_file") + f"""
@@ -212,6 +228,22 @@ def q_provenance(spark, sf_dir):
                              Provider=tb.CARD.provider, CreatedAt=dt.date.fromisoformat(tb.AS_OF))
 
 
+@register("split_lines", f"""
+SELECT CAST(event_id AS VARCHAR) AS event_id, CASE WHEN event_id % 10 = 3 THEN NULL ELSE event_type END AS event_type,
+       CASE WHEN event_id % 10 = 3 THEN 'line' ELSE 'row' END AS kind
+FROM events""")
+def q_split_lines(spark, sf_dir):
+    """Lines that do not fit the fields are set aside with their text, the others go on."""
+    e = tb.table(spark, sf_dir, "events").select(F.col("event_id").cast("string").alias("event_id"), "event_type")
+    path, stage = file_folder(spark, "lines"), file_folder(spark, "split")
+    short = F.col("event_id").cast("bigint") % 10 == 3
+    e.select(F.when(short, F.col("event_id")).otherwise(F.concat_ws(";", "event_id", "event_type")).alias("value")).write.text(path)
+    scanned = sfiles.scan_checked(spark, path, ["event_id", "event_type"])
+    rows = sfiles.split_lines(scanned, stage, most_share=0.5).withColumn("kind", F.lit("row"))
+    aside = sfiles.left_out(scanned, stage).select(F.col("_line").alias("event_id"), F.lit(None).cast("string").alias("event_type"), F.lit("line").alias("kind"))
+    return rows.unionByName(aside)
+
+
 # Section 2.2 - projections and filters ----------------------------------------
 
 from .operators import enrich as en  # noqa: E402
@@ -597,6 +629,21 @@ def q_count_asof_auth(spark, sf_dir):
                          tb.FILE_DAY)
 
 
+@register("count_asof_state", with_roles("debts", "simulation", extra=[("p", _CARD_PERSONS_SQL)]) + f"""
+SELECT p._id, p.CPF, COALESCE(s.n, 0) AS QTD_SIMU
+FROM p LEFT JOIN (
+    SELECT personID, count(*) AS n FROM simulation
+    WHERE creditor = '{tb.CREDITOR}' AND createdAt <= DATE '{tb.FILE_DAY}'
+    GROUP BY personID) s ON p._id = s.personID""")
+def q_count_asof_state(spark, sf_dir):
+    """Simulations per person up to the file date from daily partials, one day counted again (JN8, A1)."""
+    from .operators import daily_counts as dc
+    root, events = file_folder(spark, "simulation-days"), tb.simulation(spark, sf_dir)
+    dc.store_history(events, root, "personID", "createdAt")
+    dc.store_day(events, root, tb.FILE_DAY, "personID", "createdAt")
+    return dc.count_from_state(_card_persons(spark, sf_dir), dc.read_state(spark, root), "_id", "QTD_SIMU", tb.FILE_DAY, tb.CREDITOR)
+
+
 @register("deal_outcome", with_roles("debts", "deals", extra=[_P, _DEAL_ROWS]) + """
 SELECT p.CPF, CAST(dr.DT_ACORDO AS VARCHAR) AS DT_ACORDO, dr.dealID, dr.status,
        COALESCE(dr.VARIAVEL_RESPOSTA_ACORDO, FALSE) AS VARIAVEL_RESPOSTA_ACORDO
@@ -906,6 +953,22 @@ def q_score_rollup(spark, sf_dir):
     return r.withColumns({"ScoreValue": F.round("ScoreValue", 9), "ScoreAvg": F.round("ScoreAvg", 9)})
 
 
+@register("publish_committed", with_roles(extra=[_PRE_SQL, _PRE_GH_SQL]) + f"""
+, s AS (SELECT lpad(Chave, 11, '0') AS Document, max(GH) AS Score FROM pre_gh GROUP BY lpad(Chave, 11, '0'))
+SELECT Document, Score, 'scores' AS output FROM s UNION ALL SELECT Document, Score, 'export' FROM s""")
+def q_publish_committed(spark, sf_dir):
+    """Scores and their delimited export, written by one run, audited, committed and read back from the manifest."""
+    from .sources.commits import Run, read_committed
+    scores = sc.score_rollup(_pre(spark, sf_dir), 11, tb.CARD.provider, tb.FILE_DAY, tb.AS_OF)
+    root, slot = file_folder(spark, "published"), f"file_date={tb.FILE_DAY}"
+    run = Run(spark, root, slot)
+    run.write("export", run.write("scores", scores), root=root + "-export", format="csv", header=True, sep=";")
+    run.commit()
+    seen = [read_committed(spark, root, slot, name).select("Document", F.col("Score").cast("int").alias("Score"), F.lit(name).alias("output"))
+            for name in ("scores", "export")]
+    return seen[0].unionByName(seen[1])
+
+
 @register("sorted_output", with_roles(extra=[_PRE_SQL, _PRE_GH_SQL]) + """
 SELECT lpad(Chave, 11, '0') AS Document, max(GH) AS Score FROM pre_gh GROUP BY 1 ORDER BY Score DESC, Document""")
 def q_sorted_output(spark, sf_dir):
@@ -1029,11 +1092,21 @@ def q_score_gbt(spark, sf_dir):
     return sc.score_model(model, feats, "doc_id").withColumn("Chave", F.col("Chave").cast("string"))
 
 
+@register("score_forest", forest_sql())
+def q_score_forest(spark, sf_dir):
+    """Probability of every customer from a trainer's dump of 500 trees of depth 6, as flat node arrays (M1)."""
+    from .operators.forest import forest_of_dump, score_forest
+    model = forest_of_dump(tb.forest_dump(), tb.FOREST_BASE, tuple(tb.FOREST_RANGES))
+    scores = score_forest(tb.customer_features(spark, sf_dir), "c_custkey", model)
+    return scores.withColumn("P_1", F.round("P_1", 9))
+
+
 # Section 2.11 - composite pipelines ----------------------------------------------
 
 from . import composite_sql as csql  # noqa: E402
 from .plans.card import build_card_base  # noqa: E402
 from .plans.company import build_company_base  # noqa: E402
+from .plans.daily import stage_at  # noqa: E402
 from .plans.publish import propensity_scores  # noqa: E402
 from .spec import (CARD_CATEGORICAL, CARD_DATES, CARD_NUMERIC, COMPANY_CATEGORICAL, COMPANY_DATES,  # noqa: E402
                    COMPANY_NUMERIC)
@@ -1042,18 +1115,26 @@ CARD_GROUPS = fe.FeatureGroups(numeric=CARD_NUMERIC, categorical=CARD_CATEGORICA
 COMPANY_GROUPS = fe.FeatureGroups(numeric=COMPANY_NUMERIC, categorical=COMPANY_CATEGORICAL, dates=COMPANY_DATES)
 
 
-def card_base(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return build_card_base(tb.card_file(spark, sf_dir), tb.card_sources(spark, sf_dir), tb.CARD, tb.FILE_DAY)
+def run_stage(spark: SparkSession, name: str) -> Callable[[DataFrame], DataFrame]:
+    """A stage table of its own for each call, as the daily jobs write one per run."""
+    ensure_checkpoint_dir(spark)
+    return stage_at(spark, stage_path(spark, name, uuid.uuid4().hex))
+
+
+def card_base(spark: SparkSession, sf_dir: str, **kw) -> DataFrame:
+    return build_card_base(tb.card_file(spark, sf_dir), tb.card_sources(spark, sf_dir), tb.CARD, tb.FILE_DAY,
+                           run_stage(spark, "card"), **kw)
 
 
 def company_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     parsed = sfiles.parse_lines(tb.company_lines(spark, sf_dir), COMPANY_FILE_FIELDS, sep=";")
     return build_company_base(parsed, tb.company_sources(spark, sf_dir), tb.COMPANY, tb.COMPANY_FILE_NAME,
-                              tb.COMPANY_CREDITOR_ID, tb.FILE_DAY, tb.AS_OF)
+                              tb.COMPANY_CREDITOR_ID, tb.FILE_DAY, tb.AS_OF, stage=run_stage(spark, "company"))
 
 
 def _published(base: DataFrame, spec, groups: fe.FeatureGroups, scorer: sc.Scorer) -> DataFrame:
-    out = propensity_scores(base, spec, groups, scorer, tb.AS_OF, tb.FILE_DAY, tb.AS_OF)
+    written = run_stage(base.sparkSession, "base")(base)      # scored from the written base, as in the daily jobs
+    out = propensity_scores(written, spec, groups, scorer, tb.AS_OF, tb.FILE_DAY, tb.AS_OF)
     return out.withColumns({"ScoreValue": F.round("ScoreValue", 9), "ScoreAvg": F.round("ScoreAvg", 9)})
 
 
@@ -1066,8 +1147,7 @@ def q_feature_base_card(spark, sf_dir):
 @register("feature_base_card_deals", csql.feature_base_card_deals_sql())
 def q_feature_base_card_deals(spark, sf_dir):
     """Card feature base with one row per file row, deal and installment (C1, JN9, JN10)."""
-    return build_card_base(tb.card_file(spark, sf_dir), tb.card_sources(spark, sf_dir), tb.CARD, tb.FILE_DAY,
-                           outcome_grain="deal")
+    return card_base(spark, sf_dir, outcome_grain="deal")
 
 
 @register("feature_base_company", csql.feature_base_company_sql())

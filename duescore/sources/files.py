@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -121,6 +121,68 @@ def parse_json_column(df: DataFrame, column: str, schema: str, alias: str = "jso
     return df.withColumn(alias, F.from_json(F.col(column), schema))
 
 
+# -- lines that do not fit (S3, S4) --------------------------------------------
+
+LINE = "_line"
+
+
+class TooManyBadLines(RuntimeError):
+    """More lines of a file do not fit its fields than a run may leave out."""
+
+
+def scan_checked(spark: SparkSession, path: str, fields: Sequence[str], sep: str = ";", header: bool = False) -> DataFrame:
+    """Delimited text with every column as string and ``_line``: null where a line fits the
+    fields, else the line itself (too short, too long or badly quoted).
+
+    With a header its names must be ``fields`` in any order, further ones allowed.  All
+    columns are parsed whatever is selected, as a short line only shows then.
+    """
+    names = list(fields)
+    if header:
+        names = spark.read.option("header", True).option("sep", sep).csv(path).columns
+        missing = [c for c in fields if c not in names]
+        if missing:
+            raise ValueError(f"columns missing in the header of {path}: {missing}")
+    schema = string_schema([*names, LINE])
+    return spark.read.schema(schema).option("header", header).option("sep", sep).option("enforceSchema", not header) \
+        .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", LINE).option("columnPruning", False) \
+        .csv(path).select(*[F.col(f"`{c}`") for c in (*fields, *[n for n in names if n not in fields])], LINE)
+
+
+FITS = "_fits"
+
+
+def split_lines(scanned: DataFrame, path: str, most_share: float = 0.01, type_column: str | None = None,
+                control_types: Sequence[str] = ("0", "9")) -> DataFrame:
+    """The lines that fit, from a stage table at ``path``; its part ``_fits=false`` keeps the
+    others with their line and file, and a share of them above ``most_share`` fails the run.
+
+    Control records are shorter than detail records: with ``type_column`` lines of
+    ``control_types`` pass as they are.  One pass over the file parses, counts and writes.
+    """
+    fits = F.col(LINE).isNull()
+    if type_column is not None:
+        fits = fits | F.coalesce(F.trim(F.col(type_column)).isin(list(control_types)), F.lit(False))
+    marked = scanned.select("*", F.col("_metadata.file_name").alias("_file"), fits.alias(FITS))
+    counts = Observation()
+    seen = marked.observe(counts, F.count(F.lit(1)).alias("lines"), F.count_if(~F.col(FITS)).alias("bad"))
+    seen.write.mode("overwrite").partitionBy(FITS).parquet(path)
+    lines, left_out = counts.get["lines"], counts.get["bad"]
+    if left_out > most_share * lines:
+        raise TooManyBadLines(f"{left_out} of {lines} lines do not fit; they are in {path}/{FITS}=false")
+    return _stage(scanned, path).filter(FITS).drop(LINE, "_file", FITS)
+
+
+def left_out(scanned: DataFrame, path: str) -> DataFrame:
+    """The lines that ``split_lines`` set aside, with what could be parsed of them."""
+    return _stage(scanned, path).filter(~F.col(FITS)).drop(FITS)
+
+
+def _stage(scanned: DataFrame, path: str) -> DataFrame:
+    schema = T.StructType([*scanned.schema.fields, T.StructField("_file", T.StringType()), T.StructField(FITS, T.BooleanType())])
+    return scanned.sparkSession.read.schema(schema).parquet(path)
+
+
 # -- S5: header and trailer records -------------------------------------------
 
 def header_date(df: DataFrame, type_column: str = "Tipo_Registro", date_column: str = "Tipo_Pessoa",

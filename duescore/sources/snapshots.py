@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .commits import folder_exists
+
 SNAPSHOT_COLUMN = "snapshot_date"
 
 
@@ -27,10 +29,31 @@ def day_slice(df: DataFrame, column: str, day: str) -> DataFrame:
     return df.filter((F.col(column) >= start) & (F.col(column) < start + F.expr("INTERVAL 1 DAY")))
 
 
+class WrongFormat(ValueError):
+    """A folder does not hold the format it is said to hold."""
+
+
+def read_table(spark: SparkSession, path: str, format: str = "parquet") -> DataFrame:
+    """A table as it is now (S7).  A folder with a transaction log is never read as plain
+    files: those include rows that the log has removed.  Other formats than Parquet need
+    their package in the session."""
+    logged = folder_exists(spark, os.path.join(path, "_delta_log"))
+    if format == "delta" and not logged:
+        raise WrongFormat(f"{path} has no transaction log; it is not a delta table")
+    if format != "delta" and logged:
+        raise WrongFormat(f"{path} has a transaction log; read it with the format 'delta', not {format!r}")
+    try:
+        return spark.read.format(format).load(path)
+    except Exception as missing:  # Spark names an unknown format by a Java error without a Python class
+        if "DATA_SOURCE_NOT_FOUND" in str(missing):
+            raise WrongFormat(f"{path}: the session has no package for the format {format!r}") from missing
+        raise
+
+
 def read_snapshot(spark: SparkSession, root: str, table: str, day: str,
-                  columns: Sequence[str] | None = None) -> DataFrame:
+                  columns: Sequence[str] | None = None, format: str = "parquet") -> DataFrame:
     """Scan ``root/table`` pruned to one ``snapshot_date`` partition and to the needed columns."""
-    df = snapshot_slice(spark.read.parquet(os.path.join(root, table)), day)
+    df = snapshot_slice(read_table(spark, os.path.join(root, table), format), day)
     return df.select(*columns) if columns else df
 
 

@@ -342,3 +342,35 @@ CARD_TREES = (
     Split("feature_not_in_base", 1.0, 0.1, 0.9, missing_left=False),
 )
 CARD_TREE_BASE = -0.8
+
+
+# A model of the size that trainers write: complete trees whose splits and leaves follow a rule.
+FOREST_RANGES = {"c_acctbal": (-999.0, 9999.0), "c_nationkey": (0.0, 24.0), "n_orders": (0.0, 30.0),
+                 "max_price": (1000.0, 500000.0), "min_price": (1000.0, 300000.0), "days_since": (0.0, 3000.0)}
+FOREST_TREES, FOREST_DEPTH, FOREST_BASE = 500, 6, -0.25
+
+
+def forest_dump(trees: int = FOREST_TREES, depth: int = FOREST_DEPTH) -> str:
+    """The rule's trees in a trainer's JSON dump format; node i has the children 2i + 1 and 2i + 2."""
+    import json
+    names, inner = list(FOREST_RANGES), 2 ** depth - 1
+
+    def node(t: int, i: int) -> dict:
+        if i >= inner:
+            return {"nodeid": i, "leaf": ((41 * t + 29 * i) % 83 - 41) / 4000.0}
+        feature = names[(5 * t + 3 * i + i * i) % len(names)]
+        lo, hi = FOREST_RANGES[feature]
+        yes, no = 2 * i + 1, 2 * i + 2
+        return {"nodeid": i, "split": feature, "split_condition": lo + (hi - lo) * ((37 * t + 53 * i) % 97 + 1) / 98.0,
+                "yes": yes, "no": no, "missing": yes if (t + i) % 3 else no, "children": [node(t, yes), node(t, no)]}
+
+    return json.dumps([node(t, 0) for t in range(trees)])
+
+
+def customer_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Model features of every customer, null where there is no order."""
+    o = table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("k")).agg(
+        F.count("*").alias("n_orders"), F.max("o_totalprice").alias("max_price"), F.min("o_totalprice").alias("min_price"),
+        F.date_diff(F.lit(AS_OF).cast("date"), F.max(F.to_date("o_orderdate"))).alias("days_since"))
+    c = table(spark, sf_dir, "customer")
+    return c.join(o, c.c_custkey == o.k, "left").select("c_custkey", *[F.col(n).cast("double").alias(n) for n in FOREST_RANGES])

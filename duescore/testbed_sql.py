@@ -6,6 +6,7 @@ roles (and the roles they depend on) over the pre-registered test tables.
 
 from __future__ import annotations
 
+from . import testbed as tb
 from .testbed import (ARREARS_BASE, CNPJ_SEGMENTS, CREDITOR, OTHER_SIM_CREDITOR, PAID_EARLY_DAYS,
                       RANK_WORDS, SHIFT_DAYS, SKIP_WORDS)
 
@@ -153,3 +154,30 @@ def with_roles(*names: str, extra: list[tuple[str, str]] | None = None) -> str:
     parts = [f"{n} AS ({ROLES[n][1]}\n)" for n in order]
     parts += [f"{n} AS (\n{body}\n)" for n, body in (extra or [])]
     return "WITH " + ",\n".join(parts) + "\n"
+
+
+def forest_sql() -> str:
+    """The rule's trees walked node by node from a table of nodes, for every customer."""
+    names = list(tb.FOREST_RANGES)
+    lows = ", ".join(repr(lo) for lo, _ in tb.FOREST_RANGES.values())
+    highs = ", ".join(repr(hi) for _, hi in tb.FOREST_RANGES.values())
+    inner = 2 ** tb.FOREST_DEPTH - 1
+    return f"""
+WITH RECURSIVE o AS (
+  SELECT o_custkey, CAST(count(*) AS DOUBLE) AS n_orders, max(o_totalprice) AS max_price, min(o_totalprice) AS min_price,
+    CAST(date_diff('day', max(CAST(o_orderdate AS DATE)), DATE '{tb.AS_OF}') AS DOUBLE) AS days_since
+  FROM orders GROUP BY o_custkey),
+c AS (SELECT c_custkey, [{", ".join(f"CAST({n} AS DOUBLE)" for n in names)}] AS f FROM customer LEFT JOIN o ON c_custkey = o_custkey),
+q AS (SELECT t, i, (5 * t + 3 * i + i * i) % {len(names)} + 1 AS place FROM range({tb.FOREST_TREES}) r(t), range({inner}) s(i)),
+nodes AS (
+  SELECT t, i, place, ([{lows}])[place] + (([{highs}])[place] - ([{lows}])[place]) * ((37 * t + 53 * i) % 97 + 1) / CAST(98 AS DOUBLE) AS threshold,
+    (t + i) % 3 <> 0 AS missing_left FROM q),
+walk(k, t, i) AS (
+  SELECT c_custkey, t, CAST(0 AS BIGINT) FROM c, range({tb.FOREST_TREES}) r(t)
+  UNION ALL
+  SELECT w.k, w.t, 2 * w.i + CASE WHEN coalesce(c.f[n.place] < n.threshold, n.missing_left) THEN 1 ELSE 2 END
+  FROM walk w JOIN c ON c.c_custkey = w.k JOIN nodes n ON n.t = w.t AND n.i = w.i),
+z AS (
+  SELECT k, {tb.FOREST_BASE!r} + sum(((41 * t + 29 * i) % 83 - 41) / CAST(4000 AS DOUBLE)) AS margin
+  FROM walk WHERE i >= {inner} GROUP BY k)
+SELECT CAST(k AS VARCHAR) AS Chave, round(1.0 / (1.0 + exp(-margin)), 9) AS P_1 FROM z"""
