@@ -4,6 +4,8 @@ Python in the hot path, pivots without a value-discovery job, filters at the sca
 import pytest
 
 import __spark_entry__ as entry
+from duescore import queries
+from duescore import testbed as tb
 
 SF = "/root/testdata/sf0.001"
 COMPOSITES = ["feature_base_card", "feature_base_company", "propensity_scores", "propensity_scores_company"]
@@ -21,6 +23,31 @@ def test_no_cartesian_or_python(spark, name):
         assert bad not in plan, bad
 
 
+def lazy_bases(spark):
+    """The composites as the library builds them without a stage table."""
+    parsed = queries.sfiles.parse_lines(tb.company_lines(spark, SF), queries.COMPANY_FILE_FIELDS, sep=";")
+    args = (tb.COMPANY_FILE_NAME, tb.COMPANY_CREDITOR_ID, tb.FILE_DAY, tb.AS_OF)
+    card = queries.build_card_base(tb.card_file(spark, SF), tb.card_sources(spark, SF), tb.CARD, tb.FILE_DAY)
+    return {"card": card, "company": queries.build_company_base(parsed, tb.company_sources(spark, SF), tb.COMPANY, *args)}
+
+
+def test_unstaged_bases_without_cartesian_python_or_sorted_aggregates(spark):
+    for df in lazy_bases(spark).values():
+        plan = plan_of(df)
+        for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "ArrowEvalPython", "MapInPandas", "SortAggregate"):
+            assert bad not in plan, bad
+
+
+def test_staged_card_base_joins_the_wide_rows_once(spark):
+    """The registered form: the file and the profile are read for the stage alone, and every grain
+    plans one salted join of the staged rows."""
+    for name in ("feature_base_card", "feature_base_card_deals"):
+        plan = plan_of(entry.queries()[name](spark, SF))
+        assert "SortAggregate" not in plan
+        wide = [line for line in plan.splitlines() if "FileScan" in line and "tag_telefone" in line or "Scan parquet" in line and "tag_telefone" in line]
+        assert len(wide) == 1, wide
+
+
 def test_pivot_values_given(spark):
     # with explicit values Spark plans the pivot without running a job to find them
     jobs_before = spark.sparkContext.statusTracker().getJobIdsForGroup()
@@ -38,6 +65,7 @@ def test_creditor_filter_reaches_the_scan(spark):
 
 def test_building_a_plan_runs_no_job(spark):
     before = len(spark.sparkContext.statusTracker().getJobIdsForGroup())
-    for name in ("feature_base_card", "count_asof_simulation", "activation_label"):
+    lazy_bases(spark)     # the registered composites write a stage table, as the daily jobs do
+    for name in ("count_asof_simulation", "activation_label"):
         entry.queries()[name](spark, SF)
     assert len(spark.sparkContext.statusTracker().getJobIdsForGroup()) == before
