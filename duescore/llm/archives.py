@@ -15,7 +15,10 @@ Defined results: null html is an empty payload, a null URL is written as
 ``urn:page:none``, white space and control characters in URLs are percent-encoded;
 rows that share the largest page id of a payload are all responses, and a revisit
 refers to that id; a row with a null page id never is the response of a group with
-other ids.  Text that is not valid UTF-8 cannot occur in a string column.
+other ids.  Text that is not valid UTF-8 cannot occur in a string column.  Repeated rows
+give a record each; a long page is one record whatever its length; an empty table gives no
+archive and an empty result.  Only page id, URL and html are read, so further columns of
+any name do not clash.
 """
 
 from __future__ import annotations
@@ -33,13 +36,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from duescore.llm.common import slices, stage_path
+from duescore.llm.common import slices, stage_path, staged
 
 MIN_REVISIT_BYTES = 1000
 CAPTURE_DATE = "20200101000000"
 NO_URL = "urn:page:none"
 #: Records of one WARC file; a file is read back as one row.
 FILE_RECORDS = 5_000
+#: Pages with one payload that go to one task.
+HOT_ROWS = 1_000
 END = "\r\n\r\n"
 
 # The field names of ARC header lines by version.
@@ -170,7 +175,7 @@ def arc_rows(arcs: DataFrame, arc_col: str = "arc") -> DataFrame:
     return arcs.select("page_id", arc_col).mapInArrow(run, ARC_ROW.format(kind=kind))
 
 
-def warc_text(url: str, date: str, digest: str, payload: bytes, page: object, kept: object, kept_page_url: str | None) -> bytes:
+def warc_text(url: str, date: str, digest: str, payload: bytes, page: object, kept: object, kept_page_url: str | None, kept_date: str | None = None) -> bytes:
     """A response record, or with ``kept`` (page id and record id of the response) a
     revisit record, whose block is the HTTP header alone.  Without the closing lines."""
     named = base64.b32encode(bytes.fromhex(digest)).decode()
@@ -191,7 +196,7 @@ def warc_text(url: str, date: str, digest: str, payload: bytes, page: object, ke
             "WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest",
             f"WARC-Refers-To: {kept}",
             f"WARC-Refers-To-Target-URI: {kept_page_url}",
-            f"WARC-Refers-To-Date: {date}",
+            f"WARC-Refers-To-Date: {kept_date or date}",
         ]
     head += ["Content-Type: application/http;msgtype=response", f"Content-Length: {len(block)}"]
     return "\r\n".join(head).encode() + b"\r\n\r\n" + block
@@ -214,16 +219,28 @@ def parse_warc(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
         at += 4
 
 
-def with_originals(rows: DataFrame, min_bytes: int) -> DataFrame:
+def with_originals(rows: DataFrame, min_bytes: int, hot_rows: int = HOT_ROWS) -> DataFrame:
     """``rows`` with the page id, URL and date of the record that each one revisits, or null.
 
     The response of each payload is found from narrow rows by a combinable maximum and
-    joined by the digest; a payload that very many pages share is split by the join."""
+    joined by the digest.  Rows with their payloads go to as many tasks as a payload has
+    ``hot_rows``: a digest that holds a share of all pages is salted (at most 1,000
+    digests hold over a thousandth each, so their list is broadcast), and rows too small to
+    revisit anything are spread by a hash of their own."""
     big = rows.where(F.col("payload_bytes") >= min_bytes)
     first = F.max(F.struct(F.col("page_id").alias("kept"), F.col("url").alias("kept_url"), F.col("arc_date").alias("kept_date")))
-    groups = big.groupBy("digest").agg(F.count("*").alias("n"), first.alias("g")).where("n > 1").select("digest", "g.*")
-    marked = rows.join(groups, "digest", "left")
-    revisits = (F.col("payload_bytes") >= min_bytes) & F.col("kept").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("kept"))
+    groups = staged(big.groupBy("digest").agg(F.count("*").alias("n"), first.alias("g")).where("n > 1").select(F.col("digest").alias("of"), "n", "g.*"), "warc-groups")
+    total = groups.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    hot = groups.where(F.col("n") >= max(hot_rows, -(-total // 1_000))).select(F.col("of").alias("hot"), F.ceil(F.col("n") / hot_rows).cast("int").alias("salts"))
+    own = F.xxhash64("page_id", "url", "arc_date")
+    is_big = F.col("payload_bytes") >= min_bytes
+    dealt = rows.join(F.broadcast(hot), F.col("digest") == F.col("hot"), "left").select(
+        *rows.columns, F.when(is_big, F.col("digest")).otherwise(F.concat(F.lit("-"), own.cast("string"))).alias("_to"),
+        F.when(is_big, F.coalesce(F.pmod(own, "salts"), F.lit(0))).otherwise(0).cast("int").alias("_salt"))
+    spread = groups.join(F.broadcast(hot), F.col("of") == F.col("hot"), "left").select(
+        F.col("of").alias("_to"), "kept", "kept_url", "kept_date", F.explode(F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)) - 1)).alias("_salt"))
+    marked = dealt.join(spread, ["_to", "_salt"], "left")
+    revisits = F.col("kept").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("kept"))
     return marked.select(*rows.columns, *[F.when(revisits, F.col(c)).alias(c) for c in ("kept", "kept_url", "kept_date")])
 
 
@@ -236,7 +253,7 @@ def warc_records(rows: DataFrame) -> DataFrame:
             cols = [b.column(c).to_pylist() for c in ("page_id", "url", "arc_date", "digest", "payload", "kept", "kept_url", "kept_date")]
             for page, url, date, digest, payload, kept, kept_url, kept_date in zip(*cols):
                 refers = None if kept is None else record_id(kept_url, warc_date(kept_date), digest + str(kept))
-                out.append(warc_text(url, warc_date(date), digest, payload, page, refers, kept_url))
+                out.append(warc_text(url, warc_date(date), digest, payload, page, refers, kept_url, None if kept is None else warc_date(kept_date)))
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["record"])
 
     return rows.mapInArrow(run, "record binary")
@@ -284,6 +301,9 @@ def archived(pages: DataFrame, min_bytes: int = MIN_REVISIT_BYTES) -> DataFrame:
     path = stage_path(spark, "warc")
     rows = with_originals(arc_rows(arc_pages(pages)), min_bytes)
     write_warcs(warc_records(rows), path)
-    back = read_warcs(spark, path)
+    back = staged(read_warcs(spark, path), "warc-index")
+    out = ("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "record_id")
+    # Only revisits are joined, and against a table: Spark can split a response that many refer to.
     named = back.where("record_type = 'response'").groupBy(F.col("record_id").alias("refers_to_id")).agg(F.max("page_id").alias("refers_to"))
-    return back.join(named, "refers_to_id", "left").select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "record_id")
+    revisits = back.where("record_type = 'revisit'").join(staged(named, "warc-responses"), "refers_to_id", "left").select(*out)
+    return back.where("record_type <> 'revisit'").withColumn("refers_to", F.lit(None).cast("bigint")).select(*out).unionByName(revisits)

@@ -157,3 +157,28 @@ def test_recall_beside_a_dense_cell(spark):
         d[q] = np.inf
         hit[q % 3 == 0].append(len(found.get(q, set()) & set(np.argsort(d)[:10].tolist())) / 10)
     assert np.mean(hit[True]) >= 0.99 and np.mean(hit[False]) >= 0.9
+
+
+def test_hot_payload_is_spread(spark):
+    """A third of the pages share one payload: their rows go to several tasks, the result stays."""
+    rows = [(i, f"http://a/{i}", BIG if i % 3 == 0 else f"{i} " * 600 if i % 3 == 1 else "") for i in range(900)]
+    arcs = ar.arc_rows(ar.arc_pages(spark.createDataFrame(rows, "page_id long, url string, html string")))
+    done = ar.with_originals(arcs, 1000, hot_rows=20)
+    before = spark.conf.get("spark.sql.adaptive.enabled"), spark.conf.get("spark.sql.shuffle.partitions"), spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        sizes = [r["count"] for r in ar.with_originals(arcs, 1000, hot_rows=20).groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    finally:
+        for k, v in zip(("spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions", "spark.sql.autoBroadcastJoinThreshold"), before):
+            spark.conf.set(k, v)
+    assert sum(sizes) == 900 and len(sizes) == 8 and max(sizes) < 2 * sorted(sizes)[4]
+    kept = {r.page_id: r.kept for r in done.collect()}
+    assert all(kept[i] == (897 if i % 3 == 0 and i != 897 else None) for i in range(900))
+
+
+def test_revisits_refer_to_the_date_of_their_response():
+    text = ar.warc_text("u", "2021-01-01T00:00:00Z", hashlib.sha1(b"x").hexdigest(), b"x", 1, "<urn:uuid:0>", "v", "2020-05-05T00:00:00Z")
+    head = next(ar.parse_warc(text + b"\r\n\r\n"))[0]
+    assert head["WARC-Refers-To-Date"] == "2020-05-05T00:00:00Z" and head["WARC-Date"] == "2021-01-01T00:00:00Z"
