@@ -4,7 +4,10 @@ Hashed n-gram generative models of target text (documents labelled good) and of
 text (labelled junk, labelled toxic) give every document a log importance weight:
 the sum of the log ratios of its n-grams, one sum per kind of raw text, the smaller
 one counts.  Documents are then sampled without replacement by Gumbel top-k on the
-weights; k is the number of documents whose weight reaches the threshold.
+weights, at temperature one: a document is drawn with a chance in proportion to its
+importance weight.  The size of the sample is a share of all rows, or by default the
+number of documents whose weight reaches the threshold (as many as the models take for
+target text), so that clean documents are kept and only the border is left to chance.
 
 An n-gram is a word or a run of punctuation (lower-cased), hashed to a bucket; a
 word that repeats its predecessor is one n-gram of its own.  A bucket enters a ratio
@@ -21,7 +24,10 @@ the cut cover all documents.
 Defined results: null and empty texts have weight zero; a document with repeated
 labels counts as its worst; without both sides of a ratio that ratio is zero; rows
 that tie at the k-th place are all kept.  The noise depends on the id alone, so a
-rerun draws the same sample.
+rerun draws the same sample.  Long texts are read whole; repeated rows are drawn
+together, as their noise and weight agree; an empty table gives an empty result.
+``classified`` reads the id and the text alone, ``resampled`` works on renamed columns, so
+further columns of any name do not clash.
 """
 
 from __future__ import annotations
@@ -42,7 +48,6 @@ FIT_DOCS = 5_000
 #: Standard deviations by which a bucket's continuation counts must differ.
 SIGNIFICANT = 3.5
 THRESHOLD = -5.0
-TEMPERATURE = 0.25
 SEED = 4
 
 _CLASS = np.zeros(256, np.uint8)
@@ -160,9 +165,10 @@ def log_weights(texts: Column, ratios: np.ndarray) -> Column:
 
 
 def gumbel_key(weight: Column, ident: Column, seed: int = SEED) -> Column:
-    """The weight over the temperature plus Gumbel noise drawn from the id's hash."""
+    """The log weight plus Gumbel noise drawn from the id's hash: its k largest values are a
+    sample of k rows without replacement, in proportion to the weights."""
     u = (F.shiftrightunsigned(F.xxhash64(ident, F.lit(seed)), 11).cast("double") + 0.5) / float(1 << 53)
-    return weight / TEMPERATURE - F.log(-F.log(u))
+    return weight - F.log(-F.log(u))
 
 
 def kth_largest(values: DataFrame, k: int, bins: int = 1024, few: int = 10_000) -> float:
@@ -191,23 +197,25 @@ def kth_largest(values: DataFrame, k: int, bins: int = 1024, few: int = 10_000)
     return lo
 
 
-def weighed(docs: DataFrame, ratios: np.ndarray, id_col: str, text_col: str) -> DataFrame:
+def weighed(docs: DataFrame, ratios: np.ndarray, id_col: str, text_col: str, seed: int = SEED) -> DataFrame:
     """``docs`` with ``_w``, the struct of weights, and ``_key``, the sampling key."""
     w = docs.withColumn("_w", log_weights(F.col(text_col), ratios))
-    return w.withColumn("_key", gumbel_key(F.least("_w.junk", "_w.toxic"), F.col(id_col)))
+    return w.withColumn("_key", gumbel_key(F.least("_w.junk", "_w.toxic"), F.col(id_col), seed))
 
 
-def sampling_cut(scored: DataFrame, threshold: float = THRESHOLD) -> float:
-    """The sampling key that the k best rows reach; k rows have a weight of at least ``threshold``."""
-    k = scored.where(F.least("_w.junk", "_w.toxic") >= threshold).count()
+def sampling_cut(scored: DataFrame, threshold: float = THRESHOLD, share: float | None = None) -> float:
+    """The sampling key that the k best rows reach: k is ``share`` of all rows, or the number
+    of rows with a weight of at least ``threshold``."""
+    enough = F.least("_w.junk", "_w.toxic") >= threshold
+    k = scored.where(enough).count() if share is None else round(share * scored.count())
     return kth_largest(scored.select("_key"), k)
 
 
-def classified(docs: DataFrame, labels: DataFrame, fit_docs: int = FIT_DOCS, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def classified(docs: DataFrame, labels: DataFrame, fit_docs: int = FIT_DOCS, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text", share: float | None = None, seed: int = SEED) -> DataFrame:
     """One row per document: id, log weights, sampling key and ``keep``."""
     ratios = fit(docs, labels, fit_docs, id_col, text_col)
-    scored = staged(weighed(docs.select(id_col, text_col), ratios, id_col, text_col).drop(text_col), "weights")
-    cut = sampling_cut(scored, threshold)
+    scored = staged(weighed(docs.select(id_col, text_col), ratios, id_col, text_col, seed).drop(text_col), "weights")
+    cut = sampling_cut(scored, threshold, share)
     return scored.select(
         id_col,
         F.col("_w.junk").alias("log_weight_junk"),
@@ -218,12 +226,12 @@ def classified(docs: DataFrame, labels: DataFrame, fit_docs: int = FIT_DOCS, thr
     )
 
 
-def resampled(docs: DataFrame, labels: DataFrame, fit_docs: int = FIT_DOCS, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def resampled(docs: DataFrame, labels: DataFrame, fit_docs: int = FIT_DOCS, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text", share: float | None = None, seed: int = SEED) -> DataFrame:
     """``docs`` without the documents that the sample leaves out; all columns stay.  The
     texts are weighed a second time rather than shuffled to their decisions."""
     names = {c: f"_c{i}" for i, c in enumerate(docs.columns)}
     plain = docs.toDF(*names.values())
     ratios = fit(docs, labels, fit_docs, id_col, text_col)
     ident, text = names[id_col], names[text_col]
-    cut = sampling_cut(staged(weighed(plain.select(ident, text), ratios, ident, text).drop(text), "weights"), threshold)
-    return weighed(plain, ratios, ident, text).where(F.col("_key") >= cut).select(*[F.col(n).alias(c) for c, n in names.items()])
+    cut = sampling_cut(staged(weighed(plain.select(ident, text), ratios, ident, text, seed).drop(text), "weights"), threshold, share)
+    return weighed(plain, ratios, ident, text, seed).where(F.col("_key") >= cut).select(*[F.col(n).alias(c) for c, n in names.items()])

@@ -110,3 +110,31 @@ def test_few_toxic_labels_find_toxic_documents(spark):
     got = ql.classified(docs, labels.where("doc_id % 2 = 1")).join(labels.where("doc_id % 2 = 0"), "doc_id").groupBy("quality", "toxic").agg(F.avg(F.col("keep").cast("int")).alias("kept")).collect()
     kept = {(r.quality, r.toxic): r.kept for r in got}
     assert kept[1, 0] >= 0.99 and kept[0, 0] <= 0.02 and kept[1, 1] <= 0.1
+
+
+def test_draws_follow_the_weights(spark):
+    """Shares of a Gumbel top-k over many rows of three weights against a brute-force draw without replacement."""
+    weights = np.repeat([0.0, -1.0, -2.0], 4_000)
+    df = spark.createDataFrame([(i, float(w)) for i, w in enumerate(weights)], "id long, w double")
+    draws = []
+    for seed in (1, 2):
+        keyed = df.select("id", "w", ql.gumbel_key(F.col("w"), F.col("id"), seed).alias("k"))
+        cut = ql.kth_largest(keyed.select("k"), 3_000)
+        kept = keyed.where(F.col("k") >= cut)
+        draws.append({r.id for r in kept.collect()})
+        got = {r.w: r["count"] for r in kept.groupBy("w").count().collect()}
+        rng = np.random.default_rng(seed)
+        drawn = rng.choice(len(weights), 3_000, replace=False, p=np.exp(weights) / np.exp(weights).sum())
+        for w in (0.0, -1.0, -2.0):
+            want = int((weights[drawn] == w).sum())
+            assert abs(got[w] - want) < 5 * math.sqrt(want)
+    assert all(len(d) == 3_000 for d in draws) and 500 < len(draws[0] - draws[1]) < 2_900
+
+
+def test_share_sets_the_size_of_the_sample(spark):
+    docs, labels = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet")
+    n = docs.count()
+    half = {r.doc_id for r in ql.classified(docs, labels, share=0.5).where("keep").collect()}
+    other = {r.doc_id for r in ql.classified(docs, labels, share=0.5, seed=9).where("keep").collect()}
+    assert len(half) == round(n / 2) and len(other) == round(n / 2) and half != other
+    assert {r.doc_id for r in ql.resampled(docs, labels, share=0.5).collect()} == half
