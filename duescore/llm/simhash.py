@@ -274,11 +274,15 @@ def simhash_dedup(docs: DataFrame, shingle: int = 3, max_bits: int = 3, id_col:
     ``docs``, so the wide rows are neither copied nor sorted more than once."""
     key = F.xxhash64(F.col(f"`{text_col}`"))
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"), key.alias("key"))
-    member = staged(simhash_components(rows, shingle, max_bits, "id", "text", ("key",)).select("id", "key", "root"), "dedup-members")
+    member = staged(simhash_components(rows, shingle, max_bits, "id", "text", ("key",)).select("id", "key", "fp", "root"), "dedup-members")
     order = F.struct(F.col("id").isNull().alias("n"), F.col("id").alias("i"), F.col("key").alias("k"))
-    first = member.groupBy("root").agg(F.min(order).alias("f"))
+    # The first row of each fingerprint, then of each component from those; members meet
+    # it by their fingerprint, so the documents of a large component stay spread.
+    of_fp = member.groupBy("fp", "root").agg(F.min(order).alias("f"))
+    first = of_fp.groupBy("root").agg(F.min("f").alias("f"))
+    of_fp = staged(of_fp.select("fp", "root").join(first, "root").select("fp", "f"), "dedup-first")
     goes = ~(F.col("id").eqNullSafe(F.col("f.i")) & (F.col("key") == F.col("f.k")))
-    gone = member.join(first, "root").where(goes).select("id", "key").distinct()
+    gone = member.join(of_fp, "fp").where(goes).select("id", "key").distinct()
     wide = docs.select(F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)]).alias("row"), F.col(f"`{id_col}`").alias("wid"), key.alias("wkey"))
     kept = wide.join(gone, wide.wid.eqNullSafe(gone.id) & (wide.wkey == gone.key), "left_anti")
     if not member.groupBy("id", "key").count().where("count > 1").isEmpty():  # repeated rows share their key

@@ -166,3 +166,18 @@ def test_shards_prune(spark):
     ranges = sharding.shard_ranges(df, ["size", "doc_id"]).collect()
     widths = np.mean([r.max_size - r.min_size for r in ranges])
     assert len(ranges) == 24 and widths < df.agg(F.max("size") - F.min("size")).first()[0]
+
+
+def test_components_of_a_chain_in_id_order_take_few_rounds(spark, monkeypatch):
+    from duescore.llm import components as cp
+
+    seen = []
+    plain = cp.staged
+    monkeypatch.setattr(cp, "staged", lambda df, name: (seen.append(name), plain(df, name))[1])
+    edges = spark.createDataFrame([(i, i + 1) for i in range(1_000) if i != 600] + [(5, 5), (2_000, 2_001), (2_001, 2_000)], "a long, b long")
+    root = {r.node: r.root for r in cp.connected_components(edges).collect()}
+    assert seen.count("pointers") <= 15
+    groups = {}
+    for node, r in root.items():
+        groups.setdefault(r, set()).add(node)
+    assert sorted(map(sorted, groups.values())) == [list(range(601)), list(range(601, 1_001)), [2_000, 2_001]]
