@@ -206,6 +206,19 @@ def q_semi_join_lookup(spark, sf_dir):
     return found.select("_id", "document")
 
 
+@register("lookup_in_store", with_roles("card_file") + f"""
+SELECT 'id' || CAST(c_custkey AS VARCHAR) AS _id, {_doc_sql('c_custkey')} AS document
+FROM customer WHERE {_doc_sql('c_custkey')} IN (SELECT CPF FROM card_file)""")
+def q_lookup_in_store(spark, sf_dir):
+    """Persons of the file's documents from the store as a data source of id ranges."""
+    from .operators.nested import semi_join_lookup
+    from .sources.person_store import open_store, write_store
+    path = file_folder(spark, "store")
+    write_store(tb.persons(spark, sf_dir), path, files=8)
+    found = semi_join_lookup(open_store(spark, path), tb.card_file(spark, sf_dir), "document", "CPF")
+    return found.select("_id", "document")
+
+
 @register("json_scan", """
 SELECT event_id, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events""")
 def q_json_scan(spark, sf_dir):
