@@ -4,7 +4,8 @@ is tracked, and spans whose match is long enough are hit.
 
 Defined results: null and empty texts have no words and are never hit; items
 without words match nothing, and an item with a null id is matched but not listed; repeated rows each get their own row; only the id and
-text columns of either table are read.  The automaton is built for one block of the
+text columns of either table are read, very long texts whole; an empty table of documents
+gives an empty result, without items nothing is hit.  The automaton is built for one block of the
 benchmark at a time (``block_words``), so what is broadcast is bounded whatever the
 benchmark's size; the hits of several blocks are united per row.
 """

@@ -3,8 +3,9 @@ in the normalised words of a text; a shunting-yard parser evaluates the licence
 expression (and / or / with, parentheses) that follows a tag.
 
 Defined results: a null or empty text has no words, no places, empty label strings
-and score 0; repeated rows each get their own row; columns of the input other than
-the id and the text are not read, so clashing names do no harm.
+and score 0; repeated rows each get their own row; a very long text is read whole, with
+its expressions to the end of their line; an empty table gives an empty result; columns
+of the input other than the id and the text are not read, so clashing names do no harm.
 """
 
 from __future__ import annotations

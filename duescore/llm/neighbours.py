@@ -17,7 +17,8 @@ have another length than most, and rows with a null id, take no part.  Equal vec
 are one node that carries its smallest ids (one more than the neighbours asked for,
 so ties at distance zero are exact); rows that repeat an id and a vector count once.
 An empty table gives an empty result; with fewer candidates than asked for, all that
-are found are returned.
+are found are returned.  Only id and vector are read, so clashing names do no harm; there
+is no text.
 """
 
 from __future__ import annotations

@@ -16,7 +16,10 @@ table of a fixed size, whatever the number of documents) and carried out by Spar
    sums, no sort of all pieces) and looks up the sequence and place of that rank.
 
 Defined results: a null text is an empty one and still has its end id; repeated rows
-are packed as often as they occur; an empty table gives an empty result.
+are packed as often as they occur; an empty table gives an empty result.  A text of any
+length is encoded whole and cut into full sequences and one rest; pieces of equal length
+are interchangeable, so ties need no order.  Only the id and the text are read, so
+clashing names do no harm.
 """
 
 from __future__ import annotations

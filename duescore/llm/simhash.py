@@ -12,7 +12,8 @@ distance before they link.
 
 Defined results: null and empty texts have fingerprint zero and link like any
 other; fewer words than a shingle are one shingle; a component's id is its smallest
-non-null id (null if it has none).  Repeated rows each get their own row.  Only the
+non-null id (null if it has none).  Repeated rows each get their own row, and an
+empty table gives an empty result.  Very long texts are read whole.  Only the
 id and text columns are read.  Equal fingerprints are one node, so copies cost
 nothing; a variant shared by very many different fingerprints is linked by sorting,
 not by pairs, and one fingerprint's rows spread over 132 keys, so no key can hold

@@ -9,7 +9,9 @@ last one, which stitches documents that cross blocks, however many.
 
 Defined results: ids after the last end id of a file belong to no document; a document
 may have no ids; null and empty texts are documents of no ids; repeated rows are
-documents of their own.  An empty table gives an empty result.
+documents of their own.  An empty table gives an empty result.  A very long text goes over
+as many blocks as it needs.  Only the id and the text are read, so clashing names do no
+harm.
 """
 
 from __future__ import annotations

@@ -142,6 +142,28 @@ def test_pipeline_runs_through(spark):
     assert out.columns == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"] and out.count() > 0
 
 
+def test_pipeline_stages_with_odd_rows(spark):
+    """Nulls in every column, empty and long texts, repeated rows, further columns named as
+    inside the stages: all stages run, keep the columns and the rows that they should."""
+    names = ["node", "root", "fp", "key", "row", "side", "bucket", "piece", "ids", "block", "hit"]
+    texts = [None, "", "!!", "alpha beta gamma delta", "alpha beta gamma delta", "long " * 40_000, "one two three four five six seven eight nine ten"]
+    rows = [(i, t, None if i == 2 else "en", "s", None, *("x" for _ in names)) for i, t in enumerate(texts)]
+    rows += [(None, "no id here at all", None, None, 1, *(None for _ in names)), rows[6]]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"`{n}` string" for n in names)
+    docs = spark.createDataFrame(rows, schema)
+    kept = {name: stage(spark, docs, SF) for name, stage in corpus_pipeline.STAGES[:-1]}
+    assert all(df.columns == docs.columns for df in kept.values())
+    got = {name: sorted(repr((r.doc_id, r.text, r.lang, r.node)) for r in df.collect()) for name, df in kept.items()}
+    assert got["quality_classifier"] == sorted(repr((r[0], r[1], r[2], r[5])) for r in rows)
+    groups = {0: rows[0], 3: rows[3], 5: rows[5], 6: rows[6], None: rows[7]}      # 0, 1: no word; 2: a word; 3, 4 alike
+    assert got["simhash_near_dedup"] == sorted(repr((r[0], r[1], r[2], r[5])) for r in [*groups.values(), rows[2]])
+    assert len(got["benchmark_decontamination"]) == len(rows)
+    pieces = corpus_pipeline.STAGES[-1][1](spark, docs, SF).collect()
+    assert sorted({repr(p.doc_id) for p in pieces}) == sorted({repr(r[0]) for r in rows}) and all(0 < p.length <= 2048 for p in pieces)
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs.limit(0), SF).collect() == []
+
+
 def test_words_of_a_column():
     w = lm.Words(pa.array(["a b", None, "", "b  c a"]), lm.NON_SPACE)
     codes, names = w.coded()
