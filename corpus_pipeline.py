@@ -4,6 +4,13 @@ is packed into sequences of tokens.
 
 Every stage gets all that its predecessor kept, as a Parquet table in the shared
 folder, so a lost executor costs the tasks it held and no more.
+
+Defined results: a null text is the empty one in every stage: it is kept by the classifier
+(its weight is zero), forms one near-duplicate group with all texts without a word,
+has nothing to cut out and is packed as its end id.  A row with a null id goes through
+like any other; within a group ids come before nulls and the smallest id stays, and of rows
+that share id and text one.  Very long texts are read whole.  An empty table gives empty
+stages.  All stages but the last return the columns of their input, whatever their names.
 """
 
 from __future__ import annotations
