@@ -78,7 +78,9 @@ def phone_flags(info: DataFrame, spec: PortfolioSpec) -> DataFrame:
 
 def email_flags(info: DataFrame, spec: PortfolioSpec) -> DataFrame:
     flags = slot_tag_flags("tag_email", spec.email_slots, spec.contact_tags, EMAIL_PREFIX, spec.none_tag)
-    return info.select("_id", *flags, *slot_values("domain", spec.email_slots, EMAIL_PREFIX, DOMAIN_SUFFIX))
+    domains = slot_values("domain", spec.email_slots, EMAIL_PREFIX, DOMAIN_SUFFIX)
+    n = len(spec.contact_tags)      # each slot's flags, then its domain
+    return info.select("_id", *[c for i, d in enumerate(domains) for c in (*flags[i * n:(i + 1) * n], d)])
 
 
 def debt_base(debts: DataFrame, spec: PortfolioSpec, keys: tuple[str, ...] = ("_id", "creditor")) -> DataFrame:
@@ -157,9 +159,9 @@ def person_facts(keys: DataFrame, own: DataFrame, src: Sources, spec: PortfolioS
         [tagged(sims, "personID", "sim"),
          tagged(other_creditor_persons(src.debts, spec), "_id", "other"),
          tagged(missing, "_id", "missing")],
-        [F.count_if(is_kind("sim")).alias(SIMULATION_COUNT),
-         F.bool_or(is_kind("other")).alias(OTHER_CREDITOR_FLAG),
-         F.bool_or(is_kind("missing")).alias(SAME_CREDITOR_FLAG)],
+        [F.bool_or(is_kind("other")).alias(OTHER_CREDITOR_FLAG),
+         F.bool_or(is_kind("missing")).alias(SAME_CREDITOR_FLAG),
+         F.count_if(is_kind("sim")).alias(SIMULATION_COUNT)],
         keys.select("_id"))
 
 
@@ -200,7 +202,12 @@ def build_base(rows: DataFrame, src: Sources, spec: PortfolioSpec, file_day: str
             .select("_id", doc, contract)
     arq = profile_flags(joined, spec)
     known = F.col("_id").isNotNull()     # rows without a person have no flags
-    arq = arq.withColumns({c: F.when(known, F.col(f"`{c}`")) for c in arq.columns if c not in joined.columns})
+    flags = [c for c in arq.columns if c not in joined.columns]
+    # The profile's columns before the debts', as the file rule joins them.
+    debt_columns = [c for c in own.columns if c in arq.columns and c not in rows.columns and c != "_id"]
+    head = [c for c in arq.columns if c not in flags and c not in debt_columns]
+    arq = arq.select(*[F.col(f"`{c}`") for c in head], *[F.when(known, F.col(f"`{c}`")).alias(c) for c in flags],
+                     *[F.col(f"`{c}`") for c in debt_columns])
 
     idf = person_facts(keys, own, src, spec, file_day)
     facts = document_facts(keys.select(doc))

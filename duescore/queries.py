@@ -566,6 +566,19 @@ def q_inner_join_key(spark, sf_dir):
     return en.inner_join_key(i, d, "_id")
 
 
+@register("inner_join_by_person", with_roles("info", "debts") + f"""
+SELECT i._id, i.document, d.contract FROM info i JOIN debts d ON i._id = d._id
+WHERE i.documentType = 'cpf' AND d.creditor = '{C}'""")
+def q_inner_join_by_person(spark, sf_dir):
+    """The same join over snapshots stored by person, which needs no shuffle (JN1, S6)."""
+    from .sources.by_person import store_by_person
+    root = file_folder(spark, "by-person")
+    info, debts = (store_by_person(df, root, name + uuid.uuid4().hex, tb.FILE_DAY, buckets=8)
+                   for df, name in ((tb.info(spark, sf_dir), "info"), (tb.debts(spark, sf_dir), "debts")))
+    i = en.filter_equals(info, "documentType", "cpf").select("_id", "document")
+    return en.inner_join_key(i, en.filter_equals(debts, "creditor", C).select("_id", "contract"), "_id")
+
+
 @register("left_join_two_keys", with_roles("card_file", "debts", extra=[_OPEN_FILE]) + f"""
 SELECT f.CPF, f.CONTA, CAST(d.INICIO_DIVIDA AS VARCHAR) AS INICIO_DIVIDA, d.originalAmount
 FROM f LEFT JOIN (SELECT * FROM debts WHERE creditor = '{C}') d ON f.CONTA = d.contract AND f.CPF = d.document""")
