@@ -18,6 +18,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from duescore.llm.common import staged
 
@@ -74,19 +75,55 @@ def hilbert_index(dims: list[Column], bits: int = BITS) -> Column:
     return F.aggregate(F.array(*[corner(b) for b in reversed(range(bits))]), start, step, lambda x: x["h"])
 
 
-def text_key(c: Column) -> Column:
-    """A number in the order of the text's first six UTF-8 bytes."""
-    return F.conv(F.hex(F.rpad(F.substring(c.cast("binary"), 1, 6), 6, F.lit(b"\x00"))), 16, 10).cast("double")
+def common_start(a: str, b: str) -> str:
+    """The longest common start of two texts in hex, in whole bytes."""
+    n = next((k for k, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
+    return a[: n // 2 * 2]
+
+
+def text_cuts(df: DataFrame, column: str, steps: int) -> list[str]:
+    """Texts in hex that cut the column's values, in the order of their bytes, into about
+    equally filled steps; whole values count, however long a start they share.
+
+    Starts that hold more than a step's share are opened at the next byte where
+    their values differ, so the driver gets at most 257 counts for each of fewer than
+    ``steps`` starts a round."""
+    values = df.where(F.col(column).isNotNull()).select(F.hex(F.col(column).cast("binary")).alias("h"))
+    counted = [F.count("*").alias("n"), F.min("h").alias("lo"), F.max("h").alias("hi")]
+    total, lo, hi = values.agg(*counted).first()
+    filled: dict[str, int] = {}
+    opened = [common_start(lo, hi)] if total and lo != hi else []
+    while opened:
+        child = F.coalesce(*[F.when(F.startswith("h", F.lit(p)), F.substring("h", 1, len(p) + 2)) for p in opened])
+        rows = values.select(child.alias("start"), "h").where("start is not null").groupBy("start").agg(*counted).collect()
+        opened = []
+        for r in rows:
+            if r.n * steps > total and r.lo != r.hi:
+                opened.append(common_start(r.lo, r.hi))
+            else:
+                filled[r.start] = r.n
+    cuts, before = [], 0
+    for start in sorted(filled):
+        if before * steps >= total * (len(cuts) + 1) or (before and filled[start] * steps > total):
+            cuts.append(start)
+        before += filled[start]
+    return cuts
 
 
 def quantised(df: DataFrame, dims: list[str], bits: int) -> list[Column]:
-    """Step of each numeric dimension, cut at its quantiles (a mergeable sketch)."""
+    """Step of each dimension: numbers are cut at their quantiles (a mergeable sketch),
+    texts by counts of whole values."""
     at = [k / (1 << bits) for k in range(1, 1 << bits)]
-    cuts = df.agg(*[F.percentile_approx(c, at, 10_000).alias(c) for c in dims]).first()
+    texts = [c for c in dims if isinstance(df.schema[c].dataType, StringType)]
+    numbers = [c for c in dims if c not in texts]
+    cuts = df.agg(*[F.percentile_approx(c, at, 10_000).alias(c) for c in numbers]).first() if numbers else {}
     out = []
     for c in dims:
-        points = sorted(set(cuts[c] or []))
-        step = sum((F.when(F.col(c) > p, 1).otherwise(0) for p in points), F.lit(0)) if points else F.lit(0)
+        if c in texts:
+            above = [F.hex(F.col(c).cast("binary")) >= p for p in text_cuts(df, c, 1 << bits)[: (1 << bits) - 1]]
+        else:
+            above = [F.col(c) > p for p in sorted(set(cuts[c] or []))]
+        step = sum((F.when(x, 1).otherwise(0) for x in above), F.lit(0)) if above else F.lit(0)
         out.append(F.coalesce(step, F.lit(0)))
     return out
 
@@ -123,8 +160,8 @@ def document_shards(docs: DataFrame, shards: int = 24, id_col: str = "doc_id", t
         size.alias("size"),
         F.crc32(F.coalesce(F.col(text_col), F.lit("")).cast("binary")).alias("text_crc32"),
         F.log2(size).alias("_size"),
-        text_key(F.col("lang")).alias("_lang"),
-        text_key(F.col("source")).alias("_source"),
+        F.col("lang").alias("_lang"),
+        F.col("source").alias("_source"),
         F.col(id_col).cast("double").alias("_id"),
         F.monotonically_increasing_id().alias("_row"),
     )

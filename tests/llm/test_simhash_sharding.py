@@ -181,3 +181,28 @@ def test_components_of_a_chain_in_id_order_take_few_rounds(spark, monkeypatch):
     for node, r in root.items():
         groups.setdefault(r, set()).add(node)
     assert sorted(map(sorted, groups.values())) == [list(range(601)), list(range(601, 1_001)), [2_000, 2_001]]
+
+
+@pytest.mark.parametrize("values", [
+    {"common_crawl_a": 30, "common_crawl_z": 30, "https://a": 20, "https://zz": 20},
+    {f"https://site{k % 7}.org/page/{k:04d}": 1 for k in range(300)},
+    {"one": 100, None: 50, "": 3}, {"same": 10}, {None: 4}, {"a" * k: 5 for k in range(1, 12)}, {"é": 5, "z": 5, "漢": 5, "\U0001f600": 5}, {},
+])
+def test_texts_are_cut_by_whole_values(spark, values):
+    rows = [(v,) for v, n in values.items() for _ in range(n)]
+    df = spark.createDataFrame(rows, "t string")
+    cuts = sharding.text_cuts(df, "t", 16)
+    assert cuts == sorted(set(cuts)) and len(cuts) <= 15
+    known = sorted(((v or "").encode().hex().upper(), n) for v, n in values.items() if v is not None)
+    total, step = sum(n for _, n in known), {}
+    for h, n in known:
+        step.setdefault(sum(h >= c for c in cuts), []).append(n)
+    assert len(step) == (len(cuts) + 1 if known else 0)             # no step is empty
+    if 1 < len(known) <= 16 and max(n for _, n in known) * 16 > total > 0:
+        assert all(sum(ns) * 16 <= 2 * total or len(ns) == 1 for ns in step.values())
+    if len(known) > 16:
+        assert len(step) >= 12 and max(map(sum, step.values())) * 16 <= 2 * total
+    got = df.select(sharding.quantised(df, ["t"], 4)[0].alias("s")).groupBy("s").count().collect()
+    want = {k: sum(ns) for k, ns in step.items()}
+    want[0] = want.get(0, 0) + values.get(None, 0)
+    assert {r.s: r["count"] for r in got} == {k: n for k, n in want.items() if n}
