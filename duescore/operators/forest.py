@@ -149,6 +149,51 @@ def forest_of_dump(text: str, base: float = 0.0, names: Sequence[str] = (), sing
     return nodes.forest(base, single)
 
 
+def forest_of_model(model, feature_columns: Sequence[str]) -> Forest:
+    """The flat form of a model fitted here (``fit_gbt``), so that it can be kept as a dump
+    and scored without Spark ML.  Its inputs are the imputed features and their
+    missing-value indicators, in the order of ``imputed``; a Spark tree sends values up to the
+    threshold left, so the threshold moves to the next larger number, and the margin is
+    doubled as the classifier's logistic does."""
+    gbt = model.stages[-1]._java_obj
+    count = len(feature_columns)
+    names = [f"{kind}{k}" for kind in "fm" for k in range(count)]
+    nodes = _Nodes(names)
+    for tree, weight in zip(gbt.trees(), gbt.treeWeights()):
+        nodes.roots.append(nodes.add(0))
+        todo = [(tree.rootNode(), nodes.roots[-1], 0)]
+        while todo:
+            node, at, depth = todo.pop()
+            if node.getClass().getSimpleName() == "LeafNode":
+                nodes.rows[at][5] = 2.0 * float(weight) * node.prediction()
+                continue
+            left, right = nodes.add(depth + 1), nodes.add(depth + 1)
+            split = node.split()
+            nodes.split(at, names[split.featureIndex()], float(np.nextafter(split.threshold(), np.inf)), left, right, False)
+            todo += [(node.rightChild(), right, depth + 1), (node.leftChild(), left, depth + 1)]
+    return nodes.forest(0.0, False)
+
+
+def imputed(model, df: DataFrame, id_column: str, feature_columns: Sequence[str]) -> DataFrame:
+    """The inputs of ``forest_of_model``: each feature or its median, and whether it was missing."""
+    out = model.stages[0].transform(df)
+    count = len(feature_columns)
+    return out.select(F.col(f"`{id_column}`").alias(id_column), *[F.col(f"__{kind}{k}").alias(f"{kind}{k}") for kind in "fm" for k in range(count)])
+
+
+def dump_of_forest(forest: Forest) -> str:
+    """The trees in the format that ``forest_of_dump`` reads."""
+
+    def node(at: int) -> dict:
+        left, right = int(forest.left[at]), int(forest.right[at])
+        if left == at:
+            return {"nodeid": at, "leaf": float(forest.value[at])}
+        return {"nodeid": at, "split": forest.features[forest.feature[at]], "split_condition": float(forest.threshold[at]), "yes": left, "no": right,
+                "missing": left if forest.missing_left[at] else right, "children": [node(left), node(right)]}
+
+    return json.dumps([node(int(r)) for r in forest.root])
+
+
 def read_forest(df_reader, path: str, **kw) -> Forest:
     """A dump file through the session's file system (``spark.read``); it is read as one text."""
     rows = df_reader.option("wholetext", True).text(path).take(2)

@@ -106,3 +106,21 @@ def test_model_of_full_size_and_its_plan(spark, tmp_path):
     plan = df._jdf.queryExecution().optimizedPlan().toString()
     assert len(plan) < 10_000 and "CASE" not in plan
     assert df.count() == spark.read.parquet("/root/testdata/sf0.1/customer.parquet").count()
+
+
+def test_a_fitted_model_as_flat_nodes(spark):
+    """Spark ML's probabilities are a reference for the flat walk, and the walk for them."""
+    import random
+    rng = random.Random(5)
+    rows = [(str(i), None if i % 7 == 0 else rng.gauss(0, 1), rng.choice([0.0, 1.0, 2.0, None]), float(i % 3)) for i in range(400)]
+    df = spark.createDataFrame([(*r, float((r[1] or 0) + (r[2] or 0) * (r[3] - 1) > 0.3)) for r in rows], "id string, `a.b` double, c double, d double, label double")
+    names = ["a.b", "c", "d"]
+    model = sc.fit_gbt(df, names, "label", max_iter=8, max_depth=3)
+    forest = fo.forest_of_model(model, names)
+    again = fo.forest_of_dump(fo.dump_of_forest(forest), names=forest.features)
+    want = {r.Chave: r.P_1 for r in sc.score_model(model, df, "id").collect()}
+    for flat in (forest, again):
+        got = {r.Chave: r.P_1 for r in fo.score_forest(fo.imputed(model, df, "id", names), "id", flat).collect()}
+        assert got == pytest.approx(want, abs=1e-12) and len(set(got.values())) > 20
+    right = sum((want[r.id] > 0.5) == (r.label == 1.0) for r in df.collect())
+    assert right > 0.9 * len(rows)
