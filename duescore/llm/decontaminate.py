@@ -194,7 +194,8 @@ def contamination(
     """One row per row of ``docs``: ``n_words``, ``n_hit``, ``items`` (item ids with
     occurring windows, as strings, sorted), ``spans`` (merged hit spans as word and
     byte positions) and ``clean_text`` (the text without the hit spans; null stays
-    null).  Benchmark items are matched in blocks of ``block_words`` words."""
+    null).  Benchmark items are matched in blocks of ``block_words`` words, one block after
+    the other; at most one block's automaton is in the driver and the executors."""
     spark = docs.sparkSession
     segments = staged(benchmark_segments(benchmark, window, item_col, item_text_col), "benchmark-segments")
     total = segments.agg(F.sum(F.size("words"))).first()[0] or 0
@@ -210,6 +211,9 @@ def contamination(
         block = [(r.item, [bytes(x) for x in r.words], r.whole) for r in segments.where(key == k).toLocalIterator()]
         auto = spark.sparkContext.broadcast(SuffixAutomaton(window).build(block))
         one = _scan(rows, auto, with_text=blocks == 1)
+        if blocks > 1:  # a block's hits are written and its automaton released before the next one
+            one = staged(one if k == 0 else one.where("n_hit > 0"), "block-hits")
+            auto.unpersist()
         found = one if found is None else found.unionByName(one)
     if blocks > 1:
         hits = found.groupBy("_uid").agg(
