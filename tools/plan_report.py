@@ -48,8 +48,15 @@ def composites(spark, roles, scratch):
     scores = propensity_scores(card, tb.CARD, CARD_GROUPS, scorer, tb.AS_OF, tb.FILE_DAY, tb.AS_OF)
     stage = stage_at(spark, os.path.join(scratch, "joined"))
     staged = build_card_base(roles["card_file"], card_src, tb.CARD, tb.FILE_DAY, stage)
-    return {"feature_base_card": card, "feature_base_card, file x profile join staged (daily job)": staged,
-            "feature_base_company": company, "propensity_scores": scores}
+    deals = build_card_base(roles["card_file"], card_src, tb.CARD, tb.FILE_DAY, stage, "deal")
+    company_stage = stage_at(spark, os.path.join(scratch, "company-joined"))
+    company_staged = build_company_base(parsed, comp_src, tb.COMPANY, tb.COMPANY_FILE_NAME, tb.COMPANY_CREDITOR_ID,
+                                        tb.FILE_DAY, tb.AS_OF, stage=company_stage)
+    return {"feature_base_card, file x profile join staged (registered query and daily job)": staged,
+            "feature_base_card_deals, staged": deals,
+            "feature_base_company, staged (registered query and daily job)": company_staged,
+            "feature_base_card without a stage": card, "feature_base_company without a stage": company,
+            "propensity_scores without a stage": scores}
 
 
 def main():
