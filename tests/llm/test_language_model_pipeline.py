@@ -111,7 +111,7 @@ def test_earlier():
 def test_pipeline_is_registered(spark):
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality_classifier", "simhash_near_dedup", "benchmark_decontamination", "best_fit_packing"]
     assert entry.queries()["pipeline"] is corpus_pipeline.run
-    assert sum(n.startswith("op") and n[2].isdigit() for n in entry.queries()) == 10
+    assert sum(n.startswith("op") and n[2].isdigit() for n in entry.queries()) == 13
 
 
 def test_pipeline_stages(spark):
