@@ -10,6 +10,7 @@ from duescore.operators import score as sc
 from duescore.plans.daily import (CARD_FILE_COLUMNS, Layout, company_layout, read_card_file, run_card_day,
                                   run_card_landing, run_company_day, run_company_landing)
 from duescore.queries import CARD_GROUPS, COMPANY_GROUPS, QUERIES
+from duescore.sources.commits import newest, read_committed
 from duescore.sources.sinks import write_table
 from duescore.streaming import portfolio_batch, run_landed_files
 
@@ -57,6 +58,26 @@ def test_daily_run_matches_the_registered_query(spark, tmp_dir):
     assert len([f for f in os.listdir(export) if f.endswith(".csv")]) > 1         # written in parallel
 
 
+def test_a_committed_day(spark, tmp_dir):
+    """With a run id the outputs go to folders of the run and one manifest shows them together."""
+    root, out_root, export_root = (os.path.join(tmp_dir, n) for n in ("snapshots", "out", "other"))
+    _write_layout(spark, root)
+    path = os.path.join(tmp_dir, "integracao_card_202401150300.csv")
+    _write_card_file(spark, path)
+    args = (Layout(root), tb.CARD, tb.FILE_DAY, tb.FILE_DAY, CARD_GROUPS, CARD_SCORER, tb.AS_OF, tb.AS_OF, out_root, export_root)
+    slot = f"file_date={tb.FILE_DAY}"
+    for version, run_id in ((1, "first"), (2, "second")):
+        out = run_card_day(spark, read_card_file(spark, path), *args, run_id=run_id)
+        done = newest(spark, out_root, slot)
+        assert (done.version, done.run_id, sorted(done.outputs)) == (version, run_id, ["export", "feature_base", "scores"])
+        assert done.outputs["export"].path.startswith(export_root) and done.outputs["export"].rows == done.outputs["scores"].rows
+    assert _scores(out) == _expected(spark)
+    export = read_committed(spark, out_root, slot, "export").select("Document", F.col("Score").cast("int").alias("Score"))
+    assert _scores(export) == _expected(spark)
+    with pytest.raises(Exception, match="first"):            # a run's folder is never written twice
+        run_card_day(spark, read_card_file(spark, path), *args, run_id="first")
+
+
 def test_landing_folder_to_scores_card(spark, tmp_dir):
     root, landing = os.path.join(tmp_dir, "snapshots"), os.path.join(tmp_dir, "landing")
     os.makedirs(landing)
