@@ -16,7 +16,9 @@ harm.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
+from urllib.parse import quote
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +33,8 @@ WIDTH = "<u2"
 #: The vocabulary's own end-of-text id; texts are encoded so that it never occurs in them.
 END_ID = 50256
 BLOCK_IDS = 1 << 18
+#: Blocks of a file that a task reads at a time.
+READ_BLOCKS = 64
 
 
 def write_token_stream(docs: DataFrame, path: str, vocabulary: str = "byte_bpe_50k.json", block_ids: int = BLOCK_IDS, id_col: str = "doc_id", text_col: str = "text") -> None:
@@ -76,22 +80,29 @@ def write_token_stream(docs: DataFrame, path: str, vocabulary: str = "byte_bpe_5
     out.write.option("compression", "zstd").parquet(path)
 
 
-def file_blocks(spark: SparkSession, path: str, width: str = WIDTH, block_ids: int = BLOCK_IDS) -> DataFrame:
-    """Blocks (stream, block, data) of flat binary token files; the stream is the file's
-    name.  A file is read by one task (Spark's binary source has no splits), its
-    blocks are scanned in parallel after the shuffle of the scan's windows."""
+def file_blocks(spark: SparkSession, path: str, width: str = WIDTH, block_ids: int = BLOCK_IDS, read_blocks: int = READ_BLOCKS) -> DataFrame:
+    """Blocks (stream, block, data) of flat binary token files; the stream is the file's name.
+
+    Files are cut by their lengths into ranges of ``read_blocks`` blocks, and a task reads
+    the bytes of its ranges alone, so a file of any size is read by many tasks."""
     step = block_ids * np.dtype(width).itemsize
+    files = spark.read.format("binaryFile").load(path).select(F.col("path").alias("stream"), "length").where("length > 0")
+    last = F.floor((F.col("length") - 1) / step)
+    ranges = files.select("stream", "length", F.explode(F.sequence(F.lit(0).cast("long"), last, F.lit(read_blocks).cast("long"))).alias("first"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs
+
         for b in batches:
-            for name, content in zip(b.column("path").to_pylist(), b.column("content")):
-                data = content.as_buffer()
-                for k, at in enumerate(range(0, len(data), step)):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([name]), pa.array([k], pa.int64()), pa.array([data[at : at + step].to_pybytes()], pa.binary())], names=["stream", "block", "data"]
-                    )
-
-    return spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(run, "stream string, block bigint, data binary")
+            for name, length, first in zip(*(b.column(c).to_pylist() for c in ("stream", "length", "first"))):
+                local = name.startswith("file:")
+                system, file = (fs.LocalFileSystem(), re.sub("^file:/+", "/", name)) if local else fs.FileSystem.from_uri(quote(name, safe=":/@+=,~"))
+                with system.open_input_file(file) as f:
+                    for k in range(first, min(first + read_blocks, -(-length // step))):
+                        data = f.read_at(min(step, length - k * step), k * step)
+                        yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([k], pa.int64()), pa.array([data], pa.binary())], names=["stream", "block", "data"])
+
+    return ranges.repartition("stream", "first").mapInArrow(run, "stream string, block bigint, data binary")
 
 
 def block_ends(blocks: DataFrame, end_id: int = END_ID, width: str = WIDTH) -> DataFrame:

@@ -138,3 +138,16 @@ def test_share_sets_the_size_of_the_sample(spark):
     other = {r.doc_id for r in ql.classified(docs, labels, share=0.5, seed=9).where("keep").collect()}
     assert len(half) == round(n / 2) and len(other) == round(n / 2) and half != other
     assert {r.doc_id for r in ql.resampled(docs, labels, share=0.5).collect()} == half
+
+
+def test_one_large_flat_file_is_read_by_ranges(spark, tmp_path):
+    ids = np.random.default_rng(1).integers(0, 50, 10_007).astype("<u2")
+    (tmp_path / "one file.bin").write_bytes(ids.tobytes())
+    (tmp_path / "empty.bin").write_bytes(b"")
+    blocks = tf.file_blocks(spark, str(tmp_path), block_ids=16, read_blocks=4)
+    assert "content" not in blocks._jdf.queryExecution().executedPlan().toString()
+    got = sorted((r.block, bytes(r.data)) for r in blocks.collect())
+    assert [k for k, _ in got] == list(range(-(-len(ids) // 16))) and b"".join(d for _, d in got) == ids.tobytes()
+    ends = np.flatnonzero(ids == 7)
+    out = sorted((r.start, r.n_tokens) for r in tf.token_counts(blocks, end_id=7).collect())
+    assert out == [(int(a) + 1, int(b - a - 1)) for a, b in zip(np.r_[-1, ends[:-1]], ends)]
