@@ -4,7 +4,8 @@ The store is a folder of documents in files by ranges of the id, with one small
 that names each file's least and largest id.  Reading it as ``person_store`` gives one
 partition per file; filters on the id (equality, ``IN``, bounds) are pushed down: files
 whose range cannot hold a wanted id are not opened, and inside a file the reader skips
-what does not match.  The look-up by a portfolio's documents stays one semi join.
+what does not match.  Files are opened through Arrow's file systems (a shared folder, HDFS
+and the common object stores), in the task that reads them.  The look-up by a portfolio's documents stays one semi join.
 """
 
 from __future__ import annotations
