@@ -1,29 +1,31 @@
 """Language-model scores by logistic context mixing.
 
-The model predicts a text word by word and a word bit by bit.  A text is its words
-(lower-cased, each followed by a closing byte) and an end.  For every bit several
-predictors look at a hashed context, which is the word's last bytes (orders 1 to 4) or
-all its bytes so far, with the bits of the current byte; each holds how often the bit
-was 0 and 1 there in the distinct words of the training texts.  Their log odds are combined by
-weights that a small gate picks (which bit it is, and how often the longer contexts
-were seen), learned online by gradient steps; an adaptive table then refines the mixed
-probability by what followed such predictions.  Weights and table are learned from
-counts without the word that is being predicted.  The bits so predicted spell any
-word, seen or not; a word's probability is theirs mixed with its share of the training
-words, weighted by the share of training words that are not singletons (the chance
-that the next word is a known one).  At last the words of the text so far take part:
-a word's probability is mixed with its share of them, by a weight that grows with
-their number, so the score adapts to the text as it goes.  All of this sums to one
-over all words.
-
-Contexts of the bits stay inside a word, so the model's probability of a word is one
-number however often it occurs: the corpus is reduced to its vocabulary by one shuffle, the model is trained
-and applied once per distinct word, and documents are scored by looking words up.
-Frequent words (a bounded number) are looked up inside the task, the rest by a join.
-
-Words and their counts are gathered from all training texts, the counts of the hashed
-contexts from their distinct words, each with weight one: tasks add up their part of the vocabulary in tables of a fixed size,
-and the tables are added up block by block by Spark.
+The model predicts a text word by word and a word bit by bit, every occurrence in the
+words before it.  A text is its words (lower-cased) and an end.  Words that occur at least
+twice in training (a bounded number, the most frequent) have a Huffman code, as has the
+escape that stands for all others.  For every bit of a code three predictors look at the
+place in the code tree: alone (the word's plain count), hashed with the word before, and
+hashed with the two words before; each holds how often the bit was 0 and 1 there in all
+training texts.  Their log odds are combined by weights that a small gate picks (how often
+the place and the two contexts were seen), learned online by gradient steps over all
+training texts; an adaptive table then refines the mixed probability by what followed such
+predictions.  Weights and table are learned from counts without the occurrence that is
+being predicted.
+
+A word without a code is the escape and its spelling: the bits of its bytes and of a closing
+one, predicted and mixed the same way from the word's last bytes (orders 1 to 4) and all its
+bytes so far, learned from all training occurrences of such words.  The spelling stays inside
+the word, so it is one number however often the word occurs and is found once per distinct
+word.  (A coded word has its code alone; what the escape would give to spelling it is unused.)
+At last the words of the text so far take part: a word's probability is mixed with its share
+of them, by a weight that grows with their number, so the score adapts to the text as it goes.
+The probabilities of all words sum to one at most.
+
+Words and their counts are gathered from all training texts by one shuffle.  Training texts
+are then written as codes, in an order of their own; tasks add up the counts of the hashed
+contexts of their part in tables of a fixed size, and the tables are added up block by block
+by Spark.  Documents are scored in one pass; words without a code are looked up inside the
+task if frequent (a bounded number), the rest by a join.
 
 Defined results: a null text is empty and has only its end; a null id counts as held
 out; repeated rows are counted and scored each; an empty table gives an empty result;
@@ -51,6 +53,13 @@ CLOSE = 0x20
 ADD = 0.1
 #: log2 of the slots of each predictor: orders 1 to 4 and the whole word so far.
 SLOT_BITS = (16, 20, 21, 21, 21)
+#: Words with a code, at most, and the bytes that such a word has at most.
+CODED, CODE_BYTES = 1 << 16, 64
+#: log2 of the slots of the contexts of a code: the word before and the two before.
+PAIR_BITS = (20, 21)
+#: Tokens worked on at a time (all bits of their codes and all predictors each).
+STEP_TOKENS = 1 << 12
+ESCAPE, START = 0, -1
 #: Slots in one row while tables are added up.
 BLOCK_BITS = 14
 #: Most frequent words looked up inside the tasks, at most.
@@ -68,6 +77,7 @@ SCAN_BYTES = 8 << 20
 
 _FIRST = np.concatenate([[0], np.cumsum([1 << b for b in SLOT_BITS])]).astype(np.int64)
 SLOTS = int(_FIRST[-1])
+PAIR_SLOTS = sum(1 << b for b in PAIR_BITS)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -151,21 +161,153 @@ def vocabulary(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return rows.groupBy("word").agg(F.sum("c").alias("c"), F.sum("c_all").alias("c_all"))
 
 
-def context_counts(words: DataFrame) -> np.ndarray:
-    """(SLOTS, 2) how often each context slot saw a 0 and a 1 in all training words."""
+def huffman(weight: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(first, node, bit, counts): leaf k's path is at first[k]:first[k + 1] of node and bit;
+    counts holds the weights of each node's two sides."""
+    n = len(weight)
+    order = np.argsort(weight, kind="stable")
+    w, pairs = weight[order].tolist(), []
+    leaf, inner = 0, n
+    for _ in range(n - 1):  # leaves and inner nodes both come by rising weight
+        pair = []
+        for _ in range(2):
+            if leaf < n and (inner >= len(w) or w[leaf] <= w[inner]):
+                pair.append(leaf)
+                leaf += 1
+            else:
+                pair.append(inner)
+                inner += 1
+        pairs.append(pair)
+        w.append(w[pair[0]] + w[pair[1]])
+    pair = np.array(pairs, np.int64).reshape(-1, 2)
+    up, side = np.full(2 * n - 1, -1), np.zeros(2 * n - 1, np.int8)
+    up[pair] = np.arange(n, 2 * n - 1)[:, None]
+    side[pair[:, 1]] = 1
+    leaves, at, parts = order, np.arange(n), []
+    while True:
+        inside = up[at] >= 0
+        leaves, at = leaves[inside], at[inside]
+        if not len(at):
+            break
+        parts.append((leaves, up[at] - n, side[at]))
+        at = up[at]
+    of, node, bit = (np.concatenate([np.zeros(0, np.int64), *x]) for x in zip(*parts)) if parts else np.zeros((3, 0), np.int64)
+    place = np.argsort(of, kind="stable")
+    first = np.r_[0, np.cumsum(np.bincount(of.astype(np.int64), minlength=n))]
+    return first, node[place].astype(np.int32), bit[place].astype(np.int8), np.array(w)[pair].astype(np.float32).reshape(-1, 2)
+
+
+@dataclass
+class CodeBits:
+    """All bits of the codes of some tokens."""
+
+    slot: np.ndarray  # (contexts, bits) place in the table
+    bit: np.ndarray
+    node: np.ndarray  # inner node of the code tree
+    start: np.ndarray  # (tokens,) where each token's bits begin
+
+
+class Code:
+    """Codes of frequent words: the escape is leaf 0, word k of ``names`` leaf k + 1."""
+
+    def __init__(self, names: list[bytes], c: np.ndarray, escaped: int):
+        self.names = names
+        self.first, self.node, self.bit, self.counts = huffman(np.r_[escaped, c].astype(np.int64))
+        self.place = np.minimum(np.log2(self.counts.sum(1) + 1) / 3, 7).astype(np.int8) * np.int8(16)
+        wide = np.arange(1, len(self.counts) + 1, dtype=np.uint64) * _MIX
+        self.hashes = []  # of the nodes along the paths, one for each table
+        for bits in PAIR_BITS:
+            wide = (wide ^ wide >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9)
+            self.hashes.append((wide >> np.uint64(64 - bits)).astype(np.int32)[self.node])
+
+    def bits(self, ids: np.ndarray, one: np.ndarray, two: np.ndarray) -> CodeBits:
+        """Of tokens ``ids`` after the tokens ``one`` and, before that, ``two``."""
+        begin = self.first[ids]
+        size = self.first[ids + 1] - begin
+        ends = np.cumsum(size)
+        at = np.repeat(begin - ends + size, size)
+        at += np.arange(len(at))
+        seed = (one + 2).astype(np.uint64) * _MIX
+        slot = np.empty((2, len(at)), np.int32)
+        for k, bits in enumerate(PAIR_BITS):
+            if k:
+                seed = (seed ^ seed >> np.uint64(31)) + (two + 2).astype(np.uint64)
+                seed *= np.uint64(0xD6E8FEB86659FD93)
+            seed = (seed ^ seed >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9)
+            top = (seed >> np.uint64(64 - bits)).astype(np.int32)
+            np.bitwise_xor(np.repeat(top, size), self.hashes[k].take(at, mode="clip"), out=slot[k])
+        slot[1] += 1 << PAIR_BITS[0]  # the second table follows the first
+        return CodeBits(slot, self.bit.take(at, mode="clip"), self.node.take(at, mode="clip"), ends - size)
+
+    def gate(self, node: np.ndarray, seen_one: np.ndarray, seen_two: np.ndarray) -> np.ndarray:
+        """By the steps of how often the place and the contexts were seen."""
+        out = self.place.take(node, mode="clip")
+        out += seen_one << 2
+        out += seen_two
+        return out
+
+
+def token_stream(words: np.ndarray, counts: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
+    """(tokens, where each row's begin): the words of the rows, an end after each row's."""
+    out = np.full(len(words) + len(counts), end, np.int32)
+    out[np.arange(len(words)) + np.repeat(np.arange(len(counts)), counts)] = words
+    return out, np.cumsum(counts + 1) - counts - 1
+
+
+def token_steps(ids: np.ndarray, begins: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """(place, tokens, those before, those before these) in runs of STEP_TOKENS."""
+    one, two = np.r_[START, ids[:-1]], np.r_[START, START, ids[:-2]][: len(ids)]
+    one[begins] = two[begins] = START
+    second = begins + 1
+    two[second[second < len(ids)]] = START
+    for k in range(0, len(ids), STEP_TOKENS):
+        yield k, ids[k : k + STEP_TOKENS], one[k : k + STEP_TOKENS], two[k : k + STEP_TOKENS]
+
+
+def coded_steps(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """``token_steps`` of the codes of some training texts."""
+    for b in batches:
+        rows = [np.frombuffer(x.as_buffer(), np.int32) for x in b.column("codes")]
+        if rows:
+            size = np.fromiter(map(len, rows), np.int64, len(rows))
+            yield from token_steps(np.concatenate(rows), np.cumsum(size) - size)
+
+
+def training_codes(docs: DataFrame, id_col: str, text_col: str, code, key: str) -> DataFrame:
+    """The codes of each training text and its end, in an order of its own, so that what is
+    learned online depends on training texts alone."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at = places(key, "code", code.value.names)
+        for b in slices(batches, text_col):
+            train = ~held_out(b.column(id_col).to_pylist())
+            w = Words(b.column(text_col), NON_SPACE)
+            codes, distinct = w.coded()
+            leaf = np.fromiter((at.get(x, -1) + 1 for x in distinct.to_pylist()), np.int32, len(distinct))
+            ids, begins = token_stream(leaf[codes], w.counts, at.get(END, -1) + 1)
+            rows = pa.Array.from_buffers(pa.large_binary(), b.num_rows, [None, pa.py_buffer(np.r_[begins, len(ids)] * 4), pa.py_buffer(ids)])
+            yield pa.RecordBatch.from_arrays([b.column(id_col).filter(pa.array(train)), rows.filter(pa.array(train)).cast(pa.binary())], names=["id", "codes"])
+
+    rows = docs.select(id_col, text_col).mapInArrow(run, f"id {docs.schema[id_col].dataType.simpleString()}, codes binary")
+    order = F.xxhash64("id", "codes")  # copies of a text go to many tasks
+    return rows.repartition(order).sortWithinPartitions(order).select("codes")
+
+
+def context_counts(rows: DataFrame, places_of, slots: int) -> np.ndarray:
+    """(slots, 2) how often each context slot saw a 0 and a 1: ``places_of`` gives runs of
+    (2 * slot + bit, how often) of some batches.  ``slots`` are whole blocks."""
     step = 1 << BLOCK_BITS
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = None
-        for some, _ in word_steps(batches):
-            table = np.zeros(2 * SLOTS, np.float32) if table is None else table
-            bits = bits_of(some)
-            for slot in bits.slot:
-                np.add.at(table, 2 * slot.ravel() + bits.bit.ravel(), np.float32(1))
+        for at, weight in places_of(batches):
+            table = np.zeros(2 * slots, np.float32) if table is None else table
+            np.add.at(table, at, weight)
         if table is not None:
-            for k in range(0, 2 * SLOTS, 2 * step):
+            for k in range(0, 2 * slots, 2 * step):
                 part = table[k : k + 2 * step]
                 if part.any():
+                    part = part.astype(np.uint8 if part.max() < 256 else np.uint16 if part.max() < 65536 else np.float32)
                     yield pa.RecordBatch.from_arrays([pa.array([k // (2 * step)], pa.int32()), pa.array([part.tobytes()], pa.binary())], names=["block", "part"])
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -173,23 +315,42 @@ def context_counts(words: DataFrame) -> np.ndarray:
         row = lambda: pa.RecordBatch.from_arrays([pa.array([now], pa.int32()), pa.array([total.tobytes()], pa.binary())], names=["block", "part"])
         for b in batches:
             for block, part in zip(b.column("block").to_pylist(), b.column("part")):
-                part = np.frombuffer(part.as_buffer(), np.float32)
+                part = part.as_buffer()
+                part = np.frombuffer(part, {1: np.uint8, 2: np.uint16, 4: np.float32}[part.size // (2 * step)])
                 if block == now:
                     total += part
                     continue
                 if now is not None:
                     yield row()
-                now, total = block, part.copy()
+                now, total = block, part.astype(np.float32)
         if now is not None:
             yield row()
 
     schema = "block int, part binary"
-    parts = words.mapInArrow(count, schema).repartition("block").sortWithinPartitions("block")
-    table = np.zeros(2 * SLOTS, np.float32)
+    parts = rows.mapInArrow(count, schema).repartition("block").sortWithinPartitions("block")
+    table = np.zeros(2 * slots, np.float32)
     for r in staged(parts.mapInArrow(add, schema), "context-counts").toLocalIterator():  # a table of a fixed size
         part = np.frombuffer(r.part, np.float32)
         table[r.block * 2 * step :][: len(part)] = part
-    return table.reshape(SLOTS, 2)
+    return table.reshape(slots, 2)
+
+
+def spelled_places(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    for some, b in word_steps(batches):
+        bits = bits_of(some)
+        weight = np.repeat(b.column("c").to_numpy().astype(np.float32)[bits.word], 8)
+        for slot in bits.slot:
+            yield 2 * slot.ravel() + bits.bit.ravel(), weight
+
+
+def coded_places(code):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.float32]]:
+        for _, *some in coded_steps(batches):
+            bits = code.value.bits(*some)
+            for slot in bits.slot:
+                yield 2 * slot + bits.bit, np.float32(1)
+
+    return run
 
 
 def log_odds(n0: np.ndarray, n1: np.ndarray) -> np.ndarray:
@@ -209,12 +370,11 @@ def gate_of(node: np.ndarray, seen3: np.ndarray, seen: np.ndarray) -> np.ndarray
 class Mixer:
     """Gated weights and the table that refines the mixed probability."""
 
-    def __init__(self, weights: np.ndarray | None = None, cells: np.ndarray | None = None):
-        n = len(SLOT_BITS)
+    def __init__(self, weights: np.ndarray | None = None, cells: np.ndarray | None = None, n: int = len(SLOT_BITS), nodes: int = 256):
         self.weights = np.full((GATES, n), 0.35) if weights is None else weights
         self._narrow()
         centre = 1 / (1 + np.exp(-np.linspace(-LIMIT, LIMIT, CELLS)))
-        fresh = np.stack([np.broadcast_to(1 - centre, (256, CELLS)), np.broadcast_to(centre, (256, CELLS))], 2) * 4
+        fresh = np.stack([np.broadcast_to(1 - centre, (nodes, CELLS)), np.broadcast_to(centre, (nodes, CELLS))], 2) * 4
         self.cells = fresh.copy() if cells is None else cells  # (node, cell, bit) counts
 
     def _narrow(self) -> None:
@@ -236,11 +396,15 @@ class Mixer:
         refined = (cells[:, 1] / cells.sum(1)).astype(np.float32)[self.cell_of(x, node)]
         return (1 / (1 + np.exp(-x)) + refined) / 2
 
-    def learn(self, odds: np.ndarray, gate: np.ndarray, node: np.ndarray, bit: np.ndarray, refine: bool) -> None:
-        """One online step over some bits: a damped Newton step for each gate's weights."""
+    def learn(self, odds: np.ndarray, gate: np.ndarray, node: np.ndarray, bit: np.ndarray, refine: bool, often: np.ndarray | None = None) -> None:
+        """One online step over some bits (that occur ``often``, or once): a damped Newton
+        step for each gate's weights."""
         x = self.mixed(odds, gate)
         p = 1 / (1 + np.exp(-x))
         miss, slope, flat = (bit - p).ravel(), (p * (1 - p)).ravel(), gate.ravel()
+        if often is not None:
+            often = np.broadcast_to(often, bit.shape).ravel()
+            miss, slope = miss * often, slope * often
         for k, o in enumerate(odds):
             o = o.ravel()
             up = np.bincount(flat, miss * o, GATES)
@@ -249,39 +413,60 @@ class Mixer:
         self._narrow()
         if refine:
             cell = (self.cell_of(x, node) * 2 + bit).ravel()
-            self.cells += np.bincount(cell, minlength=256 * CELLS * 2).reshape(256, CELLS, 2)
-
-
-def learned_mixer(words: DataFrame, table) -> Mixer:
-    """The mixer from all training words: tasks learn online, their weights are averaged
+            self.cells += np.bincount(cell, often, self.cells.size).reshape(self.cells.shape)
+
+
+def spelled_runs(batches: Iterator[pa.RecordBatch], counts: np.ndarray):
+    """(odds, gate, node, bit, how often) of runs of words, from counts without the word itself."""
+    for some, b in word_steps(batches):
+        bits = bits_of(some)
+        n = counts[bits.slot]
+        one = bits.bit.astype(np.float32)
+        n0, n1 = np.maximum(n[..., 0] - (1 - one), 0), np.maximum(n[..., 1] - one, 0)
+        gate = gate_of(bits.node, (n0[2] + n1[2]), (n0[4] + n1[4]))
+        yield log_odds(n0, n1), gate, bits.node, bits.bit, b.column("c").to_numpy()[bits.word][:, None]
+
+
+def coded_runs(code):
+    def run(batches: Iterator[pa.RecordBatch], counts: np.ndarray):
+        """(odds, gate, node, bit, once) of runs of tokens, from counts without the token itself."""
+        for _, *some in coded_steps(batches):
+            bits = code.value.bits(*some)
+            one = bits.bit.astype(np.float32)
+            n = np.empty((3, len(one)), np.complex64)  # both counts by one look-up
+            np.take(code.value.counts.view(np.complex64).ravel(), bits.node, out=n[0], mode="clip")
+            for k, slot in enumerate(bits.slot):
+                np.take(counts.view(np.complex64).ravel(), slot, out=n[k + 1], mode="clip")
+            n0, n1 = np.maximum(n.real - (1 - one), 0), np.maximum(n.imag - one, 0)
+            gate = code.value.gate(bits.node, level(n0[1] + n1[1]), level(n0[2] + n1[2]))
+            yield log_odds(n0, n1), gate, gate, bits.bit, None
+
+    return run
+
+
+def learned_mixer(rows: DataFrame, table, runs, predictors: int = len(SLOT_BITS), nodes: int = 256) -> Mixer:
+    """The mixer from all rows: tasks learn online, their weights are averaged
     by the bits that they saw and their refinement counts added up."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = table.value
-        mixer, total, steps = Mixer(), 0, 0
+        mixer, total, steps = Mixer(n=predictors, nodes=nodes), 0, 0
         fresh = mixer.cells.copy()
-        for some, _ in word_steps(batches):
-            bits = bits_of(some)
-            n = counts[bits.slot]
-            one = bits.bit.astype(bool)
-            n0 = np.maximum(n[..., 0] - (~one).astype(np.float32), 0)  # without the word itself
-            n1 = np.maximum(n[..., 1] - one.astype(np.float32), 0)
-            gate = gate_of(bits.node, (n0[2] + n1[2]), (n0[4] + n1[4]))
-            mixer.learn(log_odds(n0, n1), gate, bits.node, bits.bit, refine=steps >= 4)
-            total += len(bits.word)
+        for odds, gate, node, bit, often in runs(batches, table.value):
+            mixer.learn(odds, gate, node, bit, refine=steps >= 4, often=often)
+            total += bit.size
             steps += 1
         if steps:
             cells = (mixer.cells - fresh).ravel()
             some = np.flatnonzero(cells)
             n = mixer.weights.size
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.r_[np.zeros(n, np.int64), np.ones(len(some), np.int64)]), pa.array(np.r_[np.arange(n), some]), pa.array(np.r_[mixer.weights.ravel() * total, cells[some]]), pa.array(np.r_[np.full(n, total), np.zeros(len(some))])],
+                [pa.array(np.r_[np.zeros(n, np.int64), np.ones(len(some), np.int64)]), pa.array(np.r_[np.arange(n), some]), pa.array(np.r_[mixer.weights.ravel() * total, cells[some]]), pa.array(np.r_[np.full(n, float(total)), np.zeros(len(some))])],
                 names=["kind", "at", "v", "n"],
             )
 
-    rows = words.mapInArrow(run, "kind bigint, at bigint, v double, n double").groupBy("kind", "at").agg(F.sum("v").alias("v"), F.sum("n").alias("n"))
-    out = Mixer()
-    for r in rows.collect():  # weights and refinement cells, a fixed number
+    sums = rows.mapInArrow(run, "kind bigint, at bigint, v double, n double").groupBy("kind", "at").agg(F.sum("v").alias("v"), F.sum("n").alias("n"))
+    out = Mixer(n=predictors, nodes=nodes)
+    for r in sums.collect():  # weights and refinement cells, a fixed number
         if r.kind:
             out.cells.reshape(-1)[r["at"]] += r.v
         elif r.n:
@@ -290,31 +475,45 @@ def learned_mixer(words: DataFrame, table) -> Mixer:
     return out
 
 
-def scored_words(words: DataFrame, table, mixer: Mixer, total: int, known: float) -> DataFrame:
-    """``words`` with ``logp``, the log10 probability of each: spelled by the mixed bits,
-    or with the probability ``known`` drawn from the ``total`` training words."""
+def bit_logs(mixer: Mixer, odds, gate: np.ndarray, node: np.ndarray, bit: np.ndarray) -> np.ndarray:
+    """Natural logarithm of the probability of each bit."""
+    p = mixer.probability(odds, gate, node)
+    return np.log(np.maximum(np.where(bit == 1, p, 1 - p), np.float32(1e-12)))
+
+
+def scored_words(words: DataFrame, table, mixer: Mixer) -> DataFrame:
+    """``words`` with ``logp``, the log10 probability of each one's spelling."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = table.value
+        all_odds, seen = log_odds(counts[:, 0], counts[:, 1]), counts.sum(1)
         for some, b in word_steps(batches):
             bits = bits_of(some)
-            n = counts[bits.slot]
-            gate = gate_of(bits.node, n[2, ..., 0] + n[2, ..., 1], n[4, ..., 0] + n[4, ..., 1])
-            p = mixer.probability(log_odds(n[..., 0], n[..., 1]), gate, bits.node)
-            p = np.where(bits.bit == 1, p, 1 - p)
-            spelled = np.bincount(bits.word, np.log10(np.maximum(p, 1e-12)).sum(1, dtype=float), len(some))
-            with np.errstate(divide="ignore"):
-                drawn = np.log10(known * b.column("c").to_numpy() / max(total, 1))
-            logp = log_sum(drawn, spelled + np.log10(1 - known))
+            gate = gate_of(bits.node, seen[bits.slot[2]], seen[bits.slot[4]])
+            logs = bit_logs(mixer, all_odds[bits.slot], gate, bits.node, bits.bit)
+            logp = np.bincount(bits.word, logs.sum(1, dtype=float), len(some)) / np.log(10)
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in ("word", "c", "c_all")), pa.array(logp)], names=["word", "c", "c_all", "logp"])
 
     return words.select("word", "c", "c_all").mapInArrow(run, "word string, c bigint, c_all bigint, logp double")
 
 
-def frequent(words: DataFrame, most: int) -> DataFrame:
-    """The words of at least the smallest number of occurrences that no more than
-    ``most`` words have, by a histogram of powers of two and of its last step."""
-    step = F.floor(F.log2("c_all"))
+def code_logs(code: Code, mixer: Mixer, odds: np.ndarray, seen: np.ndarray, ids: np.ndarray, begins: np.ndarray) -> np.ndarray:
+    """log10 of the probability of each token's code after the tokens before it in its row."""
+    out, plain = np.zeros(len(ids)), log_odds(code.counts[:, 0], code.counts[:, 1])
+    for k, *some in token_steps(ids, begins):
+        bits = code.bits(*some)
+        gate = code.gate(bits.node, *(seen.take(slot, mode="clip") for slot in bits.slot))
+        told = [plain.take(bits.node, mode="clip"), *(odds.take(slot, mode="clip") for slot in bits.slot)]
+        logs = bit_logs(mixer, told, gate, gate, bits.bit)
+        if len(logs):  # every code has bits then
+            out[k : k + STEP_TOKENS] = np.add.reduceat(logs, bits.start, dtype=float)
+    return out / np.log(10)
+
+
+def least_count(words: DataFrame, most: int, column: str = "c_all") -> int:
+    """The smallest number of occurrences that no more than ``most`` words have or
+    exceed, by a histogram of powers of two and of its last step."""
+    step = F.floor(F.log2(column))
     left, floor = most, None
     for r in sorted(words.groupBy(step.alias("b")).agg(F.count("*").alias("n")).collect(), key=lambda r: -r.b):
         if r.n > left:
@@ -322,12 +521,12 @@ def frequent(words: DataFrame, most: int) -> DataFrame:
             break
         left -= r.n
     if floor is None:
-        return words
+        return 0
     lo, hi = 1 << floor, 2 << floor
     while hi - lo > 1:  # at most 256 counts a round
         width = max(1, (hi - lo) // 256)
-        inside = words.where((F.col("c_all") >= lo) & (F.col("c_all") < hi))
-        counts = inside.groupBy(F.floor((F.col("c_all") - lo) / width).alias("b")).agg(F.count("*").alias("n")).collect()
+        inside = words.where((F.col(column) >= lo) & (F.col(column) < hi))
+        counts = inside.groupBy(F.floor((F.col(column) - lo) / width).alias("b")).agg(F.count("*").alias("n")).collect()
         bound = lo
         for r in sorted(counts, key=lambda r: -r.b):
             if r.n > left:
@@ -336,8 +535,13 @@ def frequent(words: DataFrame, most: int) -> DataFrame:
                 break
             left -= r.n
         else:
-            return words.where(F.col("c_all") >= lo)
-    return words.where(F.col("c_all") >= hi)
+            return lo
+    return hi
+
+
+def frequent(words: DataFrame, most: int) -> DataFrame:
+    """The words of at least ``least_count`` occurrences."""
+    return words.where(F.col("c_all") >= least_count(words, most))
 
 
 def earlier(row: np.ndarray, codes: np.ndarray) -> np.ndarray:
@@ -358,34 +562,56 @@ def log_sum(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.logaddexp2(a / np.log10(2), b / np.log10(2)) * np.log10(2)
 
 
-_HOT: dict[int, dict[bytes, int]] = {}
+_PLACES: dict[tuple[str, str], dict[bytes, int]] = {}
+
+
+def places(key: str, kind: str, names: list[bytes]) -> dict[bytes, int]:
+    """The place of each word of a run's list; workers keep the lists of one run at a time."""
+    if (key, kind) not in _PLACES:
+        for old in [k for k in _PLACES if k[0] != key]:
+            _PLACES.pop(old, None)
+        _PLACES[key, kind] = {w: k for k, w in enumerate(names)}
+    return _PLACES[key, kind]
 
 
 def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot_words: int = HOT_WORDS) -> DataFrame:
     """One row per document: id, held_out, n_tokens, n_known, train_tokens, base_score,
     score (log10 probabilities) and bits_per_byte."""
     spark = docs.sparkSession
+    key = uuid.uuid4().hex  # of this run
     counted = staged(vocabulary(docs, id_col, text_col), "vocabulary")
-    total, distinct, single = counted.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count_if(F.col("c") > 0), F.count_if(F.col("c") == 1)).first()
+    total, distinct = counted.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count_if(F.col("c") > 0)).first()
     bottom = total + ADD * (distinct + 1)
+
+    # Codes of the frequent training words, and the texts as codes.
+    short = (F.col("c") > 1) & (F.octet_length("word") <= CODE_BYTES)
+    coded = short & (F.col("c") >= least_count(counted.where(short), CODED, "c"))
+    listed = counted.where(coded).select("word", "c").toArrow()  # at most CODED short rows
+    listed = listed.sort_by([("c", "descending"), ("word", "ascending")])
+    own_count = listed["c"].to_numpy()
+    code = spark.sparkContext.broadcast(Code(listed["word"].cast(pa.binary()).to_pylist(), own_count, total - int(own_count.sum())))
+    stream = staged(training_codes(docs, id_col, text_col, code, key), "training-codes")
+    counts = context_counts(stream, coded_places(code), PAIR_SLOTS)
+    table = spark.sparkContext.broadcast(counts)
+    code_mixer = learned_mixer(stream, table, coded_runs(code), 1 + len(PAIR_BITS), GATES)
+    table.unpersist()
+    pairs = spark.sparkContext.broadcast((log_odds(counts[:, 0], counts[:, 1]), level(counts.sum(1))))
+    del counts, table
+
+    # Spelling of all words, learned from the training words without a code.
     # In an order of its own, so that what is learned online depends on training words alone.
-    train = staged(counted.where("c > 0").select("word").repartition("word").sortWithinPartitions("word"), "training-words")
-    known = min(1 - single / total, 0.999) if total else 0.0
-    table = spark.sparkContext.broadcast(context_counts(train))
-    mixer = learned_mixer(train, table)
-    words = staged(scored_words(counted, table, mixer, total, known), "scored-words")
+    train = staged(counted.where(F.col("c") > 0).where(~coded).select("word", "c").repartition("word").sortWithinPartitions("word"), "training-words")
+    table = spark.sparkContext.broadcast(context_counts(train, spelled_places, SLOTS))
+    mixer = learned_mixer(train, table, spelled_runs)
+    words = staged(scored_words(counted, table, mixer), "scored-words")
     table.unpersist()  # the scores are written; no later task needs it
     few = frequent(words, hot_words).select("word", "c", "logp").toArrow()  # at most hot_words rows
     end = words.where(F.col("word") == END.decode()).select("c", "logp").first()
     hot = spark.sparkContext.broadcast((few["word"].cast(pa.binary()).to_pylist(), few["c"].to_numpy(), few["logp"].to_numpy()))
-    key = uuid.uuid4().hex  # of this run; workers keep the words of one run at a time
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, c, logp = hot.value
-        if key not in _HOT:
-            _HOT.clear()
-            _HOT[key] = {w: k for k, w in enumerate(names)}
-        at = _HOT[key]
+        at, leaf_at = places(key, "hot", names), places(key, "code", code.value.names)
         base = np.log10((c + ADD) / bottom)
         for b in slices(batches, "text"):
             w = Words(b.column("text"), NON_SPACE)
@@ -393,6 +619,14 @@ def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot_
             listed = distinct_words.to_pylist()
             place = np.fromiter((at.get(x, -1) for x in listed), np.int64, len(listed))
             of = place[codes] if len(codes) else np.zeros(0, np.int64)
+            leaf = np.fromiter((leaf_at.get(x, -1) + 1 for x in listed), np.int32, len(listed))
+            ids, begins = token_stream(leaf[codes], w.counts, leaf_at.get(END, -1) + 1)
+            coded_log = code_logs(code.value, code_mixer, *pairs.value, ids, begins)
+            ends_at = np.r_[begins[1:], len(ids)] - 1
+            end_log = coded_log[ends_at] + np.where(ids[ends_at] == ESCAPE, end.logp, 0.0)
+            inside = np.ones(len(ids), bool)
+            inside[ends_at] = False
+            coded_log, escaped = coded_log[inside], ids[inside] == ESCAPE
             row = np.repeat(np.arange(b.num_rows), w.counts)
             t = np.arange(len(row)) - w.row[:-1][row]
             before = earlier(row, codes)
@@ -400,6 +634,9 @@ def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot_
             first, again = np.log10(1 - own), np.full(len(row), -np.inf)
             rep = before > 0
             again[rep] = np.log10(own[rep] * before[rep] / t[rep])
+            # A coded word's own probability joins the second part, the first is its spelling's.
+            again = np.where(escaped, again, log_sum(coded_log + first, again))
+            first = np.where(escaped, coded_log + first, -np.inf)
             ok = of >= 0
             hot_of = of[ok]
             told = log_sum(logp[hot_of] + first[ok], again[ok]) if len(c) else np.zeros(0)
@@ -412,7 +649,7 @@ def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot_
             length = np.bincount(row, (w.ends - w.starts + 1).astype(float), b.num_rows) + 2
             yield pa.RecordBatch.from_arrays(
                 [b.column("uid"), b.column("id"), pa.array(held_out(b.column("id").to_pylist())), pa.array(w.counts.astype(np.int64) + 1),
-                 pa.array(sums[2].astype(np.int64) + int(end.c > 0)), pa.array(sums[0] + np.log10((end.c + ADD) / bottom)), pa.array(sums[1] + end.logp + own_end), pa.array(length), names_at, first_at, again_at],
+                 pa.array(sums[2].astype(np.int64) + int(end.c > 0)), pa.array(sums[0] + np.log10((end.c + ADD) / bottom)), pa.array(sums[1] + end_log + own_end), pa.array(length), names_at, first_at, again_at],
                 names=["uid", "id", "held_out", "n_tokens", "known", "base", "model", "bytes", "words", "first", "again"],
             )
 

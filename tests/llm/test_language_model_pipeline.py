@@ -103,6 +103,40 @@ def test_spelling_is_a_distribution():
     assert abs(total - 1) < 1e-4
 
 
+def test_codes_are_a_distribution():
+    """After any two tokens the probabilities of the code's leaves, each the product of its
+    bits', sum to one; likelier words have shorter codes."""
+    rng = np.random.default_rng(1)
+    code = lm.Code([b"%d" % k for k in range(40)], np.sort(rng.integers(2, 500, 40))[::-1], 30)
+    length = np.diff(code.first)
+    assert length[1] == length[1:].min() and length[40] == length.max() and np.isclose((0.5**length).sum(), 1)
+    counts = rng.integers(0, 9, (lm.PAIR_SLOTS, 2)).astype(np.float32)
+    mixer = lm.Mixer(rng.normal(size=(lm.GATES, 3)), rng.random((lm.GATES, lm.CELLS, 2)) + 0.1, 3, lm.GATES)
+    ids, totals = np.arange(41), []
+    for one, two in ((3, 7), (7, 3), (lm.START, lm.START)):
+        rows = np.stack([np.full(41, two), np.full(41, one), ids], 1)[:, (2 if one < 0 else 0):]
+        size = rows.shape[1]
+        logs = lm.code_logs(code, mixer, lm.log_odds(counts[:, 0], counts[:, 1]), lm.level(counts.sum(1)), rows.ravel(), np.arange(41) * size)
+        totals.append(10.0 ** logs[size - 1 :: size])
+    assert np.allclose([t.sum() for t in totals], 1, atol=1e-4) and not np.allclose(totals[0], totals[1])
+    assert lm.Code([], np.zeros(0, np.int64), 5).first.tolist() == [0, 0]
+
+
+def test_words_are_predicted_from_the_words_before(spark):
+    """Equal words in the order of the training texts score higher than in another one, and
+    all occurrences count: what follows a word is learned from how often it did."""
+    held = [i for i in range(2000) if zlib.crc32(str(i).encode()) % 10 == 0]
+    rng = np.random.default_rng(2)
+    seen = " ".join
+    pairs = [["red", "apple"], ["blue", "sky"], ["green", "leaf"], ["dark", "night"]]
+    rows = [(i, seen(w for k in rng.integers(0, 4, 30) for w in pairs[k])) for i in range(400) if i not in held]
+    rows += [(held[0], "red apple blue sky green leaf dark night"), (held[1], "red sky blue leaf green night dark apple")]
+    out = {r.doc_id: r for r in lm.scores(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    a, b = out[held[0]], out[held[1]]
+    assert a.held_out and b.held_out and math.isclose(a.base_score, b.base_score)
+    assert a.score > b.score + 3 and a.score > a.base_score + 2
+
+
 def test_earlier():
     assert lm.earlier(np.array([0, 0, 0, 1, 1]), np.array([5, 5, 2, 5, 5])).tolist() == [0, 1, 0, 0, 1]
     assert np.allclose(lm.log_sum(np.array([-3.0]), np.array([-np.inf])), -3)
