@@ -107,10 +107,17 @@ def other_creditor_persons(debts: DataFrame, spec: PortfolioSpec) -> DataFrame:
     """Persons with a debt at another creditor (JN4, W3).
 
     Only existence is used; a group keeps an earliest row exactly when it has a
-    dated debt, so a narrow scan of (person, creditor, date) is enough.
+    dated debt, so a narrow scan of (person, creditor, date) is enough.  The persons
+    are made distinct at once: what is only joined to the debts (their tags) is not read.
     """
     return debts.filter((F.col("creditor") != F.lit(spec.creditor)) & F.col("INICIO_DIVIDA").isNotNull()) \
-        .select("_id")
+        .select("_id").distinct()
+
+
+def creditor_contracts(debts: DataFrame, spec: PortfolioSpec) -> DataFrame:
+    """(person, contract) of ``creditor_debts``, from a narrow scan without tags and flags."""
+    own = filter_equals(debts, "creditor", spec.creditor).select("_id", "contract", "INICIO_DIVIDA")
+    return earliest_per_group(own.distinct(), ("_id",), "INICIO_DIVIDA").select("_id", "contract")
 
 
 def combine_facts(parts: list[DataFrame], aggs: list[Column], wanted: DataFrame | None = None) -> DataFrame:
@@ -144,14 +151,14 @@ def auth_rows(src: Sources, spec: PortfolioSpec, file_day: str) -> DataFrame:
     return tagged(auth, "document", "auth")
 
 
-def person_facts(keys: DataFrame, own: DataFrame, src: Sources, spec: PortfolioSpec, file_day: str) -> DataFrame:
+def person_facts(keys: DataFrame, src: Sources, spec: PortfolioSpec, file_day: str) -> DataFrame:
     """Facts keyed by the person id: simulations up to the file date, debts at other creditors,
     creditor debts missing from the file (JN4-JN6, JN8), as one aggregation.
 
     ``keys`` holds (person id, document, contract) of every file row."""
     contract = spec.file_contract
     present = keys.select(F.col("_id").alias("__p"), F.col(contract).alias("__c")).filter(F.col("__p").isNotNull())
-    missing = own.select("_id", "contract").join(
+    missing = creditor_contracts(src.debts, spec).join(
         present, (F.col("_id") == F.col("__p")) & (F.col("contract") == F.col("__c")), "left_anti")
     sims = asof_cutoff(filter_equals(src.simulation, "creditor", spec.creditor), "createdAt", file_day,
                        spec.inclusive_day)
@@ -209,7 +216,7 @@ def build_base(rows: DataFrame, src: Sources, spec: PortfolioSpec, file_day: str
     arq = arq.select(*[F.col(f"`{c}`") for c in head], *[F.when(known, F.col(f"`{c}`")).alias(c) for c in flags],
                      *[F.col(f"`{c}`") for c in debt_columns])
 
-    idf = person_facts(keys, own, src, spec, file_day)
+    idf = person_facts(keys, src, spec, file_day)
     facts = document_facts(keys.select(doc))
     pairs = keys.groupBy(F.col("_id").alias("__id"), F.col(doc).alias("__doc")).agg(F.count(F.lit(1)).alias("__n"))
     pair_facts = pairs.join(idf, F.col("__id") == idf["__key"], "left").drop("__key") \

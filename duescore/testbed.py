@@ -95,12 +95,18 @@ def _amount(c) -> F.Column:
     return F.replace(c.cast("decimal(15,2)").cast("string"), F.lit("."), F.lit(","))
 
 
-def order_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem")
-    return li.groupBy("l_orderkey").agg(
-        F.array_sort(F.collect_set(_words(RANK_WORDS, F.col("l_linenumber")))).alias("rank_tags"),
-        F.array_sort(F.collect_set(_words(SKIP_WORDS, F.col("l_linenumber")))).alias("skip_tags"),
-    )
+def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(l_orderkey, lines): each order's distinct line numbers with a word, as the bits of one
+    number, which adds up in place and shuffles as an int; the same aggregate serves all tags."""
+    line = F.col("l_linenumber")
+    bit = F.when(line.between(1, len(SKIP_WORDS)), F.call_function("shiftleft", F.lit(1), line)).otherwise(F.lit(0))
+    return table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.bit_or(bit).alias("lines"))
+
+
+def line_tags(words: tuple[str, ...], lines: F.Column) -> F.Column:
+    """The words of the line numbers in ``lines``, sorted; null for an order without lines."""
+    each = [F.when(lines.bitwiseAND(F.lit(2 << i)) != 0, F.lit(w)) for w, i in sorted((w, i) for i, w in enumerate(words))]
+    return F.when(lines.isNotNull(), F.filter(F.array(*each), lambda w: w.isNotNull()))
 
 
 def info(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -119,11 +125,11 @@ def info(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     picked = first_orders(F.col("o_orderkey").asc(), CARD.phone_slots, "phone") \
         .unionByName(first_orders(F.col("o_orderkey").desc(), CARD.email_slots, "email"))
-    tagged = picked.join(order_tags(spark, sf_dir), F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    tagged = picked.join(order_lines(spark, sf_dir), F.col("o_orderkey") == F.col("l_orderkey"), "left")
 
     def slot_list(kind: str) -> F.Column:
-        row = F.when(F.col("kind") == kind, F.struct("nth", "skip_tags"))
-        return F.transform(F.array_sort(F.collect_list(row)), lambda x: x["skip_tags"])
+        row = F.when(F.col("kind") == kind, F.struct("nth", "lines"))
+        return F.transform(F.array_sort(F.collect_list(row)), lambda x: line_tags(SKIP_WORDS, x["lines"]))
 
     slots = tagged.groupBy("o_custkey").agg(slot_list("phone").alias("tag_telefone"), slot_list("email").alias("tag_email"))
     c = cust.join(nation, F.col("c_nationkey") == F.col("n_nationkey")).join(states, "n_regionkey") \
@@ -138,12 +144,12 @@ def info(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def debts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = table(spark, sf_dir, "orders").join(order_tags(spark, sf_dir),
+    o = table(spark, sf_dir, "orders").join(order_lines(spark, sf_dir),
                                             F.col("o_orderkey") == F.col("l_orderkey"), "left")
     return o.select(
         _pid(F.col("o_custkey")).alias("_id"), _doc(F.col("o_custkey")).alias("document"),
         F.col("o_orderpriority").alias("creditor"), _contract(F.col("o_orderkey")).alias("contract"),
-        F.to_date("o_orderdate").alias("INICIO_DIVIDA"), F.col("rank_tags").alias("tag_divida"),
+        F.to_date("o_orderdate").alias("INICIO_DIVIDA"), line_tags(RANK_WORDS, F.col("lines")).alias("tag_divida"),
         F.col("o_totalprice").alias("originalAmount"),
     )
 
@@ -213,10 +219,10 @@ def campaigns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def persons(spark: SparkSession, sf_dir: str) -> DataFrame:
     cust = table(spark, sf_dir, "customer")
-    o = table(spark, sf_dir, "orders").join(order_tags(spark, sf_dir),
+    o = table(spark, sf_dir, "orders").join(order_lines(spark, sf_dir),
                                             F.col("o_orderkey") == F.col("l_orderkey"), "left")
     debt = F.struct(F.col("o_orderpriority").alias("creditor"), _contract(F.col("o_orderkey")).alias("contract"),
-                    F.col("o_orderdate").alias("createdAt"), F.col("rank_tags").alias("tags"))
+                    F.col("o_orderdate").alias("createdAt"), line_tags(RANK_WORDS, F.col("lines")).alias("tags"))
     per = o.groupBy("o_custkey").agg(F.collect_list(debt).alias("debts"))
     c = cust.join(per, F.col("c_custkey") == F.col("o_custkey"), "left")
     info_struct = F.when(F.col("c_mktsegment") != "AUTOMOBILE", F.struct(

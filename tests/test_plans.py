@@ -2,10 +2,12 @@
 Python in the hot path, pivots without a value-discovery job, filters at the scan."""
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from duescore import queries
 from duescore import testbed as tb
+from duescore.plans.base import creditor_contracts, creditor_debts, other_creditor_persons
 
 SF = "/root/testdata/sf0.001"
 COMPOSITES = ["feature_base_card", "feature_base_company", "propensity_scores", "propensity_scores_company"]
@@ -69,3 +71,23 @@ def test_building_a_plan_runs_no_job(spark):
     for name in ("count_asof_simulation", "activation_label"):
         entry.queries()[name](spark, SF)
     assert len(spark.sparkContext.statusTracker().getJobIdsForGroup()) == before
+
+
+def test_existence_of_debts_reads_no_tags(spark):
+    """Facts that only ask whether a debt exists do not aggregate the tags joined to the debts,
+    and both kinds of tags come from one aggregate over the line items."""
+    debts = tb.debts(spark, SF)
+    for narrow in (other_creditor_persons(debts, tb.CARD), creditor_contracts(debts, tb.CARD)):
+        assert "l_orderkey" not in narrow._jdf.queryExecution().optimizedPlan().toString()
+    own = creditor_debts(debts, tb.CARD).select("_id", "contract").distinct()
+    assert sorted(map(tuple, own.collect())) == sorted(map(tuple, creditor_contracts(debts, tb.CARD).distinct().collect()))
+
+
+def test_line_tags(spark, tmp_path):
+    rows = [(1, 3), (1, 1), (1, 3), (1, None), (2, 9), (2, 0), (3, 7), (None, 2), (4, None), (5, -1), (5, 33)]
+    spark.createDataFrame(rows, "l_orderkey long, l_linenumber int").write.parquet(str(tmp_path / "lineitem.parquet"))
+    out = tb.order_lines(spark, str(tmp_path)).unionByName(spark.createDataFrame([(6, None)], "l_orderkey long, lines int"))
+    got = {r[0]: r[1] for r in out.select("l_orderkey", tb.line_tags(tb.RANK_WORDS, F.col("lines"))).collect()}
+    assert got == {1: ["rank:a", "rank:c"], 2: [], 3: ["rank:g"], None: ["rank:b"], 4: [], 5: [], 6: None}
+    words = tb.line_tags(tb.SKIP_WORDS, F.col("lines"))
+    assert {r[0]: r[1] for r in out.select("l_orderkey", words).collect()}[1] == sorted([tb.SKIP_WORDS[0], tb.SKIP_WORDS[2]])
