@@ -21,6 +21,9 @@ At last the words of the text so far take part: a word's probability is mixed wi
 of them, by a weight that grows with their number, so the score adapts to the text as it goes.
 The probabilities of all words sum to one at most.
 
+Equal words after equal words have equal bits, and words that begin alike share those of
+their beginning: tasks find such bits once and count, learn or add them as often as they occur.
+
 Words and their counts are gathered from all training texts by one shuffle.  Training texts
 are then written as codes, in an order of their own; tasks add up the counts of the hashed
 contexts of their part in tables of a fixed size, and the tables are added up block by block
@@ -57,8 +60,12 @@ SLOT_BITS = (16, 20, 21, 21, 21)
 CODED, CODE_BYTES = 1 << 16, 64
 #: log2 of the slots of the contexts of a code: the word before and the two before.
 PAIR_BITS = (20, 21)
-#: Tokens worked on at a time (all bits of their codes and all predictors each).
-STEP_TOKENS = 1 << 12
+#: Tokens whose equal ones (after equal words) are worked on once, with their number.
+RUN_TOKENS = 1 << 20
+#: Different ones learned from at a time, and looked up at a time (all bits of their codes).
+STEP_TOKENS, STEP_LOOKUPS = 1 << 12, 1 << 11
+#: Steps down the code tree whose slots lie side by side: 15 nodes in 16 slots.
+NEAR_STEPS = 4
 ESCAPE, START = 0, -1
 #: Slots in one row while tables are added up.
 BLOCK_BITS = 14
@@ -79,6 +86,7 @@ _FIRST = np.concatenate([[0], np.cumsum([1 << b for b in SLOT_BITS])]).astype(np
 SLOTS = int(_FIRST[-1])
 PAIR_SLOTS = sum(1 << b for b in PAIR_BITS)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
+_UNMIX = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
 
 def held_out(ids: list) -> np.ndarray:
@@ -96,7 +104,29 @@ class Bits:
     word: np.ndarray  # (bytes,) which word
 
 
-def bits_of(words: list[bytes]) -> Bits:
+def shared(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(fresh, owner, word) of every byte of words in order: whether it is new, as the word
+    before does not begin alike up to it; the number of the new byte that it is equal to (all
+    before it equal too), so that their bits need to be found once; its word."""
+    size = np.fromiter(map(len, words), np.int64, len(words)) + 1
+    data = np.frombuffer(b" ".join(words) + b" ", np.uint8)
+    word = np.repeat(np.arange(len(words)), size)
+    start = np.cumsum(size) - size
+    pos = np.arange(len(data)) - start[word]
+    last = np.maximum(word - 1, 0)
+    same = (word > 0) & (pos < size[last])
+    same &= data == data.take(start[last] + pos, mode="clip")
+    fresh = pos >= np.minimum.reduceat(np.where(same, len(data), pos), start)[word]
+    # The first word that has a place has a new byte there; later ones take the last new one.
+    order = np.argsort(pos.astype(np.uint16) if size.max() < 1 << 16 else pos, kind="stable")
+    number = np.cumsum(fresh) - 1
+    owner = np.empty(len(data), np.int64)
+    owner[order] = number[order][np.maximum.accumulate(np.where(fresh[order], np.arange(len(data)), 0))]
+    return fresh, owner, word
+
+
+def bits_of(words: list[bytes], fresh: np.ndarray | None = None) -> Bits:
+    """The bits of all bytes of the words, or of the ``fresh`` ones."""
     size = np.fromiter(map(len, words), np.int64, len(words)) + 1
     data = np.frombuffer(b" ".join(words) + b" ", np.uint8)
     word = np.repeat(np.arange(len(words)), size)
@@ -116,6 +146,8 @@ def bits_of(words: list[bytes]) -> Bits:
     powers = np.cumprod(np.full(int(size.max()), np.uint64(0x100000001B3)), dtype=np.uint64)
     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers[pos], dtype=np.uint64)])
     contexts.append(sums[:-1] - sums[start][word] + pos.astype(np.uint64) * _MIX)
+    if fresh is not None:
+        data, word, contexts = data[fresh], word[fresh], [c[fresh] for c in contexts]
     shift = np.arange(8)
     node = (1 << shift) | data[:, None].astype(np.int64) >> (8 - shift)
     bit = (data[:, None] >> (7 - shift)) & 1
@@ -129,10 +161,21 @@ def bits_of(words: list[bytes]) -> Bits:
     return Bits(slot, bit, node, word)
 
 
+def byte_list(words: pa.Array) -> list[bytes]:
+    """The words (none null) of a text or binary column, cut from its buffer: far faster than one by one."""
+    if not len(words):
+        return []
+    arr = words.cast(pa.large_binary())
+    ends = np.frombuffer(arr.buffers()[1], np.int64)[arr.offset : arr.offset + len(arr) + 1].tolist()
+    data = arr.buffers()[2].slice(ends[0], ends[-1] - ends[0]).to_pybytes() if ends[-1] > ends[0] else b""
+    first = ends[0]
+    return [data[a - first : b - first] for a, b in zip(ends, ends[1:])]
+
+
 def word_steps(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[bytes], pa.RecordBatch]]:
     """Words in runs of about STEP_BYTES (a longer word is a run of its own)."""
     for b in batches:
-        words = [w.encode() for w in b.column("word").to_pylist()]
+        words = byte_list(b.column("word"))
         ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
         lo = 0
         while lo < len(words):
@@ -162,7 +205,7 @@ def vocabulary(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def huffman(weight: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(first, node, bit, counts): leaf k's path is at first[k]:first[k + 1] of node and bit;
+    """(first, node, bit, counts): leaf k's path, up to the root, is at first[k]:first[k + 1] of node and bit;
     counts holds the weights of each node's two sides."""
     n = len(weight)
     order = np.argsort(weight, kind="stable")
@@ -201,10 +244,12 @@ def huffman(weight: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.
 class CodeBits:
     """All bits of the codes of some tokens."""
 
-    slot: np.ndarray  # (contexts, bits) place in the table
+    slot: tuple[np.ndarray, np.ndarray]  # places in both tables, the second after the first
     bit: np.ndarray
-    node: np.ndarray  # inner node of the code tree
+    gate: np.ndarray  # the part that the place in the code tree gives
+    at: np.ndarray  # place in the paths
     start: np.ndarray  # (tokens,) where each token's bits begin
+    size: np.ndarray
 
 
 class Code:
@@ -212,39 +257,50 @@ class Code:
 
     def __init__(self, names: list[bytes], c: np.ndarray, escaped: int):
         self.names = names
-        self.first, self.node, self.bit, self.counts = huffman(np.r_[escaped, c].astype(np.int64))
-        self.place = np.minimum(np.log2(self.counts.sum(1) + 1) / 3, 7).astype(np.int8) * np.int8(16)
-        wide = np.arange(1, len(self.counts) + 1, dtype=np.uint64) * _MIX
-        self.hashes = []  # of the nodes along the paths, one for each table
-        for bits in PAIR_BITS:
+        self.first, node, bit, self.counts = huffman(np.r_[escaped, c].astype(np.int64))
+        n, bit = self.counts[node], bit.astype(np.int64)
+        # Along the paths: the odds of the plain counts, and of these without the occurrence that is
+        # being predicted; in one number the node's hashes for both tables (the second from bit 32),
+        # the bit (28) and the step of the node's count (29).
+        self.odds = log_odds(n[:, 0], n[:, 1])
+        self.odds_without = log_odds(np.maximum(n[:, 0] - (1 - bit), 0), np.maximum(n[:, 1] - bit, 0)).astype(np.float32)
+        self.path = bit << 28 | np.minimum(np.log2(n.sum(1) + 1) / 3, 7).astype(np.int64) << 29
+        # Nodes up to NEAR_STEPS steps apart share all but the last bits of the hash, which say
+        # which of them it is, so that their slots are found in one place of the table.
+        depth = np.repeat(self.first[1:], np.diff(self.first)) - 1 - np.arange(len(node))  # paths end at the root
+        inside, turns = depth % NEAR_STEPS, np.ones(len(node), np.int64)
+        for k in range(1, NEAR_STEPS):
+            here = np.flatnonzero(inside == k)
+            turns[here] = 2 * turns[here + 1] + bit[here + 1]
+        wide = (node[np.arange(len(node)) + inside].astype(np.uint64) + np.uint64(1)) * _MIX
+        for table, bits in enumerate(PAIR_BITS):
             wide = (wide ^ wide >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9)
-            self.hashes.append((wide >> np.uint64(64 - bits)).astype(np.int32)[self.node])
+            self.path |= ((wide >> np.uint64(64 - bits)).astype(np.int64) ^ turns) << 32 * table
 
     def bits(self, ids: np.ndarray, one: np.ndarray, two: np.ndarray) -> CodeBits:
         """Of tokens ``ids`` after the tokens ``one`` and, before that, ``two``."""
+        seed = (one + 2).astype(np.uint64) * _MIX
+        seed = (seed ^ seed >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9)
+        top = (seed >> np.uint64(64 - PAIR_BITS[0])).astype(np.int64)
+        seed = (seed ^ seed >> np.uint64(31)) + (two + 2).astype(np.uint64)
+        seed *= np.uint64(0xD6E8FEB86659FD93)
+        seed = (seed ^ seed >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9)
+        top |= (seed >> np.uint64(64 - PAIR_BITS[1])).astype(np.int64) << 32
         begin = self.first[ids]
         size = self.first[ids + 1] - begin
         ends = np.cumsum(size)
         at = np.repeat(begin - ends + size, size)
         at += np.arange(len(at))
-        seed = (one + 2).astype(np.uint64) * _MIX
-        slot = np.empty((2, len(at)), np.int32)
-        for k, bits in enumerate(PAIR_BITS):
-            if k:
-                seed = (seed ^ seed >> np.uint64(31)) + (two + 2).astype(np.uint64)
-                seed *= np.uint64(0xD6E8FEB86659FD93)
-            seed = (seed ^ seed >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9)
-            top = (seed >> np.uint64(64 - bits)).astype(np.int32)
-            np.bitwise_xor(np.repeat(top, size), self.hashes[k].take(at, mode="clip"), out=slot[k])
-        slot[1] += 1 << PAIR_BITS[0]  # the second table follows the first
-        return CodeBits(slot, self.bit.take(at, mode="clip"), self.node.take(at, mode="clip"), ends - size)
-
-    def gate(self, node: np.ndarray, seen_one: np.ndarray, seen_two: np.ndarray) -> np.ndarray:
-        """By the steps of how often the place and the contexts were seen."""
-        out = self.place.take(node, mode="clip")
-        out += seen_one << 2
-        out += seen_two
-        return out
+        step = self.path.take(at, mode="clip")
+        step ^= np.repeat(top, size)
+        far = step >> 32
+        far += 1 << PAIR_BITS[0]
+        near = step & ((1 << PAIR_BITS[0]) - 1)
+        gate = step >> 25
+        gate &= 7 << 4
+        step >>= 28
+        step &= 1
+        return CodeBits((near, far), step, gate, at, ends - size, size)
 
 
 def token_stream(words: np.ndarray, counts: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
@@ -254,23 +310,54 @@ def token_stream(words: np.ndarray, counts: np.ndarray, end: int) -> tuple[np.nd
     return out, np.cumsum(counts + 1) - counts - 1
 
 
-def token_steps(ids: np.ndarray, begins: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
-    """(place, tokens, those before, those before these) in runs of STEP_TOKENS."""
+@dataclass
+class Places:
+    """Different tokens after different ones: ``ids`` after ``one`` and, before that, ``two``."""
+
+    ids: np.ndarray
+    one: np.ndarray
+    two: np.ndarray
+    often: np.ndarray
+    of: np.ndarray | None  # the number of each token's place
+
+    def steps(self, most: int) -> Iterator[tuple[np.ndarray, ...]]:
+        for k in range(0, len(self.ids), most):
+            yield tuple(x[k : k + most] for x in (self.ids, self.one, self.two, self.often))
+
+
+def places_of(ids: np.ndarray, begins: np.ndarray, leaves: int, scattered: bool = False, found: bool = False) -> Iterator[tuple[int, Places]]:
+    """(place, different tokens) in runs of RUN_TOKENS, by the token before, the token and the one
+    before both, or ``scattered``; with the place of each token if to be ``found``."""
     one, two = np.r_[START, ids[:-1]], np.r_[START, START, ids[:-2]][: len(ids)]
     one[begins] = two[begins] = START
     second = begins + 1
     two[second[second < len(ids)]] = START
-    for k in range(0, len(ids), STEP_TOKENS):
-        yield k, ids[k : k + STEP_TOKENS], one[k : k + STEP_TOKENS], two[k : k + STEP_TOKENS]
+    span = np.uint64(leaves + 2)
+    for k in range(0, len(ids), RUN_TOKENS):
+        some = slice(k, k + RUN_TOKENS)
+        key = ((one[some] + 2).astype(np.uint64) * span + ids[some].astype(np.uint64)) * span + (two[some] + 2).astype(np.uint64)
+        if scattered:
+            key *= _MIX  # odd, so it can be undone
+        of = None
+        if found:
+            key, of, often = np.unique(key, return_inverse=True, return_counts=True)
+        else:
+            key, often = np.unique(key, return_counts=True)
+        if scattered:
+            key *= _UNMIX
+        pair, last = np.divmod(key, span)
+        first, middle = np.divmod(pair, span)
+        yield k, Places(middle.astype(np.int64), first.astype(np.int64) - 2, last.astype(np.int64) - 2, often, of)
 
 
-def coded_steps(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
-    """``token_steps`` of the codes of some training texts."""
+def coded_runs_of(batches: Iterator[pa.RecordBatch], leaves: int, scattered: bool = False) -> Iterator[Places]:
+    """``places_of`` the codes of some training texts."""
     for b in batches:
         rows = [np.frombuffer(x.as_buffer(), np.int32) for x in b.column("codes")]
         if rows:
             size = np.fromiter(map(len, rows), np.int64, len(rows))
-            yield from token_steps(np.concatenate(rows), np.cumsum(size) - size)
+            for _, p in places_of(np.concatenate(rows), np.cumsum(size) - size, leaves, scattered):
+                yield p
 
 
 def training_codes(docs: DataFrame, id_col: str, text_col: str, code, key: str) -> DataFrame:
@@ -279,11 +366,11 @@ def training_codes(docs: DataFrame, id_col: str, text_col: str, code, key: str)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at = places(key, "code", code.value.names)
-        for b in slices(batches, text_col):
+        for b in slices(batches, text_col, SCAN_BYTES):
             train = ~held_out(b.column(id_col).to_pylist())
             w = Words(b.column(text_col), NON_SPACE)
             codes, distinct = w.coded()
-            leaf = np.fromiter((at.get(x, -1) + 1 for x in distinct.to_pylist()), np.int32, len(distinct))
+            leaf = np.fromiter((at.get(x, -1) + 1 for x in byte_list(distinct)), np.int32, len(distinct))
             ids, begins = token_stream(leaf[codes], w.counts, at.get(END, -1) + 1)
             rows = pa.Array.from_buffers(pa.large_binary(), b.num_rows, [None, pa.py_buffer(np.r_[begins, len(ids)] * 4), pa.py_buffer(ids)])
             yield pa.RecordBatch.from_arrays([b.column(id_col).filter(pa.array(train)), rows.filter(pa.array(train)).cast(pa.binary())], names=["id", "codes"])
@@ -337,18 +424,24 @@ def context_counts(rows: DataFrame, places_of, slots: int) -> np.ndarray:
 
 def spelled_places(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     for some, b in word_steps(batches):
-        bits = bits_of(some)
-        weight = np.repeat(b.column("c").to_numpy().astype(np.float32)[bits.word], 8)
+        fresh, owner, word = shared(some)
+        bits = bits_of(some, fresh)
+        weight = np.repeat(np.bincount(owner, b.column("c").to_numpy()[word]).astype(np.float32), 8)
         for slot in bits.slot:
             yield 2 * slot.ravel() + bits.bit.ravel(), weight
 
 
 def coded_places(code):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.float32]]:
-        for _, *some in coded_steps(batches):
-            bits = code.value.bits(*some)
-            for slot in bits.slot:
-                yield 2 * slot + bits.bit, np.float32(1)
+        c = code.value
+        for p in coded_runs_of(batches, len(c.first) - 1):
+            # The first table once for each token after the one before.
+            pair = np.flatnonzero(np.r_[True, (p.ids[1:] != p.ids[:-1]) | (p.one[1:] != p.one[:-1])])
+            pairs = Places(p.ids[pair], p.one[pair], p.two[pair], np.add.reduceat(p.often, pair), None)
+            for table, q in enumerate((pairs, p)):
+                for ids, one, two, often in q.steps(STEP_LOOKUPS):
+                    bits = c.bits(ids, one, two)
+                    yield 2 * bits.slot[table] + bits.bit, np.repeat(often.astype(np.float32), bits.size)
 
     return run
 
@@ -378,37 +471,44 @@ class Mixer:
         self.cells = fresh.copy() if cells is None else cells  # (node, cell, bit) counts
 
     def _narrow(self) -> None:
-        self.columns = np.ascontiguousarray(self.weights.T, np.float32)
+        self.columns, self._refined = np.ascontiguousarray(self.weights.T, np.float32), None
 
     def mixed(self, odds: np.ndarray, gate: np.ndarray) -> np.ndarray:
+        gate = gate.astype(np.intp, copy=False)
         out = np.zeros(gate.shape, np.float32)
         for column, x in zip(self.columns, odds):
-            out += column[gate] * x
+            weighed = column.take(gate, mode="clip")
+            weighed *= x
+            out += weighed
         return np.clip(out, -LIMIT, LIMIT, out=out)
 
     def cell_of(self, x: np.ndarray, node: np.ndarray) -> np.ndarray:
-        return node.astype(np.int32) * CELLS + np.rint((x + np.float32(LIMIT)) * np.float32((CELLS - 1) / (2 * LIMIT))).astype(np.int32)
+        cell = np.rint((x + np.float32(LIMIT)) * np.float32((CELLS - 1) / (2 * LIMIT))).astype(np.intp)
+        cell += node.astype(np.intp, copy=False) * CELLS
+        return cell
 
     def probability(self, odds: np.ndarray, gate: np.ndarray, node: np.ndarray) -> np.ndarray:
         """Of a 1 bit: the mean of the mixed probability and its refinement."""
         x = self.mixed(odds, gate)
-        cells = self.cells.reshape(-1, 2)
-        refined = (cells[:, 1] / cells.sum(1)).astype(np.float32)[self.cell_of(x, node)]
-        return (1 / (1 + np.exp(-x)) + refined) / 2
+        if self._refined is None:
+            cells = self.cells.reshape(-1, 2)
+            self._refined = (cells[:, 1] / cells.sum(1)).astype(np.float32)
+        return (1 / (1 + np.exp(-x)) + self._refined.take(self.cell_of(x, node), mode="clip")) / 2
 
     def learn(self, odds: np.ndarray, gate: np.ndarray, node: np.ndarray, bit: np.ndarray, refine: bool, often: np.ndarray | None = None) -> None:
         """One online step over some bits (that occur ``often``, or once): a damped Newton
         step for each gate's weights."""
         x = self.mixed(odds, gate)
         p = 1 / (1 + np.exp(-x))
-        miss, slope, flat = (bit - p).ravel(), (p * (1 - p)).ravel(), gate.ravel()
+        miss, slope, flat = (bit - p).ravel(), (p * (1 - p)).ravel(), gate.ravel().astype(np.intp, copy=False)
         if often is not None:
             often = np.broadcast_to(often, bit.shape).ravel()
             miss, slope = miss * often, slope * often
         for k, o in enumerate(odds):
             o = o.ravel()
+            steep = slope * o
             up = np.bincount(flat, miss * o, GATES)
-            down = np.bincount(flat, slope * o * o, GATES)
+            down = np.bincount(flat, steep * o, GATES)
             self.weights[:, k] += np.clip(RATE * up / (down + 1.0), -0.3, 0.3)
         self._narrow()
         if refine:
@@ -419,27 +519,31 @@ class Mixer:
 def spelled_runs(batches: Iterator[pa.RecordBatch], counts: np.ndarray):
     """(odds, gate, node, bit, how often) of runs of words, from counts without the word itself."""
     for some, b in word_steps(batches):
-        bits = bits_of(some)
-        n = counts[bits.slot]
+        fresh, owner, word = shared(some)
+        bits = bits_of(some, fresh)
+        n = counts.view(np.complex64).ravel().take(bits.slot, mode="clip").view(np.float32).reshape(*bits.slot.shape, 2)
         one = bits.bit.astype(np.float32)
         n0, n1 = np.maximum(n[..., 0] - (1 - one), 0), np.maximum(n[..., 1] - one, 0)
         gate = gate_of(bits.node, (n0[2] + n1[2]), (n0[4] + n1[4]))
-        yield log_odds(n0, n1), gate, bits.node, bits.bit, b.column("c").to_numpy()[bits.word][:, None]
+        yield log_odds(n0, n1), gate, bits.node, bits.bit, np.bincount(owner, b.column("c").to_numpy()[word])[:, None].astype(np.float32)
 
 
 def coded_runs(code):
     def run(batches: Iterator[pa.RecordBatch], counts: np.ndarray):
-        """(odds, gate, node, bit, once) of runs of tokens, from counts without the token itself."""
-        for _, *some in coded_steps(batches):
-            bits = code.value.bits(*some)
-            one = bits.bit.astype(np.float32)
-            n = np.empty((3, len(one)), np.complex64)  # both counts by one look-up
-            np.take(code.value.counts.view(np.complex64).ravel(), bits.node, out=n[0], mode="clip")
-            for k, slot in enumerate(bits.slot):
-                np.take(counts.view(np.complex64).ravel(), slot, out=n[k + 1], mode="clip")
-            n0, n1 = np.maximum(n.real - (1 - one), 0), np.maximum(n.imag - one, 0)
-            gate = code.value.gate(bits.node, level(n0[1] + n1[1]), level(n0[2] + n1[2]))
-            yield log_odds(n0, n1), gate, gate, bits.bit, None
+        """(odds, gate, node, bit, how often) of runs of tokens, from counts without the token itself."""
+        c, both = code.value, counts.view(np.complex64).ravel()  # both counts by one look-up
+        itself = np.array([complex(PRIOR - 1, PRIOR), complex(PRIOR, PRIOR - 1)], np.complex64)
+        for p in coded_runs_of(batches, len(c.first) - 1, scattered=True):
+            for ids, one, two, often in p.steps(STEP_TOKENS):
+                bits = c.bits(ids, one, two)
+                odds, gate, less = [c.odds_without.take(bits.at, mode="clip")], bits.gate, itself.take(bits.bit)
+                for slot, shift in zip(bits.slot, (2, 0)):
+                    n = both.take(slot, mode="clip")
+                    n += less
+                    n0, n1 = np.maximum(n.real, np.float32(PRIOR)), np.maximum(n.imag, np.float32(PRIOR))
+                    odds.append(np.log(n1 / n0))
+                    gate += level(n0 + n1 - np.float32(2 * PRIOR)) << shift
+                yield odds, gate, gate, bits.bit, np.repeat(often.astype(np.float32), bits.size)
 
     return run
 
@@ -453,7 +557,7 @@ def learned_mixer(rows: DataFrame, table, runs, predictors: int = len(SLOT_BITS)
         fresh = mixer.cells.copy()
         for odds, gate, node, bit, often in runs(batches, table.value):
             mixer.learn(odds, gate, node, bit, refine=steps >= 4, often=often)
-            total += bit.size
+            total += bit.size // often.size * float(often.sum(dtype=float))
             steps += 1
         if steps:
             cells = (mixer.cells - fresh).ravel()
@@ -488,25 +592,32 @@ def scored_words(words: DataFrame, table, mixer: Mixer) -> DataFrame:
         counts = table.value
         all_odds, seen = log_odds(counts[:, 0], counts[:, 1]), counts.sum(1)
         for some, b in word_steps(batches):
-            bits = bits_of(some)
-            gate = gate_of(bits.node, seen[bits.slot[2]], seen[bits.slot[4]])
-            logs = bit_logs(mixer, all_odds[bits.slot], gate, bits.node, bits.bit)
-            logp = np.bincount(bits.word, logs.sum(1, dtype=float), len(some)) / np.log(10)
+            fresh, owner, word = shared(some)
+            bits = bits_of(some, fresh)
+            gate = gate_of(bits.node, seen.take(bits.slot[2], mode="clip"), seen.take(bits.slot[4], mode="clip"))
+            logs = bit_logs(mixer, all_odds.take(bits.slot, mode="clip"), gate, bits.node, bits.bit)
+            logp = np.bincount(word, logs.sum(1, dtype=float)[owner], len(some)) / np.log(10)
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in ("word", "c", "c_all")), pa.array(logp)], names=["word", "c", "c_all", "logp"])
 
-    return words.select("word", "c", "c_all").mapInArrow(run, "word string, c bigint, c_all bigint, logp double")
+    return words.select("word", "c", "c_all").sortWithinPartitions("word").mapInArrow(run, "word string, c bigint, c_all bigint, logp double")
 
 
 def code_logs(code: Code, mixer: Mixer, odds: np.ndarray, seen: np.ndarray, ids: np.ndarray, begins: np.ndarray) -> np.ndarray:
     """log10 of the probability of each token's code after the tokens before it in its row."""
-    out, plain = np.zeros(len(ids)), log_odds(code.counts[:, 0], code.counts[:, 1])
-    for k, *some in token_steps(ids, begins):
-        bits = code.bits(*some)
-        gate = code.gate(bits.node, *(seen.take(slot, mode="clip") for slot in bits.slot))
-        told = [plain.take(bits.node, mode="clip"), *(odds.take(slot, mode="clip") for slot in bits.slot)]
-        logs = bit_logs(mixer, told, gate, gate, bits.bit)
-        if len(logs):  # every code has bits then
-            out[k : k + STEP_TOKENS] = np.add.reduceat(logs, bits.start, dtype=float)
+    out = np.zeros(len(ids))
+    packed = odds.view(np.int32) & ~3 | seen  # the step in the lowest bits, so that one look-up finds both
+    for k, p in places_of(ids, begins, len(code.first) - 1, found=True):
+        told = []
+        for some, one, two, _ in p.steps(STEP_LOOKUPS):
+            bits = code.bits(some, one, two)
+            near, far = (packed.take(slot, mode="clip") for slot in bits.slot)
+            gate = bits.gate
+            gate += (near & 3) << 2
+            gate += far & 3
+            three = code.odds.take(bits.at, mode="clip"), near.view(np.float32), far.view(np.float32)
+            logs = bit_logs(mixer, three, gate, gate, bits.bit)
+            told.append(np.add.reduceat(logs, bits.start, dtype=float) if len(logs) else np.zeros(len(some)))  # every code has bits, or none
+        out[k : k + RUN_TOKENS] = np.concatenate(told)[p.of]
     return out / np.log(10)
 
 
@@ -607,19 +718,24 @@ def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot_
     table.unpersist()  # the scores are written; no later task needs it
     few = frequent(words, hot_words).select("word", "c", "logp").toArrow()  # at most hot_words rows
     end = words.where(F.col("word") == END.decode()).select("c", "logp").first()
-    hot = spark.sparkContext.broadcast((few["word"].cast(pa.binary()).to_pylist(), few["c"].to_numpy(), few["logp"].to_numpy()))
+    few_words, leaf_of = few["word"].cast(pa.binary()).to_pylist(), {w: k + 1 for k, w in enumerate(code.value.names)}
+    few_leaves = np.fromiter((leaf_of.get(w, ESCAPE) for w in few_words), np.int32, len(few_words))
+    hot = spark.sparkContext.broadcast((few_words, few["c"].to_numpy(), few["logp"].to_numpy(), few_leaves))
+    del few_words, leaf_of, few_leaves
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, c, logp = hot.value
+        names, c, logp, leaves = hot.value
         at, leaf_at = places(key, "hot", names), places(key, "code", code.value.names)
         base = np.log10((c + ADD) / bottom)
         for b in slices(batches, "text"):
             w = Words(b.column("text"), NON_SPACE)
             codes, distinct_words = w.coded()
-            listed = distinct_words.to_pylist()
+            listed = byte_list(distinct_words)
             place = np.fromiter((at.get(x, -1) for x in listed), np.int64, len(listed))
             of = place[codes] if len(codes) else np.zeros(0, np.int64)
-            leaf = np.fromiter((leaf_at.get(x, -1) + 1 for x in listed), np.int32, len(listed))
+            leaf = np.r_[leaves, np.int32(ESCAPE)][place]  # of the hot words; the others are looked up
+            for k in np.flatnonzero(place < 0).tolist():
+                leaf[k] = leaf_at.get(listed[k], -1) + 1
             ids, begins = token_stream(leaf[codes], w.counts, leaf_at.get(END, -1) + 1)
             coded_log = code_logs(code.value, code_mixer, *pairs.value, ids, begins)
             ends_at = np.r_[begins[1:], len(ids)] - 1

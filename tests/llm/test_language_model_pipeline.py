@@ -137,6 +137,50 @@ def test_words_are_predicted_from_the_words_before(spark):
     assert a.score > b.score + 3 and a.score > a.base_score + 2
 
 
+def test_all_leaves_of_a_large_code():
+    """Slots of near nodes lie side by side, and none depends on bits still to come: the leaves of
+    a code of many steps sum to one."""
+    rng = np.random.default_rng(3)
+    code = lm.Code([b"%d" % k for k in range(3000)], np.sort(rng.zipf(1.3, 3000) % 100_000 + 2)[::-1], 9000)
+    counts = rng.integers(0, 50, (lm.PAIR_SLOTS, 2)).astype(np.float32)
+    mixer = lm.Mixer(rng.normal(size=(lm.GATES, 3)), rng.random((lm.GATES, lm.CELLS, 2)) + 0.1, 3, lm.GATES)
+    rows = np.stack([np.full(3001, 9), np.full(3001, 4), np.arange(3001)], 1)
+    logs = lm.code_logs(code, mixer, lm.log_odds(counts[:, 0], counts[:, 1]), lm.level(counts.sum(1)), rows.ravel(), np.arange(3001) * 3)
+    assert math.isclose((10.0 ** logs[2::3]).sum(), 1, abs_tol=1e-4)
+    bits = code.bits(np.arange(3001), np.full(3001, 4), np.full(3001, 9))
+    lines = [len(np.unique(s >> lm.NEAR_STEPS)) for s in bits.slot]
+    assert max(lines) < len(np.unique(bits.slot[1])) / 2  # before, each slot lay in a place of its own
+
+
+def test_equal_places_are_found_once():
+    """Equal tokens after equal ones are one place with their number; in another order too."""
+    ids, begins = np.array([5, 6, 5, 6, 1, 5, 6, 5, 2]), np.array([0, 5])
+    want = Counter([(5, -1, -1), (6, 5, -1), (5, 6, 5), (6, 5, 6), (1, 6, 5), (5, -1, -1), (6, 5, -1), (5, 6, 5), (2, 5, 6)])
+    for scattered in (False, True):
+        ((_, p),) = lm.places_of(ids, begins, 7, scattered, found=True)
+        rows = list(zip(p.ids.tolist(), p.one.tolist(), p.two.tolist()))
+        assert dict(zip(rows, p.often.tolist())) == want and len(rows) == len(want)
+        assert p.ids[p.of].tolist() == ids.tolist()
+
+
+@settings(max_examples=50, deadline=None)
+@given(st.lists(st.text("ab", min_size=1, max_size=6), min_size=1, max_size=12).map(sorted))
+def test_words_that_begin_alike_share_their_bits(texts):
+    words = [w.encode() for w in texts]
+    fresh, owner, word = lm.shared(words)
+    every, once = lm.bits_of(words), lm.bits_of(words, fresh)
+    assert (once.slot[:, owner] == every.slot).all() and (once.bit[owner] == every.bit).all() and (word == every.word).all()
+    assert fresh.sum() == len({(w + b" ")[: k + 1] for w in words for k in range(len(w) + 1)})
+
+
+def test_byte_list():
+    words = ["a", "", "éé", "b c"]
+    for kind in (pa.string(), pa.binary(), pa.large_binary()):
+        arr = pa.array([w.encode() for w in words], pa.binary()).cast(kind)
+        assert lm.byte_list(arr) == [w.encode() for w in words] and lm.byte_list(arr.slice(2)) == ["éé".encode(), b"b c"]
+        assert lm.byte_list(arr.slice(1, 1)) == [b""] and lm.byte_list(arr.slice(0, 0)) == []
+
+
 def test_earlier():
     assert lm.earlier(np.array([0, 0, 0, 1, 1]), np.array([5, 5, 2, 5, 5])).tolist() == [0, 1, 0, 0, 1]
     assert np.allclose(lm.log_sum(np.array([-3.0]), np.array([-np.inf])), -3)
