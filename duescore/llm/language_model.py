@@ -49,7 +49,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from duescore.llm.common import NON_SPACE, Words, slices, staged
+from duescore.llm.common import NON_SPACE, SLICE_BYTES, Words, slices, staged
 
 END = b"\n"  # the end of a text as a word; no word holds white space
 CLOSE = 0x20
@@ -63,7 +63,7 @@ PAIR_BITS = (20, 21)
 #: Tokens whose equal ones (after equal words) are worked on once, with their number.
 RUN_TOKENS = 1 << 20
 #: Different ones learned from at a time, and looked up at a time (all bits of their codes).
-STEP_TOKENS, STEP_LOOKUPS = 1 << 12, 1 << 11
+STEP_TOKENS, STEP_LOOKUPS = 1 << 12, 1 << 13
 #: Steps down the code tree whose slots lie side by side: 15 nodes in 16 slots.
 NEAR_STEPS = 4
 ESCAPE, START = 0, -1
@@ -85,6 +85,7 @@ SCAN_BYTES = 8 << 20
 _FIRST = np.concatenate([[0], np.cumsum([1 << b for b in SLOT_BITS])]).astype(np.int64)
 SLOTS = int(_FIRST[-1])
 PAIR_SLOTS = sum(1 << b for b in PAIR_BITS)
+AFTER_ONE = 1 << PAIR_BITS[1]  # the slots after the word before lie behind all others
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _UNMIX = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
@@ -151,13 +152,15 @@ def bits_of(words: list[bytes], fresh: np.ndarray | None = None) -> Bits:
     shift = np.arange(8)
     node = (1 << shift) | data[:, None].astype(np.int64) >> (8 - shift)
     bit = (data[:, None] >> (7 - shift)) & 1
-    slot = np.empty((len(contexts), len(data), 8), np.int32)
+    slot = np.empty((len(contexts), len(data), 8), np.int64)
     wide = node.astype(np.uint64)
     for k, c in enumerate(contexts):
         seed = (c + np.uint64(k + 1)) * _MIX
         seed ^= seed >> np.uint64(29)
-        h = (seed[:, None] + wide) * np.uint64(0xBF58476D1CE4E5B9)
-        slot[k] = (h >> np.uint64(64 - SLOT_BITS[k])).astype(np.int64) + _FIRST[k]
+        h = np.add(seed[:, None], wide, out=slot[k].view(np.uint64))
+        h *= np.uint64(0xBF58476D1CE4E5B9)
+        h >>= np.uint64(64 - SLOT_BITS[k])
+        h += np.uint64(_FIRST[k])
     return Bits(slot, bit, node, word)
 
 
@@ -244,9 +247,7 @@ def huffman(weight: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.
 class CodeBits:
     """All bits of the codes of some tokens."""
 
-    slot: tuple[np.ndarray, np.ndarray]  # places in both tables, the second after the first
-    bit: np.ndarray
-    gate: np.ndarray  # the part that the place in the code tree gives
+    slot: tuple[np.ndarray, np.ndarray]  # places in the table: after the word before, after the two before
     at: np.ndarray  # place in the paths
     start: np.ndarray  # (tokens,) where each token's bits begin
     size: np.ndarray
@@ -259,12 +260,13 @@ class Code:
         self.names = names
         self.first, node, bit, self.counts = huffman(np.r_[escaped, c].astype(np.int64))
         n, bit = self.counts[node], bit.astype(np.int64)
-        # Along the paths: the odds of the plain counts, and of these without the occurrence that is
-        # being predicted; in one number the node's hashes for both tables (the second from bit 32),
-        # the bit (28) and the step of the node's count (29).
-        self.odds = log_odds(n[:, 0], n[:, 1])
-        self.odds_without = log_odds(np.maximum(n[:, 0] - (1 - bit), 0), np.maximum(n[:, 1] - bit, 0)).astype(np.float32)
-        self.path = bit << 28 | np.minimum(np.log2(n.sum(1) + 1) / 3, 7).astype(np.int64) << 29
+        # Along the paths, the odds of the bit that is there: of the plain counts, and of these
+        # without the occurrence that is being predicted; in their lowest bits (so that one look-up
+        # finds all) the step of the node's count and whether that bit is a 0.
+        sign = (2 * bit - 1).astype(np.float32)
+        low = (2 * np.minimum(np.log2(n.sum(1) + 1) / 3, 7).astype(np.int32) + 1 - bit).astype(np.int32)
+        without = log_odds(np.maximum(n[:, 0] - (1 - bit), 0), np.maximum(n[:, 1] - bit, 0)).astype(np.float32)
+        self.odds, self.odds_without = ((x * sign).view(np.int32) + 8 & ~15 | low for x in (log_odds(n[:, 0], n[:, 1]), without))  # rounded
         # Nodes up to NEAR_STEPS steps apart share all but the last bits of the hash, which say
         # which of them it is, so that their slots are found in one place of the table.
         depth = np.repeat(self.first[1:], np.diff(self.first)) - 1 - np.arange(len(node))  # paths end at the root
@@ -273,15 +275,19 @@ class Code:
             here = np.flatnonzero(inside == k)
             turns[here] = 2 * turns[here + 1] + bit[here + 1]
         wide = (node[np.arange(len(node)) + inside].astype(np.uint64) + np.uint64(1)) * _MIX
+        # In one number the node's hashes for both contexts (the second from bit 32).
+        self.path = np.zeros(len(node), np.int64)
         for table, bits in enumerate(PAIR_BITS):
             wide = (wide ^ wide >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9)
             self.path |= ((wide >> np.uint64(64 - bits)).astype(np.int64) ^ turns) << 32 * table
+        self.path_told = self.path << 1 | bit | bit << 32
 
-    def bits(self, ids: np.ndarray, one: np.ndarray, two: np.ndarray) -> CodeBits:
-        """Of tokens ``ids`` after the tokens ``one`` and, before that, ``two``."""
+    def steps(self, ids: np.ndarray, one: np.ndarray, two: np.ndarray, told: bool) -> tuple[np.ndarray, ...]:
+        """(both places in one number, place in the paths, start, size) of the bits of tokens ``ids``
+        after the tokens ``one`` and, before that, ``two``; if ``told``, twice the place and the bit."""
         seed = (one + 2).astype(np.uint64) * _MIX
         seed = (seed ^ seed >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9)
-        top = (seed >> np.uint64(64 - PAIR_BITS[0])).astype(np.int64)
+        top = (seed >> np.uint64(64 - PAIR_BITS[0])).astype(np.int64) | AFTER_ONE
         seed = (seed ^ seed >> np.uint64(31)) + (two + 2).astype(np.uint64)
         seed *= np.uint64(0xD6E8FEB86659FD93)
         seed = (seed ^ seed >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9)
@@ -291,16 +297,43 @@ class Code:
         ends = np.cumsum(size)
         at = np.repeat(begin - ends + size, size)
         at += np.arange(len(at))
-        step = self.path.take(at, mode="clip")
-        step ^= np.repeat(top, size)
+        step = (self.path_told if told else self.path).take(at, mode="clip")
+        step ^= np.repeat(top << 1 if told else top, size)
+        return step, at, ends - size, size
+
+    def bits(self, ids: np.ndarray, one: np.ndarray, two: np.ndarray, told: bool = False) -> CodeBits:
+        step, at, start, size = self.steps(ids, one, two, told)
         far = step >> 32
-        far += 1 << PAIR_BITS[0]
-        near = step & ((1 << PAIR_BITS[0]) - 1)
-        gate = step >> 25
-        gate &= 7 << 4
-        step >>= 28
-        step &= 1
-        return CodeBits((near, far), step, gate, at, ends - size, size)
+        step &= 0xFFFFFFFF
+        return CodeBits((step, far), at, start, size)
+
+
+def gates(alone: np.ndarray, near: np.ndarray, far: np.ndarray) -> np.ndarray:
+    """The gate and bit, as ``Mixer.signed`` has them, from what the lowest bits of the odds hold."""
+    gate = near | far
+    gate &= 15
+    high = alone << 4
+    high &= 15 << 4
+    gate |= high
+    return gate.astype(np.intp)
+
+
+def packed(odds: np.ndarray, seen: np.ndarray, first: int) -> np.ndarray:
+    """Odds with the step of how often they were seen in the lowest bits, so that one look-up
+    finds both; slots from ``first`` on are those after the word before alone."""
+    out = odds.view(np.int32) + 8 & ~15  # rounded
+    out[:first] |= seen[:first]
+    out[first:] |= seen[first:] << 2
+    return out
+
+
+def packed_without(counts: np.ndarray) -> np.ndarray:
+    """``packed`` odds of each slot's two bits from counts without one such occurrence."""
+    out = np.empty(counts.shape, np.int32)
+    for bit in (0, 1):
+        n0, n1 = np.maximum(counts[:, 0] - np.float32(1 - bit), 0), np.maximum(counts[:, 1] - np.float32(bit), 0)
+        out[:, bit] = packed(log_odds(n0, n1) * np.float32(2 * bit - 1), level(n0 + n1), AFTER_ONE)
+    return out.ravel()
 
 
 def token_stream(words: np.ndarray, counts: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
@@ -328,26 +361,47 @@ class Places:
 def places_of(ids: np.ndarray, begins: np.ndarray, leaves: int, scattered: bool = False, found: bool = False) -> Iterator[tuple[int, Places]]:
     """(place, different tokens) in runs of RUN_TOKENS, by the token before, the token and the one
     before both, or ``scattered``; with the place of each token if to be ``found``."""
-    one, two = np.r_[START, ids[:-1]], np.r_[START, START, ids[:-2]][: len(ids)]
+    one, two = np.full((2, len(ids)), START, np.int32)
+    one[1:], two[2:] = ids[:-1], ids[:-2]
     one[begins] = two[begins] = START
     second = begins + 1
     two[second[second < len(ids)]] = START
     span = np.uint64(leaves + 2)
     for k in range(0, len(ids), RUN_TOKENS):
         some = slice(k, k + RUN_TOKENS)
-        key = ((one[some] + 2).astype(np.uint64) * span + ids[some].astype(np.uint64)) * span + (two[some] + 2).astype(np.uint64)
+        key = (one[some] + 2).astype(np.uint64) * span + ids[some].astype(np.uint64)
+        if found:
+            yield k, found_places(key, ids[some], one[some], two[some], int(span))
+            continue
+        key = key * span + (two[some] + 2).astype(np.uint64)
         if scattered:
             key *= _MIX  # odd, so it can be undone
-        of = None
-        if found:
-            key, of, often = np.unique(key, return_inverse=True, return_counts=True)
-        else:
-            key, often = np.unique(key, return_counts=True)
+        key, often = np.unique(key, return_counts=True)
         if scattered:
             key *= _UNMIX
         pair, last = np.divmod(key, span)
         first, middle = np.divmod(pair, span)
-        yield k, Places(middle.astype(np.int64), first.astype(np.int64) - 2, last.astype(np.int64) - 2, often, of)
+        yield k, Places(middle.astype(np.int64), first.astype(np.int64) - 2, last.astype(np.int64) - 2, often, None)
+
+
+def found_places(key: np.ndarray, ids: np.ndarray, one: np.ndarray, two: np.ndarray, span: int) -> Places:
+    """The places by ``key`` (token before and token), each token's too.  Sorted are numbers that
+    end with the token's own, which is far faster than an order; what room they have left holds a
+    hash of the token before both, so a place may, rarely, be worked on twice."""
+    left = 64 - (RUN_TOKENS - 1).bit_length()
+    room = left - (span * span).bit_length()
+    hashed = (two + 2).astype(np.uint64) * _MIX >> np.uint64(64 - room)
+    order = (key << np.uint64(room) | hashed) << np.uint64(64 - left) | np.arange(len(key), dtype=np.uint64)
+    order.sort()
+    order = (order & np.uint64((1 << 64 - left) - 1)).astype(np.intp)
+    ids, one, two = ids[order], one[order], two[order]
+    new = np.ones(len(ids), bool)
+    new[1:] = (ids[1:] != ids[:-1]) | (one[1:] != one[:-1]) | (two[1:] != two[:-1])
+    start = np.flatnonzero(new)
+    of = np.empty(len(ids), np.intp)
+    of[order] = np.cumsum(new) - 1
+    ids, one, two = (x[start].astype(np.int64) for x in (ids, one, two))
+    return Places(ids, one, two, np.diff(np.r_[start, len(order)]), of)
 
 
 def coded_runs_of(batches: Iterator[pa.RecordBatch], leaves: int, scattered: bool = False) -> Iterator[Places]:
@@ -440,8 +494,12 @@ def coded_places(code):
             pairs = Places(p.ids[pair], p.one[pair], p.two[pair], np.add.reduceat(p.often, pair), None)
             for table, q in enumerate((pairs, p)):
                 for ids, one, two, often in q.steps(STEP_LOOKUPS):
-                    bits = c.bits(ids, one, two)
-                    yield 2 * bits.slot[table] + bits.bit, np.repeat(often.astype(np.float32), bits.size)
+                    step, _, _, size = c.steps(ids, one, two, told=True)
+                    if table:
+                        step >>= 32
+                    else:
+                        step &= 0xFFFFFFFF
+                    yield step, np.repeat(often.astype(np.float32), size)
 
     return run
 
@@ -471,7 +529,7 @@ class Mixer:
         self.cells = fresh.copy() if cells is None else cells  # (node, cell, bit) counts
 
     def _narrow(self) -> None:
-        self.columns, self._refined = np.ascontiguousarray(self.weights.T, np.float32), None
+        self.columns, self._refined, self._signed = np.ascontiguousarray(self.weights.T, np.float32), None, None
 
     def mixed(self, odds: np.ndarray, gate: np.ndarray) -> np.ndarray:
         gate = gate.astype(np.intp, copy=False)
@@ -516,6 +574,59 @@ class Mixer:
             self.cells += np.bincount(cell, often, self.cells.size).reshape(self.cells.shape)
 
 
+    # Of codes: odds are those of the bit that is there (``signed``), and gates are by place in the
+    # code tree, whether that bit is a 0, and contexts, so that nothing is done by bit.
+
+    def signed(self, odds, gate: np.ndarray, turned: np.ndarray | None = None) -> np.ndarray:
+        """The mixed odds of the bit that is there; with ``turned`` (its sign bit says so) all but
+        the first odds are a 1 bit's."""
+        if self._signed is None:
+            self._signed = np.repeat(self.columns.reshape(len(self.columns), -1, 1, 16), 2, 2).reshape(len(self.columns), -1)
+        alone, near, far = (column.take(gate, mode="clip") for column in self._signed)
+        near *= odds[1]
+        far *= odds[2]
+        near += far
+        if turned is not None:
+            near.view(np.int32)[...] ^= turned
+        alone *= odds[0]
+        out = np.add(near, alone, out=near)
+        return np.clip(out, -LIMIT, LIMIT, out=out)
+
+    def signed_cell(self, x: np.ndarray, gate: np.ndarray) -> np.ndarray:
+        x = x * np.float32((CELLS - 1) / (2 * LIMIT))
+        x += np.float32(CELLS / 2)
+        cell = gate * CELLS
+        cell += x.astype(np.intp)
+        return cell
+
+    def signed_cells(self) -> np.ndarray:
+        """The refined probability of the bit that is there, by ``signed_cell``."""
+        part = self.cells / self.cells.sum(2, keepdims=True)
+        return np.stack([part[:, :, 1].reshape(-1, 16, CELLS), part[:, ::-1, 0].reshape(-1, 16, CELLS)], 1).astype(np.float32).ravel()
+
+    def learn_signed(self, odds, gate: np.ndarray, node: np.ndarray, bit: np.ndarray, refine: bool, often: np.ndarray) -> None:
+        """``learn`` of codes' bits."""
+        x = self.signed(odds, gate)
+        e = np.exp(-x)
+        p = 1 / (1 + e)
+        e *= p
+        e *= often  # what the bit's probability misses
+        p *= e
+        for k, o in enumerate(odds):
+            weighed = e * o
+            up = np.bincount(gate, weighed, 2 * GATES)
+            np.multiply(p, o, out=weighed)
+            weighed *= o
+            down = np.bincount(gate, weighed, 2 * GATES)
+            up, down = (v.reshape(-1, 2, 16).sum(1).ravel() for v in (up, down))
+            self.weights[:, k] += np.clip(RATE * up / (down + 1.0), -0.3, 0.3)
+        self._narrow()
+        if refine:
+            seen = np.bincount(self.signed_cell(x, gate), often, self.cells.size).reshape(-1, 2, 16, CELLS)
+            self.cells[:, :, 1] += seen[:, 0].reshape(-1, CELLS)
+            self.cells[:, :, 0] += seen[:, 1, :, ::-1].reshape(-1, CELLS)
+
+
 def spelled_runs(batches: Iterator[pa.RecordBatch], counts: np.ndarray):
     """(odds, gate, node, bit, how often) of runs of words, from counts without the word itself."""
     for some, b in word_steps(batches):
@@ -529,26 +640,21 @@ def spelled_runs(batches: Iterator[pa.RecordBatch], counts: np.ndarray):
 
 
 def coded_runs(code):
-    def run(batches: Iterator[pa.RecordBatch], counts: np.ndarray):
-        """(odds, gate, node, bit, how often) of runs of tokens, from counts without the token itself."""
-        c, both = code.value, counts.view(np.complex64).ravel()  # both counts by one look-up
-        itself = np.array([complex(PRIOR - 1, PRIOR), complex(PRIOR, PRIOR - 1)], np.complex64)
+    def run(batches: Iterator[pa.RecordBatch], told: np.ndarray):
+        """(odds, gate, gate, gate, how often) of runs of tokens, from what is ``told`` by counts without
+        the token itself; odds and gates as in ``signed``."""
+        c = code.value
         for p in coded_runs_of(batches, len(c.first) - 1, scattered=True):
             for ids, one, two, often in p.steps(STEP_TOKENS):
-                bits = c.bits(ids, one, two)
-                odds, gate, less = [c.odds_without.take(bits.at, mode="clip")], bits.gate, itself.take(bits.bit)
-                for slot, shift in zip(bits.slot, (2, 0)):
-                    n = both.take(slot, mode="clip")
-                    n += less
-                    n0, n1 = np.maximum(n.real, np.float32(PRIOR)), np.maximum(n.imag, np.float32(PRIOR))
-                    odds.append(np.log(n1 / n0))
-                    gate += level(n0 + n1 - np.float32(2 * PRIOR)) << shift
-                yield odds, gate, gate, bits.bit, np.repeat(often.astype(np.float32), bits.size)
+                bits = c.bits(ids, one, two, told=True)
+                odds = [c.odds_without.take(bits.at, mode="clip"), *(told.take(slot, mode="clip") for slot in bits.slot)]
+                gate = gates(*odds)
+                yield [x.view(np.float32) for x in odds], gate, gate, gate, np.repeat(often.astype(np.float32), bits.size)
 
     return run
 
 
-def learned_mixer(rows: DataFrame, table, runs, predictors: int = len(SLOT_BITS), nodes: int = 256) -> Mixer:
+def learned_mixer(rows: DataFrame, table, runs, predictors: int = len(SLOT_BITS), nodes: int = 256, learn=Mixer.learn) -> Mixer:
     """The mixer from all rows: tasks learn online, their weights are averaged
     by the bits that they saw and their refinement counts added up."""
 
@@ -556,7 +662,7 @@ def learned_mixer(rows: DataFrame, table, runs, predictors: int = len(SLOT_BITS)
         mixer, total, steps = Mixer(n=predictors, nodes=nodes), 0, 0
         fresh = mixer.cells.copy()
         for odds, gate, node, bit, often in runs(batches, table.value):
-            mixer.learn(odds, gate, node, bit, refine=steps >= 4, often=often)
+            learn(mixer, odds, gate, node, bit, refine=steps >= 4, often=often)
             total += bit.size // often.size * float(often.sum(dtype=float))
             steps += 1
         if steps:
@@ -604,19 +710,30 @@ def scored_words(words: DataFrame, table, mixer: Mixer) -> DataFrame:
 
 def code_logs(code: Code, mixer: Mixer, odds: np.ndarray, seen: np.ndarray, ids: np.ndarray, begins: np.ndarray) -> np.ndarray:
     """log10 of the probability of each token's code after the tokens before it in its row."""
+    return packed_logs(code, mixer, mixer.signed_cells(), packed(odds, seen, AFTER_ONE), ids, begins)
+
+
+def packed_logs(code: Code, mixer: Mixer, cells: np.ndarray, table: np.ndarray, ids: np.ndarray, begins: np.ndarray) -> np.ndarray:
+    """``code_logs`` from the mixer's ``signed_cells`` and ``packed`` odds."""
     out = np.zeros(len(ids))
-    packed = odds.view(np.int32) & ~3 | seen  # the step in the lowest bits, so that one look-up finds both
     for k, p in places_of(ids, begins, len(code.first) - 1, found=True):
         told = []
         for some, one, two, _ in p.steps(STEP_LOOKUPS):
             bits = code.bits(some, one, two)
-            near, far = (packed.take(slot, mode="clip") for slot in bits.slot)
-            gate = bits.gate
-            gate += (near & 3) << 2
-            gate += far & 3
-            three = code.odds.take(bits.at, mode="clip"), near.view(np.float32), far.view(np.float32)
-            logs = bit_logs(mixer, three, gate, gate, bits.bit)
-            told.append(np.add.reduceat(logs, bits.start, dtype=float) if len(logs) else np.zeros(len(some)))  # every code has bits, or none
+            if not len(bits.at):  # every code has bits, or none
+                told.append(np.zeros(len(some)))
+                continue
+            odds = [code.odds.take(bits.at, mode="clip"), *(table.take(slot, mode="clip") for slot in bits.slot)]
+            gate = gates(*odds)
+            x = mixer.signed([x.view(np.float32) for x in odds], gate, odds[0] << 31)
+            refined = cells.take(mixer.signed_cell(x, gate), mode="clip")
+            np.negative(x, out=x)
+            np.exp(x, out=x)
+            x += 1
+            np.reciprocal(x, out=x)
+            x += refined  # twice the mean
+            np.log(x, out=x)
+            told.append(np.add.reduceat(x, bits.start, dtype=float) - np.log(2) * bits.size)
         out[k : k + RUN_TOKENS] = np.concatenate(told)[p.of]
     return out / np.log(10)
 
@@ -659,15 +776,33 @@ def earlier(row: np.ndarray, codes: np.ndarray) -> np.ndarray:
     """How often each word stood in its row before."""
     if not len(row):
         return np.zeros(0, np.int64)
-    key = row << 32 | codes
-    order = np.argsort(key, kind="stable")
-    new = np.r_[True, key[order][1:] != key[order][:-1]]
+    place, code = len(row).bit_length(), int(codes.max()).bit_length()
+    key = row.astype(np.int64) << code | codes
+    if int(row.max()).bit_length() + code + place < 64:  # sorted with the place at the end, far faster than an order
+        key <<= place
+        key |= np.arange(len(row))
+        key.sort()
+        order = key & ((1 << place) - 1)
+        key >>= place
+    else:
+        order = np.argsort(key, kind="stable")
+        key = key[order]
+    new = np.r_[True, key[1:] != key[:-1]]
     start = np.flatnonzero(new)
     out = np.empty(len(row), np.int64)
     out[order] = np.arange(len(row)) - np.repeat(start, np.diff(np.r_[start, len(row)]))
     return out
 
 
+def row_runs(offsets: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """The rows in runs of about ``most`` bytes (a longer one is a run of its own)."""
+    lo = 0
+    while lo < len(offsets) - 1:
+        hi = max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + most, side="right")) - 1)
+        yield lo, hi
+        lo = hi
+
+
 def log_sum(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """log10(10^a + 10^b)."""
     return np.logaddexp2(a / np.log10(2), b / np.log10(2)) * np.log10(2)
@@ -703,10 +838,10 @@ def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot_
     code = spark.sparkContext.broadcast(Code(listed["word"].cast(pa.binary()).to_pylist(), own_count, total - int(own_count.sum())))
     stream = staged(training_codes(docs, id_col, text_col, code, key), "training-codes")
     counts = context_counts(stream, coded_places(code), PAIR_SLOTS)
-    table = spark.sparkContext.broadcast(counts)
-    code_mixer = learned_mixer(stream, table, coded_runs(code), 1 + len(PAIR_BITS), GATES)
+    table = spark.sparkContext.broadcast(packed_without(counts))
+    code_mixer = learned_mixer(stream, table, coded_runs(code), 1 + len(PAIR_BITS), GATES, Mixer.learn_signed)
     table.unpersist()
-    pairs = spark.sparkContext.broadcast((log_odds(counts[:, 0], counts[:, 1]), level(counts.sum(1))))
+    pairs = spark.sparkContext.broadcast((code_mixer.signed_cells(), packed(log_odds(counts[:, 0], counts[:, 1]), level(counts.sum(1)), AFTER_ONE)))
     del counts, table
 
     # Spelling of all words, learned from the training words without a code.
@@ -727,47 +862,53 @@ def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot_
         names, c, logp, leaves = hot.value
         at, leaf_at = places(key, "hot", names), places(key, "code", code.value.names)
         base = np.log10((c + ADD) / bottom)
-        for b in slices(batches, "text"):
+        for b in slices(batches, "text", SCAN_BYTES):
             w = Words(b.column("text"), NON_SPACE)
-            codes, distinct_words = w.coded()
+            all_codes, distinct_words = w.coded()
             listed = byte_list(distinct_words)
             place = np.fromiter((at.get(x, -1) for x in listed), np.int64, len(listed))
-            of = place[codes] if len(codes) else np.zeros(0, np.int64)
             leaf = np.r_[leaves, np.int32(ESCAPE)][place]  # of the hot words; the others are looked up
             for k in np.flatnonzero(place < 0).tolist():
                 leaf[k] = leaf_at.get(listed[k], -1) + 1
-            ids, begins = token_stream(leaf[codes], w.counts, leaf_at.get(END, -1) + 1)
-            coded_log = code_logs(code.value, code_mixer, *pairs.value, ids, begins)
-            ends_at = np.r_[begins[1:], len(ids)] - 1
-            end_log = coded_log[ends_at] + np.where(ids[ends_at] == ESCAPE, end.logp, 0.0)
-            inside = np.ones(len(ids), bool)
-            inside[ends_at] = False
-            coded_log, escaped = coded_log[inside], ids[inside] == ESCAPE
-            row = np.repeat(np.arange(b.num_rows), w.counts)
-            t = np.arange(len(row)) - w.row[:-1][row]
-            before = earlier(row, codes)
-            own = OWN * t / (t + OWN_FROM)
-            first, again = np.log10(1 - own), np.full(len(row), -np.inf)
-            rep = before > 0
-            again[rep] = np.log10(own[rep] * before[rep] / t[rep])
-            # A coded word's own probability joins the second part, the first is its spelling's.
-            again = np.where(escaped, again, log_sum(coded_log + first, again))
-            first = np.where(escaped, coded_log + first, -np.inf)
-            ok = of >= 0
-            hot_of = of[ok]
-            told = log_sum(logp[hot_of] + first[ok], again[ok]) if len(c) else np.zeros(0)
-            sums = [np.bincount(row[ok], v, b.num_rows) for v in (base[hot_of], told, (c[hot_of] > 0).astype(float))]
-            # Other words, each occurrence with the parts of its mixture, to the join.
-            other = distinct_words.take(pa.array(codes[~ok])).cast(pa.string())
-            bounds = pa.array(np.searchsorted(row[~ok], np.arange(b.num_rows + 1)).astype(np.int32))
-            names_at, first_at, again_at = (pa.ListArray.from_arrays(bounds, x) for x in (other, pa.array(first[~ok]), pa.array(again[~ok])))
-            own_end = np.log10(1 - OWN * w.counts / (w.counts + OWN_FROM))
-            length = np.bincount(row, (w.ends - w.starts + 1).astype(float), b.num_rows) + 2
-            yield pa.RecordBatch.from_arrays(
-                [b.column("uid"), b.column("id"), pa.array(held_out(b.column("id").to_pylist())), pa.array(w.counts.astype(np.int64) + 1),
-                 pa.array(sums[2].astype(np.int64) + int(end.c > 0)), pa.array(sums[0] + np.log10((end.c + ADD) / bottom)), pa.array(sums[1] + end_log + own_end), pa.array(length), names_at, first_at, again_at],
-                names=["uid", "id", "held_out", "n_tokens", "known", "base", "model", "bytes", "words", "first", "again"],
-            )
+            del listed
+            all_ids, all_begins = token_stream(leaf[all_codes], w.counts, leaf_at.get(END, -1) + 1)
+            all_log = packed_logs(code.value, code_mixer, *pairs.value, all_ids, all_begins)
+            all_begins = np.r_[all_begins, len(all_ids)]
+            for lo, hi in row_runs(w.offsets, SLICE_BYTES):
+                part, counts = b.slice(lo, hi - lo), w.counts[lo:hi]
+                some, tokens = slice(w.row[lo], w.row[hi]), slice(all_begins[lo], all_begins[hi])
+                codes, ids, coded_log = all_codes[some], all_ids[tokens], all_log[tokens]
+                ends_at = all_begins[lo + 1 : hi + 1] - all_begins[lo] - 1
+                end_log = coded_log[ends_at] + np.where(ids[ends_at] == ESCAPE, end.logp, 0.0)
+                inside = np.ones(len(ids), bool)
+                inside[ends_at] = False
+                coded_log, escaped = coded_log[inside], ids[inside] == ESCAPE
+                row = np.repeat(np.arange(part.num_rows), counts)
+                t = np.arange(len(row)) - (w.row[lo:hi] - w.row[lo])[row]
+                before = earlier(row, codes)
+                own = OWN * t / (t + OWN_FROM)
+                first, again = np.log10(1 - own), np.full(len(row), -np.inf)
+                rep = before > 0
+                again[rep] = np.log10(own[rep] * before[rep] / t[rep])
+                # A coded word's own probability joins the second part, the first is its spelling's.
+                again = np.where(escaped, again, log_sum(coded_log + first, again))
+                first = np.where(escaped, coded_log + first, -np.inf)
+                of = place[codes] if len(codes) else np.zeros(0, np.int64)
+                ok = of >= 0
+                hot_of = of[ok]
+                told = log_sum(logp[hot_of] + first[ok], again[ok]) if len(c) else np.zeros(0)
+                sums = [np.bincount(row[ok], v, part.num_rows) for v in (base[hot_of], told, (c[hot_of] > 0).astype(float))]
+                # Other words, each occurrence with the parts of its mixture, to the join.
+                other = distinct_words.take(pa.array(codes[~ok])).cast(pa.string())
+                bounds = pa.array(np.searchsorted(row[~ok], np.arange(part.num_rows + 1)).astype(np.int32))
+                names_at, first_at, again_at = (pa.ListArray.from_arrays(bounds, x) for x in (other, pa.array(first[~ok]), pa.array(again[~ok])))
+                own_end = np.log10(1 - OWN * counts / (counts + OWN_FROM))
+                length = np.bincount(row, (w.ends[some] - w.starts[some] + 1).astype(float), part.num_rows) + 2
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("uid"), part.column("id"), pa.array(held_out(part.column("id").to_pylist())), pa.array(counts.astype(np.int64) + 1),
+                     pa.array(sums[2].astype(np.int64) + int(end.c > 0)), pa.array(sums[0] + np.log10((end.c + ADD) / bottom)), pa.array(sums[1] + end_log + own_end), pa.array(length), names_at, first_at, again_at],
+                    names=["uid", "id", "held_out", "n_tokens", "known", "base", "model", "bytes", "words", "first", "again"],
+                )
 
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.monotonically_increasing_id().alias("uid"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))

@@ -163,6 +163,65 @@ def test_equal_places_are_found_once():
         assert p.ids[p.of].tolist() == ids.tolist()
 
 
+def test_told_places_hold_the_bit():
+    """Twice the slot and the bit come from the paths themselves, and the slots after the word before lie
+    behind all others; one look-up at them tells the odds of the bit without one occurrence, and how often seen."""
+    code = lm.Code([b"%d" % k for k in range(300)], np.arange(400, 100, -1), 90)
+    ids, one, two = np.array([0, 7, 300, 41, 7]), np.array([3, -1, 9, 300, 3]), np.array([5, -1, 0, 7, 5])
+    bits, told = code.bits(ids, one, two), code.bits(ids, one, two, told=True)
+    assert all((t >> 1 == s).all() for s, t in zip(bits.slot, told.slot)) and (told.slot[0] & 1 == told.slot[1] & 1).all()
+    assert bits.slot[0].min() >= lm.AFTER_ONE > bits.slot[1].max() and bits.slot[0].max() < lm.PAIR_SLOTS
+    bit, sign = told.slot[0] & 1, np.where(told.slot[0] & 1, 1, -1)
+    counts = np.random.default_rng(4).integers(0, 40, (lm.PAIR_SLOTS, 2)).astype(np.float32)
+    table = lm.packed_without(counts)
+    for slot, t, shift in zip(bits.slot, told.slot, (2, 0)):
+        n0, n1 = np.maximum(counts[slot, 0] - (1 - bit), 0), np.maximum(counts[slot, 1] - bit, 0)
+        assert np.allclose(table[t].view(np.float32), sign * lm.log_odds(n0, n1), rtol=1e-5)
+        assert ((table[t] & 15) == lm.level(n0 + n1) << shift).all()
+    assert ((code.odds[bits.at] & 1) == 1 - bit).all()
+
+
+def test_learning_by_the_bit_that_is_there():
+    """Odds of the bit that is there, and gates that hold it, teach the same as those of a 1 bit, and are mixed alike."""
+    rng = np.random.default_rng(5)
+    a, b = (lm.Mixer(n=3, nodes=lm.GATES) for _ in range(2))
+    for _ in range(6):
+        odds, gate, bit = rng.normal(0, 3, (3, 5000)).astype(np.float32), rng.integers(0, lm.GATES, 5000), rng.integers(0, 2, 5000)
+        often = rng.integers(1, 9, 5000).astype(np.float32)
+        turned, there = gate >> 4 << 5 | (1 - bit) << 4 | gate & 15, odds * (2 * bit - 1).astype(np.float32)
+        assert np.allclose(b.signed(there, turned), a.mixed(odds, gate) * (2 * bit - 1), atol=1e-4)
+        p = a.probability(odds, gate, gate)
+        x = b.signed(there, turned)
+        told = (1 / (1 + np.exp(-x)) + b.signed_cells()[b.signed_cell(x, turned)]) / 2
+        assert np.mean(np.abs(told - np.where(bit == 1, p, 1 - p)) > 1e-4) < 1e-3  # but for odds between two cells
+        a.learn(odds, gate, gate, bit, True, often)
+        b.learn_signed(there, turned, turned, turned, True, often)
+    assert np.allclose(a.weights, b.weights, atol=1e-4) and np.isclose(a.cells.sum(), b.cells.sum())
+
+
+def test_found_places_when_hashes_meet():
+    """Tokens that share the sorted number's hash keep places of their own, and none is lost."""
+    rng = np.random.default_rng(6)
+    ids = rng.integers(0, 3, 60_000) * 30_000 + np.where(rng.random(60_000) < 0.5, rng.integers(0, 5_000, 60_000), 0)
+    ((_, p),) = lm.places_of(ids, np.array([0, 70]), 1 << 16, found=True)
+    one, two = np.r_[-1, ids[:-1]], np.r_[-1, -1, ids[:-2]]
+    one[70] = two[70] = two[71] = -1
+    assert all((x[p.of] == y).all() for x, y in zip((p.ids, p.one, p.two), (ids, one, two))) and p.often.sum() == len(ids)
+    assert len(p.ids) <= 1.01 * len(set(zip(ids.tolist(), one.tolist(), two.tolist())))
+
+
+def test_scoring_does_not_depend_on_the_slices(spark, monkeypatch):
+    """Words are found in slices of rows and worked on in runs of them: texts longer than either, nulls
+    and empty texts get the same scores however rows are cut."""
+    odd = spark.createDataFrame(ODD, "doc_id long, text string").coalesce(1)
+    a = sorted(((r.doc_id or -1, r.score, r.base_score) for r in lm.scores(odd, hot_words=5).collect()))
+    monkeypatch.setattr(lm, "SLICE_BYTES", 20)
+    b = sorted(((r.doc_id or -1, r.score, r.base_score) for r in lm.scores(odd, hot_words=5).collect()))
+    assert np.allclose(a, b, rtol=1e-9)
+    offsets = np.array([0, 0, 50, 55, 60, 60, 200])
+    assert list(lm.row_runs(offsets, 20)) == [(0, 1), (1, 2), (2, 5), (5, 6)] and list(lm.row_runs(offsets[:1], 20)) == []
+
+
 @settings(max_examples=50, deadline=None)
 @given(st.lists(st.text("ab", min_size=1, max_size=6), min_size=1, max_size=12).map(sorted))
 def test_words_that_begin_alike_share_their_bits(texts):
